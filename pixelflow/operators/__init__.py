@@ -1,0 +1,2 @@
+"""Relational operators: semi-join filters, size-checked lookup joins,
+aggregations and the per-cookie sequence window."""
