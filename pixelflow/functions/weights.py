@@ -18,10 +18,10 @@ def _pair(e: Column) -> Column:
 def weighted_argmax(c) -> Column:
     """Id of the entry with the largest weight; entries need exactly two parts
     and a parseable weight >= 0; ties go to the last such entry; none -> ``''``."""
-    parsed = F.transform(_entries(c), lambda e: F.struct(
-        _pair(e).getItem(0).alias("id"),
-        F.size(_pair(e)).alias("n"),
-        F.try_element_at(_pair(e), F.lit(2)).try_cast("double").alias("w")))
+    pairs = F.transform(_entries(c), _pair)
+    parsed = F.transform(pairs, lambda p: F.struct(
+        p.getItem(0).alias("id"), F.size(p).alias("n"),
+        F.try_element_at(p, F.lit(2)).try_cast("double").alias("w")))
     valid = F.filter(parsed, lambda s: (s["n"] == 2) & s["w"].isNotNull()
                      & ~F.isnan(s["w"]) & (s["w"] >= 0))
     top = F.array_max(F.transform(valid, lambda s: s["w"]))

@@ -6,22 +6,22 @@ from pyspark.sql import DataFrame, functions as F
 
 from pixelflow.constants import MISSING, RE_CMPN
 from pixelflow.functions.markers import norm_marker
-from pixelflow.operators.joins import known_campaigns, known_pixels, maybe_broadcast
+from pixelflow.operators.joins import maybe_broadcast
+from pixelflow.sources.config import PixelLookups
 
 
-def filter_known_campaigns(imp: DataFrame, pm: DataFrame, small: bool) -> DataFrame:
+def filter_known_campaigns(imp: DataFrame, lk: PixelLookups) -> DataFrame:
     """Impressions whose (normalised) ``campaign_id`` is in the pixel map."""
-    lk = known_campaigns(pm).withColumnRenamed("campaign_id", "_known")
+    known = lk.campaigns.withColumnRenamed("campaign_id", "_known")
     cond = norm_marker("campaign_id") == F.col("_known")
-    return imp.where(F.col("campaign_id").isNotNull()).join(maybe_broadcast(lk, small), cond, "left_semi")
+    return imp.where(F.col("campaign_id").isNotNull()).join(maybe_broadcast(known, lk.small), cond, "left_semi")
 
 
-def filter_known_pixels(conv: DataFrame, pm: DataFrame, small: bool,
-                        payload: str = "payload") -> DataFrame:
+def filter_known_pixels(conv: DataFrame, lk: PixelLookups, payload: str = "payload") -> DataFrame:
     """Conversions whose payload ``cmpn`` is a pixel of the map."""
-    lk = known_pixels(pm).withColumnRenamed("pixel", "_known")
+    known = lk.pixels.withColumnRenamed("pixel", "_known")
     cond = F.regexp_extract(F.col(payload), RE_CMPN, 1) == F.col("_known")
-    return conv.join(maybe_broadcast(lk, small), cond, "left_semi")
+    return conv.join(maybe_broadcast(known, lk.small), cond, "left_semi")
 
 
 def filter_adgroups(imp: DataFrame, adgroups: DataFrame | None, small: bool) -> DataFrame:

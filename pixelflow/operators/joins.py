@@ -1,57 +1,32 @@
-"""Lookup tables built from the pixel map and size-checked lookup joins.
+"""Size-checked lookup joins against the pixel-map tables.
 
-The pixel map comes from a configuration string held by the driver, so
-its size is known before planning; ``small`` (from
-:func:`pixelflow.sources.config.spec_size_ok`) decides whether it is
-broadcast.  Beyond the limit the join is left to the planner (shuffle
-join, AQE may still convert it at run time from measured sizes).
+The lookup tables come from :func:`pixelflow.sources.config.pixel_lookups`;
+their ``small`` flag (config size checked on the driver) decides whether
+they are broadcast.  Beyond the limit the join is left to the planner.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from pixelflow.sources.config import PixelLookups
 
 
 def maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
-def campaign_category(pm: DataFrame) -> DataFrame:
-    """``campaign_id -> category``: the last map entry of a campaign wins."""
-    return pm.groupBy("campaign_id").agg(F.max_by("category", "ord").alias("category"))
-
-
-def pixel_weights(pm: DataFrame) -> DataFrame:
-    """``(pixel, category, weight)``: one row per map entry (duplicates kept),
-    weight ``1/n`` with n the number of entries of the pixel."""
-    n = F.count(F.lit(1)).over(Window.partitionBy("pixel"))
-    return pm.select("pixel", "category", (F.lit(1.0) / n).alias("weight"))
-
-
-def pixel_campaign_pairs(pm: DataFrame) -> DataFrame:
-    """Distinct ``(pixel, campaign_id)`` pairs (duplicates would multiply labels)."""
-    return pm.select("pixel", "campaign_id").distinct()
-
-
-def known_pixels(pm: DataFrame) -> DataFrame:
-    return pm.select("pixel").distinct()
-
-
-def known_campaigns(pm: DataFrame) -> DataFrame:
-    return pm.select("campaign_id").distinct()
-
-
-def with_category(df: DataFrame, pm: DataFrame, small: bool, key: str = "campaign_id",
+def with_category(df: DataFrame, lk: PixelLookups, key: str = "campaign_id",
                   how: str = "inner") -> DataFrame:
-    """Attach the last-wins category of ``key``; ``inner`` also drops rows whose
-    campaign is not in the map (semi join and lookup in one broadcast join)."""
-    lk = campaign_category(pm).withColumnRenamed("campaign_id", "_lk_campaign")
-    out = df.join(maybe_broadcast(lk, small), F.col(key) == F.col("_lk_campaign"), how)
+    """Attach the last-wins ``category`` of ``key``; ``inner`` also drops rows
+    whose campaign is not in the map (semi join and lookup in one join)."""
+    cat = lk.category.withColumnRenamed("campaign_id", "_lk_campaign")
+    out = df.join(maybe_broadcast(cat, lk.small), F.col(key) == F.col("_lk_campaign"), how)
     return out.drop("_lk_campaign")
 
 
-def fan_out(df: DataFrame, pm: DataFrame, small: bool, key: str = "pixel") -> DataFrame:
+def fan_out(df: DataFrame, lk: PixelLookups, key: str = "pixel") -> DataFrame:
     """Repeat each row once per map entry of its pixel, with ``weight = 1/n``
     and the entry's ``category``; rows of unknown pixels are dropped."""
-    w = pixel_weights(pm).withColumnRenamed("pixel", "_fan_pixel")
-    return df.join(maybe_broadcast(w, small), F.col(key) == F.col("_fan_pixel"), "inner").drop("_fan_pixel")
+    w = lk.weights.withColumnRenamed("pixel", "_fan_pixel")
+    return df.join(maybe_broadcast(w, lk.small), F.col(key) == F.col("_fan_pixel"), "inner").drop("_fan_pixel")

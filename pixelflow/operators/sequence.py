@@ -19,8 +19,8 @@ from pixelflow.functions.dates import format_epoch_ms
 from pixelflow.functions.geo import geo_state
 from pixelflow.functions.markers import norm_marker
 from pixelflow.functions.text import clean_browser, clean_os, payload_extract
-from pixelflow.operators.joins import (known_pixels, maybe_broadcast,
-                                       pixel_campaign_pairs, with_category)
+from pixelflow.operators.joins import maybe_broadcast, with_category
+from pixelflow.sources.config import PixelLookups
 
 TIMELINE_COLS = ("cookie", "event_date", "is_conv", "tie", "ord", "pixel",
                  "campaign_id", "hour", "state", "os", "browser", "category")
@@ -33,14 +33,14 @@ def _tie(df: DataFrame, tie_col: str | None):
     return F.xxhash64(*[F.col(c) for c in df.columns])
 
 
-def timeline_impressions(imp: DataFrame, pm: DataFrame, small: bool,
+def timeline_impressions(imp: DataFrame, lk: PixelLookups,
                          tie_col: str | None = "event_id") -> DataFrame:
     """Impression rows of the timeline: campaign in the map, a cookie, a
     timestamp field.  Date = formatted UTC timestamp (``''`` if unparsable)."""
     df = imp.where(F.col("campaign_id").isNotNull() & F.col("cookie").isNotNull()
                    & F.col("timestamp").isNotNull())
     df = df.withColumn("_tie", _tie(df, tie_col)).withColumn("_camp", norm_marker("campaign_id"))
-    df = with_category(df, pm, small, key="_camp")
+    df = with_category(df, lk, key="_camp")
     df = df.where(norm_marker("cookie") != MISSING)
     date = format_epoch_ms(norm_marker("timestamp"))
     return df.select(
@@ -55,7 +55,7 @@ def timeline_impressions(imp: DataFrame, pm: DataFrame, small: bool,
         norm_marker("category").alias("category"))
 
 
-def timeline_conversions(conv_all: DataFrame, pm: DataFrame, small: bool,
+def timeline_conversions(conv_all: DataFrame, lk: PixelLookups,
                          tie_col: str | None = "event_id") -> DataFrame:
     """Conversion rows of the timeline from ``(cookie, payloads[])``.
 
@@ -67,8 +67,8 @@ def timeline_conversions(conv_all: DataFrame, pm: DataFrame, small: bool,
     df = conv_all.withColumn("_tie", _tie(conv_all, tie_col))
     ex = df.select("cookie", "_tie", F.posexplode("payloads").alias("_pos", "_p"))
     ex = ex.withColumn("_pix", F.regexp_extract("_p", RE_CMPN, 1))
-    lk = known_pixels(pm).withColumnRenamed("pixel", "_known")
-    ex = ex.join(maybe_broadcast(lk, small), F.col("_pix") == F.col("_known"), "left_semi")
+    known = lk.pixels.withColumnRenamed("pixel", "_known")
+    ex = ex.join(maybe_broadcast(known, lk.small), F.col("_pix") == F.col("_known"), "left_semi")
     rows = F.array(
         F.struct(F.lit(MISSING).alias("event_date"), F.lit(0).alias("ord"), F.lit(MISSING).alias("pixel")),
         F.struct(payload_extract("_p", RE_DATE).alias("event_date"), (F.col("_pos") + 1).alias("ord"),
@@ -82,11 +82,11 @@ def timeline_conversions(conv_all: DataFrame, pm: DataFrame, small: bool,
         null.alias("browser"), null.alias("category"))
 
 
-def seq_events(imp: DataFrame, conv_all: DataFrame, pm: DataFrame, small: bool,
+def seq_events(imp: DataFrame, conv_all: DataFrame, lk: PixelLookups,
                tie_col: str | None = "event_id") -> DataFrame:
     """Union of both logs as timeline rows (no shuffle yet)."""
-    return timeline_impressions(imp, pm, small, tie_col).unionByName(
-        timeline_conversions(conv_all, pm, small, tie_col))
+    return timeline_impressions(imp, lk, tie_col).unionByName(
+        timeline_conversions(conv_all, lk, tie_col))
 
 
 def dedup_last_wins(timeline: DataFrame, key=("cookie", "event_date"),
@@ -103,7 +103,7 @@ def dedup_last_wins(timeline: DataFrame, key=("cookie", "event_date"),
                     .select(*key, *[F.col("_w." + c).alias(c) for c in (*order, *rest)]))
 
 
-def label_next(deduped: DataFrame, pm: DataFrame, small: bool) -> DataFrame:
+def label_next(deduped: DataFrame, lk: PixelLookups) -> DataFrame:
     """Label each impression 1 iff the next event of its cookie (by date text)
     is a conversion whose pixel lists the impression's campaign; the last
     impression of a cookie gets 0."""
@@ -111,9 +111,9 @@ def label_next(deduped: DataFrame, pm: DataFrame, small: bool) -> DataFrame:
     nxt = deduped.select("*", F.lead("is_conv").over(w).alias("_next_conv"),
                          F.lead("pixel").over(w).alias("_next_pixel"))
     imps = nxt.where(F.col("is_conv") == 0)
-    pairs = (pixel_campaign_pairs(pm).withColumnRenamed("pixel", "_pp")
+    pairs = (lk.pairs.withColumnRenamed("pixel", "_pp")
              .withColumnRenamed("campaign_id", "_pc").withColumn("_hit", F.lit(1)))
     cond = (F.col("_next_pixel") == F.col("_pp")) & (F.col("campaign_id") == F.col("_pc"))
-    j = imps.join(maybe_broadcast(pairs, small), cond, "left")
+    j = imps.join(maybe_broadcast(pairs, lk.small), cond, "left")
     label = F.when((F.col("_next_conv") == 1) & F.col("_hit").isNotNull(), F.lit(1)).otherwise(F.lit(0))
     return j.select("cookie", "hour", "state", "os", "browser", "category", label.alias("label"))

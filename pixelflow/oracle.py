@@ -134,7 +134,7 @@ def _imp_cte() -> str:
         "campaign_id": "'c' || CAST(k % 7 AS VARCHAR)",
         "adgroup_id": "'a' || CAST(k % 5 AS VARCHAR)",
         "cookie": "CASE WHEN k % 17 = 0 THEN '-' ELSE md5(CAST(user_id AS VARCHAR)) END",
-        "timestamp": "CASE WHEN k = 98 THEN 'null' ELSE CAST(epoch_ms(ts) AS VARCHAR) END",
+        "timestamp": "CASE WHEN k = 98 THEN 'null' ELSE CAST(epoch_us(ts) // 1000 AS VARCHAR) END",
         "date": "strftime(ts, '%Y-%m-%d %H:%M:%S')",
         "geo_location": f"{lst(fx.GEOS)}[1 + user_id % 6]",
         "browser": f"{lst(fx.BROWSERS)}[1 + k % 5]",

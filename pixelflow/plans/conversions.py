@@ -12,10 +12,10 @@ from pixelflow.functions.text import clean_browser, clean_os, payload_extract
 from pixelflow.functions.useragent import classify_browser, classify_os
 from pixelflow.operators.aggregates import CONV_DIMS, sum_by
 from pixelflow.operators.joins import fan_out
-from pixelflow.sources.config import pixel_map, spec_size_ok
+from pixelflow.sources.config import PixelLookups, pixel_lookups
 
 
-def conversion_dims(conv: DataFrame, pm: DataFrame, small: bool) -> DataFrame:
+def conversion_dims(conv: DataFrame, lk: PixelLookups) -> DataFrame:
     """Per (conversion, map entry): the five dimensions and ``weight``.
 
     ``conv`` has ``cookie`` and ``payload`` (first payload of the line)."""
@@ -23,7 +23,7 @@ def conversion_dims(conv: DataFrame, pm: DataFrame, small: bool) -> DataFrame:
                     & (F.coalesce(F.col("payload"), F.lit("")) != ""))
     df = df.withColumn("_pix", F.regexp_extract("payload", RE_CMPN, 1))
     # broadcast fan-out join first: unknown pixels leave before the regex work
-    df = fan_out(df, pm, small, key="_pix")
+    df = fan_out(df, lk, key="_pix")
     ua = payload_extract("payload", RE_BRWSOS)
     return df.select(
         hour_group_conversions("payload").alias("hour_group"),
@@ -37,5 +37,4 @@ def collect_conversions(spark: SparkSession, conv: DataFrame, pixels: str) -> Da
     """``(hour_group, state, os, browser, category, conv)`` with ``conv`` DOUBLE."""
     if pixels is None:
         raise ValueError("pixel map is required")
-    pm = pixel_map(spark, pixels)
-    return sum_by(conversion_dims(conv, pm, spec_size_ok(pixels)), "weight", CONV_DIMS, "conv")
+    return sum_by(conversion_dims(conv, pixel_lookups(spark, pixels)), "weight", CONV_DIMS, "conv")

@@ -12,20 +12,20 @@ from pixelflow.functions.text import clean_browser, clean_os
 from pixelflow.constants import MISSING
 from pixelflow.operators.aggregates import CONV_DIMS, count_by
 from pixelflow.operators.joins import with_category
-from pixelflow.sources.config import pixel_map, spec_size_ok
+from pixelflow.sources.config import PixelLookups, pixel_lookups
 
 
 def _cleaned(c: str, fn) -> "F.Column":
     return F.when(F.col(c).isNull(), F.lit(MISSING)).otherwise(fn(norm_marker(c)))
 
 
-def impression_dims(imp: DataFrame, pm: DataFrame, small: bool) -> DataFrame:
+def impression_dims(imp: DataFrame, lk: PixelLookups) -> DataFrame:
     """Per kept impression: the five dimensions (campaign in map; category is
     the campaign's last map entry, markers folded to ``-``)."""
     df = imp.where(F.col("campaign_id").isNotNull()).withColumn("_camp", norm_marker("campaign_id"))
     # broadcast join = membership filter and category lookup in one step;
     # the per-row cleaning below only runs on the kept rows
-    df = with_category(df, pm, small, key="_camp")
+    df = with_category(df, lk, key="_camp")
     return df.select(
         hour_group_impressions(norm_marker("timestamp")).alias("hour_group"),
         geo_state(norm_marker("geo_location")).alias("state"),
@@ -38,5 +38,4 @@ def collect_impressions(spark: SparkSession, imp: DataFrame, pixels: str) -> Dat
     """``(hour_group, state, os, browser, category, imp)`` with ``imp`` BIGINT."""
     if pixels is None:
         raise ValueError("pixel map is required")
-    pm = pixel_map(spark, pixels)
-    return count_by(impression_dims(imp, pm, spec_size_ok(pixels)), CONV_DIMS, "imp")
+    return count_by(impression_dims(imp, pixel_lookups(spark, pixels)), CONV_DIMS, "imp")

@@ -22,16 +22,19 @@ def _groups(df: DataFrame) -> DataFrame:
 def agg_rate(imp_agg: DataFrame, conv_agg: DataFrame) -> DataFrame:
     """``(dims, imp, conv, rate)`` from the two aggregates.
 
-    The set of hour groups on both sides has at most four rows (the filter
-    bounds it), so it is broadcast for the two semi joins.  The main join
-    is on the aggregates' own grouping keys, so it reuses their hash
-    partitioning instead of adding an exchange."""
-    both = F.broadcast(_groups(imp_agg).join(_groups(conv_agg), "hour_group"))
-    imp = imp_agg.where(F.col("hour_group").isin(*RATE_HOUR_GROUPS)).join(both, "hour_group", "left_semi")
-    conv = conv_agg.where(F.col("hour_group").isin(*RATE_HOUR_GROUPS)).join(both, "hour_group", "left_semi")
-    j = imp.join(conv, list(CONV_DIMS), "left")
-    out = j.select(*CONV_DIMS, F.col("imp").cast("double").alias("imp"),
-                   F.coalesce(F.col("conv"), F.lit(0.0)).alias("conv"))
+    One full outer join on the five dimensions (the aggregates' own
+    grouping keys, so their hash partitioning is reused: no extra
+    exchange).  Hour groups with conversions are read off the joined rows
+    (at most four, bounded by the group filter) and broadcast into a semi
+    join; both uses of the joined rows read the same shuffle output."""
+    groups = list(RATE_HOUR_GROUPS)
+    imp = imp_agg.where(F.col("hour_group").isin(*groups)).withColumn("_i", F.lit(True))
+    conv = conv_agg.where(F.col("hour_group").isin(*groups)).withColumn("_c", F.lit(True))
+    j = imp.join(conv, list(CONV_DIMS), "full")
+    with_conv = F.broadcast(j.where(F.col("_c")).select("hour_group").distinct())
+    kept = j.where(F.col("_i")).join(with_conv, "hour_group", "left_semi")
+    out = kept.select(*CONV_DIMS, F.col("imp").cast("double").alias("imp"),
+                      F.coalesce(F.col("conv"), F.lit(0.0)).alias("conv"))
     return out.where(F.col("imp") > 0).withColumn("rate", smoothed_rate("conv", "imp"))
 
 

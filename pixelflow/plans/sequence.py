@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pixelflow.operators.sequence import dedup_last_wins, label_next, seq_events
-from pixelflow.sources.config import pixel_map, spec_size_ok
+from pixelflow.sources.config import pixel_lookups
 
 
 def sequence_labels(spark: SparkSession, imp: DataFrame, conv_all: DataFrame, pixels: str,
@@ -18,6 +18,5 @@ def sequence_labels(spark: SparkSession, imp: DataFrame, conv_all: DataFrame, pi
     (a conversion always wins over an impression)."""
     if pixels is None:
         raise ValueError("pixel map is required")
-    pm = pixel_map(spark, pixels)
-    small = spec_size_ok(pixels)
-    return label_next(dedup_last_wins(seq_events(imp, conv_all, pm, small, tie_col)), pm, small)
+    lk = pixel_lookups(spark, pixels)
+    return label_next(dedup_last_wins(seq_events(imp, conv_all, lk, tie_col)), lk)

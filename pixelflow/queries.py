@@ -24,12 +24,11 @@ from pixelflow.plans.ctr import ctr_dims as _ctr_dims
 from pixelflow.session import shared_dir
 from pixelflow.sources import fixtures as fx
 from pixelflow.sources import logs, sinks
-from pixelflow.sources.config import adgroup_table, pixel_map, spec_size_ok
+from pixelflow.sources.config import adgroup_table, pixel_lookups, spec_size_ok
 from pixelflow.sources.intermediate import parse_intermediate, to_intermediate_lines
 
 PIX = fx.PIXEL_SPEC
 ADG = fx.ADGROUP_SPEC
-SMALL = spec_size_ok(PIX)
 SCAN_START, SCAN_DAYS = "20240101", 31
 CREDIT_DECIMALS = 6
 
@@ -46,8 +45,8 @@ def _conv(spark, d):
     return fx.conversions(_ev(spark, d))
 
 
-def _pm(spark):
-    return pixel_map(spark, PIX)
+def _lk(spark):
+    return pixel_lookups(spark, PIX)
 
 
 def _credit(df: DataFrame, c: str = "conv") -> DataFrame:
@@ -57,8 +56,7 @@ def _credit(df: DataFrame, c: str = "conv") -> DataFrame:
 # ---------------------------------------------------------------- sources
 def q_scan_hour_range(spark, d):
     """Write the impression log as hourly folders, scan a day range back."""
-    ev = _ev(spark, d)
-    lines = fx.impression_lines(ev).withColumn("dthr", fx.hour_key(ev))
+    lines = fx.impression_lines(_ev(spark, d), with_hour=True)
     root = shared_dir(spark, "hourly")
     lines.select("value", "dthr").repartition("dthr").write.partitionBy("dthr").text(root)
     out = logs.scan_hour_range(spark, root, SCAN_START, SCAN_DAYS)
@@ -95,11 +93,12 @@ def q_route_mixed(spark, d):
 
 def q_pixel_map(spark, d):
     """Parsed map entries with how many conversions / impressions hit them."""
-    pm = _pm(spark)
-    conv = flt.filter_known_pixels(_conv(spark, d), pm, SMALL)
+    lk = _lk(spark)
+    pm = lk.entries
+    conv = flt.filter_known_pixels(_conv(spark, d), lk)
     nconv = conv.groupBy(F.regexp_extract("payload", RE_CMPN, 1).alias("pixel")).agg(
         F.count(F.lit(1)).alias("n_conv"))
-    imp = flt.filter_known_campaigns(_imp(spark, d), pm, SMALL)
+    imp = flt.filter_known_campaigns(_imp(spark, d), lk)
     nimp = imp.groupBy(pf.norm_marker("campaign_id").alias("campaign_id")).agg(
         F.count(F.lit(1)).alias("n_imp"))
     out = pm.join(nconv, "pixel", "left").join(nimp, "campaign_id", "left")
@@ -139,7 +138,7 @@ SEQ_SCHEMA = "cookie string, hour string, state string, os string, browser strin
 def q_sink_flat(spark, d):
     out = shared_dir(spark, "seq_flat")
     sinks.write_flat(q_seq_label(spark, d), out)
-    return spark.read.schema(SEQ_SCHEMA).option("sep", "\t").csv(out)
+    return sinks.read_flat(spark, out, SEQ_SCHEMA)
 
 
 # ---------------------------------------------------------------- scalar functions
@@ -225,31 +224,31 @@ def q_weighted_pick(spark, d):
 
 # ---------------------------------------------------------------- filters and joins
 def q_filter_known_pixels(spark, d):
-    kept = flt.filter_known_pixels(_conv(spark, d), _pm(spark), SMALL)
+    kept = flt.filter_known_pixels(_conv(spark, d), _lk(spark))
     return kept.select("event_id", F.regexp_extract("payload", RE_CMPN, 1).alias("pixel"))
 
 
 def q_filter_known_campaigns(spark, d):
-    kept = flt.filter_known_campaigns(_imp(spark, d), _pm(spark), SMALL)
+    kept = flt.filter_known_campaigns(_imp(spark, d), _lk(spark))
     return kept.select("event_id", "campaign_id")
 
 
 def q_conv_fanout(spark, d):
     c = _conv(spark, d).withColumn("pixel", F.regexp_extract("payload", RE_CMPN, 1))
-    return jn.fan_out(c, _pm(spark), SMALL).select("event_id", "pixel", "category", "weight")
+    return jn.fan_out(c, _lk(spark)).select("event_id", "pixel", "category", "weight")
 
 
 def q_campaign_category(spark, d):
     i = _imp(spark, d).withColumn("_camp", pf.norm_marker("campaign_id"))
-    j = jn.with_category(i, _pm(spark), SMALL, key="_camp")
+    j = jn.with_category(i, _lk(spark), key="_camp")
     return j.select("event_id", F.col("_camp").alias("campaign_id"), pf.norm_marker("category").alias("category"))
 
 
 def q_pixel_lists(spark, d):
-    pm = _pm(spark)
-    lists = agg.pixel_lists(pm, "campaign_id").select(
+    lk = _lk(spark)
+    lists = agg.pixel_lists(lk.entries, "campaign_id").select(
         "pixel", F.concat_ws(",", "campaign_ids").alias("campaigns"))
-    conv = flt.filter_known_pixels(_conv(spark, d), pm, SMALL)
+    conv = flt.filter_known_pixels(_conv(spark, d), lk)
     n = conv.groupBy(F.regexp_extract("payload", RE_CMPN, 1).alias("pixel")).agg(F.count(F.lit(1)).alias("n_conv"))
     return lists.join(n, "pixel", "left").select("pixel", "campaigns", F.coalesce("n_conv", F.lit(0)).alias("n_conv"))
 
@@ -264,12 +263,12 @@ def _seq_inputs(spark, d):
 
 def q_seq_events(spark, d):
     imp, conv = _seq_inputs(spark, d)
-    return seq.seq_events(imp, conv, _pm(spark), SMALL)
+    return seq.seq_events(imp, conv, _lk(spark))
 
 
 def q_seq_dedup(spark, d):
     imp, conv = _seq_inputs(spark, d)
-    tl = seq.seq_events(imp, conv, _pm(spark), SMALL)
+    tl = seq.seq_events(imp, conv, _lk(spark))
     tl = tl.withColumn("event_hour", F.substring("event_date", 1, 11))
     return seq.dedup_last_wins(tl, key=("cookie", "event_hour"))
 
@@ -319,7 +318,7 @@ def _one_row(**parts: DataFrame) -> DataFrame:
 
 def q_check_credit_conserved(spark, d):
     credit = collect_conversions(spark, _conv(spark, d), PIX).agg(F.sum("conv"))
-    kept = flt.filter_known_pixels(_conv(spark, d), _pm(spark), SMALL).agg(F.count(F.lit(1)))
+    kept = flt.filter_known_pixels(_conv(spark, d), _lk(spark)).agg(F.count(F.lit(1)))
     out = _one_row(kept=kept, credit=credit)
     return out.select(F.col("kept").cast("bigint").alias("kept"),
                       F.round("credit", CREDIT_DECIMALS).alias("credit"))

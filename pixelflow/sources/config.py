@@ -1,26 +1,45 @@
 """Configuration tables: the pixel map and the ad-group list.
 
 Both arrive as one comma-separated string (``pixel|campaign_id|category,...``
-and ``pixel|adgroup_id,...``).  The string lives on the driver already, so
-its size is known before anything is broadcast: :func:`spec_size_ok` is the
-size check the joins use.
+and ``pixel|adgroup_id,...``), the job parameter the driver already holds.
+Within :data:`MAX_BROADCAST_SPEC_BYTES` the string is parsed on the driver
+into small local tables (no Spark job, broadcast to the tasks); beyond it
+the parse and the derived lookups run as Spark jobs and the joins are left
+to the planner (shuffle joins; AQE may still broadcast from measured sizes).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from dataclasses import dataclass
 
-# Largest configuration string (bytes) that is broadcast to every task.
-MAX_BROADCAST_SPEC_BYTES = 64 * 1024 * 1024
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+
+# Largest configuration string (bytes) that is parsed locally and broadcast.
+MAX_BROADCAST_SPEC_BYTES = 16 * 1024 * 1024
+
+PM_SCHEMA = "ord int, pixel string, campaign_id string, category string"
 
 
 def spec_size_ok(spec: str | None, limit: int = MAX_BROADCAST_SPEC_BYTES) -> bool:
     return spec is not None and len(spec.encode("utf-8")) <= limit
 
 
-def _spec_parts(spark: SparkSession, spec: str | None) -> DataFrame:
-    """One row per non-empty comma entry: ``ord`` and the ``|`` parts with
+def _parts(spec: str | None):
+    """(position, parts) of the non-empty comma entries; ``|`` parts with
     trailing empty parts dropped."""
+    pos = 0
+    for e in (spec or "").split(","):
+        if e:
+            yield pos, e.rstrip("|").split("|") if e.rstrip("|") else [""]
+            pos += 1
+
+
+def spec_entries(spec: str | None, arity: int) -> int:
+    """Number of entries with ``arity`` parts."""
+    return sum(1 for _, p in _parts(spec) if len(p) == arity)
+
+
+def _spec_parts_df(spark: SparkSession, spec: str | None) -> DataFrame:
     one = spark.range(1).select(F.lit(spec or "").alias("spec"))
     ent = one.select(F.posexplode(F.filter(F.split("spec", ","), lambda x: x != "")).alias("ord", "e"))
     return ent.select("ord", F.split(F.regexp_replace("e", r"\|+$", ""), r"\|").alias("p"))
@@ -29,7 +48,10 @@ def _spec_parts(spark: SparkSession, spec: str | None) -> DataFrame:
 def pixel_map(spark: SparkSession, spec: str | None) -> DataFrame:
     """``(ord, pixel, campaign_id, category)``; entries without exactly three
     parts are ignored; duplicates are kept."""
-    p = _spec_parts(spark, spec)
+    if spec_size_ok(spec):
+        rows = [(o, p[0], p[1], p[2]) for o, p in _parts(spec) if len(p) == 3]
+        return spark.createDataFrame(rows, PM_SCHEMA)
+    p = _spec_parts_df(spark, spec)
     return (p.where(F.size("p") == 3)
              .select(F.col("ord").cast("int").alias("ord"), F.col("p")[0].alias("pixel"),
                      F.col("p")[1].alias("campaign_id"), F.col("p")[2].alias("category")))
@@ -37,17 +59,54 @@ def pixel_map(spark: SparkSession, spec: str | None) -> DataFrame:
 
 def adgroup_table(spark: SparkSession, spec: str | None) -> DataFrame:
     """Distinct ``adgroup_id`` of the two-part entries."""
-    p = _spec_parts(spark, spec)
+    if spec_size_ok(spec):
+        ids = sorted({p[1] for _, p in _parts(spec) if len(p) == 2})
+        return spark.createDataFrame([(i,) for i in ids], "adgroup_id string")
+    p = _spec_parts_df(spark, spec)
     return p.where(F.size("p") == 2).select(F.col("p")[1].alias("adgroup_id")).distinct()
 
 
-def spec_entries(spec: str | None, arity: int) -> int:
-    """Number of entries with ``arity`` parts (driver-side, on the config string)."""
-    n = 0
-    for e in (spec or "").split(","):
-        if not e:
-            continue
-        parts = e.rstrip("|").split("|")
-        if len(parts) == arity:
-            n += 1
-    return n
+@dataclass
+class PixelLookups:
+    """Lookup tables derived from the pixel map.
+
+    ``small`` says whether they are broadcast.  ``category``: campaign ->
+    category of its last entry; ``weights``: one row per entry with
+    ``1/n`` (n = entries of the pixel); ``pairs``: distinct (pixel,
+    campaign_id); ``pixels`` / ``campaigns``: distinct ids."""
+    entries: DataFrame
+    category: DataFrame
+    weights: DataFrame
+    pairs: DataFrame
+    pixels: DataFrame
+    campaigns: DataFrame
+    small: bool
+
+
+def pixel_lookups(spark: SparkSession, spec: str | None) -> PixelLookups:
+    pm = pixel_map(spark, spec)
+    if spec_size_ok(spec):
+        rows = [(o, p[0], p[1], p[2]) for o, p in _parts(spec) if len(p) == 3]
+        last, count = {}, {}
+        for o, px, camp, cat in rows:
+            last[camp] = cat
+            count[px] = count.get(px, 0) + 1
+        mk = spark.createDataFrame
+        return PixelLookups(
+            entries=pm,
+            category=mk(sorted(last.items()), "campaign_id string, category string"),
+            weights=mk([(px, cat, 1.0 / count[px]) for _, px, _, cat in rows],
+                       "pixel string, category string, weight double"),
+            pairs=mk(sorted({(px, camp) for _, px, camp, _ in rows}), "pixel string, campaign_id string"),
+            pixels=mk(sorted({(px,) for _, px, _, _ in rows}), "pixel string"),
+            campaigns=mk(sorted({(camp,) for _, _, camp, _ in rows}), "campaign_id string"),
+            small=True)
+    n = F.count(F.lit(1)).over(Window.partitionBy("pixel"))
+    return PixelLookups(
+        entries=pm,
+        category=pm.groupBy("campaign_id").agg(F.max_by("category", "ord").alias("category")),
+        weights=pm.select("pixel", "category", (F.lit(1.0) / n).alias("weight")),
+        pairs=pm.select("pixel", "campaign_id").distinct(),
+        pixels=pm.select("pixel").distinct(),
+        campaigns=pm.select("campaign_id").distinct(),
+        small=False)

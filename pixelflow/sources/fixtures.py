@@ -52,8 +52,9 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
-def impressions(events: DataFrame) -> DataFrame:
-    """Typed impression log: ``event_id`` plus the 59 log fields as strings."""
+def impressions(events: DataFrame, with_hour: bool = False) -> DataFrame:
+    """Typed impression log: ``event_id`` plus the 59 log fields as strings
+    (and ``dthr``, the ``yyyyMMddHH`` hour of the event, when asked)."""
     ev = events.where(F.col("event_type").isin(*IMP_TYPES)).withColumn("k", _k())
     k, uid = F.col("k"), F.col("user_id")
     seg = F.concat(F.lit("v"), (k % 3).cast("string"), F.lit(",0."), (k % 10).cast("string"),
@@ -73,7 +74,8 @@ def impressions(events: DataFrame) -> DataFrame:
         "click_flag": F.when(F.col("event_type") == "click", F.lit("1")).otherwise(F.lit("0")),
     }
     cols = [filled.get(f, F.lit("null")).alias(f) for f in LOG_FIELDS]
-    return ev.select(F.col("event_id"), *cols)
+    hour = [F.date_format("ts", "yyyyMMddHH").alias("dthr")] if with_hour else []
+    return ev.select(F.col("event_id"), *cols, *hour)
 
 
 def conversions(events: DataFrame) -> DataFrame:
@@ -89,18 +91,15 @@ def conversions(events: DataFrame) -> DataFrame:
     return ev.select("event_id", F.md5(uid.cast("string")).alias("cookie"), payload.alias("payload"))
 
 
-def impression_lines(events: DataFrame) -> DataFrame:
-    """Impression log as tab lines: ``event_id``, ``value``."""
-    imp = impressions(events)
+def impression_lines(events: DataFrame, with_hour: bool = False) -> DataFrame:
+    """Impression log as tab lines: ``event_id``, ``value`` (and ``dthr``)."""
+    imp = impressions(events, with_hour)
     cols = [F.coalesce(F.col(f), F.lit("")) for f in LOG_FIELDS]
-    return imp.select("event_id", F.concat_ws("\t", *cols).alias("value"))
+    hour = ["dthr"] if with_hour else []
+    return imp.select("event_id", F.concat_ws("\t", *cols).alias("value"), *hour)
 
 
 def conversion_lines(events: DataFrame) -> DataFrame:
     """Retargeting log as tab lines: ``event_id``, ``value``."""
     c = conversions(events)
     return c.select("event_id", F.concat_ws("\t", "cookie", "payload").alias("value"))
-
-
-def hour_key(events: DataFrame) -> Column:
-    return F.date_format("ts", "yyyyMMddHH")

@@ -36,10 +36,16 @@ def _named(arr: Column, fields) -> list[Column]:
     return [F.try_element_at(arr, F.lit(i + 1)).alias(name) for i, name in enumerate(fields)]
 
 
+def _split_then_name(lines: DataFrame, arr: Column, fields, keep) -> DataFrame:
+    # the split runs once per line; the named columns index into its result
+    keep = [F.col(k) for k in keep]
+    return lines.select(*keep, arr.alias("_arr")).select(*[F.col(k) for k in lines.select(*keep).columns],
+                                                          *_named(F.col("_arr"), fields))
+
+
 def parse_impressions_tokens(lines: DataFrame, fields=LOG_FIELDS, keep=()) -> DataFrame:
     """Token-mode impression parse: empty fields are dropped (columns shift)."""
-    arr = _tokens(F.col("value"))
-    return lines.select(*[F.col(k) for k in keep], *_named(arr, fields))
+    return _split_then_name(lines, _tokens(F.col("value")), fields, keep)
 
 
 def parse_ctr_log(lines: DataFrame, keep=()) -> DataFrame:
@@ -49,8 +55,7 @@ def parse_ctr_log(lines: DataFrame, keep=()) -> DataFrame:
 
 def parse_impressions_fields(lines: DataFrame, fields=LOG_FIELDS, keep=()) -> DataFrame:
     """Field-mode impression parse: interior empty fields are kept."""
-    arr = _fields(F.col("value"))
-    return lines.select(*[F.col(k) for k in keep], *_named(arr, fields))
+    return _split_then_name(lines, _fields(F.col("value")), fields, keep)
 
 
 def parse_retarg_first(lines: DataFrame, keep=()) -> DataFrame:

@@ -1,23 +1,48 @@
-"""Writers: one folder per hour group, or one flat folder; output replaced."""
+"""Writers: one folder per hour group, or one flat folder; output replaced.
 
-from pyspark.sql import DataFrame
+The text format is the original one: fields joined by tabs, no quoting,
+no header; NULL is written as an empty field.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
+
+
+def _as_line(df: DataFrame, cols) -> DataFrame:
+    return df.select(F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+                     .alias("value"))
 
 
 def write_partitioned(df: DataFrame, path: str, by: str = "hour_group",
                       fmt: str = "parquet") -> None:
     """One sub-folder per value of ``by``; no file is written for a value that
-    has no rows; an existing output is replaced."""
-    w = df.write.mode("overwrite").partitionBy(by)
-    if fmt == "csv":
-        w.option("sep", "\t").csv(path)
+    has no rows; an existing output is replaced.  Rows are clustered by
+    ``by`` first so each folder gets few files instead of one per task."""
+    df = df.repartition(by)
+    if fmt == "text":
+        rest = [c for c in df.columns if c != by]
+        df = df.select(F.col(by), F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit(""))
+                                                      for c in rest]).alias("value"))
+        df.write.mode("overwrite").partitionBy(by).text(path)
     else:
-        w.format(fmt).save(path)
+        df.write.mode("overwrite").partitionBy(by).format(fmt).save(path)
 
 
-def write_flat(df: DataFrame, path: str, fmt: str = "csv") -> None:
+def write_flat(df: DataFrame, path: str, fmt: str = "text") -> None:
     """Flat output folder (tab-separated text by default); replaced if present."""
-    w = df.write.mode("overwrite")
-    if fmt == "csv":
-        w.option("sep", "\t").csv(path)
+    if fmt == "text":
+        _as_line(df, df.columns).write.mode("overwrite").text(path)
     else:
-        w.format(fmt).save(path)
+        df.write.mode("overwrite").format(fmt).save(path)
+
+
+def read_flat(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """Read tab-separated text written by :func:`write_flat` into ``schema``."""
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    arr = F.split(F.col("value"), "\t", -1)
+    lines = spark.read.text(path).select(arr.alias("_a"))
+    return lines.select(*[F.try_element_at("_a", F.lit(i + 1)).try_cast(f.dataType).alias(f.name)
+                          for i, f in enumerate(schema.fields)])
