@@ -1,8 +1,7 @@
 """Epoch-millisecond formatting and day arithmetic on ``yyyyMMdd`` text.
 
-The formatting is done with integer arithmetic on the epoch value plus
-``date_from_unix_date``, so the result is UTC whatever the session time
-zone is.
+The epoch value is added to a TIMESTAMP_NTZ epoch, so the result is UTC
+whatever the session time zone is.
 """
 
 from pyspark.sql import Column, functions as F
@@ -10,30 +9,19 @@ from pyspark.sql import Column, functions as F
 from pixelflow.constants import DAY_FORMAT
 from pixelflow.functions._util import col
 
-_MS_PER_DAY = 86_400_000
-# DATE range Spark can render with a 4-digit year: 0001-01-01 .. 9999-12-31.
-_MIN_DAY, _MAX_DAY = -719_162, 2_932_896
-
-
-def _two(x: Column) -> Column:
-    return F.lpad(x.cast("string"), 2, "0")
+# Epoch-ms range that renders with a 4-digit year: 0001-01-01 .. 9999-12-31.
+_MIN_MS, _MAX_MS = -62_135_596_800_000, 253_402_300_799_999
+_EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
 def format_epoch_ms(c) -> Column:
     """Epoch milliseconds as text -> ``yyyyMMdd HH:mm:ss`` (UTC); anything that
-    is not a plain (optionally signed) integer gives ``''``."""
-    c = col(c)
-    ms = F.when(c.rlike(r"^[+-]?[0-9]+$"), c.try_cast("bigint"))
-    rem = F.pmod(ms, F.lit(_MS_PER_DAY))
-    day = ((ms - rem) / F.lit(_MS_PER_DAY)).cast("bigint")
-    sec = (rem / F.lit(1000)).cast("bigint")
-    text = F.concat(
-        F.date_format(F.date_from_unix_date(day.cast("int")), DAY_FORMAT), F.lit(" "),
-        _two(F.floor(sec / 3600)), F.lit(":"),
-        _two(F.floor(F.pmod(sec, F.lit(3600)) / 60)), F.lit(":"),
-        _two(F.pmod(sec, F.lit(60))))
-    ok = ms.isNotNull() & day.between(_MIN_DAY, _MAX_DAY)
-    return F.when(ok, text).otherwise(F.lit(""))
+    is not a plain (optionally signed) integer gives ``''``.
+
+    Added to a TIMESTAMP_NTZ epoch, so no session time zone is involved."""
+    ms = F.regexp_extract(col(c), r"^([+-]?[0-9]+)\z", 1).try_cast("bigint")
+    ntz = F.timestamp_add("MILLISECOND", ms, F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
+    return F.when(ms.between(_MIN_MS, _MAX_MS), F.date_format(ntz, "yyyyMMdd HH:mm:ss")).otherwise(F.lit(""))
 
 
 def day_shift(c, n: int) -> Column:

@@ -38,7 +38,6 @@ def hour_group_conversions(payload) -> Column:
 def hour_group_ctr(date) -> Column:
     """CTR hour group from the log ``date`` text: the group when the hour is in
     the table, else the raw hour, else ``null`` text (absent or no hour)."""
-    d = col(date)
-    hh = F.regexp_extract(d, RE_HOUR, 1)
-    hh = F.when(d.isNull() | (hh == "") | (F.lower(hh) == CTR_NULL), F.lit(CTR_NULL)).otherwise(hh)
+    # the captured hour is digits only, so it is never the text "null"
+    hh = F.coalesce(F.nullif(F.regexp_extract(col(date), RE_HOUR, 1), F.lit("")), F.lit(CTR_NULL))
     return F.coalesce(hour_group(hh), hh)

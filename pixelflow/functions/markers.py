@@ -6,7 +6,11 @@ from pixelflow.constants import MISSING, MISSING_TEXTS
 from pixelflow.functions._util import col
 
 
+# One pattern for the whole marker set, so the input is referenced once and
+# nested calls do not multiply the expression tree.
+_MARKER_RE = "(?iu)^(?:" + "|".join(t for t in MISSING_TEXTS if t) + ")?\\z"
+
+
 def norm_marker(c) -> Column:
     """Empty, ``unknown`` or ``null`` text (any case), or SQL NULL -> ``-``."""
-    c = col(c)
-    return F.when(c.isNull() | F.lower(c).isin(*MISSING_TEXTS), F.lit(MISSING)).otherwise(c)
+    return F.coalesce(F.regexp_replace(col(c), _MARKER_RE, MISSING), F.lit(MISSING))

@@ -15,26 +15,30 @@ from pixelflow.operators.aggregates import CONV_DIMS, tag_pivot
 from pixelflow.sources.intermediate import parse_intermediate
 
 
-def _groups(df: DataFrame) -> DataFrame:
-    return df.where(F.col("hour_group").isin(*RATE_HOUR_GROUPS)).select("hour_group").distinct()
+def _rate_groups(spark) -> DataFrame:
+    return spark.createDataFrame([(g,) for g in RATE_HOUR_GROUPS], "hour_group string")
+
+
+def _groups_with(side: DataFrame, value: str) -> DataFrame:
+    """Hour groups 1..4 that have rows on ``side``: at most four rows (semi
+    join with the four-row group table), so safe to broadcast."""
+    present = side.where(F.col(value).isNotNull()).select("hour_group").distinct()
+    return F.broadcast(present.join(_rate_groups(side.sparkSession), "hour_group", "left_semi"))
 
 
 def agg_rate(imp_agg: DataFrame, conv_agg: DataFrame) -> DataFrame:
     """``(dims, imp, conv, rate)`` from the two aggregates.
 
-    One full outer join on the five dimensions (the aggregates' own
-    grouping keys, so their hash partitioning is reused: no extra
-    exchange).  Hour groups with conversions are read off the joined rows
-    (at most four, bounded by the group filter) and broadcast into a semi
-    join; both uses of the joined rows read the same shuffle output."""
-    groups = list(RATE_HOUR_GROUPS)
-    imp = imp_agg.where(F.col("hour_group").isin(*groups)).withColumn("_i", F.lit(True))
-    conv = conv_agg.where(F.col("hour_group").isin(*groups)).withColumn("_c", F.lit(True))
-    j = imp.join(conv, list(CONV_DIMS), "full")
-    with_conv = F.broadcast(j.where(F.col("_c")).select("hour_group").distinct())
-    kept = j.where(F.col("_i")).join(with_conv, "hour_group", "left_semi")
-    out = kept.select(*CONV_DIMS, F.col("imp").cast("double").alias("imp"),
-                      F.coalesce(F.col("conv"), F.lit(0.0)).alias("conv"))
+    The hour groups kept (1..4, present on the conversion side) come from a
+    broadcast semi join rather than an IN filter, so the optimizer cannot
+    push the group test below the aggregates into the scans, where it would
+    evaluate the hour expression a second time per input row.  The join
+    with the conversions is on the aggregates' own grouping keys, so it
+    reuses their hash partitioning."""
+    kept = imp_agg.join(_groups_with(conv_agg, "conv"), "hour_group", "left_semi")
+    j = kept.join(conv_agg, list(CONV_DIMS), "left")
+    out = j.select(*CONV_DIMS, F.col("imp").cast("double").alias("imp"),
+                   F.coalesce(F.col("conv"), F.lit(0.0)).alias("conv"))
     return out.where(F.col("imp") > 0).withColumn("rate", smoothed_rate("conv", "imp"))
 
 
@@ -46,8 +50,7 @@ def agg_rate_from_lines(imp_lines: DataFrame, conv_lines: DataFrame) -> DataFram
         p = parse_intermediate(lines).where(F.col("tag") == tag)
         return p.withColumn("hour_group", F.split("key", "\t")[0])
     imp, conv = side(imp_lines, TAG_IMP), side(conv_lines, TAG_CONV)
-    both = F.broadcast(_groups(imp).join(_groups(conv), "hour_group"))
-    tagged = (imp.unionByName(conv).where(F.col("hour_group").isin(*RATE_HOUR_GROUPS))
-                 .join(both, "hour_group", "left_semi").drop("hour_group"))
+    both = _groups_with(imp, "value").join(_groups_with(conv, "value"), "hour_group", "left_semi")
+    tagged = imp.unionByName(conv).join(F.broadcast(both), "hour_group", "left_semi").drop("hour_group")
     piv = tag_pivot(tagged)
     return piv.where(F.col("imp") > 0).withColumn("rate", smoothed_rate("conv", "imp"))
