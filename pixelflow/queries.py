@@ -255,9 +255,11 @@ def q_pixel_lists(spark, d):
 
 # ---------------------------------------------------------------- sequence job
 def _seq_inputs(spark, d):
-    routed = logs.route_mixed(_mixed_lines(spark, d), keep=("event_id",))
-    imp = logs.parse_impressions_fields(routed.where(F.col("kind") == TAG_IMP), keep=("event_id",))
-    conv = logs.parse_retarg_all(routed.where(F.col("kind") == TAG_CONV), keep=("event_id",))
+    """Both logs as text lines, each read with its field-mode parser (the
+    logs live in separate folders; :func:`q_route_mixed` covers a mixed input)."""
+    ev = _ev(spark, d)
+    imp = logs.parse_impressions_fields(fx.impression_lines(ev), keep=("event_id",))
+    conv = logs.parse_retarg_all(fx.conversion_lines(ev), keep=("event_id",))
     return imp, conv
 
 

@@ -103,3 +103,15 @@ def conversion_lines(events: DataFrame) -> DataFrame:
     """Retargeting log as tab lines: ``event_id``, ``value``."""
     c = conversions(events)
     return c.select("event_id", F.concat_ws("\t", "cookie", "payload").alias("value"))
+
+
+def materialize(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, str]:
+    """Write the log-shaped inputs once (typed parquet and tab-separated text
+    logs), so jobs can be run and timed on stored logs as in production."""
+    ev = read_events(spark, sf_dir)
+    paths = {k: f"{out_dir.rstrip('/')}/{k}" for k in ("imp", "conv", "imp_lines", "conv_lines")}
+    impressions(ev).write.mode("overwrite").parquet(paths["imp"])
+    conversions(ev).write.mode("overwrite").parquet(paths["conv"])
+    impression_lines(ev).select("value").write.mode("overwrite").text(paths["imp_lines"])
+    conversion_lines(ev).select("value").write.mode("overwrite").text(paths["conv_lines"])
+    return paths

@@ -61,33 +61,29 @@ def parse_impressions_fields(lines: DataFrame, fields=LOG_FIELDS, keep=()) -> Da
 def parse_retarg_first(lines: DataFrame, keep=()) -> DataFrame:
     """Retargeting log, token mode: ``cookie`` and the first payload only;
     lines lacking either are dropped."""
-    arr = _tokens(F.col("value"))
-    out = lines.select(*[F.col(k) for k in keep],
-                       F.try_element_at(arr, F.lit(1)).alias("cookie"),
-                       F.try_element_at(arr, F.lit(2)).alias("payload"))
+    arr = lines.select(*[F.col(k) for k in keep], _tokens(F.col("value")).alias("_arr"))
+    out = arr.select(*[F.col(k) for k in keep],
+                     F.try_element_at("_arr", F.lit(1)).alias("cookie"),
+                     F.try_element_at("_arr", F.lit(2)).alias("payload"))
     return out.where(F.col("cookie").isNotNull() & F.col("payload").isNotNull())
 
 
 def parse_retarg_all(lines: DataFrame, keep=()) -> DataFrame:
     """Retargeting log, field mode: ``cookie`` (32 characters) and all payloads."""
-    arr = _fields(F.col("value"))
-    out = lines.select(*[F.col(k) for k in keep],
-                       arr.getItem(0).alias("cookie"),
-                       F.slice(arr, 2, F.greatest(F.size(arr) - 1, F.lit(0))).alias("payloads"),
-                       F.size(arr).alias("_n"))
-    return (out.where((F.col("_n") > 1) & (F.length("cookie") == COOKIE_LENGTH))
-               .drop("_n"))
+    arr = lines.select(*[F.col(k) for k in keep], _fields(F.col("value")).alias("_arr"))
+    arr = arr.where((F.size("_arr") > 1) & (F.length(F.col("_arr").getItem(0)) == COOKIE_LENGTH))
+    return arr.select(*[F.col(k) for k in keep], F.col("_arr").getItem(0).alias("cookie"),
+                      F.slice("_arr", 2, F.size("_arr") - 1).alias("payloads"))
 
 
 def route_mixed(lines: DataFrame, keep=()) -> DataFrame:
     """Route a mixed input: a first field of 32 characters marks a retargeting
     line (``CONV``), anything else is an impression line (``IMP``); lines with
     at most one field are dropped."""
-    arr = _fields(F.col("value"))
-    kind = F.when(F.length(arr.getItem(0)) == COOKIE_LENGTH, F.lit(TAG_CONV)).otherwise(F.lit(TAG_IMP))
-    out = lines.select(*[F.col(k) for k in keep], F.col("value"), kind.alias("kind"),
-                       F.size(arr).alias("_n"))
-    return out.where(F.col("_n") > 1).drop("_n")
+    arr = lines.select(*[F.col(k) for k in keep], F.col("value"), _fields(F.col("value")).alias("_arr"))
+    kind = F.when(F.length(F.col("_arr").getItem(0)) == COOKIE_LENGTH, F.lit(TAG_CONV)).otherwise(F.lit(TAG_IMP))
+    return (arr.where(F.size("_arr") > 1)
+               .select(*[F.col(k) for k in keep], F.col("value"), kind.alias("kind")))
 
 
 def to_lines(df: DataFrame, fields, keep=()) -> DataFrame:
