@@ -16,14 +16,14 @@ from pixelflow.sources.intermediate import parse_intermediate
 
 
 def _rate_groups(spark) -> DataFrame:
-    return spark.createDataFrame([(g,) for g in RATE_HOUR_GROUPS], "hour_group string")
+    return spark.createDataFrame([(g,) for g in RATE_HOUR_GROUPS], "hour_group string not null")
 
 
 def _groups_with(side: DataFrame, value: str) -> DataFrame:
     """Hour groups 1..4 that have rows on ``side``: at most four rows (semi
     join with the four-row group table), so safe to broadcast."""
     present = side.where(F.col(value).isNotNull()).select("hour_group").distinct()
-    return F.broadcast(present.join(_rate_groups(side.sparkSession), "hour_group", "left_semi"))
+    return F.broadcast(present.join(F.broadcast(_rate_groups(side.sparkSession)), "hour_group", "left_semi"))
 
 
 def agg_rate(imp_agg: DataFrame, conv_agg: DataFrame) -> DataFrame:

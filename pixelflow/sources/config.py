@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 # Largest configuration string (bytes) that is parsed locally and broadcast.
 MAX_BROADCAST_SPEC_BYTES = 16 * 1024 * 1024
 
-PM_SCHEMA = "ord int, pixel string, campaign_id string, category string"
+PM_SCHEMA = "ord int not null, pixel string not null, campaign_id string not null, category string not null"
 
 
 def spec_size_ok(spec: str | None, limit: int = MAX_BROADCAST_SPEC_BYTES) -> bool:
@@ -61,7 +61,7 @@ def adgroup_table(spark: SparkSession, spec: str | None) -> DataFrame:
     """Distinct ``adgroup_id`` of the two-part entries."""
     if spec_size_ok(spec):
         ids = sorted({p[1] for _, p in _parts(spec) if len(p) == 2})
-        return spark.createDataFrame([(i,) for i in ids], "adgroup_id string")
+        return spark.createDataFrame([(i,) for i in ids], "adgroup_id string not null")
     p = _spec_parts_df(spark, spec)
     return p.where(F.size("p") == 2).select(F.col("p")[1].alias("adgroup_id")).distinct()
 
@@ -94,12 +94,12 @@ def pixel_lookups(spark: SparkSession, spec: str | None) -> PixelLookups:
         mk = spark.createDataFrame
         return PixelLookups(
             entries=pm,
-            category=mk(sorted(last.items()), "campaign_id string, category string"),
+            category=mk(sorted(last.items()), "campaign_id string not null, category string not null"),
             weights=mk([(px, cat, 1.0 / count[px]) for _, px, _, cat in rows],
-                       "pixel string, category string, weight double"),
-            pairs=mk(sorted({(px, camp) for _, px, camp, _ in rows}), "pixel string, campaign_id string"),
-            pixels=mk(sorted({(px,) for _, px, _, _ in rows}), "pixel string"),
-            campaigns=mk(sorted({(camp,) for _, _, camp, _ in rows}), "campaign_id string"),
+                       "pixel string not null, category string not null, weight double not null"),
+            pairs=mk(sorted({(px, camp) for _, px, camp, _ in rows}), "pixel string not null, campaign_id string not null"),
+            pixels=mk(sorted({(px,) for _, px, _, _ in rows}), "pixel string not null"),
+            campaigns=mk(sorted({(camp,) for _, _, camp, _ in rows}), "campaign_id string not null"),
             small=True)
     n = F.count(F.lit(1)).over(Window.partitionBy("pixel"))
     return PixelLookups(
