@@ -378,6 +378,18 @@ def statements() -> dict[str, str]:
             f"CAST(sum(click) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS ctr FROM (SELECT {ctr_cols} FROM imp WHERE @WHERE@) "
             f"GROUP BY hour_group, state, view, vertical, campaign")
     s["ctr_leaves"] = P + "x AS (SELECT 1)\n" + body.replace("@WHERE@", ctr_where + " AND adgroup_id IN (SELECT adgroup_id FROM adg)")
+    ctrlog = (f"ctrlog AS (SELECT {_fields('t', LOG_FIELDS[:CTR_FIELD_COUNT])} FROM "
+              f"(SELECT {tok} AS t FROM imp_lines))\n")
+    s["ctr_leaves_text"] = P + ctrlog + body.replace("FROM imp WHERE", "FROM ctrlog WHERE").replace(
+        "@WHERE@", ctr_where + " AND adgroup_id IN (SELECT adgroup_id FROM adg)")
+    s["agg_rate_text"] = (P + _intermediate() +
+        ", hg AS (SELECT key, tag, value, split_part(key, chr(9), 1) AS hour_group FROM tg),\n"
+        "good AS (SELECT hour_group FROM hg WHERE tag = 'IMP' AND hour_group IN ('1','2','3','4') "
+        "INTERSECT SELECT hour_group FROM hg WHERE tag = 'CONV' AND hour_group IN ('1','2','3','4')),\n"
+        "pv AS (SELECT key, COALESCE(sum(CASE WHEN tag = 'IMP' THEN value END), 0.0) AS imp, "
+        "COALESCE(sum(CASE WHEN tag = 'CONV' THEN value END), 0.0) AS conv FROM hg "
+        "WHERE hour_group IN (SELECT hour_group FROM good) GROUP BY key)\n"
+        "SELECT key, imp, conv, round((conv + 1.0) / (imp + 1000.0), 8) AS rate FROM pv WHERE imp > 0")
     s["ctr_leaves_all"] = P + "x AS (SELECT 1)\n" + body.replace("@WHERE@", ctr_where)
     return s
 

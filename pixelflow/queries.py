@@ -18,8 +18,8 @@ from pixelflow.operators import aggregates as agg
 from pixelflow.operators import filters as flt
 from pixelflow.operators import joins as jn
 from pixelflow.operators import sequence as seq
-from pixelflow.plans import (agg_rate, collect_conversions, collect_impressions,
-                             ctr_leaves, sequence_labels)
+from pixelflow.plans import (agg_rate, agg_rate_from_lines, collect_conversions,
+                             collect_impressions, ctr_leaves, sequence_labels)
 from pixelflow.plans.ctr import ctr_dims as _ctr_dims
 from pixelflow.session import shared_dir
 from pixelflow.sources import fixtures as fx
@@ -303,6 +303,19 @@ def q_ctr_leaves(spark, d):
     return ctr_leaves(spark, _imp(spark, d), ADG)
 
 
+def q_ctr_leaves_text(spark, d):
+    """CTR job on the text log read in token mode (empty fields shift columns)."""
+    lines = fx.impression_lines(_ev(spark, d))
+    return ctr_leaves(spark, logs.parse_ctr_log(lines), ADG)
+
+
+def q_agg_rate_text(spark, d):
+    """Rate job on the text intermediates of both collect jobs."""
+    txt = _intermediate_lines(spark, d)
+    return agg_rate_from_lines(txt.where(F.col("value").contains("\tIMP\t")),
+                               txt.where(F.col("value").contains("\tCONV\t")))
+
+
 def q_ctr_leaves_all(spark, d):
     return ctr_leaves(spark, _imp(spark, d), "")
 

@@ -20,7 +20,8 @@ MAX_BROADCAST_SPEC_BYTES = 16 * 1024 * 1024
 PM_SCHEMA = "ord int not null, pixel string not null, campaign_id string not null, category string not null"
 
 
-def spec_size_ok(spec: str | None, limit: int = MAX_BROADCAST_SPEC_BYTES) -> bool:
+def spec_size_ok(spec: str | None, limit: int | None = None) -> bool:
+    limit = MAX_BROADCAST_SPEC_BYTES if limit is None else limit
     return spec is not None and len(spec.encode("utf-8")) <= limit
 
 
