@@ -11,6 +11,7 @@ from pixelflow.functions.hours import hour_group_conversions
 from pixelflow.functions.text import clean_browser, clean_os, payload_extract
 from pixelflow.functions.useragent import classify_browser, classify_os
 from pixelflow.operators.aggregates import CONV_DIMS, sum_by
+from pixelflow.operators.filters import filter_known_pixels
 from pixelflow.operators.joins import fan_out
 from pixelflow.sources.config import PixelLookups, pixel_lookups
 
@@ -18,19 +19,21 @@ from pixelflow.sources.config import PixelLookups, pixel_lookups
 def conversion_dims(conv: DataFrame, lk: PixelLookups) -> DataFrame:
     """Per (conversion, map entry): the five dimensions and ``weight``.
 
-    ``conv`` has ``cookie`` and ``payload`` (first payload of the line)."""
+    ``conv`` has ``cookie`` and ``payload`` (first payload of the line).
+    Order of work: broadcast semi join on the pixel (unknown pixels leave
+    before any regex work), the payload dimensions once per conversion,
+    then the broadcast fan-out join, which only copies computed values."""
     df = conv.where((F.coalesce(F.col("cookie"), F.lit("")) != "")
                     & (F.coalesce(F.col("payload"), F.lit("")) != ""))
-    df = df.withColumn("_pix", F.regexp_extract("payload", RE_CMPN, 1))
-    # broadcast fan-out join first: unknown pixels leave before the regex work
-    df = fan_out(df, lk, key="_pix")
+    df = filter_known_pixels(df, lk)
     ua = payload_extract("payload", RE_BRWSOS)
-    return df.select(
+    dims = df.select(
+        F.regexp_extract("payload", RE_CMPN, 1).alias("_pix"),
         hour_group_conversions("payload").alias("hour_group"),
         payload_extract("payload", RE_STATE).alias("state"),
         clean_os(classify_os(ua)).alias("os"),
-        clean_browser(classify_browser(ua)).alias("browser"),
-        F.col("category"), F.col("weight"))
+        clean_browser(classify_browser(ua)).alias("browser"))
+    return fan_out(dims, lk, key="_pix").select("hour_group", "state", "os", "browser", "category", "weight")
 
 
 def collect_conversions(spark: SparkSession, conv: DataFrame, pixels: str) -> DataFrame:

@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, functions as F
 from pixelflow.constants import RATE_HOUR_GROUPS, TAG_IMP, TAG_CONV
 from pixelflow.functions.scalars import smoothed_rate
 from pixelflow.operators.aggregates import CONV_DIMS, tag_pivot
+from pixelflow.sources.config import local_table
 from pixelflow.sources.intermediate import parse_intermediate
 
 
 def _rate_groups(spark) -> DataFrame:
-    return spark.createDataFrame([(g,) for g in RATE_HOUR_GROUPS], "hour_group string not null")
+    return local_table(spark, [(g,) for g in RATE_HOUR_GROUPS], "hour_group string not null")
 
 
 def _groups_with(side: DataFrame, value: str) -> DataFrame:

@@ -20,6 +20,30 @@ MAX_BROADCAST_SPEC_BYTES = 16 * 1024 * 1024
 PM_SCHEMA = "ord int not null, pixel string not null, campaign_id string not null, category string not null"
 
 
+_ARROW = "spark.sql.execution.arrow.pyspark.enabled"
+
+
+def local_table(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """A small driver-side table as a local relation (planned without a Spark
+    job and with exact size statistics), via an Arrow batch."""
+    import pandas as pd
+    from pyspark.sql.types import StructType
+
+    st = StructType.fromDDL(schema)
+    pdf = pd.DataFrame(list(rows), columns=st.names)
+    prev = spark.conf.get(_ARROW, None)
+    spark.conf.set(_ARROW, "true")
+    try:
+        return spark.createDataFrame(pdf, st)
+    except Exception:  # Arrow unavailable: plain driver-side rows
+        return spark.createDataFrame(list(map(tuple, pdf.itertuples(index=False))), st)
+    finally:
+        if prev is None:
+            spark.conf.unset(_ARROW)
+        else:
+            spark.conf.set(_ARROW, prev)
+
+
 def spec_size_ok(spec: str | None, limit: int | None = None) -> bool:
     limit = MAX_BROADCAST_SPEC_BYTES if limit is None else limit
     return spec is not None and len(spec.encode("utf-8")) <= limit
@@ -51,7 +75,7 @@ def pixel_map(spark: SparkSession, spec: str | None) -> DataFrame:
     parts are ignored; duplicates are kept."""
     if spec_size_ok(spec):
         rows = [(o, p[0], p[1], p[2]) for o, p in _parts(spec) if len(p) == 3]
-        return spark.createDataFrame(rows, PM_SCHEMA)
+        return local_table(spark, rows, PM_SCHEMA)
     p = _spec_parts_df(spark, spec)
     return (p.where(F.size("p") == 3)
              .select(F.col("ord").cast("int").alias("ord"), F.col("p")[0].alias("pixel"),
@@ -62,7 +86,7 @@ def adgroup_table(spark: SparkSession, spec: str | None) -> DataFrame:
     """Distinct ``adgroup_id`` of the two-part entries."""
     if spec_size_ok(spec):
         ids = sorted({p[1] for _, p in _parts(spec) if len(p) == 2})
-        return spark.createDataFrame([(i,) for i in ids], "adgroup_id string not null")
+        return local_table(spark, [(i,) for i in ids], "adgroup_id string not null")
     p = _spec_parts_df(spark, spec)
     return p.where(F.size("p") == 2).select(F.col("p")[1].alias("adgroup_id")).distinct()
 
@@ -92,7 +116,8 @@ def pixel_lookups(spark: SparkSession, spec: str | None) -> PixelLookups:
         for o, px, camp, cat in rows:
             last[camp] = cat
             count[px] = count.get(px, 0) + 1
-        mk = spark.createDataFrame
+        def mk(data, schema):
+            return local_table(spark, data, schema)
         return PixelLookups(
             entries=pm,
             category=mk(sorted(last.items()), "campaign_id string not null, category string not null"),

@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The original system is five finite batch jobs over dated hourly folders;
+it has no stream source, watermark, window state or late-data rule, so no
+streaming operator is built.  Hourly batches are covered by
+:func:`pixelflow.sources.logs.scan_hour_range` (partition-pruned folder
+ranges); each job is one lazy DataFrame plan that can be rerun per hour or
+day range.
+"""
