@@ -113,22 +113,31 @@ def scan_hour_range(spark: SparkSession, root: str, start: str, days: int = 1,
                     layout: str = "partitioned", partition_col: str = "dthr") -> DataFrame:
     """Text lines of ``days`` days of hourly folders from ``start``.
 
-    ``layout="partitioned"``: ``<root>/<partition_col>=yyyyMMddHH/...``; the
-    range is a filter on the partition column, so Spark prunes folders at
-    planning time.  ``layout="dirs"``: ``<root>/<yyyyMMddHH>/...``; one glob
+    ``layout="partitioned"``: ``<root>/<partition_col>=yyyyMMddHH/...``; only
+    the requested hour folders are listed (glob under ``basePath``), and the
+    range is also a filter on the partition column.  ``layout="dirs"``: ``<root>/<yyyyMMddHH>/...``; one glob
     over the hour keys, missing hours are skipped.
     """
     keys = hour_keys(start, days)
+    base = root.rstrip("/")
     if layout == "partitioned":
-        df = spark.read.text(root)
+        # list only the requested hour folders (a glob under basePath) instead
+        # of every partition under the root, then keep the partition filter
         if not keys:
-            return df.where(F.lit(False))
+            return spark.createDataFrame([], f"value string, {partition_col} string")
+        glob = f"{base}/{partition_col}={{{','.join(keys)}}}"
+        try:
+            df = spark.read.option("basePath", base).text(glob)
+        except Exception as e:  # none of the hours exists
+            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+                return spark.createDataFrame([], f"value string, {partition_col} string")
+            raise
         return df.where(F.col(partition_col).cast("string").between(keys[0], keys[-1]))
     if layout != "dirs":
         raise ValueError(f"unknown layout {layout!r}")
     if not keys:
         return spark.createDataFrame([], "value string")
-    glob = f"{root.rstrip('/')}/{{{','.join(keys)}}}"
+    glob = f"{base}/{{{','.join(keys)}}}"
     try:
         return spark.read.text(glob)
     except Exception as e:  # no hour folder exists at all

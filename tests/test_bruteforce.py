@@ -1,0 +1,141 @@
+"""Spark jobs and functions against plain-Python models on random inputs."""
+
+import datetime as dt
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from conftest import conv_frame, imp_frame
+from pixelflow import functions as pf
+from pixelflow.plans import sequence_labels
+from pixelflow.sources import fixtures as fx
+
+PIX = fx.PIXEL_SPEC
+ENTRIES = [e.split("|") for e in PIX.split(",")]
+PAIRS = {(p, c) for p, c, _ in ENTRIES}
+PIXELS = {p for p, _, _ in ENTRIES}
+CATEGORY = {c: cat for _, c, cat in ENTRIES}          # later entries overwrite: last wins
+DAY0 = 1704067200000
+
+
+def m_norm(v):
+    return "-" if v is None or v.lower() in ("", "unknown", "null") else v
+
+
+def m_fmt(v):
+    if not re.fullmatch(r"[+-]?[0-9]+", v or ""):
+        return ""
+    t = dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=int(v))
+    return t.strftime("%Y%m%d %H:%M:%S")
+
+
+def m_geo_state(v):
+    parts = v.rstrip("|").split("|") if v.rstrip("|") else [""]
+    return m_norm(parts[0] if len(parts) >= 3 else "")
+
+
+def m_group(p, pat):
+    m = re.search(pat, p)
+    return m.group(1) if m else ""
+
+
+def model_sequence(imps, convs):
+    line = {}
+
+    def put(cookie, date, prio, rec):
+        cur = line.setdefault(cookie, {}).get(date)
+        if cur is None or prio > cur[0]:
+            line[cookie][date] = (prio, rec)
+
+    for r in imps:
+        camp, cookie = m_norm(r["campaign_id"]), r["cookie"]
+        if camp not in CATEGORY or m_norm(cookie) == "-":
+            continue
+        date = m_fmt(m_norm(r["timestamp"]))
+        hour = m_group(date, r"\s(\d\d?):.+?")
+        dims = (hour, m_geo_state(m_norm(r["geo_location"])),
+                re.sub(r"\s|(\(.+?\))|\.[a-zA-Z0-9]+?", "", m_norm(r["os"])),
+                re.sub(r"[^a-zA-Z]", "", m_norm(r["browser"])), m_norm(CATEGORY[camp]))
+        put(cookie, date, (0, r["event_id"], 0), ("I", camp, dims))
+    for eid, cookie, payloads in convs:
+        kept = [(i, p) for i, p in enumerate(payloads) if m_group(p, r'"cmpn":"(\w+?)"') in PIXELS]
+        if not kept:
+            continue
+        put(cookie, "-", (1, eid, 0), ("C", "-"))
+        for i, p in kept:
+            put(cookie, m_norm(m_group(p, r'"date":"(.+?)"')), (1, eid, i + 1),
+                ("C", m_group(p, r'"cmpn":"(\w+?)"')))
+    out = []
+    for cookie, m in line.items():
+        keys = sorted(m)
+        for j, k in enumerate(keys):
+            rec = m[k][1]
+            if rec[0] != "I":
+                continue
+            nxt = m[keys[j + 1]][1] if j + 1 < len(keys) else None
+            label = int(nxt is not None and nxt[0] == "C" and (nxt[1], rec[1]) in PAIRS)
+            out.append((cookie,) + rec[2] + (label,))
+    return sorted(out)
+
+
+def random_logs(rng, n_imp=120, n_conv=60):
+    cookies = [(c * 32)[:32] for c in "abcd"] + ["-"]
+    secs = [rng.randrange(0, 6 * 3600) for _ in range(25)]           # few seconds -> collisions
+    imps = []
+    for i in range(n_imp):
+        s = rng.choice(secs)
+        ts = rng.choice([str(DAY0 + s * 1000 + rng.randrange(1000))] * 8 + ["null", "x1", ""])
+        imps.append(dict(event_id=i, cookie=rng.choice(cookies), campaign_id=f"c{rng.randrange(8)}",
+                         timestamp=ts, geo_location=rng.choice(["CA|US|807", "WA", "|US|1", "unknown|x|y"]),
+                         os=rng.choice(["Windows 8.1", "null", "iOS 8 (iPhone)"]),
+                         browser=rng.choice(["Chrome 38", "unknown", "Safari"])))
+    convs = []
+    for i in range(n_conv):
+        pls = []
+        for _ in range(rng.randrange(1, 4)):
+            s = rng.choice(secs)
+            d = (dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)).strftime("%Y%m%d %H:%M:%S")
+            date = f',"date":"{d}"' if rng.random() > 0.1 else ""
+            pls.append(f'{{"cmpn":"p{rng.randrange(6)}"{date}}}')
+        convs.append((1000 + i, rng.choice(cookies[:4]), pls))
+    return imps, convs
+
+
+def test_sequence_labels_match_model(spark):
+    for seed in (1, 2, 3):
+        imps, convs = random_logs(random.Random(seed))
+        out = sequence_labels(spark, imp_frame(spark, imps), conv_frame(spark, convs), PIX)
+        got = sorted(tuple(r) for r in out.collect())
+        assert got == model_sequence(imps, convs), f"seed {seed}"
+
+
+def m_argmax(v):
+    best, top = "", 0.0
+    for e in [x for x in (v or "").split("|") if x]:
+        p = e.rstrip(",").split(",") if e.rstrip(",") else [""]
+        if len(p) != 2:
+            continue
+        try:
+            w = float(p[1])
+        except ValueError:
+            continue
+        if w == w and w >= top:
+            best, top = p[0], w
+    return best
+
+
+def test_list_geo_marker_epoch_functions_match_models(spark):
+    rng = random.Random(7)
+    tok = ["a", "b", "", "0.5", "1", "-1", "x", "0", "2.5", "1e1"]
+    lists = ["|".join(",".join(rng.choice(tok) for _ in range(rng.randrange(1, 4)))
+                      for _ in range(rng.randrange(0, 5))) for _ in range(300)]
+    geos = ["|".join(rng.choice(["", "CA", "null", "US", "7"]) for _ in range(rng.randrange(1, 5)))
+            for _ in range(300)]
+    marks = [rng.choice(["", "NULL", "Unknown", "x", "nul", "unknownx", "-"]) for _ in range(300)]
+    nums = [rng.choice([str(rng.randrange(-10**13, 10**13)), "+12", "1.5", "", "abc"]) for _ in range(300)]
+    df = spark.createDataFrame(list(zip(lists, geos, marks, nums)), "l string, g string, m string, n string")
+    got = df.select(pf.weighted_argmax("l"), pf.geo_state(pf.norm_marker("g")), pf.norm_marker("m"),
+                    pf.format_epoch_ms("n")).collect()
+    for (l, g, m, n), r in zip(zip(lists, geos, marks, nums), got):
+        assert tuple(r) == (m_argmax(l), m_geo_state(m_norm(g)), m_norm(m), m_fmt(n)), (l, g, m, n)

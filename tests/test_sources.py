@@ -94,6 +94,7 @@ def test_scan_hour_range_partitioned(spark):
     assert sorted(r.value for r in got.collect()) == ["line-2024010200-0", "line-2024010200-1",
                                                        "line-2024010223-0", "line-2024010223-1"]
     assert "PartitionFilters: [isnotnull(dthr" in got._jdf.queryExecution().executedPlan().toString()
+    assert logs.scan_hour_range(spark, root, "20250101", 1).count() == 0
 
 
 def test_scan_hour_range_plain_dirs(spark):
