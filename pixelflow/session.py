@@ -9,12 +9,26 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings for a large cluster (hundreds of executors, tens of TB per run):
+# many initial shuffle partitions that AQE coalesces to ~256 MiB each, the
+# same target for scan splits, and AQE skew handling.  Applied by
+# get_session(master=None) unless the submitter already set a key.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def get_session(master: str | None = None, app: str = "pixelflow",
                 shuffle_partitions: int | None = None) -> SparkSession:
     """Build (or reuse) a session configured for these jobs.
 
     On a cluster, pass ``master=None`` and let spark-submit decide; the
-    shuffle partition count is then left to the cluster defaults and AQE.
+    :data:`CLUSTER_CONF` defaults are then applied where not already set.
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -28,6 +42,12 @@ def get_session(master: str | None = None, app: str = "pixelflow",
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
+    if not master:
+        for k, v in CLUSTER_CONF.items():
+            if k == "spark.sql.shuffle.partitions" and shuffle_partitions:
+                continue
+            if spark.sparkContext.getConf().get(k) is None:
+                spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
