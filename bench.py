@@ -21,7 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from pixelflow.plans import (agg_rate, collect_conversions, collect_impressions,  # noqa: E402
-                             ctr_leaves, sequence_labels)
+                             ctr_leaves, sequence_labels, sequence_labels_mixed)
 from pixelflow.session import get_session, shared_dir  # noqa: E402
 from pixelflow.sources import fixtures as fx, logs  # noqa: E402
 
@@ -34,6 +34,8 @@ def jobs(spark, p):
     seq = lambda: sequence_labels(
         spark, logs.parse_impressions_fields(spark.read.text(p["imp_lines"])),
         logs.parse_retarg_all(spark.read.text(p["conv_lines"])), PIX, tie_col=None)
+    seq_mixed = lambda: sequence_labels_mixed(
+        spark, spark.read.text([p["imp_lines"], p["conv_lines"]]), PIX)
     mixed = lambda: logs.route_mixed(
         spark.read.text([p["imp_lines"], p["conv_lines"]])).groupBy("kind").count()
     return {
@@ -42,6 +44,7 @@ def jobs(spark, p):
         "agg_rate": lambda: agg_rate(collect_impressions(spark, imp(), PIX),
                                      collect_conversions(spark, conv(), PIX)),
         "seq_label": seq,
+        "seq_label_mixed": seq_mixed,
         "ctr_leaves": lambda: ctr_leaves(spark, imp(), ADG),
         "ctr_leaves_text": lambda: ctr_leaves(spark, logs.parse_ctr_log(spark.read.text(p["imp_lines"])), ADG),
         "route_mixed": mixed,

@@ -117,3 +117,59 @@ def label_next(deduped: DataFrame, lk: PixelLookups) -> DataFrame:
     j = imps.join(maybe_broadcast(pairs, lk.small), cond, "left")
     label = F.when((F.col("_next_conv") == 1) & F.col("_hit").isNotNull(), F.lit(1)).otherwise(F.lit(0))
     return j.select("cookie", "hour", "state", "os", "browser", "category", label.alias("label"))
+
+
+def seq_events_mixed(lines: DataFrame, lk: PixelLookups, tie_col: str | None = None) -> DataFrame:
+    """Timeline rows from a mixed input (both logs in the same files) in a
+    single scan: each line is split once, routed by its first field (32
+    characters = retargeting line), and turned into its candidate timeline
+    rows in one projection; two broadcast lookups then keep mapped
+    campaigns / pixels.  Same rows as :func:`seq_events` on the separated
+    logs."""
+    from pixelflow.constants import COOKIE_LENGTH, LOG_FIELDS
+
+    idx = {f: i for i, f in enumerate(LOG_FIELDS)}
+    tie = F.col(tie_col).cast("bigint") if tie_col else F.xxhash64("value")
+    base = lines.select(F.split(F.regexp_replace("value", "\t+$", ""), "\t").alias("_a"), tie.alias("tie"))
+    base = base.where(F.size("_a") > 1)
+    a = F.col("_a")
+
+    def fld(name):
+        return F.try_element_at(a, F.lit(idx[name] + 1))
+
+    is_conv_line = F.length(a.getItem(0)) == COOKIE_LENGTH
+    null = F.lit(None).cast("string")
+    date = format_epoch_ms(norm_marker(fld("timestamp")))
+    imp_row = F.struct(
+        F.lit(0).alias("is_conv"), F.lit(0).alias("ord"), fld("cookie").alias("cookie"), date.alias("event_date"),
+        null.alias("pixel"), norm_marker(fld("campaign_id")).alias("campaign_id"),
+        F.regexp_extract(date, RE_SEQ_HOUR, 1).alias("hour"),
+        geo_state(norm_marker(fld("geo_location"))).alias("state"),
+        F.when(fld("os").isNull(), F.lit("")).otherwise(clean_os(norm_marker(fld("os")), False)).alias("os"),
+        F.when(fld("browser").isNull(), F.lit("")).otherwise(clean_browser(norm_marker(fld("browser")), False)).alias("browser"),
+        null.alias("check"))
+    ok_imp = fld("campaign_id").isNotNull() & fld("cookie").isNotNull() & fld("timestamp").isNotNull()
+
+    def conv_rows(p, i):
+        pix = F.regexp_extract(p, RE_CMPN, 1)
+        def row(d, o, px):
+            return F.struct(F.lit(1).alias("is_conv"), o.alias("ord"), a.getItem(0).alias("cookie"),
+                            d.alias("event_date"), px.alias("pixel"), null.alias("campaign_id"),
+                            null.alias("hour"), null.alias("state"), null.alias("os"), null.alias("browser"),
+                            pix.alias("check"))
+        return F.array(row(F.lit(MISSING), F.lit(0), F.lit(MISSING)),
+                       row(payload_extract(p, RE_DATE), i + 1, payload_extract(p, RE_CMPN)))
+
+    payloads = F.slice(a, 2, F.size(a) - 1)
+    rows = (F.when(is_conv_line, F.flatten(F.transform(payloads, conv_rows)))
+             .when(ok_imp, F.array(imp_row)))
+    ex = base.select("tie", F.explode(rows).alias("r")).select("tie", "r.*")
+    cat = lk.category.withColumnRenamed("campaign_id", "_lk_campaign")
+    known = lk.pixels.withColumnRenamed("pixel", "_known")
+    ex = (ex.join(maybe_broadcast(cat, lk.small), F.col("campaign_id") == F.col("_lk_campaign"), "left")
+            .join(maybe_broadcast(known, lk.small), F.col("check") == F.col("_known"), "left"))
+    keep = (((F.col("is_conv") == 0) & F.col("_lk_campaign").isNotNull() & (norm_marker("cookie") != MISSING))
+            | ((F.col("is_conv") == 1) & F.col("_known").isNotNull()))
+    return ex.where(keep).select(
+        "cookie", "event_date", "is_conv", "tie", "ord", "pixel", "campaign_id", "hour", "state", "os",
+        "browser", F.when(F.col("is_conv") == 0, norm_marker("category")).alias("category"))

@@ -19,7 +19,7 @@ from pixelflow.operators import filters as flt
 from pixelflow.operators import joins as jn
 from pixelflow.operators import sequence as seq
 from pixelflow.plans import (agg_rate, agg_rate_from_lines, collect_conversions,
-                             collect_impressions, ctr_leaves, sequence_labels)
+                             collect_impressions, ctr_leaves, sequence_labels, sequence_labels_mixed)
 from pixelflow.plans.ctr import ctr_dims as _ctr_dims
 from pixelflow.session import shared_dir
 from pixelflow.sources import fixtures as fx
@@ -275,6 +275,11 @@ def q_seq_dedup(spark, d):
     return seq.dedup_last_wins(tl, key=("cookie", "event_hour"))
 
 
+def q_seq_label_mixed(spark, d):
+    """Sequence job on one mixed input (both logs unioned as text), one scan."""
+    return sequence_labels_mixed(spark, _mixed_lines(spark, d), PIX, tie_col="event_id")
+
+
 def q_seq_label(spark, d):
     imp, conv = _seq_inputs(spark, d)
     return sequence_labels(spark, imp, conv, PIX)

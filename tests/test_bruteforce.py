@@ -139,3 +139,25 @@ def test_list_geo_marker_epoch_functions_match_models(spark):
                     pf.format_epoch_ms("n")).collect()
     for (l, g, m, n), r in zip(zip(lists, geos, marks, nums), got):
         assert tuple(r) == (m_argmax(l), m_geo_state(m_norm(g)), m_norm(m), m_fmt(n)), (l, g, m, n)
+
+
+def _lines(imps, convs):
+    from pixelflow.constants import LOG_FIELDS
+    out = []
+    for r in imps:
+        vals = [r.get(f) or "" for f in LOG_FIELDS]
+        out.append((r["event_id"], "\t".join(vals)))
+    for eid, cookie, pls in convs:
+        out.append((eid, "\t".join([cookie] + pls)))
+    return out
+
+
+def test_mixed_input_sequence_matches_model(spark):
+    from pixelflow.plans import sequence_labels_mixed
+    for seed in (4, 5):
+        imps, convs = random_logs(random.Random(seed))
+        # the model reads absent fields as empty text, as a text line carries them
+        imps = [dict(r, **{k: (v if v is not None else "") for k, v in r.items()}) for r in imps]
+        df = spark.createDataFrame(_lines(imps, convs), "event_id bigint, value string")
+        got = sorted(tuple(r) for r in sequence_labels_mixed(spark, df, PIX, tie_col="event_id").collect())
+        assert got == model_sequence(imps, convs), f"seed {seed}"

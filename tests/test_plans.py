@@ -67,3 +67,15 @@ def test_scan_prunes_columns(spark):
     p = plan(ctr_leaves(spark, fx.impressions(ev), fx.ADGROUP_SPEC))
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,props:string>" in p
     assert "PushedFilters: [In(event_type" in p
+
+
+def test_mixed_sequence_scans_input_once(spark):
+    from pixelflow.plans import sequence_labels_mixed
+    from pixelflow.session import shared_dir
+    out = shared_dir(spark, "mixed")
+    ev = fx.read_events(spark, SF)
+    fx.impression_lines(ev).select("value").unionByName(fx.conversion_lines(ev).select("value")) \
+        .write.text(out)
+    p = plan(sequence_labels_mixed(spark, spark.read.text(out), PIX))
+    assert p.count("FileScan text") == 1
+    assert "EvalPython" not in p
