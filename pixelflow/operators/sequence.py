@@ -26,11 +26,14 @@ TIMELINE_COLS = ("cookie", "event_date", "is_conv", "tie", "ord", "pixel",
                  "campaign_id", "hour", "state", "os", "browser", "category")
 
 
-def _tie(df: DataFrame, tie_col: str | None):
+def _tie(df: DataFrame, tie_col: str | None, fields):
+    """Order key for same-cookie same-second rows: ``tie_col`` when given,
+    else a hash of the fields the job reads.  Rows with equal hashes then
+    carry identical output values, so either winner gives the same result;
+    unlike ``monotonically_increasing_id`` it is stable under recomputation."""
     if tie_col and tie_col in df.columns:
         return F.col(tie_col).cast("bigint")
-    # deterministic under recomputation (unlike monotonically_increasing_id)
-    return F.xxhash64(*[F.col(c) for c in df.columns])
+    return F.xxhash64(*[F.col(c) for c in fields])
 
 
 def timeline_impressions(imp: DataFrame, lk: PixelLookups,
@@ -39,7 +42,8 @@ def timeline_impressions(imp: DataFrame, lk: PixelLookups,
     timestamp field.  Date = formatted UTC timestamp (``''`` if unparsable)."""
     df = imp.where(F.col("campaign_id").isNotNull() & F.col("cookie").isNotNull()
                    & F.col("timestamp").isNotNull())
-    df = df.withColumn("_tie", _tie(df, tie_col)).withColumn("_camp", norm_marker("campaign_id"))
+    used = ("cookie", "timestamp", "campaign_id", "geo_location", "os", "browser")
+    df = df.withColumn("_tie", _tie(df, tie_col, used)).withColumn("_camp", norm_marker("campaign_id"))
     df = with_category(df, lk, key="_camp")
     df = df.where(norm_marker("cookie") != MISSING)
     date = format_epoch_ms(norm_marker("timestamp"))
@@ -64,7 +68,7 @@ def timeline_conversions(conv_all: DataFrame, lk: PixelLookups,
     date ``-`` with pixel ``-``; it is emitted next to every kept payload
     and the copies collapse in :func:`dedup_last_wins`.
     """
-    df = conv_all.withColumn("_tie", _tie(conv_all, tie_col))
+    df = conv_all.withColumn("_tie", _tie(conv_all, tie_col, ("cookie", "payloads")))
     ex = df.select("cookie", "_tie", F.posexplode("payloads").alias("_pos", "_p"))
     ex = ex.withColumn("_pix", F.regexp_extract("_p", RE_CMPN, 1))
     known = lk.pixels.withColumnRenamed("pixel", "_known")
