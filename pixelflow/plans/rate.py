@@ -55,3 +55,14 @@ def agg_rate_from_lines(imp_lines: DataFrame, conv_lines: DataFrame) -> DataFram
     tagged = imp.unionByName(conv).join(F.broadcast(both), "hour_group", "left_semi").drop("hour_group")
     piv = tag_pivot(tagged)
     return piv.where(F.col("imp") > 0).withColumn("rate", smoothed_rate("conv", "imp"))
+
+
+def agg_rate_from_folders(spark, imp_root: str, conv_root: str) -> DataFrame:
+    """The rate job on intermediates written by
+    :func:`pixelflow.sources.intermediate.write_intermediate`: only the hour
+    group folders 1..4 are read (partition pruning), groups need folders on
+    both sides; returns ``(key, imp, conv, rate)``."""
+    def side(root):
+        return (spark.read.text(root).where(F.col("hour_group").cast("string").isin(*RATE_HOUR_GROUPS))
+                     .select("value"))
+    return agg_rate_from_lines(side(imp_root), side(conv_root))

@@ -18,14 +18,14 @@ from pixelflow.operators import aggregates as agg
 from pixelflow.operators import filters as flt
 from pixelflow.operators import joins as jn
 from pixelflow.operators import sequence as seq
-from pixelflow.plans import (agg_rate, agg_rate_from_lines, collect_conversions,
+from pixelflow.plans import (agg_rate, agg_rate_from_folders, agg_rate_from_lines, collect_conversions,
                              collect_impressions, ctr_leaves, sequence_labels, sequence_labels_mixed)
 from pixelflow.plans.ctr import ctr_dims as _ctr_dims
 from pixelflow.session import shared_dir
 from pixelflow.sources import fixtures as fx
 from pixelflow.sources import logs, sinks
 from pixelflow.sources.config import adgroup_table, pixel_lookups, spec_size_ok
-from pixelflow.sources.intermediate import parse_intermediate, to_intermediate_lines
+from pixelflow.sources.intermediate import parse_intermediate, to_intermediate_lines, write_intermediate
 
 PIX = fx.PIXEL_SPEC
 ADG = fx.ADGROUP_SPEC
@@ -321,6 +321,15 @@ def q_agg_rate_text(spark, d):
                                txt.where(F.col("value").contains("\tCONV\t")))
 
 
+def q_agg_rate_files(spark, d):
+    """Collect jobs write tagged text per hour-group folder; the rate job
+    reads groups 1..4 back (partition pruning) and joins them."""
+    imp_root, conv_root = shared_dir(spark, "imp_groups"), shared_dir(spark, "conv_groups")
+    write_intermediate(collect_impressions(spark, _imp(spark, d), PIX), TAG_IMP, "imp", imp_root)
+    write_intermediate(_credit(collect_conversions(spark, _conv(spark, d), PIX)), TAG_CONV, "conv", conv_root)
+    return agg_rate_from_folders(spark, imp_root, conv_root)
+
+
 def q_ctr_leaves_all(spark, d):
     return ctr_leaves(spark, _imp(spark, d), "")
 

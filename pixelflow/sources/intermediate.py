@@ -11,10 +11,13 @@ from pixelflow.functions.scalars import join_slice
 DIMS = ("hour_group", "state", "os", "browser", "category")
 
 
+def _line(tag: str, value_col: str):
+    return F.concat_ws("\t", *[F.col(d) for d in DIMS], F.lit(tag), F.col(value_col).cast("string"))
+
+
 def to_intermediate_lines(agg: DataFrame, tag: str, value_col: str) -> DataFrame:
     """Aggregate rows -> tab lines with a tag column (``IMP`` or ``CONV``)."""
-    return agg.select(F.concat_ws("\t", *[F.col(d) for d in DIMS], F.lit(tag),
-                                  F.col(value_col).cast("string")).alias("value"))
+    return agg.select(_line(tag, value_col).alias("value"))
 
 
 def parse_intermediate(lines: DataFrame) -> DataFrame:
@@ -24,3 +27,12 @@ def parse_intermediate(lines: DataFrame) -> DataFrame:
     return (lines.select(arr.alias("a")).where(F.size("a") == 7)
                  .select(join_slice("a", 0, 4).alias("key"), F.col("a")[5].alias("tag"),
                          F.col("a")[6].try_cast("double").alias("value")))
+
+
+def write_intermediate(agg: DataFrame, tag: str, value_col: str, path: str) -> None:
+    """Write an aggregate as tagged 7-field text lines, one folder per hour
+    group (``<path>/hour_group=<g>/``); the line keeps the group as its first
+    field.  No folder is written for a group without rows; output replaced."""
+    lines = agg.select(F.col("hour_group").alias("_g"), _line(tag, value_col).alias("value"))
+    (lines.repartition("_g").withColumnRenamed("_g", "hour_group")
+          .write.mode("overwrite").partitionBy("hour_group").text(path))

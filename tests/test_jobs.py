@@ -146,3 +146,28 @@ def test_invariants_on_tables(spark):
     assert ctr.where((F.col("ctr") < 0) | (F.col("ctr") > 1)).count() == 0
     seq = sequence_labels(spark, imp_df, conv_df.select("event_id", "cookie", F.array("payload").alias("payloads")), PIX)
     assert seq.agg(F.sum("label")).first()[0] <= kept_conv
+
+
+def test_rate_from_group_folders(spark):
+    import os
+    from pixelflow.plans import agg_rate_from_folders
+    from pixelflow.session import shared_dir
+    from pixelflow.sources.intermediate import write_intermediate
+    dims = "hour_group string, state string, os string, browser string, category string"
+    ia = spark.createDataFrame([("1", "CA", "a", "b", "auto", 10), ("4", "CA", "a", "b", "auto", 5),
+                                ("-", "CA", "a", "b", "auto", 7)], dims + ", imp bigint")
+    ca = spark.createDataFrame([("1", "CA", "a", "b", "auto", 2.0), ("-", "CA", "a", "b", "auto", 1.0)],
+                               dims + ", conv double")
+    ir, cr = shared_dir(spark, "t-imp"), shared_dir(spark, "t-conv")
+    write_intermediate(ia, "IMP", "imp", ir)
+    write_intermediate(ca, "CONV", "conv", cr)
+    assert sorted(d for d in os.listdir(cr.replace("file:", "")) if d.startswith("hour_group")) == \
+        ["hour_group=-", "hour_group=1"]
+    out = agg_rate_from_folders(spark, ir, cr)
+    assert [tuple(r) for r in out.collect()] == [("1\tCA\ta\tb\tauto", 10.0, 2.0, round(3 / 1010, 8))]
+    import io
+    from contextlib import redirect_stdout
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        out.explain("formatted")
+    assert "PartitionFilters: [isnotnull(hour_group" in buf.getvalue()
