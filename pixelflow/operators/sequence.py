@@ -19,6 +19,7 @@ from pixelflow.functions.dates import format_epoch_ms
 from pixelflow.functions.geo import geo_state
 from pixelflow.functions.markers import norm_marker
 from pixelflow.functions.text import clean_browser, clean_os, payload_extract
+from pixelflow.operators.filters import require_cookie, require_timestamp
 from pixelflow.operators.joins import maybe_broadcast, with_category
 from pixelflow.sources.config import PixelLookups
 
@@ -40,12 +41,10 @@ def timeline_impressions(imp: DataFrame, lk: PixelLookups,
                          tie_col: str | None = "event_id") -> DataFrame:
     """Impression rows of the timeline: campaign in the map, a cookie, a
     timestamp field.  Date = formatted UTC timestamp (``''`` if unparsable)."""
-    df = imp.where(F.col("campaign_id").isNotNull() & F.col("cookie").isNotNull()
-                   & F.col("timestamp").isNotNull())
+    df = require_timestamp(require_cookie(imp.where(F.col("campaign_id").isNotNull())))
     used = ("cookie", "timestamp", "campaign_id", "geo_location", "os", "browser")
     df = df.withColumn("_tie", _tie(df, tie_col, used)).withColumn("_camp", norm_marker("campaign_id"))
     df = with_category(df, lk, key="_camp")
-    df = df.where(norm_marker("cookie") != MISSING)
     date = format_epoch_ms(norm_marker("timestamp"))
     return df.select(
         F.col("cookie"), date.alias("event_date"), F.lit(0).alias("is_conv"),
