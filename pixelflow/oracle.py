@@ -183,18 +183,18 @@ tl AS ({_timeline_body()}),
 """
 
 
-def _collect_impressions_body() -> str:
+def _collect_impressions_body(src: str = "imp") -> str:
     return f"""SELECT hour_group, state, os, browser, category, count(*) AS imp FROM (
   SELECT {hg_imp('i."timestamp"')} AS hour_group,
          {geo_state(norm('i.geo_location'))} AS state,
          CASE WHEN i.os IS NULL THEN '-' ELSE {clean_os(norm('i.os'))} END AS os,
          CASE WHEN i.browser IS NULL THEN '-' ELSE {clean_browser(norm('i.browser'))} END AS browser,
          {norm('c.category')} AS category
-  FROM imp i JOIN cat c ON c.campaign_id = {norm('i.campaign_id')}
+  FROM {src} i JOIN cat c ON c.campaign_id = {norm('i.campaign_id')}
   WHERE i.campaign_id IS NOT NULL) GROUP BY hour_group, state, os, browser, category"""
 
 
-def _collect_conversions_body() -> str:
+def _collect_conversions_body(src: str = "conv") -> str:
     ua = norm(ext("c.payload", RE_BRWSOS))
     return f"""SELECT hour_group, state, os, browser, category, sum(weight) AS conv FROM (
   SELECT {hg_conv('c.payload')} AS hour_group,
@@ -202,7 +202,7 @@ def _collect_conversions_body() -> str:
          {clean_os(classify(ua, OS_RULES))} AS os,
          {clean_browser(classify(ua, BROWSER_RULES))} AS browser,
          w.category, w.weight
-  FROM conv c JOIN pw w ON w.pixel = {ext('c.payload', RE_CMPN)}
+  FROM {src} c JOIN pw w ON w.pixel = {ext('c.payload', RE_CMPN)}
   WHERE COALESCE(c.cookie, '') <> '' AND COALESCE(c.payload, '') <> '')
   GROUP BY hour_group, state, os, browser, category"""
 
@@ -392,6 +392,13 @@ def statements() -> dict[str, str]:
         "WHERE hour_group IN (SELECT hour_group FROM good) GROUP BY key)\n"
         "SELECT key, imp, conv, round((conv + 1.0) / (imp + 1000.0), 8) AS rate FROM pv WHERE imp > 0")
     s["agg_rate_files"] = s["agg_rate_text"]
+    implog = (f"implog AS (SELECT {_fields('t', LOG_FIELDS)} FROM "
+              f"(SELECT {tok} AS t FROM imp_lines))\n")
+    s["collect_impressions_text"] = P + implog + _collect_impressions_body("implog")
+    convlog = (f"convlog AS (SELECT t[1] AS cookie, t[2] AS payload FROM (SELECT {tok} AS t FROM conv_lines) "
+               f"WHERE t[1] IS NOT NULL AND t[2] IS NOT NULL)\n")
+    s["collect_conversions_text"] = (P + convlog + "SELECT hour_group, state, os, browser, category, "
+                                     "round(conv, 6) AS conv FROM (" + _collect_conversions_body("convlog") + ")")
     s["ctr_leaves_all"] = P + "x AS (SELECT 1)\n" + body.replace("@WHERE@", ctr_where)
     return s
 

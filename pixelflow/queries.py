@@ -290,6 +290,17 @@ def q_collect_impressions(spark, d):
     return collect_impressions(spark, _imp(spark, d), PIX)
 
 
+def q_collect_impressions_text(spark, d):
+    """Impression job on the text log read in token mode (empty fields shift columns)."""
+    return collect_impressions(spark, logs.parse_impressions_tokens(fx.impression_lines(_ev(spark, d))), PIX)
+
+
+def q_collect_conversions_text(spark, d):
+    """Conversion job on the retargeting text log (first payload)."""
+    conv = logs.parse_retarg_first(fx.conversion_lines(_ev(spark, d)))
+    return _credit(collect_conversions(spark, conv, PIX))
+
+
 def q_collect_conversions(spark, d):
     return _credit(collect_conversions(spark, _conv(spark, d), PIX))
 
