@@ -2,17 +2,19 @@
 
 Both arrive as one comma-separated string (``pixel|campaign_id|category,...``
 and ``pixel|adgroup_id,...``), the job parameter the driver already holds.
-Within :data:`MAX_BROADCAST_SPEC_BYTES` the string is parsed on the driver
-into small local tables (no Spark job, broadcast to the tasks); beyond it
-the parse and the derived lookups run as Spark jobs and the joins are left
-to the planner (shuffle joins; AQE may still broadcast from measured sizes).
+The driver already holds the string, so it splits it into entries.  Within
+:data:`MAX_BROADCAST_SPEC_BYTES` the entries and the derived lookups become
+small local relations (no Spark job, broadcast to the tasks); beyond it the
+entries are spread over tasks, the lookups are derived by Spark and the
+joins are left to the planner (shuffle joins; AQE may still broadcast from
+measured sizes).  Maps kept as tables use :func:`lookups_from_entries`.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Largest configuration string (bytes) that is parsed locally and broadcast.
 MAX_BROADCAST_SPEC_BYTES = 16 * 1024 * 1024
@@ -64,31 +66,26 @@ def spec_entries(spec: str | None, arity: int) -> int:
     return sum(1 for _, p in _parts(spec) if len(p) == arity)
 
 
-def _spec_parts_df(spark: SparkSession, spec: str | None) -> DataFrame:
-    one = spark.range(1).select(F.lit(spec or "").alias("spec"))
-    ent = one.select(F.posexplode(F.filter(F.split("spec", ","), lambda x: x != "")).alias("ord", "e"))
-    return ent.select("ord", F.split(F.regexp_replace("e", r"\|+$", ""), r"\|").alias("p"))
+def _rows(spec: str | None, arity: int):
+    return [(o, *p) for o, p in _parts(spec) if len(p) == arity]
 
 
 def pixel_map(spark: SparkSession, spec: str | None) -> DataFrame:
     """``(ord, pixel, campaign_id, category)``; entries without exactly three
-    parts are ignored; duplicates are kept."""
+    parts are ignored; duplicates are kept.  Within the size limit a local
+    relation; beyond it the driver-held entries are spread over tasks."""
+    rows = _rows(spec, 3)
     if spec_size_ok(spec):
-        rows = [(o, p[0], p[1], p[2]) for o, p in _parts(spec) if len(p) == 3]
         return local_table(spark, rows, PM_SCHEMA)
-    p = _spec_parts_df(spark, spec)
-    return (p.where(F.size("p") == 3)
-             .select(F.col("ord").cast("int").alias("ord"), F.col("p")[0].alias("pixel"),
-                     F.col("p")[1].alias("campaign_id"), F.col("p")[2].alias("category")))
+    return spark.createDataFrame(rows, PM_SCHEMA)
 
 
 def adgroup_table(spark: SparkSession, spec: str | None) -> DataFrame:
     """Distinct ``adgroup_id`` of the two-part entries."""
+    ids = sorted({r[2] for r in _rows(spec, 2)})
     if spec_size_ok(spec):
-        ids = sorted({p[1] for _, p in _parts(spec) if len(p) == 2})
         return local_table(spark, [(i,) for i in ids], "adgroup_id string not null")
-    p = _spec_parts_df(spark, spec)
-    return p.where(F.size("p") == 2).select(F.col("p")[1].alias("adgroup_id")).distinct()
+    return spark.createDataFrame([(i,) for i in ids], "adgroup_id string not null")
 
 
 @dataclass
@@ -108,31 +105,42 @@ class PixelLookups:
     small: bool
 
 
-def pixel_lookups(spark: SparkSession, spec: str | None) -> PixelLookups:
-    pm = pixel_map(spark, spec)
-    if spec_size_ok(spec):
-        rows = [(o, p[0], p[1], p[2]) for o, p in _parts(spec) if len(p) == 3]
-        last, count = {}, {}
-        for o, px, camp, cat in rows:
-            last[camp] = cat
-            count[px] = count.get(px, 0) + 1
-        def mk(data, schema):
-            return local_table(spark, data, schema)
-        return PixelLookups(
-            entries=pm,
-            category=mk(sorted(last.items()), "campaign_id string not null, category string not null"),
-            weights=mk([(px, cat, 1.0 / count[px]) for _, px, _, cat in rows],
-                       "pixel string not null, category string not null, weight double not null"),
-            pairs=mk(sorted({(px, camp) for _, px, camp, _ in rows}), "pixel string not null, campaign_id string not null"),
-            pixels=mk(sorted({(px,) for _, px, _, _ in rows}), "pixel string not null"),
-            campaigns=mk(sorted({(camp,) for _, _, camp, _ in rows}), "campaign_id string not null"),
-            small=True)
-    n = F.count(F.lit(1)).over(Window.partitionBy("pixel"))
+def lookups_from_entries(pm: DataFrame, small: bool = False) -> PixelLookups:
+    """Lookup tables derived by Spark from a map held as a table
+    ``(ord, pixel, campaign_id, category)`` of any size; ``small=True`` only
+    when its size is known to be bounded (it is then broadcast)."""
+    # entries per pixel by an aggregate (combined map-side, so a pixel with a
+    # huge share of the entries is not gathered in one task), joined back
+    n = pm.groupBy("pixel").agg(F.count(F.lit(1)).alias("_n"))
     return PixelLookups(
         entries=pm,
         category=pm.groupBy("campaign_id").agg(F.max_by("category", "ord").alias("category")),
-        weights=pm.select("pixel", "category", (F.lit(1.0) / n).alias("weight")),
+        weights=pm.join(n, "pixel").select("pixel", "category", (F.lit(1.0) / F.col("_n")).alias("weight")),
         pairs=pm.select("pixel", "campaign_id").distinct(),
         pixels=pm.select("pixel").distinct(),
         campaigns=pm.select("campaign_id").distinct(),
-        small=False)
+        small=small)
+
+
+def pixel_lookups(spark: SparkSession, spec: str | None) -> PixelLookups:
+    """Lookup tables of a ``pixel|campaign_id|category,...`` string: derived on
+    the driver as local relations within the size limit, else by Spark."""
+    if not spec_size_ok(spec):
+        return lookups_from_entries(pixel_map(spark, spec), small=False)
+    rows = _rows(spec, 3)
+    last, count = {}, {}
+    for _, px, camp, cat in rows:
+        last[camp] = cat
+        count[px] = count.get(px, 0) + 1
+
+    def mk(data, schema):
+        return local_table(spark, data, schema)
+    return PixelLookups(
+        entries=mk(rows, PM_SCHEMA),
+        category=mk(sorted(last.items()), "campaign_id string not null, category string not null"),
+        weights=mk([(px, cat, 1.0 / count[px]) for _, px, _, cat in rows],
+                   "pixel string not null, category string not null, weight double not null"),
+        pairs=mk(sorted({(px, camp) for _, px, camp, _ in rows}), "pixel string not null, campaign_id string not null"),
+        pixels=mk(sorted({(px,) for _, px, _, _ in rows}), "pixel string not null"),
+        campaigns=mk(sorted({(camp,) for _, _, camp, _ in rows}), "campaign_id string not null"),
+        small=True)
