@@ -172,3 +172,20 @@ def test_rate_from_group_folders(spark):
         out.explain("formatted")
     import re
     assert re.search(r"PartitionFilters: \[[^\]]*hour_group[^\]]*IN \(1,2,3,4\)", buf.getvalue())
+
+
+def test_large_config_path_gives_same_results(spark, monkeypatch):
+    from pixelflow.sources import config
+    ev = fx.read_events(spark, SF)
+    imp_df, conv_df = fx.impressions(ev), fx.conversions(ev)
+    conv_all = conv_df.select("event_id", "cookie", F.array("payload").alias("payloads"))
+
+    def run():
+        return [sorted(tuple(r) for r in df.collect()) for df in (
+            collect_impressions(spark, imp_df, PIX), collect_conversions(spark, conv_df, PIX),
+            sequence_labels(spark, imp_df, conv_all, PIX), ctr_leaves(spark, imp_df, fx.ADGROUP_SPEC))]
+
+    small = run()
+    monkeypatch.setattr(config, "MAX_BROADCAST_SPEC_BYTES", 4)
+    assert not config.pixel_lookups(spark, PIX).small
+    assert run() == small
