@@ -93,6 +93,10 @@ def to_lines(df: DataFrame, fields, keep=()) -> DataFrame:
     return df.select(*[F.col(k) for k in keep], F.concat_ws("\t", *cols).alias("value"))
 
 
+# Ranges up to this many hours are read by listing exactly their folders.
+MAX_GLOB_HOURS = 24 * 7
+
+
 def hour_keys(start: str, days: int) -> list[str]:
     """``yyyyMMddHH`` keys for ``days`` days from ``start`` (``yyyyMMdd``)."""
     if not start:
@@ -113,26 +117,33 @@ def scan_hour_range(spark: SparkSession, root: str, start: str, days: int = 1,
                     layout: str = "partitioned", partition_col: str = "dthr") -> DataFrame:
     """Text lines of ``days`` days of hourly folders from ``start``.
 
-    ``layout="partitioned"``: ``<root>/<partition_col>=yyyyMMddHH/...``; only
-    the requested hour folders are listed (glob under ``basePath``), and the
-    range is also a filter on the partition column.  ``layout="dirs"``: ``<root>/<yyyyMMddHH>/...``; one glob
+    ``layout="partitioned"``: ``<root>/<partition_col>=yyyyMMddHH/...``; up to
+    a week only the requested hour folders are listed (glob under
+    ``basePath``), longer ranges list the tree; either way the range is a
+    partition filter.  ``layout="dirs"``: ``<root>/<yyyyMMddHH>/...``; one glob
     over the hour keys, missing hours are skipped.
     """
     keys = hour_keys(start, days)
     base = root.rstrip("/")
     if layout == "partitioned":
-        # list only the requested hour folders (a glob under basePath) instead
-        # of every partition under the root, then keep the partition filter
+        empty = spark.createDataFrame([], f"value string, {partition_col} string")
         if not keys:
-            return spark.createDataFrame([], f"value string, {partition_col} string")
+            return empty
+        in_range = F.col(partition_col).cast("string").between(keys[0], keys[-1])
+        if len(keys) > MAX_GLOB_HOURS:
+            # long ranges: let Spark list the tree (a distributed listing job
+            # beyond a few dozen folders) and prune partitions by the filter
+            return spark.read.text(base).where(in_range)
+        # short ranges: list only the requested hour folders (one glob under
+        # basePath) instead of every partition under the root
         glob = f"{base}/{partition_col}={{{','.join(keys)}}}"
         try:
             df = spark.read.option("basePath", base).text(glob)
         except Exception as e:  # none of the hours exists
             if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return spark.createDataFrame([], f"value string, {partition_col} string")
+                return empty
             raise
-        return df.where(F.col(partition_col).cast("string").between(keys[0], keys[-1]))
+        return df.where(in_range)
     if layout != "dirs":
         raise ValueError(f"unknown layout {layout!r}")
     if not keys:

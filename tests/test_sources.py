@@ -133,3 +133,11 @@ def test_intermediate_lines(spark):
     txt = to_intermediate_lines(agg, "IMP", "imp").union(lines(spark, "too\tfew\tfields"))
     got = [tuple(r) for r in parse_intermediate(txt).collect()]
     assert got == [("1\tCA\tW\tC\tauto", "IMP", 3.0)]
+
+
+def test_scan_hour_range_long_range_uses_partition_filter(spark):
+    root = shared_dir(spark, "hours-long")
+    _write_hours(spark, root, ["2024010100", "2024011012", "2024020100"], "partitioned")
+    got = logs.scan_hour_range(spark, root, "20240101", 20)
+    assert sorted(r.value for r in got.collect()) == ["line-2024010100-0", "line-2024010100-1",
+                                                       "line-2024011012-0", "line-2024011012-1"]
