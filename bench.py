@@ -18,8 +18,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-
 from pixelflow.plans import (agg_rate, collect_conversions, collect_impressions,  # noqa: E402
                              ctr_leaves, sequence_labels, sequence_labels_mixed)
 from pixelflow.session import get_session, shared_dir  # noqa: E402

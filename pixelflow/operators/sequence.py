@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pixelflow.constants import RE_CMPN, RE_DATE, RE_SEQ_HOUR, MISSING
+from pixelflow.constants import COOKIE_LENGTH, LOG_FIELDS, MISSING, RE_CMPN, RE_DATE, RE_SEQ_HOUR
 from pixelflow.functions.dates import format_epoch_ms
 from pixelflow.functions.geo import geo_state
 from pixelflow.functions.markers import norm_marker
@@ -23,10 +23,6 @@ from pixelflow.operators.filters import require_cookie, require_timestamp
 from pixelflow.operators.joins import maybe_broadcast, with_category
 from pixelflow.sources.config import PixelLookups
 
-TIMELINE_COLS = ("cookie", "event_date", "is_conv", "tie", "ord", "pixel",
-                 "campaign_id", "hour", "state", "os", "browser", "category")
-
-
 def _tie(df: DataFrame, tie_col: str | None, fields):
     """Order key for same-cookie same-second rows: ``tie_col`` when given,
     else a hash of the fields the job reads.  Rows with equal hashes then
@@ -129,8 +125,6 @@ def seq_events_mixed(lines: DataFrame, lk: PixelLookups, tie_col: str | None = N
     rows in one projection; two broadcast lookups then keep mapped
     campaigns / pixels.  Same rows as :func:`seq_events` on the separated
     logs."""
-    from pixelflow.constants import COOKIE_LENGTH, LOG_FIELDS
-
     idx = {f: i for i, f in enumerate(LOG_FIELDS)}
     tie = F.col(tie_col).cast("bigint") if tie_col else F.xxhash64("value")
     base = lines.select(F.split(F.regexp_replace("value", "\t+$", ""), "\t").alias("_a"), tie.alias("tie"))

@@ -9,11 +9,11 @@ names match the DuckDB statement of the same key in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from pixelflow import functions as pf
-from pixelflow.constants import (LOG_FIELDS, RE_BRWSOS, RE_CMPN, RE_CONV_HOUR, RE_DATE,
-                                 RE_SEQ_HOUR, RE_STATE, TAG_CONV, TAG_IMP, MISSING)
+from pixelflow.constants import (RE_BRWSOS, RE_CMPN, RE_CONV_HOUR, RE_DATE, RE_SEQ_HOUR,
+                                 RE_STATE, TAG_CONV, TAG_IMP)
 from pixelflow.operators import aggregates as agg
 from pixelflow.operators import filters as flt
 from pixelflow.operators import joins as jn

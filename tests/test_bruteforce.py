@@ -4,8 +4,6 @@ import datetime as dt
 import random
 import re
 
-from pyspark.sql import functions as F
-
 from conftest import conv_frame, imp_frame
 from pixelflow import functions as pf
 from pixelflow.plans import sequence_labels
