@@ -79,3 +79,34 @@ def test_mixed_sequence_scans_input_once(spark):
     p = plan(sequence_labels_mixed(spark, spark.read.text(out), PIX))
     assert p.count("FileScan text") == 1
     assert "EvalPython" not in p
+
+
+def test_sequence_dedup_shuffles_on_cookie_and_second(spark):
+    import re
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ev = fx.read_events(spark, SF)
+        conv = fx.conversions(ev).selectExpr("event_id", "cookie", "array(payload) AS payloads")
+        p = plan(sequence_labels(spark, fx.impressions(ev), conv, PIX))
+        keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
+        # the dedup exchange spreads a hot cookie over many tasks; only the
+        # window exchange is by cookie alone
+        assert any("cookie" in k and "event_date" in k for k in keys)
+        assert any(k.startswith("cookie") and "event_date" not in k for k in keys)
+        # partial aggregation runs before the dedup exchange
+        assert re.search(r"Exchange hashpartitioning\(cookie[^)]*event_date[^\n]*\n[\s:]*\+- [^\n]*partial_max", p)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_hot_cookie_window_input_is_bounded(spark):
+    from pyspark.sql import functions as F
+    from pixelflow.operators.sequence import dedup_last_wins
+    hot = "h" * 32
+    rows = [(hot, f"20240101 00:00:{i % 10:02d}", 0, i, 0) for i in range(5000)]
+    rows += [("c" * 32, "20240101 00:00:01", 0, 1, 0)]
+    df = spark.createDataFrame(rows, "cookie string, event_date string, is_conv int, tie bigint, ord int")
+    out = dedup_last_wins(df)
+    per_cookie = dict(out.groupBy("cookie").count().collect())
+    assert per_cookie[hot] == 10                      # one row per distinct second
+    assert out.where(F.col("cookie") == hot).agg(F.min("tie")).first()[0] == 4990   # largest tie wins
