@@ -56,7 +56,7 @@ def run_agg_rate(spark: SparkSession, imp_out: str, conv_out: str, out: str) ->
     lines = rate.select(F.split("key", "\t")[0].alias("hour_group"),
                         F.concat_ws("\t", "key", F.col("imp").cast("string"), F.col("conv").cast("string"),
                                     F.format_string("%.8f", "rate")).alias("value"))
-    lines.repartition("hour_group").write.mode("overwrite").partitionBy("hour_group").text(out)
+    lines.hint("rebalance", "hour_group").write.mode("overwrite").partitionBy("hour_group").text(out)
 
 
 def run_sequence(spark: SparkSession, log_root: str, retarg_root: str, start: str, days: int,

@@ -58,7 +58,7 @@ def q_scan_hour_range(spark, d):
     """Write the impression log as hourly folders, scan a day range back."""
     lines = fx.impression_lines(_ev(spark, d), with_hour=True)
     root = shared_dir(spark, "hourly")
-    lines.select("value", "dthr").repartition("dthr").write.partitionBy("dthr").text(root)
+    lines.select("value", "dthr").hint("rebalance", "dthr").write.partitionBy("dthr").text(root)
     out = logs.scan_hour_range(spark, root, SCAN_START, SCAN_DAYS)
     return out.select(F.col("dthr").cast("string").alias("dthr"), "value")
 

@@ -34,5 +34,5 @@ def write_intermediate(agg: DataFrame, tag: str, value_col: str, path: str) -> N
     group (``<path>/hour_group=<g>/``); the line keeps the group as its first
     field.  No folder is written for a group without rows; output replaced."""
     lines = agg.select(F.col("hour_group").alias("_g"), _line(tag, value_col).alias("value"))
-    (lines.repartition("_g").withColumnRenamed("_g", "hour_group")
+    (lines.hint("rebalance", "_g").withColumnRenamed("_g", "hour_group")
           .write.mode("overwrite").partitionBy("hour_group").text(path))
