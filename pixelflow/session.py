@@ -55,14 +55,21 @@ def get_session(master: str | None = None, app: str = "pixelflow",
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (local tests) is a private temporary folder created and registered.
+    Reads the checkpoint folder from the session (``spark.checkpoint.dir``);
+    only when it is unset (local tests) is a private temporary folder
+    created and registered.
     """
-    base = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    base = sc.getCheckpointDir() if sc is not None else None
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if sc is None:
+            raise ValueError("spark.checkpoint.dir is not set")
         base = tempfile.mkdtemp(prefix="pixelflow-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
-        base = spark.sparkContext.getCheckpointDir() or base
+        sc.setCheckpointDir(base)
+        base = sc.getCheckpointDir() or base
     return os.path.join(base.rstrip("/"), f"{name}-{uuid.uuid4().hex[:12]}")
