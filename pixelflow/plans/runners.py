@@ -27,23 +27,23 @@ def _check(start: str | None, out: str | None) -> None:
         raise ValueError("output path is required")
 
 
-def _scan(spark, root, start, days, layout) -> DataFrame:
-    return logs.scan_hour_range(spark, root, start, days, layout=layout).select("value")
+def _scan(spark, root, start, days, layout, leaf=None) -> DataFrame:
+    return logs.scan_hour_range(spark, root, start, days, layout=layout, leaf=leaf).select("value")
 
 
 def run_collect_impressions(spark: SparkSession, log_root: str, start: str, days: int, pixels: str,
-                            out: str, layout: str = "partitioned") -> None:
+                            out: str, layout: str = "partitioned", leaf: str | None = None) -> None:
     """Impression log (token mode) -> counts -> tagged text per hour-group folder."""
     _check(start, out)
-    imp = logs.parse_impressions_tokens(_scan(spark, log_root, start, days, layout))
+    imp = logs.parse_impressions_tokens(_scan(spark, log_root, start, days, layout, leaf))
     write_intermediate(collect_impressions(spark, imp, pixels), TAG_IMP, "imp", out)
 
 
 def run_collect_conversions(spark: SparkSession, retarg_root: str, start: str, days: int, pixels: str,
-                            out: str, layout: str = "partitioned") -> None:
+                            out: str, layout: str = "partitioned", leaf: str | None = None) -> None:
     """Retargeting log (first payload) -> fractional credit -> tagged text per hour-group folder."""
     _check(start, out)
-    conv = logs.parse_retarg_first(_scan(spark, retarg_root, start, days, layout))
+    conv = logs.parse_retarg_first(_scan(spark, retarg_root, start, days, layout, leaf))
     write_intermediate(collect_conversions(spark, conv, pixels), TAG_CONV, "conv", out)
 
 
@@ -60,17 +60,18 @@ def run_agg_rate(spark: SparkSession, imp_out: str, conv_out: str, out: str) ->
 
 
 def run_sequence(spark: SparkSession, log_root: str, retarg_root: str, start: str, days: int,
-                 pixels: str, out: str, layout: str = "partitioned") -> None:
+                 pixels: str, out: str, layout: str = "partitioned", log_leaf: str | None = None,
+                 retarg_leaf: str | None = None) -> None:
     """Both logs (field mode, all payloads) -> labelled sequence rows, flat text."""
     _check(start, out)
-    imp = logs.parse_impressions_fields(_scan(spark, log_root, start, days, layout))
-    conv = logs.parse_retarg_all(_scan(spark, retarg_root, start, days, layout))
+    imp = logs.parse_impressions_fields(_scan(spark, log_root, start, days, layout, log_leaf))
+    conv = logs.parse_retarg_all(_scan(spark, retarg_root, start, days, layout, retarg_leaf))
     sinks.write_flat(sequence_labels(spark, imp, conv, pixels, tie_col=None), out)
 
 
 def run_ctr_leaves(spark: SparkSession, log_root: str, start: str, days: int, adgroups: str | None,
-                   out: str, layout: str = "partitioned") -> None:
+                   out: str, layout: str = "partitioned", leaf: str | None = None) -> None:
     """CTR log (token mode, 56 fields) -> leaves, one text folder per hour group."""
     _check(start, out)
-    ctr = ctr_leaves(spark, logs.parse_ctr_log(_scan(spark, log_root, start, days, layout)), adgroups)
+    ctr = ctr_leaves(spark, logs.parse_ctr_log(_scan(spark, log_root, start, days, layout, leaf)), adgroups)
     sinks.write_partitioned(ctr, out, "hour_group", fmt="text")

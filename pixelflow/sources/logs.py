@@ -114,13 +114,15 @@ def hour_paths(root: str, start: str, days: int) -> list[str]:
 
 
 def scan_hour_range(spark: SparkSession, root: str, start: str, days: int = 1,
-                    layout: str = "partitioned", partition_col: str = "dthr") -> DataFrame:
+                    layout: str = "partitioned", partition_col: str = "dthr",
+                    leaf: str | None = None) -> DataFrame:
     """Text lines of ``days`` days of hourly folders from ``start``.
 
     ``layout="partitioned"``: ``<root>/<partition_col>=yyyyMMddHH/...``; up to
     a week only the requested hour folders are listed (glob under
     ``basePath``), longer ranges list the tree; either way the range is a
-    partition filter.  ``layout="dirs"``: ``<root>/<yyyyMMddHH>/...``; one glob
+    partition filter.  ``layout="dirs"``: ``<root>/<yyyyMMddHH>[/<leaf>]``
+    (``leaf``: a file or a folder of part files under each hour); one glob
     over the hour keys, missing hours are skipped.
     """
     keys = hour_keys(start, days)
@@ -148,7 +150,7 @@ def scan_hour_range(spark: SparkSession, root: str, start: str, days: int = 1,
         raise ValueError(f"unknown layout {layout!r}")
     if not keys:
         return spark.createDataFrame([], "value string")
-    glob = f"{base}/{{{','.join(keys)}}}"
+    glob = f"{base}/{{{','.join(keys)}}}" + (f"/{leaf}" if leaf else "")
     try:
         return spark.read.text(glob)
     except Exception as e:  # no hour folder exists at all

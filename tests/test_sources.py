@@ -141,3 +141,12 @@ def test_scan_hour_range_long_range_uses_partition_filter(spark):
     got = logs.scan_hour_range(spark, root, "20240101", 20)
     assert sorted(r.value for r in got.collect()) == ["line-2024010100-0", "line-2024010100-1",
                                                        "line-2024011012-0", "line-2024011012-1"]
+
+
+def test_scan_hour_range_plain_dirs_with_leaf(spark):
+    root = shared_dir(spark, "hours-leaf")
+    df = spark.createDataFrame([("a",), ("b",)], "value string")
+    df.write.text(f"{root}/2024010105/all_data_hourly")
+    df.write.text(f"{root}/2024010106/other")
+    got = logs.scan_hour_range(spark, root, "20240101", 1, layout="dirs", leaf="all_data_hourly")
+    assert sorted(r.value for r in got.collect()) == ["a", "b"]
