@@ -258,7 +258,8 @@ def _fields(arr: str, fields) -> str:
 def statements() -> dict[str, str]:
     P = prefix()
     tok = "list_filter(string_split(line, chr(9)), lambda x: x <> '')"
-    fld = "string_split(regexp_replace(line, '\\t+$', ''), chr(9))"
+    fld = ("(CASE WHEN regexp_full_match(line, '\\t+') THEN CAST([] AS VARCHAR[]) "
+           "ELSE string_split(regexp_replace(line, '\\t+$', ''), chr(9)) END)")
     keys = hour_keys(SCAN_START, SCAN_DAYS)
     s: dict[str, str] = {}
 

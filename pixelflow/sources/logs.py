@@ -28,8 +28,10 @@ def _tokens(value: Column) -> Column:
 
 
 def _fields(value: Column) -> Column:
-    # split that drops trailing empty fields
-    return F.split(F.regexp_replace(value, "\t+$", ""), "\t")
+    # split that drops trailing empty fields; a line of tabs only has none,
+    # an empty line is one empty field
+    return F.when(value.rlike("^\t+$"), F.array().cast("array<string>")).otherwise(
+        F.split(F.regexp_replace(value, "\t+$", ""), "\t"))
 
 
 def _named(arr: Column, fields) -> list[Column]:

@@ -159,3 +159,27 @@ def test_mixed_input_sequence_matches_model(spark):
         df = spark.createDataFrame(_lines(imps, convs), "event_id bigint, value string")
         got = sorted(tuple(r) for r in sequence_labels_mixed(spark, df, PIX, tie_col="event_id").collect())
         assert got == model_sequence(imps, convs), f"seed {seed}"
+
+
+def test_parsers_match_split_models(spark):
+    from pixelflow.constants import LOG_FIELDS
+    from pixelflow.sources import logs
+    rng = random.Random(11)
+    alphabet = ["", "", "a", "b1", "null", " ", "x|y"]
+    lines = ["\t".join(rng.choice(alphabet) for _ in range(rng.randrange(0, 70))) for _ in range(300)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "id bigint, value string")
+    tok = {r[0]: tuple(r[1:]) for r in logs.parse_impressions_tokens(df, keep=("id",)).collect()}
+    fld = {r[0]: tuple(r[1:]) for r in logs.parse_impressions_fields(df, keep=("id",)).collect()}
+    n = len(LOG_FIELDS)
+    for i, v in enumerate(lines):
+        t = [x for x in v.split("\t") if x]
+        f = v.split("\t")
+        if len(f) > 1:                       # a separator matched: drop trailing empties
+            while f and f[-1] == "":
+                f.pop()
+        assert tok[i] == tuple(t[:n] + [None] * (n - len(t[:n]))), v
+        assert fld[i] == tuple(f[:n] + [None] * (n - len(f[:n]))), v
+    first = {r[0]: (r[1], r[2]) for r in logs.parse_retarg_first(df, keep=("id",)).collect()}
+    for i, v in enumerate(lines):
+        t = [x for x in v.split("\t") if x]
+        assert first.get(i) == ((t[0], t[1]) if len(t) >= 2 else None), v
