@@ -183,3 +183,29 @@ def test_parsers_match_split_models(spark):
     for i, v in enumerate(lines):
         t = [x for x in v.split("\t") if x]
         assert first.get(i) == ((t[0], t[1]) if len(t) >= 2 else None), v
+
+
+HOURS = {f"{h:02d}": g for g, hs in (("1", range(7, 14)), ("2", range(14, 18)), ("3", [18, 19, 20, 21, 22, 23, 0]),
+                                     ("4", range(1, 7))) for h in hs}
+
+
+def test_payload_and_hour_rules_match_models(spark):
+    from pixelflow.constants import RE_BRWSOS, RE_CMPN, RE_DATE, RE_STATE
+    rng = random.Random(13)
+    frags = ['"cmpn":"p1"', '"cmpn":"px-1"', '"cmpn":""', '"st":""', '"st":"CA"', '"st":"unknown"',
+             '"date":"20141007 13:22:11"', '"date":"20141007 7:22:11"', '"date":"x"', '"date":""',
+             '"brwsos":"Mozilla/5.0 (X11)"', '"brwsos":"null"', 'junk', '']
+    pays = ["{" + ",".join(rng.choice(frags) for _ in range(rng.randrange(0, 6))) + "}" for _ in range(300)]
+    dates = [rng.choice(["2024-01-01 14:00:00", "2024-01-01 7:05:00", "no hour", "12:", "99:00", "x 00:1"])
+             for _ in range(300)]
+    df = spark.createDataFrame(list(zip(pays, dates)), "p string, d string")
+    pats = (RE_CMPN, RE_BRWSOS, RE_DATE, RE_STATE)
+    got = df.select(*[pf.payload_extract("p", x) for x in pats], pf.hour_group_conversions("p"),
+                    pf.hour_group_ctr("d")).collect()
+    for (p, d), r in zip(zip(pays, dates), got):
+        exp = [m_norm(m_group(p, x)) for x in pats]
+        h = m_norm(m_group(p, r'"date":".+? (\d+?):.+?"'))
+        exp.append(HOURS.get(h, "-"))
+        hh = m_group(d, r"(\d\d?):.+?") or "null"
+        exp.append(HOURS.get(hh, hh))
+        assert list(r) == exp, (p, d)
