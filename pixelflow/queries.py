@@ -256,7 +256,7 @@ def q_pixel_lists(spark, d):
 # ---------------------------------------------------------------- sequence job
 def _seq_inputs(spark, d):
     """Both logs as text lines, each read with its field-mode parser (the
-    logs live in separate folders; :func:`q_route_mixed` covers a mixed input)."""
+    logs live in separate folders; :func:`q_seq_label_mixed` covers a mixed input)."""
     ev = _ev(spark, d)
     imp = logs.parse_impressions_fields(fx.impression_lines(ev), keep=("event_id",))
     conv = logs.parse_retarg_all(fx.conversion_lines(ev), keep=("event_id",))
@@ -276,7 +276,9 @@ def q_seq_dedup(spark, d):
 
 
 def q_seq_label_mixed(spark, d):
-    """Sequence job on one mixed input (both logs unioned as text), one scan."""
+    """Sequence job on one mixed input (both logs as text lines in one frame),
+    read in one pass by the job (the stand-in lines themselves come from two
+    reads of ``events``; on stored mixed files the job is a single scan)."""
     return sequence_labels_mixed(spark, _mixed_lines(spark, d), PIX, tie_col="event_id")
 
 
