@@ -34,5 +34,9 @@ def tag_pivot(tagged: DataFrame, key: str = "key") -> DataFrame:
 
 
 def pixel_lists(pm: DataFrame, of: str = "campaign_id") -> DataFrame:
-    """``pixel -> sorted list`` of campaigns (or categories), duplicates kept."""
+    """``pixel -> sorted list`` of campaigns (or categories), duplicates kept.
+
+    Meant for the configuration map (bounded by its size check); the jobs
+    themselves test membership with the distinct pair table and a join
+    instead of gathering lists."""
     return pm.groupBy("pixel").agg(F.array_sort(F.collect_list(of)).alias(of + "s"))
