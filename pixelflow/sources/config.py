@@ -12,7 +12,7 @@ measured sizes).  Maps kept as tables use :func:`lookups_from_entries`.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -88,21 +88,30 @@ def adgroup_table(spark: SparkSession, spec: str | None) -> DataFrame:
     return spark.createDataFrame([(i,) for i in ids], "adgroup_id string not null")
 
 
-@dataclass
 class PixelLookups:
-    """Lookup tables derived from the pixel map.
+    """Lookup tables derived from the pixel map, built on first use.
 
     ``small`` says whether they are broadcast.  ``category``: campaign ->
-    category of its last entry; ``weights``: one row per entry with
-    ``1/n`` (n = entries of the pixel); ``pairs``: distinct (pixel,
-    campaign_id); ``pixels`` / ``campaigns``: distinct ids."""
-    entries: DataFrame
-    category: DataFrame
-    weights: DataFrame
-    pairs: DataFrame
-    pixels: DataFrame
-    campaigns: DataFrame
-    small: bool
+    category of its last entry; ``weights``: one row per entry with ``1/n``
+    (n = entries of the pixel); ``pairs``: distinct (pixel, campaign_id);
+    ``pixels`` / ``campaigns``: distinct ids; ``entries``: the map itself."""
+
+    def __init__(self, small: bool, builders: dict):
+        self.small = small
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def _get(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    entries = property(lambda self: self._get("entries"))
+    category = property(lambda self: self._get("category"))
+    weights = property(lambda self: self._get("weights"))
+    pairs = property(lambda self: self._get("pairs"))
+    pixels = property(lambda self: self._get("pixels"))
+    campaigns = property(lambda self: self._get("campaigns"))
 
 
 def lookups_from_entries(pm: DataFrame, small: bool = False) -> PixelLookups:
@@ -111,36 +120,52 @@ def lookups_from_entries(pm: DataFrame, small: bool = False) -> PixelLookups:
     when its size is known to be bounded (it is then broadcast)."""
     # entries per pixel by an aggregate (combined map-side, so a pixel with a
     # huge share of the entries is not gathered in one task), joined back
-    n = pm.groupBy("pixel").agg(F.count(F.lit(1)).alias("_n"))
-    return PixelLookups(
-        entries=pm,
-        category=pm.groupBy("campaign_id").agg(F.max_by("category", "ord").alias("category")),
-        weights=pm.join(n, "pixel").select("pixel", "category", (F.lit(1.0) / F.col("_n")).alias("weight")),
-        pairs=pm.select("pixel", "campaign_id").distinct(),
-        pixels=pm.select("pixel").distinct(),
-        campaigns=pm.select("campaign_id").distinct(),
-        small=small)
+    def weights():
+        n = pm.groupBy("pixel").agg(F.count(F.lit(1)).alias("_n"))
+        return pm.join(n, "pixel").select("pixel", "category", (F.lit(1.0) / F.col("_n")).alias("weight"))
+    return PixelLookups(small, {
+        "entries": lambda: pm,
+        "category": lambda: pm.groupBy("campaign_id").agg(F.max_by("category", "ord").alias("category")),
+        "weights": weights,
+        "pairs": lambda: pm.select("pixel", "campaign_id").distinct(),
+        "pixels": lambda: pm.select("pixel").distinct(),
+        "campaigns": lambda: pm.select("campaign_id").distinct(),
+    })
+
+
+_CACHE: dict = {}
 
 
 def pixel_lookups(spark: SparkSession, spec: str | None) -> PixelLookups:
     """Lookup tables of a ``pixel|campaign_id|category,...`` string: derived on
-    the driver as local relations within the size limit, else by Spark."""
+    the driver as local relations within the size limit, else by Spark.
+    Reused for the same session and string (DataFrames are immutable)."""
+    key = (id(spark), spec, MAX_BROADCAST_SPEC_BYTES)
+    hit = _CACHE.get(key)
+    if hit is not None and hit[0]() is spark:      # same live session object
+        return hit[1]
     if not spec_size_ok(spec):
-        return lookups_from_entries(pixel_map(spark, spec), small=False)
-    rows = _rows(spec, 3)
-    last, count = {}, {}
-    for _, px, camp, cat in rows:
-        last[camp] = cat
-        count[px] = count.get(px, 0) + 1
-
-    def mk(data, schema):
-        return local_table(spark, data, schema)
-    return PixelLookups(
-        entries=mk(rows, PM_SCHEMA),
-        category=mk(sorted(last.items()), "campaign_id string not null, category string not null"),
-        weights=mk([(px, cat, 1.0 / count[px]) for _, px, _, cat in rows],
-                   "pixel string not null, category string not null, weight double not null"),
-        pairs=mk(sorted({(px, camp) for _, px, camp, _ in rows}), "pixel string not null, campaign_id string not null"),
-        pixels=mk(sorted({(px,) for _, px, _, _ in rows}), "pixel string not null"),
-        campaigns=mk(sorted({(camp,) for _, _, camp, _ in rows}), "campaign_id string not null"),
-        small=True)
+        lk = lookups_from_entries(pixel_map(spark, spec), small=False)
+    else:
+        rows = _rows(spec, 3)
+        last, count = {}, {}
+        for _, px, camp, cat in rows:
+            last[camp] = cat
+            count[px] = count.get(px, 0) + 1
+
+        def mk(data, schema):
+            return lambda: local_table(spark, data, schema)
+        lk = PixelLookups(True, {
+            "entries": mk(rows, PM_SCHEMA),
+            "category": mk(sorted(last.items()), "campaign_id string not null, category string not null"),
+            "weights": mk([(px, cat, 1.0 / count[px]) for _, px, _, cat in rows],
+                          "pixel string not null, category string not null, weight double not null"),
+            "pairs": mk(sorted({(px, camp) for _, px, camp, _ in rows}),
+                        "pixel string not null, campaign_id string not null"),
+            "pixels": mk(sorted({(px,) for _, px, _, _ in rows}), "pixel string not null"),
+            "campaigns": mk(sorted({(camp,) for _, _, camp, _ in rows}), "campaign_id string not null"),
+        })
+    if len(_CACHE) > 64:
+        _CACHE.clear()
+    _CACHE[key] = (weakref.ref(spark), lk)
+    return lk
