@@ -136,31 +136,38 @@ def seq_events_mixed(lines: DataFrame, lk: PixelLookups, tie_col: str | None = N
 
     is_conv_line = F.length(a.getItem(0)) == COOKIE_LENGTH
     null = F.lit(None).cast("string")
+    # one row per payload for a retargeting line, one row (no payload) otherwise
+    ex = base.select("_a", "tie", is_conv_line.alias("_c"),
+                     F.posexplode_outer(F.when(is_conv_line, F.slice(a, 2, F.size(a) - 1))).alias("_i", "_p"))
+    # candidate fields as plain columns first (Spark splits a wide projection
+    # into small generated methods); the rows below only reference them
     date = format_epoch_ms(norm_marker(fld("timestamp")))
-    imp_row = F.struct(
-        F.lit(0).alias("is_conv"), F.lit(0).alias("ord"), fld("cookie").alias("cookie"), date.alias("event_date"),
-        null.alias("pixel"), norm_marker(fld("campaign_id")).alias("campaign_id"),
-        F.regexp_extract(date, RE_SEQ_HOUR, 1).alias("hour"),
-        geo_state(norm_marker(fld("geo_location"))).alias("state"),
-        F.when(fld("os").isNull(), F.lit("")).otherwise(clean_os(norm_marker(fld("os")), False)).alias("os"),
-        F.when(fld("browser").isNull(), F.lit("")).otherwise(clean_browser(norm_marker(fld("browser")), False)).alias("browser"),
-        null.alias("check"))
-    ok_imp = fld("campaign_id").isNotNull() & fld("cookie").isNotNull() & fld("timestamp").isNotNull()
-
-    def conv_rows(p, i):
-        pix = F.regexp_extract(p, RE_CMPN, 1)
-        def row(d, o, px):
-            return F.struct(F.lit(1).alias("is_conv"), o.alias("ord"), a.getItem(0).alias("cookie"),
-                            d.alias("event_date"), px.alias("pixel"), null.alias("campaign_id"),
-                            null.alias("hour"), null.alias("state"), null.alias("os"), null.alias("browser"),
-                            pix.alias("check"))
-        return F.array(row(F.lit(MISSING), F.lit(0), F.lit(MISSING)),
-                       row(payload_extract(p, RE_DATE), i + 1, payload_extract(p, RE_CMPN)))
-
-    payloads = F.slice(a, 2, F.size(a) - 1)
-    rows = (F.when(is_conv_line, F.flatten(F.transform(payloads, conv_rows)))
-             .when(ok_imp, F.array(imp_row)))
-    ex = base.select("tie", F.explode(rows).alias("r")).select("tie", "r.*")
+    p = F.col("_p")
+    ex = ex.select(
+        "tie", "_c", "_i", a.getItem(0).alias("_first"),
+        (fld("campaign_id").isNotNull() & fld("cookie").isNotNull() & fld("timestamp").isNotNull()).alias("_ok"),
+        fld("cookie").alias("_cookie"), date.alias("_date"), norm_marker(fld("campaign_id")).alias("_camp"),
+        geo_state(norm_marker(fld("geo_location"))).alias("_state"),
+        F.when(fld("os").isNull(), F.lit("")).otherwise(clean_os(norm_marker(fld("os")), False)).alias("_os"),
+        F.when(fld("browser").isNull(), F.lit("")).otherwise(
+            clean_browser(norm_marker(fld("browser")), False)).alias("_browser"),
+        F.regexp_extract(p, RE_CMPN, 1).alias("_check"), payload_extract(p, RE_DATE).alias("_pdate"),
+        payload_extract(p, RE_CMPN).alias("_pixel"))
+    ex = ex.withColumn("_hour", F.regexp_extract("_date", RE_SEQ_HOUR, 1))
+
+    def row(is_conv, ord_, cookie, date_, pixel, camp, hour, state, os_, browser, check):
+        return F.struct(F.lit(is_conv).alias("is_conv"), ord_.alias("ord"), cookie.alias("cookie"),
+                        date_.alias("event_date"), pixel.alias("pixel"), camp.alias("campaign_id"),
+                        hour.alias("hour"), state.alias("state"), os_.alias("os"), browser.alias("browser"),
+                        check.alias("check"))
+
+    c = F.col
+    marker = row(1, F.lit(0), c("_first"), F.lit(MISSING), F.lit(MISSING), null, null, null, null, null, c("_check"))
+    payload = row(1, c("_i") + 1, c("_first"), c("_pdate"), c("_pixel"), null, null, null, null, null, c("_check"))
+    impression = row(0, F.lit(0), c("_cookie"), c("_date"), null, c("_camp"), c("_hour"), c("_state"),
+                     c("_os"), c("_browser"), null)
+    rows = F.when(c("_c"), F.array(marker, payload)).when(c("_ok"), F.array(impression))
+    ex = ex.select("tie", F.explode(rows).alias("r")).select("tie", "r.*")
     cat = lk.category.withColumnRenamed("campaign_id", "_lk_campaign")
     known = lk.pixels.withColumnRenamed("pixel", "_known")
     ex = (ex.join(maybe_broadcast(cat, lk.small), F.col("campaign_id") == F.col("_lk_campaign"), "left")
