@@ -125,7 +125,7 @@ def m_argmax(v):
 
 def test_list_geo_marker_epoch_functions_match_models(spark):
     rng = random.Random(7)
-    tok = ["a", "b", "", "0.5", "1", "-1", "x", "0", "2.5", "1e1"]
+    tok = ["a", "b", "", "0.5", "1", "-1", "x", "0", "2.5", "1e1", "NaN", "-0", "-0.0", " 3 ", ",", "inf"]
     lists = ["|".join(",".join(rng.choice(tok) for _ in range(rng.randrange(1, 4)))
                       for _ in range(rng.randrange(0, 5))) for _ in range(300)]
     geos = ["|".join(rng.choice(["", "CA", "null", "US", "7"]) for _ in range(rng.randrange(1, 5)))
