@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F
 from pixelflow.constants import (HOUR_GROUPS, MISSING, CTR_NULL, RE_HOUR,
                                  RE_CONV_HOUR)
 from pixelflow.functions._util import col
-from pixelflow.functions.dates import format_epoch_ms
+from pixelflow.functions.dates import epoch_hour
 from pixelflow.functions.markers import norm_marker
 
 
@@ -24,9 +24,8 @@ def hour_group(hh) -> Column:
 def hour_group_impressions(timestamp) -> Column:
     """Impression hour group from the epoch-ms ``timestamp`` field: hour of the
     formatted UTC time, unknown hour -> group ``1``."""
-    ts = col(timestamp)
-    hh = F.regexp_extract(format_epoch_ms(ts), RE_HOUR, 1)
-    return F.coalesce(hour_group(hh), F.lit("1"))
+    # the first "HH:" of the formatted time is its hour, so take it arithmetically
+    return F.coalesce(hour_group(epoch_hour(col(timestamp))), F.lit("1"))
 
 
 def hour_group_conversions(payload) -> Column:

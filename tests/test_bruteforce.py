@@ -5,6 +5,8 @@ import random
 import re
 
 from conftest import conv_frame, imp_frame
+from pyspark.sql import functions as F
+
 from pixelflow import functions as pf
 from pixelflow.plans import sequence_labels
 from pixelflow.sources import fixtures as fx
@@ -209,3 +211,13 @@ def test_payload_and_hour_rules_match_models(spark):
         hh = m_group(d, r"(\d\d?):.+?") or "null"
         exp.append(HOURS.get(hh, hh))
         assert list(r) == exp, (p, d)
+
+
+def test_epoch_hour_matches_formatted_hour(spark):
+    from pixelflow.functions.dates import epoch_hour
+    rng = random.Random(17)
+    vals = [str(rng.randrange(-10**13, 10**13)) for _ in range(400)] + ["-1", "0", "x", "", "+3600000"]
+    df = spark.createDataFrame([(v,) for v in vals], "c string")
+    got = df.select(epoch_hour("c"), F.regexp_extract(pf.format_epoch_ms("c"), r"(\d\d?):.+?", 1)).collect()
+    for v, (a, b) in zip(vals, got):
+        assert a == b, v
