@@ -22,6 +22,7 @@ from pixelflow.functions.text import clean_browser, clean_os, payload_extract
 from pixelflow.operators.filters import require_cookie, require_timestamp
 from pixelflow.operators.joins import maybe_broadcast, with_category
 from pixelflow.sources.config import PixelLookups
+from pixelflow.sources.logs import split_once
 
 def _tie(df: DataFrame, tie_col: str | None, fields):
     """Order key for same-cookie same-second rows: ``tie_col`` when given,
@@ -127,8 +128,8 @@ def seq_events_mixed(lines: DataFrame, lk: PixelLookups, tie_col: str | None = N
     logs."""
     idx = {f: i for i, f in enumerate(LOG_FIELDS)}
     tie = F.col(tie_col).cast("bigint") if tie_col else F.xxhash64("value")
-    base = lines.select(F.split(F.regexp_replace("value", "\t+$", ""), "\t").alias("_a"), tie.alias("tie"))
-    base = base.where(F.size("_a") > 1)
+    base = split_once(lines, F.split(F.regexp_replace("value", "\t+$", ""), "\t"), extra=(tie.alias("tie"),))
+    base = base.withColumnRenamed("_arr", "_a").where(F.size("_a") > 1)
     a = F.col("_a")
 
     def fld(name):

@@ -36,15 +36,23 @@ def _fields(value: Column) -> Column:
         F.split(F.regexp_replace(value, "\t+$", ""), "\t"))
 
 
+def split_once(lines: DataFrame, arr: Column, keep=(), extra=()) -> DataFrame:
+    """``keep`` columns plus the split array ``_arr``, evaluated once per line.
+
+    The array comes out of a generator (one row per line): filters on parsed
+    fields then stay above it, instead of being pushed below the projection
+    with the split substituted into them, which evaluates the split again
+    for every pushed predicate."""
+    return lines.select(*[F.col(k) for k in keep], *extra, F.explode(F.array(arr)).alias("_arr"))
+
+
 def _named(arr: Column, fields) -> list[Column]:
     return [F.try_element_at(arr, F.lit(i + 1)).alias(name) for i, name in enumerate(fields)]
 
 
 def _split_then_name(lines: DataFrame, arr: Column, fields, keep) -> DataFrame:
     # the split runs once per line; the named columns index into its result
-    keep = [F.col(k) for k in keep]
-    return lines.select(*keep, arr.alias("_arr")).select(*[F.col(k) for k in lines.select(*keep).columns],
-                                                          *_named(F.col("_arr"), fields))
+    return split_once(lines, arr, keep).select(*[F.col(k) for k in keep], *_named(F.col("_arr"), fields))
 
 
 def parse_impressions_tokens(lines: DataFrame, fields=LOG_FIELDS, keep=()) -> DataFrame:
@@ -65,7 +73,7 @@ def parse_impressions_fields(lines: DataFrame, fields=LOG_FIELDS, keep=()) -> Da
 def parse_retarg_first(lines: DataFrame, keep=()) -> DataFrame:
     """Retargeting log, token mode: ``cookie`` and the first payload only;
     lines lacking either are dropped."""
-    arr = lines.select(*[F.col(k) for k in keep], _tokens(F.col("value")).alias("_arr"))
+    arr = split_once(lines, _tokens(F.col("value")), keep)
     out = arr.select(*[F.col(k) for k in keep],
                      F.try_element_at("_arr", F.lit(1)).alias("cookie"),
                      F.try_element_at("_arr", F.lit(2)).alias("payload"))
@@ -74,7 +82,7 @@ def parse_retarg_first(lines: DataFrame, keep=()) -> DataFrame:
 
 def parse_retarg_all(lines: DataFrame, keep=()) -> DataFrame:
     """Retargeting log, field mode: ``cookie`` (32 characters) and all payloads."""
-    arr = lines.select(*[F.col(k) for k in keep], _fields(F.col("value")).alias("_arr"))
+    arr = split_once(lines, _fields(F.col("value")), keep)
     arr = arr.where((F.size("_arr") > 1) & (F.length(F.col("_arr").getItem(0)) == COOKIE_LENGTH))
     return arr.select(*[F.col(k) for k in keep], F.col("_arr").getItem(0).alias("cookie"),
                       F.slice("_arr", 2, F.size("_arr") - 1).alias("payloads"))
@@ -84,7 +92,7 @@ def route_mixed(lines: DataFrame, keep=()) -> DataFrame:
     """Route a mixed input: a first field of 32 characters marks a retargeting
     line (``CONV``), anything else is an impression line (``IMP``); lines with
     at most one field are dropped."""
-    arr = lines.select(*[F.col(k) for k in keep], F.col("value"), _fields(F.col("value")).alias("_arr"))
+    arr = split_once(lines, _fields(F.col("value")), keep, extra=(F.col("value"),))
     kind = F.when(F.length(F.col("_arr").getItem(0)) == COOKIE_LENGTH, F.lit(TAG_CONV)).otherwise(F.lit(TAG_IMP))
     return (arr.where(F.size("_arr") > 1)
                .select(*[F.col(k) for k in keep], F.col("value"), kind.alias("kind")))
