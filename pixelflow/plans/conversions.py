@@ -11,8 +11,8 @@ from pixelflow.functions.hours import hour_group_conversions
 from pixelflow.functions.text import clean_browser, clean_os, payload_extract
 from pixelflow.functions.useragent import classify_browser, classify_os
 from pixelflow.operators.aggregates import CONV_DIMS, sum_by
-from pixelflow.operators.filters import filter_known_pixels
-from pixelflow.operators.joins import fan_out
+from pixelflow.operators.joins import fan_out, maybe_broadcast
+from pixelflow.sources.logs import split_once
 from pixelflow.sources.config import PixelLookups, pixel_lookups
 
 
@@ -25,10 +25,14 @@ def conversion_dims(conv: DataFrame, lk: PixelLookups) -> DataFrame:
     then the broadcast fan-out join, which only copies computed values."""
     df = conv.where((F.coalesce(F.col("cookie"), F.lit("")) != "")
                     & (F.coalesce(F.col("payload"), F.lit("")) != ""))
-    df = filter_known_pixels(df, lk)
+    # the pixel id once per conversion (generator barrier, see split_once),
+    # then a broadcast semi join on it
+    df = split_once(df, F.regexp_extract("payload", RE_CMPN, 1), keep=("payload",)).withColumnRenamed("_arr", "_pix")
+    known = lk.pixels.withColumnRenamed("pixel", "_known")
+    df = df.join(maybe_broadcast(known, lk.small), F.col("_pix") == F.col("_known"), "left_semi")
     ua = payload_extract("payload", RE_BRWSOS)
     dims = df.select(
-        F.regexp_extract("payload", RE_CMPN, 1).alias("_pix"),
+        F.col("_pix"),
         hour_group_conversions("payload").alias("hour_group"),
         payload_extract("payload", RE_STATE).alias("state"),
         clean_os(classify_os(ua)).alias("os"),
