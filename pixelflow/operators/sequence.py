@@ -66,13 +66,15 @@ def timeline_conversions(conv_all: DataFrame, lk: PixelLookups,
     """
     df = conv_all.withColumn("_tie", _tie(conv_all, tie_col, ("cookie", "payloads")))
     ex = df.select("cookie", "_tie", F.posexplode("payloads").alias("_pos", "_p"))
-    ex = ex.withColumn("_pix", F.regexp_extract("_p", RE_CMPN, 1))
+    # pixel id once per payload (generator barrier, see split_once)
+    ex = split_once(ex, F.regexp_extract("_p", RE_CMPN, 1), keep=("cookie", "_tie", "_pos", "_p")) \
+        .withColumnRenamed("_arr", "_pix")
     known = lk.pixels.withColumnRenamed("pixel", "_known")
     ex = ex.join(maybe_broadcast(known, lk.small), F.col("_pix") == F.col("_known"), "left_semi")
     rows = F.array(
         F.struct(F.lit(MISSING).alias("event_date"), F.lit(0).alias("ord"), F.lit(MISSING).alias("pixel")),
         F.struct(payload_extract("_p", RE_DATE).alias("event_date"), (F.col("_pos") + 1).alias("ord"),
-                 payload_extract("_p", RE_CMPN).alias("pixel")))
+                 norm_marker("_pix").alias("pixel")))
     ex = ex.select("cookie", "_tie", F.explode(rows).alias("r"))
     null = F.lit(None).cast("string")
     return ex.select(
