@@ -269,6 +269,10 @@ def q_seq_events(spark, d):
 
 
 def q_seq_dedup(spark, d):
+    """The last-wins dedup of the timeline with its key coarsened from the
+    second to the hour: the test tables have no same-cookie same-second
+    pairs, so the hour key is what exercises the tie rule (conversion first,
+    then the larger tie value, then the later payload)."""
     imp, conv = _seq_inputs(spark, d)
     tl = seq.seq_events(imp, conv, _lk(spark))
     tl = tl.withColumn("event_hour", F.substring("event_date", 1, 11))
