@@ -221,3 +221,40 @@ def test_epoch_hour_matches_formatted_hour(spark):
     got = df.select(epoch_hour("c"), F.regexp_extract(pf.format_epoch_ms("c"), r"(\d\d?):.+?", 1)).collect()
     for v, (a, b) in zip(vals, got):
         assert a == b, v
+
+
+def _parts(v):
+    t = v.rstrip("|")
+    return t.split("|") if t else [""]
+
+
+def test_geo_variants_and_day_shift_match_models(spark):
+    rng = random.Random(19)
+    geos = ["|".join(rng.choice(["", "CA", "null", "NULL", "US", "807", "unknown"]) for _ in range(rng.randrange(1, 6)))
+            for _ in range(300)] + [None]
+    days = [rng.choice(["20240131", "20241231", "20240229", "20230229", "2024013", "x", "", "20240100",
+                        f"2024{rng.randrange(1, 13):02d}{rng.randrange(1, 29):02d}"]) for _ in range(301)]
+    df = spark.createDataFrame(list(zip(geos, days)), "g string, d string")
+    got = df.select(pf.geo_dma(pf.norm_marker("g")), pf.ctr_state("g"), pf.day_shift("d", 1),
+                    pf.day_shift("d", -40)).collect()
+
+    def m_ctr_state(v):
+        if v is None:
+            return ""
+        p = _parts(v)
+        s = p[0] if len(p) >= 3 else ""
+        return "null" if s == "" or s.lower() == "null" else s
+
+    def m_shift(v, n):
+        if not re.fullmatch(r"[0-9]{8}", v):
+            return ""
+        try:
+            d = dt.datetime.strptime(v, "%Y%m%d")
+        except ValueError:
+            return ""
+        return (d + dt.timedelta(days=n)).strftime("%Y%m%d")
+
+    for (g, d), r in zip(zip(geos, days), got):
+        p = _parts(m_norm(g))
+        dma = m_norm(p[2] if len(p) >= 3 else "")
+        assert tuple(r) == (dma, m_ctr_state(g), m_shift(d, 1), m_shift(d, -40)), (g, d)
