@@ -11,6 +11,7 @@ from tools.oracle_check import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
 KEYS = sorted(E.queries())
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +32,10 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF)
     rows = [tuple(r) for r in df.collect()]
+    rel = con.sql(E.oracle_sql()[key])
+    dtypes = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    stypes = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert stypes == dtypes
     res = con.execute(E.oracle_sql()[key])
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
