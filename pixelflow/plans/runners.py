@@ -61,12 +61,12 @@ def run_agg_rate(spark: SparkSession, imp_out: str, conv_out: str, out: str) ->
 
 def run_sequence(spark: SparkSession, log_root: str, retarg_root: str, start: str, days: int,
                  pixels: str, out: str, layout: str = "partitioned", log_leaf: str | None = None,
-                 retarg_leaf: str | None = None) -> None:
+                 retarg_leaf: str | None = None, compression: str | None = None) -> None:
     """Both logs (field mode, all payloads) -> labelled sequence rows, flat text."""
     _check(start, out)
     imp = logs.parse_impressions_fields(_scan(spark, log_root, start, days, layout, log_leaf))
     conv = logs.parse_retarg_all(_scan(spark, retarg_root, start, days, layout, retarg_leaf))
-    sinks.write_flat(sequence_labels(spark, imp, conv, pixels, tie_col=None), out)
+    sinks.write_flat(sequence_labels(spark, imp, conv, pixels, tie_col=None), out, compression=compression)
 
 
 def run_ctr_leaves(spark: SparkSession, log_root: str, start: str, days: int, adgroups: str | None,

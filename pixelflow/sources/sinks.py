@@ -32,10 +32,15 @@ def write_partitioned(df: DataFrame, path: str, by: str = "hour_group",
         df.write.mode("overwrite").partitionBy(by).format(fmt).save(path)
 
 
-def write_flat(df: DataFrame, path: str, fmt: str = "text") -> None:
-    """Flat output folder (tab-separated text by default); replaced if present."""
+def write_flat(df: DataFrame, path: str, fmt: str = "text", compression: str | None = None) -> None:
+    """Flat output folder (tab-separated text by default); replaced if present.
+    ``compression``: a text codec such as ``gzip`` (default: none, the
+    original format); readers decompress by file suffix."""
     if fmt == "text":
-        _as_line(df, df.columns).write.mode("overwrite").text(path)
+        w = _as_line(df, df.columns).write.mode("overwrite")
+        if compression:
+            w = w.option("compression", compression)
+        w.text(path)
     else:
         df.write.mode("overwrite").format(fmt).save(path)
 

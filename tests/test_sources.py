@@ -150,3 +150,12 @@ def test_scan_hour_range_plain_dirs_with_leaf(spark):
     df.write.text(f"{root}/2024010106/other")
     got = logs.scan_hour_range(spark, root, "20240101", 1, layout="dirs", leaf="all_data_hourly")
     assert sorted(r.value for r in got.collect()) == ["a", "b"]
+
+
+def test_flat_text_sink_compressed(spark):
+    out = shared_dir(spark, "sink-gz")
+    df = spark.createDataFrame([("ck", "", "CA", 1)], "cookie string, hour string, state string, label int")
+    sinks.write_flat(df, out, compression="gzip")
+    assert any(f.endswith(".gz") for f in os.listdir(out.replace("file:", "")))
+    back = sinks.read_flat(spark, out, "cookie string, hour string, state string, label int")
+    assert [tuple(r) for r in back.collect()] == [("ck", "", "CA", 1)]
