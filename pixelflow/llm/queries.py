@@ -3,9 +3,10 @@ whole table with production parameters."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pixelflow.llm import apportion, quality_ledger
+from pixelflow.llm import apportion, pair_bpe, quality_ledger
 from pixelflow.llm.common import table
 
 
@@ -16,9 +17,17 @@ def op2_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
                       quality_ledger.passes(quality_ledger.STRICT).alias("kept"), "fail_bits")
 
 
+def op3_pair_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    out = pair_bpe.decode(pair_bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                      F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
 def op5_mix_apportion(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = apportion.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_ledger, op5_mix_apportion)}
+QUERIES = {f.__name__: f for f in (op2_quality_ledger, op3_pair_bpe, op5_mix_apportion)}
