@@ -6,10 +6,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pixelflow.llm import apportion, pair_bpe, quality_ledger
+from pixelflow.llm import apportion, pair_bpe, quality_ledger, secret_scan
 from pixelflow.llm.common import table
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    n = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda x: x["kind"] != "random")
+    return found.select("doc_id", n("assign"), n("access"), n("hex"), n("random"),
+                        F.sha2(secret_scan.render(base).cast("binary"), 256).alias("base_sha256"),
+                        secret_scan.render(F.col("spans")).alias("spans"))
+
+
 def op2_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = quality_ledger.ledger(table(spark, sf_dir, "documents"))
     return led.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -30,4 +39,4 @@ def op5_mix_apportion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_ledger, op3_pair_bpe, op5_mix_apportion)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_ledger, op3_pair_bpe, op5_mix_apportion)}
