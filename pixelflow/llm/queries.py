@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pixelflow.llm import apportion, pair_bpe, quality_ledger, secret_scan
+from pixelflow.llm import apportion, pair_bpe, pii_anchor, quality_ledger, secret_scan
 from pixelflow.llm.common import table
 
 
@@ -34,9 +34,18 @@ def op3_pair_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op4_pii_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_anchor.find(table(spark, sf_dir, "documents"))
+    n = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("spans", lambda x: x["ord"] < pii_anchor.N_BASE)
+    return found.select("doc_id", *[n(k) for k in pii_anchor.KINDS],
+                        F.sha2(pii_anchor.render(base).cast("binary"), 256).alias("base_sha256"),
+                        pii_anchor.render(F.col("spans")).alias("spans"))
+
+
 def op5_mix_apportion(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = apportion.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_ledger, op3_pair_bpe, op5_mix_apportion)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_ledger, op3_pair_bpe, op4_pii_anchor, op5_mix_apportion)}
