@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -30,9 +31,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """``fn`` over Arrow batches, one at a time (memory bounded by a batch)."""
+def importable(spark: SparkSession) -> None:
+    """Python workers on this machine find this package where the driver has
+    it (on a cluster, ship it with --py-files)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str,
+                rows: int = 1024) -> DataFrame:
+    """``fn`` over slices of at most ``rows`` rows of the Arrow batches, one at
+    a time (memory bounded by a slice)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield fn(b)
+            for at in range(0, b.num_rows, rows):
+                yield fn(b.slice(at, rows))
+    importable(df.sparkSession)
     return df.mapInArrow(run, schema)

@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pixelflow.llm import apportion, pair_bpe, pii_anchor, quality_ledger, secret_scan
+from pixelflow.llm import apportion, pair_bpe, pii_anchor, ppm_langid, quality_ledger, secret_scan
 from pixelflow.llm.common import table
 
 
@@ -48,4 +48,11 @@ def op5_mix_apportion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_ledger, op3_pair_bpe, op4_pii_anchor, op5_mix_apportion)}
+def op10_ppm_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = ppm_langid.predict(docs, ppm_langid.train(docs))
+    return out.select("doc_id", ppm_langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_ledger, op3_pair_bpe, op4_pii_anchor, op5_mix_apportion,
+                                   op10_ppm_langid)}
