@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pixelflow.llm import apportion, host_paths, pair_bpe, pii_anchor, ppm_langid, quality_ledger, secret_scan
+from pixelflow.llm import apportion, host_paths, jaccard_join, pair_bpe, pii_anchor, ppm_langid, quality_ledger, secret_scan
 from pixelflow.llm.common import table
 
 
@@ -48,6 +48,10 @@ def op5_mix_apportion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.cluster(table(spark, sf_dir, "documents"))
+
+
 def op9_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = host_paths.extract(table(spark, sf_dir, "pages"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -60,4 +64,4 @@ def op10_ppm_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_ledger, op3_pair_bpe, op4_pii_anchor, op5_mix_apportion,
-                                   op9_host_paths, op10_ppm_langid)}
+                                   op7_jaccard_join, op9_host_paths, op10_ppm_langid)}
