@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pixelflow.llm import apportion, host_paths, jaccard_join, pair_bpe, pii_anchor, ppm_langid, quality_ledger, secret_scan
+from pixelflow.llm import apportion, host_paths, jaccard_join, pair_bpe, pii_anchor, ppm_langid, quality_ledger, secret_scan, toxicity_gru
 from pixelflow.llm.common import table
 
 
@@ -52,6 +52,14 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.cluster(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = toxicity_gru.train(*toxicity_gru.training_rows(docs, table(spark, sf_dir, "labels"), toxicity_gru.GruConfig()))
+    return toxicity_gru.predict(docs, net).select(
+        "doc_id", toxicity_gru.held_out(F.col("doc_id")).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).cast("int").alias("predicted"))
+
+
 def op9_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = host_paths.extract(table(spark, sf_dir, "pages"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -64,4 +72,4 @@ def op10_ppm_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_ledger, op3_pair_bpe, op4_pii_anchor, op5_mix_apportion,
-                                   op7_jaccard_join, op9_host_paths, op10_ppm_langid)}
+                                   op7_jaccard_join, op8_toxicity_gru, op9_host_paths, op10_ppm_langid)}
