@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pixelflow.llm import apportion, host_paths, jaccard_join, pair_bpe, pii_anchor, ppm_langid, quality_ledger, secret_scan, toxicity_gru
+from pixelflow.llm import apportion, hilbert_ann, host_paths, jaccard_join, pair_bpe, pii_anchor, ppm_langid, quality_ledger, secret_scan, toxicity_gru
 from pixelflow.llm.common import table
 
 
@@ -48,6 +48,10 @@ def op5_mix_apportion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.cluster(table(spark, sf_dir, "documents"))
 
@@ -72,4 +76,4 @@ def op10_ppm_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_ledger, op3_pair_bpe, op4_pii_anchor, op5_mix_apportion,
-                                   op7_jaccard_join, op8_toxicity_gru, op9_host_paths, op10_ppm_langid)}
+                                   op6_hilbert_ann, op7_jaccard_join, op8_toxicity_gru, op9_host_paths, op10_ppm_langid)}
