@@ -110,16 +110,17 @@ def sainte_lague(items: DataFrame, group: list[str], item: str, votes: str, seat
 
 
 def mix(docs: DataFrame, cfg: MixConfig = MixConfig(), keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep``, size, source_size, target, taken (words the mix takes, repeats
-    counted) and ``from_word`` / ``part_words`` (the range of words taken
+    """``keep`` (the id first), size, source_size, target, taken (words the mix
+    takes, repeats counted) and ``from_word`` / ``part_words`` (the range of words taken
     beyond whole repeats, from word ``from_word`` on, around the end of the
     text if it is longer than what is left) per row of ``docs``."""
-    base = stored(sized(docs, cfg, keep), "mix-sized")
-    total = base.agg(F.sum("size")).first()[0] or 0
+    narrow = stored(sized(docs, cfg, keep[:1]), "mix-sized")
+    wide = narrow if len(keep) == 1 else sized(docs, cfg, keep)       # texts are not written a second time
+    total = narrow.agg(F.sum("size")).first()[0] or 0
     n_shards = max(1, min(cfg.max_shards, -(-total // cfg.shard_tokens)))
-    base = base.withColumn("_shard", _hex_int(F.col("_key"), 1) % n_shards)
+    shard = (_hex_int(F.col("_key"), 1) % n_shards).alias("_shard")
 
-    shards = base.groupBy("_src", "_shard").agg(F.sum("size").alias("_t"))
+    shards = narrow.select("_src", shard, "size").groupBy("_src", "_shard").agg(F.sum("size").alias("_t"))
     shards = stored(shards, "mix-shards")
     tgt = targets(shards.groupBy("_src").agg(F.sum("_t").alias("source_size")), cfg)
     tgt = tgt.withColumn("_all", F.lit(1)).withColumn(
@@ -139,7 +140,7 @@ def mix(docs: DataFrame, cfg: MixConfig = MixConfig(), keep: tuple[str, ...] = (
 
     run = (W.partitionBy("_src", "_shard").orderBy("_key", *keep[:1], "size")
             .rowsBetween(W.unboundedPreceding, W.currentRow))
-    d = base.withColumn("_hi", F.sum("size").over(run)).withColumn("_lo", F.col("_hi") - F.col("size"))
+    d = wide.select("*", shard).withColumn("_hi", F.sum("size").over(run)).withColumn("_lo", F.col("_hi") - F.col("size"))
     d = d.join(per, ["_src", "_shard"])
     end = F.col("_from") + F.col("_rest")
 
@@ -152,3 +153,24 @@ def mix(docs: DataFrame, cfg: MixConfig = MixConfig(), keep: tuple[str, ...] = (
     begin = F.when(first > 0, F.greatest(F.col("_from"), F.col("_lo")) - F.col("_lo")).otherwise(F.lit(0))
     return d.select(*[F.col(k) for k in keep], "size", "source_size", "target", taken.cast("long").alias("taken"),
                     begin.cast("long").alias("from_word"), part.cast("long").alias("part_words"))
+
+
+PIECE = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"
+
+
+def materialise(docs: DataFrame, cfg: MixConfig = MixConfig(), columns: tuple[str, ...] = ("doc_id", "text", "lang", "source", "n_chars")) -> DataFrame:
+    """The mixed corpus: one row per whole repeat of a document, and one row
+    with the words of its partial take (white space between words kept);
+    ``n_chars`` follows the text.  Documents that are not taken go."""
+    m = mix(docs.select(*columns), cfg, columns)
+    pieces = F.regexp_extract_all("text", F.lit(PIECE), F.lit(0))
+    n = F.col("size").cast("int")
+    begin, part = F.col("from_word").cast("int"), F.col("part_words").cast("int")
+    straight = F.least(part, n - begin)
+    # a take that runs over the end goes on at the start, on a new line
+    over = F.concat(F.array_join(F.slice(pieces, begin + 1, straight), ""), F.lit("\n"), F.array_join(F.slice(pieces, F.lit(1), part - straight), ""))
+    some = F.regexp_replace(F.when(part > straight, over).otherwise(F.array_join(F.slice(pieces, begin + 1, part), "")), r"^[\x20\x09-\x0D]+", "")
+    whole = F.array_repeat(F.col("text"), ((F.col("taken") - F.col("part_words")) / F.greatest("size", F.lit(1))).cast("int"))
+    texts = F.when(part > 0, F.concat(whole, F.array(some))).otherwise(whole)
+    out = m.where("taken > 0").withColumn("text", F.explode(texts))
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*columns) if "n_chars" in columns else out.select(*columns)

@@ -148,6 +148,21 @@ def _profiles(docs: DataFrame, cfg: JoinConfig) -> DataFrame:
 _PARITY = [f"s{k}" for k in range(PARITY_WORDS)]
 
 
+def _keyed(docs: DataFrame, cfg: JoinConfig, keep: tuple[str, ...]) -> DataFrame:
+    """``keep`` and each document's set key and size (_k1, _k2, _n)."""
+    fields = [f for f in docs.schema.fields if f.name in keep]
+    names = [f.name for f in fields]
+
+    def batch(b: pa.RecordBatch) -> pa.RecordBatch:
+        sets = shingle_sets(b.column("text").to_pylist(), cfg.words)
+        keys = [keys_of(s) for s in sets]
+        return pa.RecordBatch.from_arrays(
+            [*map(b.column, names), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
+             pa.array([len(s) for s in sets], pa.int64())], [*names, "_k1", "_k2", "_n"])
+    ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in fields)
+    return map_batches(docs.select(*dict.fromkeys([*names, "text"])), batch, ddl + "_k1 bigint, _k2 bigint, _n bigint", rows=512)
+
+
 def _sets(docs: DataFrame, cfg: JoinConfig) -> DataFrame:
     """(k1, k2, set) of each document."""
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -285,3 +300,22 @@ def cluster(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> DataFrame:
     d = d.withColumn("label", F.coalesce("label", "node", -1 - F.col("row")))      # an empty set: its own
     low = d.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     return d.join(low, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def deduplicate(docs: DataFrame, cfg: JoinConfig = JoinConfig(), columns: tuple[str, ...] = ("doc_id", "text", "lang", "source", "n_chars")) -> DataFrame:
+    """One document of each component stays: the smallest id (null last), then
+    the smaller set key; of rows equal in both, any one.  Documents with an
+    empty set are linked with nothing and all stay."""
+    prof, labels = links(docs, cfg)
+    d = prof.where("n > 0").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    rows = d.groupBy("label", "doc_id", "k1", "k2").agg(F.count(F.lit(1)).alias("m"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k1", "k2")).alias("f")
+    rows = stored(rows.join(rows.groupBy("label").agg(first), "label").withColumn(
+        "stays", F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("k1") == F.col("f.k1")) & (F.col("k2") == F.col("f.k2")))
+        .select(F.col("doc_id").alias("_id"), F.col("k1").alias("_x1"), F.col("k2").alias("_x2"), "m", "stays"), "join-stays")
+    keyed = _keyed(docs, cfg, columns)
+    same = (F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_k1") == F.col("_x1")) & (F.col("_k2") == F.col("_x2")))
+    once = keyed.join(rows.where(~F.col("stays") | (F.col("m") > 1)), same, "left_anti")
+    # keepers that stand in several rows: one of them
+    again = keyed.join(rows.where(F.col("stays") & (F.col("m") > 1)), same, "left_semi").dropDuplicates(["doc_id", "_k1", "_k2"])
+    return once.unionByName(again).select(*columns)
