@@ -56,8 +56,8 @@ class Vocabulary:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
-        pre = spec["pre_tokenizer"]["pretokenizers"]
-        kinds = [n["type"] for n in spec["normalizer"]["normalizers"]]
+        pre = (spec["pre_tokenizer"] or {}).get("pretokenizers") or [{"pattern": {}}]
+        kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
         if (model["type"] != "BPE" or kinds != ["NFC", "Replace", "Lowercase"] or spec["decoder"] is not None
                 or pre[0]["pattern"].get("Regex") != WORD_PATTERN or spec["post_processor"] is not None):
             raise ValueError(f"unsupported vocabulary file: {path}")
@@ -215,7 +215,7 @@ def encode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
         ids = encoder(path).encode(b.column(text).to_pylist())
         return pa.RecordBatch.from_arrays([*map(b.column, names), pa.array(ids, pa.binary())], [*names, "ids"])
-    return map_batches(docs.select(*names, text), batch, ddl + "ids binary")
+    return map_batches(docs.select(*dict.fromkeys([*names, text])), batch, ddl + "ids binary")
 
 
 def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
