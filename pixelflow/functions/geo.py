@@ -9,7 +9,7 @@ from pixelflow.functions.markers import norm_marker
 
 def geo_parts(c) -> Column:
     """Split on ``|`` after dropping trailing empty parts (as a tokenising split does)."""
-    return F.split(F.regexp_replace(col(c), r"\|+$", ""), r"\|")
+    return F.split(F.regexp_replace(col(c), r"\|+\z", ""), r"\|")
 
 
 def geo_state(c) -> Column:

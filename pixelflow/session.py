@@ -56,8 +56,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
     Reads the checkpoint folder from the session (``spark.checkpoint.dir``);
-    only when it is unset (local tests) is a private temporary folder
-    created and registered.
+    only where it is unset on a local master (tests) is a private temporary
+    folder created and registered.  On a cluster executors would write such a
+    folder to their own disks, so there an unset folder is an error.
     """
     try:
         sc = spark.sparkContext
@@ -67,7 +68,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if sc is None:
+        if sc is None or not sc.master.split("[")[0] == "local":
             raise ValueError("spark.checkpoint.dir is not set")
         base = tempfile.mkdtemp(prefix="pixelflow-ckpt-")
         sc.setCheckpointDir(base)

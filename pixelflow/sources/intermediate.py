@@ -23,7 +23,7 @@ def to_intermediate_lines(agg: DataFrame, tag: str, value_col: str) -> DataFrame
 def parse_intermediate(lines: DataFrame) -> DataFrame:
     """Lines with exactly 7 fields -> ``(key, tag, value)``: key = first five
     fields joined by tabs, tag = field 6, value = field 7 as DOUBLE."""
-    arr = F.split(F.regexp_replace("value", "\t+$", ""), "\t")
+    arr = F.split(F.regexp_replace("value", "\t+\\z", ""), "\t")
     return (lines.select(arr.alias("a")).where(F.size("a") == 7)
                  .select(join_slice("a", 0, 4).alias("key"), F.col("a")[5].alias("tag"),
                          F.col("a")[6].try_cast("double").alias("value")))

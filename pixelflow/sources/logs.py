@@ -24,16 +24,14 @@ from pixelflow.constants import LOG_FIELDS, CTR_FIELD_COUNT, COOKIE_LENGTH, TAG_
 
 
 def _tokens(value: Column) -> Column:
-    # a filter over the split array measured ~4x faster than squeezing tab
-    # runs with regexes on 59-field lines
-    return F.filter(F.split(value, "\t"), lambda x: x != "")
+    return F.array_remove(F.split(value, "\t"), "")
 
 
 def _fields(value: Column) -> Column:
     # split that drops trailing empty fields; a line of tabs only has none,
     # an empty line is one empty field
-    return F.when(value.rlike("^\t+$"), F.array().cast("array<string>")).otherwise(
-        F.split(F.regexp_replace(value, "\t+$", ""), "\t"))
+    return F.when(value.rlike("^\t+\\z"), F.array().cast("array<string>")).otherwise(
+        F.split(F.regexp_replace(value, "\t+\\z", ""), "\t"))
 
 
 def split_once(lines: DataFrame, arr: Column, keep=(), extra=()) -> DataFrame:
@@ -105,10 +103,6 @@ def to_lines(df: DataFrame, fields, keep=()) -> DataFrame:
     return df.select(*[F.col(k) for k in keep], F.concat_ws("\t", *cols).alias("value"))
 
 
-# Ranges up to this many hours are read by listing exactly their folders.
-MAX_GLOB_HOURS = 24 * 7
-
-
 def hour_keys(start: str, days: int) -> list[str]:
     """``yyyyMMddHH`` keys for ``days`` days from ``start`` (``yyyyMMdd``)."""
     if not start:
@@ -130,42 +124,23 @@ def scan_hour_range(spark: SparkSession, root: str, start: str, days: int = 1,
                     leaf: str | None = None) -> DataFrame:
     """Text lines of ``days`` days of hourly folders from ``start``.
 
-    ``layout="partitioned"``: ``<root>/<partition_col>=yyyyMMddHH/...``; up to
-    a week only the requested hour folders are listed (glob under
-    ``basePath``), longer ranges list the tree; either way the range is a
-    partition filter.  ``layout="dirs"``: ``<root>/<yyyyMMddHH>[/<leaf>]``
-    (``leaf``: a file or a folder of part files under each hour); one glob
-    over the hour keys, missing hours are skipped.
+    ``layout="partitioned"``: ``<root>/<partition_col>=yyyyMMddHH/...``, with
+    the folder's hour as a string column.  ``layout="dirs"``:
+    ``<root>/<yyyyMMddHH>[/<leaf>]`` (``leaf``: a file or a folder of part
+    files under each hour).  Ranges of any length take the same path: one
+    glob with a day pattern per day, so only the folders of the range are
+    listed below the root.  A missing hour is skipped; a missing root, or a
+    range without any hour, raises Spark's path-not-found error.
     """
     keys = hour_keys(start, days)
     base = root.rstrip("/")
-    if layout == "partitioned":
-        empty = spark.createDataFrame([], f"value string, {partition_col} string")
-        if not keys:
-            return empty
-        in_range = F.col(partition_col).cast("string").between(keys[0], keys[-1])
-        if len(keys) > MAX_GLOB_HOURS:
-            # long ranges: let Spark list the tree (a distributed listing job
-            # beyond a few dozen folders) and prune partitions by the filter
-            return spark.read.text(base).where(in_range)
-        # short ranges: list only the requested hour folders (one glob under
-        # basePath) instead of every partition under the root
-        glob = f"{base}/{partition_col}={{{','.join(keys)}}}"
-        try:
-            df = spark.read.option("basePath", base).text(glob)
-        except Exception as e:  # none of the hours exists
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return empty
-            raise
-        return df.where(in_range)
-    if layout != "dirs":
+    if layout not in ("partitioned", "dirs"):
         raise ValueError(f"unknown layout {layout!r}")
+    schema = "value string" + (f", {partition_col} string" if layout == "partitioned" else "")
     if not keys:
-        return spark.createDataFrame([], "value string")
-    glob = f"{base}/{{{','.join(keys)}}}" + (f"/{leaf}" if leaf else "")
-    try:
-        return spark.read.text(glob)
-    except Exception as e:  # no hour folder exists at all
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return spark.createDataFrame([], "value string")
-        raise
+        return spark.createDataFrame([], schema)
+    hours = "{" + ",".join(dict.fromkeys(k[:8] for k in keys)) + "}[0-9][0-9]"
+    if layout == "partitioned":
+        scan = spark.read.schema(schema).option("basePath", base).text(f"{base}/{partition_col}={hours}")
+        return scan.where(F.col(partition_col).between(keys[0], keys[-1]))
+    return spark.read.text(f"{base}/{hours}" + (f"/{leaf}" if leaf else ""))

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from pixelflow.constants import LOG_FIELDS
@@ -67,14 +69,13 @@ def test_adgroup_spec(spark):
     assert adgroup_table(spark, "").count() == 0 and spec_entries("", 2) == 0
 
 
-def test_large_config_takes_the_spark_path(spark, monkeypatch):
+def test_map_kept_as_a_table_gives_the_same_lookups(spark):
     from pixelflow.sources import config
-    monkeypatch.setattr(config, "MAX_BROADCAST_SPEC_BYTES", 4)
     spec = "p0|c0|auto,p0|c1|auto,p2|c0|finance"
-    lk = config.pixel_lookups(spark, spec)
-    assert not lk.small
-    assert dict(lk.category.collect()) == {"c0": "finance", "c1": "auto"}
-    assert sorted(r[0] for r in lk.weights.select("weight").collect()) == [0.5, 0.5, 1.0]
+    a, b = config.pixel_lookups(spark, spec), config.lookups_from_entries(pixel_map(spark, spec))
+    for name in ("entries", "category", "weights", "pairs", "pixels", "campaigns"):
+        x, y = getattr(a, name), getattr(b, name)
+        assert sorted(map(tuple, x.select(*sorted(x.columns)).collect())) == sorted(map(tuple, y.select(*sorted(y.columns)).collect()))
 
 
 def _write_hours(spark, root, hours, layout):
@@ -94,7 +95,23 @@ def test_scan_hour_range_partitioned(spark):
     assert sorted(r.value for r in got.collect()) == ["line-2024010200-0", "line-2024010200-1",
                                                        "line-2024010223-0", "line-2024010223-1"]
     assert "PartitionFilters: [isnotnull(dthr" in got._jdf.queryExecution().executedPlan().toString()
-    assert logs.scan_hour_range(spark, root, "20250101", 1).count() == 0
+    assert dict(got.dtypes) == {"value": "string", "dthr": "string"}
+
+
+@pytest.mark.parametrize("days", [1, 7, 8, 400])
+def test_scan_takes_one_path_for_any_length(spark, days):
+    root = shared_dir(spark, "hours-any")
+    _write_hours(spark, root, ["2023123123", "2024010100", "2024010123", "2025020500"], "partitioned")
+    spark.createDataFrame([("stray",)], "value string").write.text(f"{root}/other")
+    got = logs.scan_hour_range(spark, root, "20240101", days)
+    assert sorted(r.value for r in got.collect()) == [f"line-{h}-{i}" for h in ("2024010100", "2024010123") for i in range(2)]
+    assert dict(got.dtypes) == {"value": "string", "dthr": "string"}
+    for layout in ("partitioned", "dirs"):
+        with pytest.raises(AnalysisException):                 # a range without any hour
+            logs.scan_hour_range(spark, root, "20300101", days, layout=layout).count()
+        with pytest.raises(AnalysisException):                 # a missing root
+            logs.scan_hour_range(spark, root + "-missing", "20240101", days, layout=layout).count()
+    assert logs.scan_hour_range(spark, root, "20240101", 0).count() == 0
 
 
 def test_scan_hour_range_plain_dirs(spark):
@@ -103,7 +120,6 @@ def test_scan_hour_range_plain_dirs(spark):
     got = logs.scan_hour_range(spark, root, "20240102", 2, layout="dirs")
     assert sorted(r.value for r in got.collect()) == ["line-2024010205-0", "line-2024010205-1",
                                                        "line-2024010300-0", "line-2024010300-1"]
-    assert logs.scan_hour_range(spark, root, "20250101", 1, layout="dirs").count() == 0
     assert len(logs.hour_keys("20240228", 2)) == 48 and logs.hour_keys("20240228", 2)[-1] == "2024022923"
 
 
