@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from pixelflow.constants import MISSING, RE_CMPN
 from pixelflow.functions.markers import norm_marker
-from pixelflow.operators.joins import maybe_broadcast
 from pixelflow.sources.config import PixelLookups
 
 
@@ -14,24 +13,24 @@ def filter_known_campaigns(imp: DataFrame, lk: PixelLookups) -> DataFrame:
     """Impressions whose (normalised) ``campaign_id`` is in the pixel map."""
     known = lk.campaigns.withColumnRenamed("campaign_id", "_known")
     cond = norm_marker("campaign_id") == F.col("_known")
-    return imp.where(F.col("campaign_id").isNotNull()).join(maybe_broadcast(known, lk.small), cond, "left_semi")
+    return imp.where(F.col("campaign_id").isNotNull()).join(known, cond, "left_semi")
 
 
 def filter_known_pixels(conv: DataFrame, lk: PixelLookups, payload: str = "payload") -> DataFrame:
     """Conversions whose payload ``cmpn`` is a pixel of the map."""
     known = lk.pixels.withColumnRenamed("pixel", "_known")
     cond = F.regexp_extract(F.col(payload), RE_CMPN, 1) == F.col("_known")
-    return conv.join(maybe_broadcast(known, lk.small), cond, "left_semi")
+    return conv.join(known, cond, "left_semi")
 
 
-def filter_adgroups(imp: DataFrame, adgroups: DataFrame | None, small: bool) -> DataFrame:
+def filter_adgroups(imp: DataFrame, adgroups: DataFrame | None) -> DataFrame:
     """Rows whose ``adgroup_id`` is in the list; ``adgroups=None`` (empty list)
     keeps every row that has an ad group."""
     df = imp.where(F.col("adgroup_id").isNotNull())
     if adgroups is None:
         return df
     lk = adgroups.withColumnRenamed("adgroup_id", "_adg")
-    return df.join(maybe_broadcast(lk, small), F.col("adgroup_id") == F.col("_adg"), "left_semi")
+    return df.join(lk, F.col("adgroup_id") == F.col("_adg"), "left_semi")
 
 
 def require_cookie(df: DataFrame) -> DataFrame:

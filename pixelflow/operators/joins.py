@@ -1,9 +1,6 @@
-"""Size-checked lookup joins against the pixel-map tables.
-
-The lookup tables come from :func:`pixelflow.sources.config.pixel_lookups`;
-their ``small`` flag (config size checked on the driver) decides whether
-they are broadcast.  Beyond the limit the join is left to the planner.
-"""
+"""Lookup joins against the pixel-map tables of
+:func:`pixelflow.sources.config.pixel_lookups`; the planner broadcasts them
+while their size statistics stay under its threshold."""
 
 from __future__ import annotations
 
@@ -12,16 +9,12 @@ from pyspark.sql import DataFrame, functions as F
 from pixelflow.sources.config import PixelLookups
 
 
-def maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
-
-
 def with_category(df: DataFrame, lk: PixelLookups, key: str = "campaign_id",
                   how: str = "inner") -> DataFrame:
     """Attach the last-wins ``category`` of ``key``; ``inner`` also drops rows
     whose campaign is not in the map (semi join and lookup in one join)."""
     cat = lk.category.withColumnRenamed("campaign_id", "_lk_campaign")
-    out = df.join(maybe_broadcast(cat, lk.small), F.col(key) == F.col("_lk_campaign"), how)
+    out = df.join(cat, F.col(key) == F.col("_lk_campaign"), how)
     return out.drop("_lk_campaign")
 
 
@@ -29,4 +22,4 @@ def fan_out(df: DataFrame, lk: PixelLookups, key: str = "pixel") -> DataFrame:
     """Repeat each row once per map entry of its pixel, with ``weight = 1/n``
     and the entry's ``category``; rows of unknown pixels are dropped."""
     w = lk.weights.withColumnRenamed("pixel", "_fan_pixel")
-    return df.join(maybe_broadcast(w, lk.small), F.col(key) == F.col("_fan_pixel"), "inner").drop("_fan_pixel")
+    return df.join(w, F.col(key) == F.col("_fan_pixel"), "inner").drop("_fan_pixel")

@@ -11,7 +11,7 @@ from pixelflow.functions.scalars import click_flag, viewability
 from pixelflow.functions.weights import pick_top, rank_pairs, weighted_pairs
 from pixelflow.operators.aggregates import ctr_by
 from pixelflow.operators.filters import filter_adgroups, require_ctr_ids
-from pixelflow.sources.config import adgroup_table, spec_entries, spec_size_ok
+from pixelflow.sources.config import adgroup_table, spec_entries
 
 
 def ctr_dims(imp: DataFrame, keep=()) -> DataFrame:
@@ -44,5 +44,5 @@ def ctr_leaves(spark: SparkSession, imp: DataFrame, adgroups: str | None = None)
     ``adgroups``: ``pixel|adgroup_id,...``; with no two-part entry every row
     with an ad group is kept."""
     adg = adgroup_table(spark, adgroups) if spec_entries(adgroups, 2) > 0 else None
-    df = require_ctr_ids(filter_adgroups(imp, adg, spec_size_ok(adgroups)))
+    df = require_ctr_ids(filter_adgroups(imp, adg))
     return ctr_by(ctr_dims(df))

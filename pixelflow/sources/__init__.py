@@ -6,7 +6,7 @@ from pixelflow.sources.logs import (scan_hour_range, hour_paths, hour_keys, spli
                                     parse_ctr_log, parse_retarg_first, parse_retarg_all,
                                     route_mixed, to_lines)
 from pixelflow.sources.config import (pixel_map, adgroup_table, pixel_lookups, lookups_from_entries,
-                                      local_table, spec_entries, spec_size_ok)
+                                      local_table, spec_entries)
 from pixelflow.sources.intermediate import (to_intermediate_lines, parse_intermediate,
                                             write_intermediate)
 from pixelflow.sources.sinks import write_partitioned, write_flat, read_flat
@@ -15,6 +15,6 @@ __all__ = [
     "scan_hour_range", "hour_paths", "hour_keys", "split_once", "parse_impressions_tokens",
     "parse_impressions_fields", "parse_ctr_log", "parse_retarg_first", "parse_retarg_all",
     "route_mixed", "to_lines", "pixel_map", "adgroup_table", "pixel_lookups", "lookups_from_entries",
-    "local_table", "spec_entries", "spec_size_ok", "to_intermediate_lines", "parse_intermediate",
+    "local_table", "spec_entries", "to_intermediate_lines", "parse_intermediate",
     "write_intermediate", "write_partitioned", "write_flat", "read_flat",
 ]

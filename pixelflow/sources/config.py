@@ -2,12 +2,10 @@
 
 Both arrive as one comma-separated string (``pixel|campaign_id|category,...``
 and ``pixel|adgroup_id,...``), the job parameter the driver already holds.
-The driver already holds the string, so it splits it into entries.  Within
-:data:`MAX_BROADCAST_SPEC_BYTES` the entries and the derived lookups become
-small local relations (no Spark job, broadcast to the tasks); beyond it the
-entries are spread over tasks, the lookups are derived by Spark and the
-joins are left to the planner (shuffle joins; AQE may still broadcast from
-measured sizes).  Maps kept as tables use :func:`lookups_from_entries`.
+The driver splits the string into entries; they and the derived lookups are
+local tables with exact size statistics, from which the planner picks
+broadcast or shuffle joins by its own threshold.  Maps kept as tables use
+:func:`lookups_from_entries`.
 """
 
 from __future__ import annotations
@@ -16,39 +14,20 @@ import weakref
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# Largest configuration string (bytes) that is parsed locally and broadcast.
-MAX_BROADCAST_SPEC_BYTES = 16 * 1024 * 1024
-
 PM_SCHEMA = "ord int not null, pixel string not null, campaign_id string not null, category string not null"
 
 
-_ARROW = "spark.sql.execution.arrow.pyspark.enabled"
-
-
 def local_table(spark: SparkSession, rows, schema: str) -> DataFrame:
-    """A small driver-side table as a local relation (planned without a Spark
-    job and with exact size statistics), via an Arrow batch."""
-    import pandas as pd
+    """A driver-side table as a local relation (planned without a Spark job
+    and with exact size statistics)."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     st = StructType.fromDDL(schema)
-    pdf = pd.DataFrame(list(rows), columns=st.names)
-    prev = spark.conf.get(_ARROW, None)
-    spark.conf.set(_ARROW, "true")
-    try:
-        return spark.createDataFrame(pdf, st)
-    except Exception:  # Arrow unavailable: plain driver-side rows
-        return spark.createDataFrame(list(map(tuple, pdf.itertuples(index=False))), st)
-    finally:
-        if prev is None:
-            spark.conf.unset(_ARROW)
-        else:
-            spark.conf.set(_ARROW, prev)
-
-
-def spec_size_ok(spec: str | None, limit: int | None = None) -> bool:
-    limit = MAX_BROADCAST_SPEC_BYTES if limit is None else limit
-    return spec is not None and len(spec.encode("utf-8")) <= limit
+    names = st.names
+    arrow = to_arrow_schema(st)
+    return spark.createDataFrame(pa.Table.from_pylist([dict(zip(names, r)) for r in rows], schema=arrow), st)
 
 
 def _parts(spec: str | None):
@@ -72,32 +51,24 @@ def _rows(spec: str | None, arity: int):
 
 def pixel_map(spark: SparkSession, spec: str | None) -> DataFrame:
     """``(ord, pixel, campaign_id, category)``; entries without exactly three
-    parts are ignored; duplicates are kept.  Within the size limit a local
-    relation; beyond it the driver-held entries are spread over tasks."""
-    rows = _rows(spec, 3)
-    if spec_size_ok(spec):
-        return local_table(spark, rows, PM_SCHEMA)
-    return spark.createDataFrame(rows, PM_SCHEMA)
+    parts are ignored; duplicates are kept."""
+    return local_table(spark, _rows(spec, 3), PM_SCHEMA)
 
 
 def adgroup_table(spark: SparkSession, spec: str | None) -> DataFrame:
     """Distinct ``adgroup_id`` of the two-part entries."""
     ids = sorted({r[2] for r in _rows(spec, 2)})
-    if spec_size_ok(spec):
-        return local_table(spark, [(i,) for i in ids], "adgroup_id string not null")
-    return spark.createDataFrame([(i,) for i in ids], "adgroup_id string not null")
+    return local_table(spark, [(i,) for i in ids], "adgroup_id string not null")
 
 
 class PixelLookups:
     """Lookup tables derived from the pixel map, built on first use.
 
-    ``small`` says whether they are broadcast.  ``category``: campaign ->
-    category of its last entry; ``weights``: one row per entry with ``1/n``
+    ``category``: campaign -> category of its last entry; ``weights``: one row per entry with ``1/n``
     (n = entries of the pixel); ``pairs``: distinct (pixel, campaign_id);
     ``pixels`` / ``campaigns``: distinct ids; ``entries``: the map itself."""
 
-    def __init__(self, small: bool, builders: dict):
-        self.small = small
+    def __init__(self, builders: dict):
         self._builders = builders
         self._built: dict[str, DataFrame] = {}
 
@@ -114,16 +85,15 @@ class PixelLookups:
     campaigns = property(lambda self: self._get("campaigns"))
 
 
-def lookups_from_entries(pm: DataFrame, small: bool = False) -> PixelLookups:
+def lookups_from_entries(pm: DataFrame) -> PixelLookups:
     """Lookup tables derived by Spark from a map held as a table
-    ``(ord, pixel, campaign_id, category)`` of any size; ``small=True`` only
-    when its size is known to be bounded (it is then broadcast)."""
+    ``(ord, pixel, campaign_id, category)`` of any size."""
     # entries per pixel by an aggregate (combined map-side, so a pixel with a
     # huge share of the entries is not gathered in one task), joined back
     def weights():
         n = pm.groupBy("pixel").agg(F.count(F.lit(1)).alias("_n"))
         return pm.join(n, "pixel").select("pixel", "category", (F.lit(1.0) / F.col("_n")).alias("weight"))
-    return PixelLookups(small, {
+    return PixelLookups({
         "entries": lambda: pm,
         "category": lambda: pm.groupBy("campaign_id").agg(F.max_by("category", "ord").alias("category")),
         "weights": weights,
@@ -137,34 +107,29 @@ _CACHE: dict = {}
 
 
 def pixel_lookups(spark: SparkSession, spec: str | None) -> PixelLookups:
-    """Lookup tables of a ``pixel|campaign_id|category,...`` string: derived on
-    the driver as local relations within the size limit, else by Spark.
-    Reused for the same session and string (DataFrames are immutable)."""
-    key = (id(spark), spec, MAX_BROADCAST_SPEC_BYTES)
+    """Lookup tables of a ``pixel|campaign_id|category,...`` string.  Reused
+    for the same session and string (DataFrames are immutable)."""
+    key = (id(spark), spec)
     hit = _CACHE.get(key)
     if hit is not None and hit[0]() is spark:      # same live session object
         return hit[1]
-    if not spec_size_ok(spec):
-        lk = lookups_from_entries(pixel_map(spark, spec), small=False)
-    else:
-        rows = _rows(spec, 3)
-        last, count = {}, {}
-        for _, px, camp, cat in rows:
-            last[camp] = cat
-            count[px] = count.get(px, 0) + 1
-
-        def mk(data, schema):
-            return lambda: local_table(spark, data, schema)
-        lk = PixelLookups(True, {
-            "entries": mk(rows, PM_SCHEMA),
-            "category": mk(sorted(last.items()), "campaign_id string not null, category string not null"),
-            "weights": mk([(px, cat, 1.0 / count[px]) for _, px, _, cat in rows],
-                          "pixel string not null, category string not null, weight double not null"),
-            "pairs": mk(sorted({(px, camp) for _, px, camp, _ in rows}),
-                        "pixel string not null, campaign_id string not null"),
-            "pixels": mk(sorted({(px,) for _, px, _, _ in rows}), "pixel string not null"),
-            "campaigns": mk(sorted({(camp,) for _, _, camp, _ in rows}), "campaign_id string not null"),
-        })
+    rows = _rows(spec, 3)
+    last, count = {}, {}
+    for _, px, camp, cat in rows:
+        last[camp] = cat
+        count[px] = count.get(px, 0) + 1
+
+    def mk(data, schema):
+        return lambda: local_table(spark, data, schema)
+    lk = PixelLookups({
+        "entries": mk(rows, PM_SCHEMA),
+        "category": mk(sorted(last.items()), "campaign_id string not null, category string not null"),
+        "weights": mk([(px, cat, 1.0 / count[px]) for _, px, _, cat in rows],
+                      "pixel string not null, category string not null, weight double not null"),
+        "pairs": mk(sorted({(px, camp) for _, px, camp, _ in rows}), "pixel string not null, campaign_id string not null"),
+        "pixels": mk(sorted({(px,) for _, px, _, _ in rows}), "pixel string not null"),
+        "campaigns": mk(sorted({(camp,) for _, _, camp, _ in rows}), "campaign_id string not null"),
+    })
     if len(_CACHE) > 64:
         _CACHE.clear()
     _CACHE[key] = (weakref.ref(spark), lk)

@@ -174,8 +174,7 @@ def test_rate_from_group_folders(spark):
     assert re.search(r"PartitionFilters: \[[^\]]*hour_group[^\]]*IN \(1,2,3,4\)", buf.getvalue())
 
 
-def test_large_config_path_gives_same_results(spark, monkeypatch):
-    from pixelflow.sources import config
+def test_shuffled_lookups_give_same_results(spark):
     ev = fx.read_events(spark, SF)
     imp_df, conv_df = fx.impressions(ev), fx.conversions(ev)
     conv_all = conv_df.select("event_id", "cookie", F.array("payload").alias("payloads"))
@@ -186,6 +185,8 @@ def test_large_config_path_gives_same_results(spark, monkeypatch):
             sequence_labels(spark, imp_df, conv_all, PIX), ctr_leaves(spark, imp_df, fx.ADGROUP_SPEC))]
 
     small = run()
-    monkeypatch.setattr(config, "MAX_BROADCAST_SPEC_BYTES", 4)
-    assert not config.pixel_lookups(spark, PIX).small
-    assert run() == small
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert run() == small
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
