@@ -7,14 +7,34 @@ as plain SQL (list lambdas, ``regexp_*`` with RE2, window functions).
 
 from __future__ import annotations
 
-from pixelflow.constants import (HOUR_GROUPS, LOG_FIELDS, RE_BRWSOS, RE_CMPN, RE_CONV_HOUR,
+from pixelflow.constants import (LOG_FIELDS, RE_BRWSOS, RE_CMPN, RE_CONV_HOUR,
                                  RE_DATE, RE_HOUR, RE_SEQ_HOUR, RE_STATE, RE_BROWSER_DROP,
                                  RE_OS_DROP, CTR_FIELD_COUNT)
-from pixelflow.functions.useragent import BROWSER_RULES, OS_RULES, UNKNOWN_NAME
 from pixelflow.sources import fixtures as fx
-from pixelflow.sources.logs import hour_keys
 
-SCAN_START, SCAN_DAYS = "20240101", 31
+# The range of the scan query, cutting rows at both ends.
+SCAN_FROM, SCAN_TO = "2024010500", "2024012423"
+
+# --- fixed values: the display names of the test agents, by hand ---
+AGENT_NAMES = (
+    ("Windows 7", "Chrome 38"),
+    ("Windows 8.1", "Internet Explorer 11"),
+    ("Mac OS X", "Safari"),
+    ("iOS 8 (iPhone)", "Safari"),
+    ("iOS 7 (iPhone)", "Chrome 38"),
+    ("iOS 8 (iPad)", "Safari"),
+    ("Android 4.x", "Chrome 37"),
+    ("Android 2.x", "Android Browser"),
+    ("Windows 10", "Microsoft Edge 12"),
+    ("Windows 8", "Firefox 33"),
+    ("Windows XP", "Internet Explorer 8"),
+    ("Windows 8", "Internet Explorer 10"),
+    ("Linux", "Opera 25"),
+    ("Windows Vista", "Opera"),
+    ("Unknown", "Robot/Spider"),
+    ("Unknown", "Unknown"),
+    ("Chrome OS", "Chrome 38"),
+)
 
 
 def q(s: str) -> str:
@@ -40,8 +60,10 @@ def fmt_ms(x: str) -> str:
 
 
 def hg(hh: str) -> str:
-    whens = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in sorted(HOUR_GROUPS.items()))
-    return f"(CASE {hh} {whens} END)"
+    """Hour group by ranges of the two-digit hour."""
+    return (f"(CASE WHEN NOT regexp_full_match({hh}, '[0-9][0-9]') THEN NULL "
+            f"WHEN {hh} BETWEEN '07' AND '13' THEN '1' WHEN {hh} BETWEEN '14' AND '17' THEN '2' "
+            f"WHEN {hh} BETWEEN '18' AND '23' OR {hh} = '00' THEN '3' WHEN {hh} BETWEEN '01' AND '06' THEN '4' END)")
 
 
 def hg_imp(ts: str) -> str:
@@ -88,10 +110,9 @@ def clean_os(x: str, renorm: bool = True) -> str:
     return norm(e) if renorm else e
 
 
-def classify(ua: str, rules) -> str:
-    u = f"COALESCE({ua}, '')"
-    whens = " ".join(f"WHEN regexp_matches({u}, {q(p)}) THEN {q(n)}" for p, n in rules)
-    return f"(CASE {whens} ELSE {q(UNKNOWN_NAME)} END)"
+def classify(ua: str, which: int) -> str:
+    whens = " ".join(f"WHEN {q(agent)} THEN {q(names[which])}" for agent, names in zip(fx.AGENTS, AGENT_NAMES, strict=True))
+    return f"(CASE {ua} {whens} ELSE 'Unknown' END)"
 
 
 def weighted_argmax(x: str) -> str:
@@ -149,7 +170,7 @@ def _imp_cte() -> str:
 
 
 def _conv_cte() -> str:
-    ua = f"'Mozilla/5.0 (' || {lst(fx.UA_OS)}[1 + user_id % 5] || ') ' || {lst(fx.UA_BROWSER)}[1 + k % 5]"
+    ua = f"{lst(fx.AGENTS)}[1 + (user_id + 7 * k) % {len(fx.AGENTS)}]"
     payload = ("'{\"cmpn\":\"p' || CAST(k % 5 AS VARCHAR) || '\",\"brwsos\":\"' || " + ua +
                " || '\",\"date\":\"' || strftime(ts, '%Y%m%d %H:%M:%S') || '\",\"st\":\"' || " +
                f"{lst(fx.STATES)}[1 + user_id % 6] || '\"}}'")
@@ -199,15 +220,16 @@ def _collect_conversions_body(src: str = "conv") -> str:
     return f"""SELECT hour_group, state, os, browser, category, sum(weight) AS conv FROM (
   SELECT {hg_conv('c.payload')} AS hour_group,
          {norm(ext('c.payload', RE_STATE))} AS state,
-         {clean_os(classify(ua, OS_RULES))} AS os,
-         {clean_browser(classify(ua, BROWSER_RULES))} AS browser,
+         {clean_os(classify(ua, 0))} AS os,
+         {clean_browser(classify(ua, 1))} AS browser,
          w.category, w.weight
   FROM {src} c JOIN pw w ON w.pixel = {ext('c.payload', RE_CMPN)}
   WHERE COALESCE(c.cookie, '') <> '' AND COALESCE(c.payload, '') <> '')
   GROUP BY hour_group, state, os, browser, category"""
 
 
-def _timeline_body() -> str:
+def _timeline_body(markers: bool = False) -> str:
+    """Timeline rows, or the row of every retargeting line at date ``-``."""
     d = fmt_ms(norm('i."timestamp"'))
     imp_rows = f"""SELECT i.cookie, {d} AS event_date, 0 AS is_conv, i.event_id AS tie, 0 AS ord,
          CAST(NULL AS VARCHAR) AS pixel, {norm('i.campaign_id')} AS campaign_id,
@@ -223,9 +245,11 @@ def _timeline_body() -> str:
                       ("campaign_id", "hour", "state", "os", "browser", "category"))
     kept = f"FROM conv c WHERE {ext('c.payload', RE_CMPN)} IN (SELECT pixel FROM pm) AND length(c.cookie) = 32"
     tag_rows = f"SELECT c.cookie, '-' AS event_date, 1 AS is_conv, c.event_id AS tie, 0 AS ord, '-' AS pixel, {nulls} {kept}"
+    if markers:
+        return tag_rows
     pay_rows = (f"SELECT c.cookie, {norm(ext('c.payload', RE_DATE))} AS event_date, 1 AS is_conv, "
                 f"c.event_id AS tie, 1 AS ord, {norm(ext('c.payload', RE_CMPN))} AS pixel, {nulls} {kept}")
-    return f"{imp_rows}\n  UNION ALL {tag_rows}\n  UNION ALL {pay_rows}"
+    return f"{imp_rows}\n  UNION ALL {pay_rows}"
 
 
 def _dedup(key_cols: str) -> str:
@@ -234,7 +258,7 @@ def _dedup(key_cols: str) -> str:
 
 
 def _seq_label_body() -> str:
-    return f"""tl2 AS (SELECT * FROM tl),
+    return f"""tl2 AS (SELECT * FROM tl UNION ALL {_timeline_body(markers=True)}),
 dd AS ({_dedup('cookie, event_date')}),
 nx AS (SELECT *, lead(is_conv) OVER w AS next_conv, lead(pixel) OVER w AS next_pixel
        FROM dd WINDOW w AS (PARTITION BY cookie ORDER BY event_date)),
@@ -260,12 +284,11 @@ def statements() -> dict[str, str]:
     tok = "list_filter(string_split(line, chr(9)), lambda x: x <> '')"
     fld = ("(CASE WHEN regexp_full_match(line, '\\t+') THEN CAST([] AS VARCHAR[]) "
            "ELSE string_split(regexp_replace(line, '\\t+$', ''), chr(9)) END)")
-    keys = hour_keys(SCAN_START, SCAN_DAYS)
     s: dict[str, str] = {}
 
     s["scan_hour_range"] = (P + "x AS (SELECT 1)\n"
         f"SELECT strftime(ts, '%Y%m%d%H') AS dthr, line AS value FROM imp_lines "
-        f"WHERE strftime(ts, '%Y%m%d%H') BETWEEN {q(keys[0])} AND {q(keys[-1])}")
+        f"WHERE strftime(ts, '%Y%m%d%H') BETWEEN {q(SCAN_FROM)} AND {q(SCAN_TO)}")
     s["parse_impressions_tokens"] = (P + "x AS (SELECT 1)\n"
         f"SELECT event_id, {_fields('t', LOG_FIELDS)} FROM (SELECT event_id, {tok} AS t FROM imp_lines)")
     s["parse_impressions_fields"] = (P + "x AS (SELECT 1)\n"
@@ -308,6 +331,38 @@ def statements() -> dict[str, str]:
         "AND ia.browser = ca.browser AND ia.category = ca.category "
         "WHERE ia.hour_group IN (SELECT hour_group FROM g) AND ia.imp > 0")
 
+    # absent fields and malformed lines, from the error events
+    err = "err AS (SELECT *, k % 6 AS gap, md5(CAST(user_id AS VARCHAR)) AS ck, CAST(k AS VARCHAR) AS kt FROM ev WHERE event_type = 'error')"
+    ml = (err + ", ml AS (SELECT event_id, CASE gap WHEN 0 THEN repeat(chr(9), 3) WHEN 1 THEN kt WHEN 2 THEN ck "
+          "WHEN 3 THEN concat_ws(chr(9), ck, 'x' || kt, '', 'z' || kt, '', '') WHEN 4 THEN concat_ws(chr(9), substr(ck, 1, 31), kt) "
+          "ELSE concat_ws(chr(9), 'b', '', kt) END AS line FROM err)\n")
+    s["required_fields"] = (P + err + f", st AS (SELECT *, {ctr_state('geo')} AS state FROM (SELECT *, "
+        f"CASE WHEN gap <> 4 THEN {lst(fx.GEOS)}[1 + user_id % 6] END AS geo FROM err))\n"
+        "SELECT event_id, 'ids' AS has, state FROM st WHERE gap NOT IN (1, 2, 3) "
+        "UNION ALL SELECT event_id, 'timestamp', state FROM st WHERE gap <> 0 "
+        "UNION ALL SELECT event_id, 'cookie', state FROM st WHERE gap <> 5")
+    s["route_malformed"] = (P + ml + "SELECT event_id, CASE WHEN length(t[1]) = 32 THEN 'CONV' ELSE 'IMP' END AS kind "
+        f"FROM (SELECT event_id, {fld} AS t FROM ml) WHERE len(t) > 1")
+    s["retarg_all_malformed"] = (P + ml + "SELECT event_id, cookie, CAST(unnest(generate_series(0, len(pl) - 1)) AS INTEGER) AS pos, "
+        "unnest(pl) AS payload FROM (SELECT event_id, t[1] AS cookie, t[2:] AS pl FROM "
+        f"(SELECT event_id, {fld} AS t FROM ml) WHERE len(t) > 1 AND length(t[1]) = 32)")
+    s["retarg_first_malformed"] = (P + ml + f"SELECT event_id, t[1] AS cookie, t[2] AS payload FROM (SELECT event_id, {tok} AS t FROM ml) "
+        "WHERE t[1] IS NOT NULL AND t[2] IS NOT NULL")
+    s["fields_malformed"] = (P + ml + "SELECT event_id, " + ", ".join(f"t[{i}] AS f{i}" for i in range(1, 6))
+        + f" FROM (SELECT event_id, {fld} AS t FROM ml)")
+    s["agg_row_malformed"] = (P + err + "\nSELECT concat_ws(chr(9), '1', 'CA', 'os', 'b', 'cat' || kt) AS key, 'IMP' AS tag, "
+        "CAST(k AS DOUBLE) AS value FROM err WHERE k % 3 = 1")
+    part = _collect_conversions_body("cp")
+    s["agg_rate_one_sided"] = (P + "cp AS (SELECT * FROM conv WHERE hour(ts) BETWEEN 1 AND 17),\n"
+        f"cb AS ({part}),\n"
+        "g AS (SELECT DISTINCT hour_group FROM ia WHERE hour_group IN ('1','2','3','4') "
+        "INTERSECT SELECT DISTINCT hour_group FROM cb)\n"
+        "SELECT ia.hour_group, ia.state, ia.os, ia.browser, ia.category, CAST(ia.imp AS DOUBLE) AS imp, "
+        "round(COALESCE(cb.conv, 0.0), 6) AS conv, "
+        "round((COALESCE(cb.conv, 0.0) + 1.0) / (CAST(ia.imp AS DOUBLE) + 1000.0), 8) AS rate "
+        "FROM ia LEFT JOIN cb USING (hour_group, state, os, browser, category) "
+        "WHERE ia.hour_group IN (SELECT hour_group FROM g) AND ia.imp > 0")
+
     # scalar functions
     s["norm_marker"] = (P + "x AS (SELECT 1)\nSELECT event_id, " + ", ".join(
         f"{norm(_qi(c))} AS {_qi(c)}" for c in
@@ -323,8 +378,8 @@ def statements() -> dict[str, str]:
         f"{clean_os(norm('os'), False)} AS os, {clean_browser(norm('browser'), False)} AS browser FROM imp")
     ua = norm(ext("payload", RE_BRWSOS))
     s["classify_user_agent"] = (P + "x AS (SELECT 1)\n"
-        f"SELECT event_id, {classify(ua, OS_RULES)} AS os_name, {classify(ua, BROWSER_RULES)} AS browser_name, "
-        f"{clean_os(classify(ua, OS_RULES))} AS os, {clean_browser(classify(ua, BROWSER_RULES))} AS browser FROM conv")
+        f"SELECT event_id, {classify(ua, 0)} AS os_name, {classify(ua, 1)} AS browser_name, "
+        f"{clean_os(classify(ua, 0))} AS os, {clean_browser(classify(ua, 1))} AS browser FROM conv")
     s["format_epoch_ms"] = P + f"x AS (SELECT 1)\nSELECT event_id, {fmt_ms(_qi('timestamp'))} AS formatted FROM imp"
     day = f"substr({norm(ext('payload', RE_DATE))}, 1, 8)"
     s["day_shift"] = (P + "x AS (SELECT 1)\n"

@@ -24,12 +24,12 @@ from pixelflow.plans.ctr import ctr_dims as _ctr_dims
 from pixelflow.session import shared_dir
 from pixelflow.sources import fixtures as fx
 from pixelflow.sources import logs, sinks
-from pixelflow.sources.config import adgroup_table, pixel_lookups, spec_size_ok
+from pixelflow.sources.config import adgroup_table, pixel_lookups
 from pixelflow.sources.intermediate import parse_intermediate, to_intermediate_lines, write_intermediate
 
 PIX = fx.PIXEL_SPEC
 ADG = fx.ADGROUP_SPEC
-SCAN_START, SCAN_DAYS = "20240101", 31
+SCAN_START, SCAN_DAYS = "20240105", 20
 CREDIT_DECIMALS = 6
 
 
@@ -109,7 +109,7 @@ def q_pixel_map(spark, d):
 
 def q_adgroup_filter(spark, d):
     adg = adgroup_table(spark, ADG)
-    kept = flt.filter_adgroups(_imp(spark, d), adg, spec_size_ok(ADG))
+    kept = flt.filter_adgroups(_imp(spark, d), adg)
     return kept.groupBy("adgroup_id").agg(F.count(F.lit(1)).alias("n_imp"))
 
 
@@ -380,5 +380,42 @@ def q_check_label_bound(spark, d):
     return out.withColumn("bounded", F.col("labels") <= F.col("conversions"))
 
 
+# ------------------------------------------- absent fields and malformed lines
+def q_required_fields(spark, d):
+    """Which rows the required-field filters keep, with the CTR state of rows
+    whose location may be absent."""
+    df = fx.sparse_impressions(_ev(spark, d)).withColumn("state", pf.ctr_state("geo_location"))
+    kept = [(flt.require_ctr_ids, "ids"), (flt.require_timestamp, "timestamp"), (flt.require_cookie, "cookie")]
+    parts = [f(df).select("event_id", F.lit(name).alias("has"), "state") for f, name in kept]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_route_malformed(spark, d):
+    return logs.route_mixed(fx.malformed_lines(_ev(spark, d)), keep=("event_id",)).select("event_id", "kind")
+
+
+def q_retarg_all_malformed(spark, d):
+    c = logs.parse_retarg_all(fx.malformed_lines(_ev(spark, d)), keep=("event_id",))
+    return c.select("event_id", "cookie", F.posexplode("payloads").alias("pos", "payload"))
+
+
+def q_retarg_first_malformed(spark, d):
+    return logs.parse_retarg_first(fx.malformed_lines(_ev(spark, d)), keep=("event_id",))
+
+
+def q_fields_malformed(spark, d):
+    return logs.parse_impressions_fields(fx.malformed_lines(_ev(spark, d)), fields=("f1", "f2", "f3", "f4", "f5"), keep=("event_id",))
+
+
+def q_agg_row_malformed(spark, d):
+    return parse_intermediate(fx.malformed_intermediate(_ev(spark, d)).select("value"))
+
+
+def q_agg_rate_one_sided(spark, d):
+    """The rate job where one hour group has no conversions: its impressions go."""
+    conv = fx.conversions(_ev(spark, d).where(F.hour("ts").between(1, 17)))
+    return _credit(agg_rate(collect_impressions(spark, _imp(spark, d), PIX), collect_conversions(spark, conv, PIX)))
+
+
 QUERIES = {name[2:]: fn for name, fn in sorted(globals().items())
            if name.startswith("q_") and callable(fn)}

