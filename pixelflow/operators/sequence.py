@@ -1,13 +1,11 @@
 """Per-cookie event timeline and next-event labels.
 
-Plan: both logs are projected to narrow timeline rows *before* any
-shuffle; same-cookie same-second rows are collapsed by an aggregate
-(partial aggregation map-side, so a hot cookie or a burst of duplicates
-is pre-reduced before the exchange); then one window per cookie ordered
-by the text date gives the next event with ``lead``.  After the collapse a
-cookie holds at most one row per second of the scanned range (plus the
-two sentinel dates ``''`` and ``-``), which bounds the size of every
-window partition regardless of how skewed the raw cookie counts are.
+Plan: both logs are projected to narrow timeline rows before any shuffle; one
+exchange by (cookie, day) and one sort then give, in a window over the text
+date, the winner of every second and the winner that follows it the same day.
+The last winner of each (cookie, day) is settled from the next day's first
+winner in a second, small window (one row per cookie and day), so a hot
+cookie is split by day.
 """
 
 from __future__ import annotations
@@ -20,7 +18,7 @@ from pixelflow.functions.geo import geo_state
 from pixelflow.functions.markers import norm_marker
 from pixelflow.functions.text import clean_browser, clean_os, payload_extract
 from pixelflow.operators.filters import require_cookie, require_timestamp
-from pixelflow.operators.joins import maybe_broadcast, with_category
+from pixelflow.operators.joins import with_category
 from pixelflow.sources.config import PixelLookups
 from pixelflow.sources.logs import split_once
 
@@ -59,27 +57,18 @@ def timeline_conversions(conv_all: DataFrame, lk: PixelLookups,
                          tie_col: str | None = "event_id") -> DataFrame:
     """Conversion rows of the timeline from ``(cookie, payloads[])``.
 
-    Only payloads whose ``cmpn`` is a mapped pixel enter (a line with none
-    left is dropped).  Each kept line also contributes a marker row at
-    date ``-`` with pixel ``-``; it is emitted next to every kept payload
-    and the copies collapse in :func:`dedup_last_wins`.
-    """
+    Only payloads whose ``cmpn`` is a mapped pixel enter."""
     df = conv_all.withColumn("_tie", _tie(conv_all, tie_col, ("cookie", "payloads")))
     ex = df.select("cookie", "_tie", F.posexplode("payloads").alias("_pos", "_p"))
     # pixel id once per payload (generator barrier, see split_once)
     ex = split_once(ex, F.regexp_extract("_p", RE_CMPN, 1), keep=("cookie", "_tie", "_pos", "_p")) \
         .withColumnRenamed("_arr", "_pix")
     known = lk.pixels.withColumnRenamed("pixel", "_known")
-    ex = ex.join(maybe_broadcast(known, lk.small), F.col("_pix") == F.col("_known"), "left_semi")
-    rows = F.array(
-        F.struct(F.lit(MISSING).alias("event_date"), F.lit(0).alias("ord"), F.lit(MISSING).alias("pixel")),
-        F.struct(payload_extract("_p", RE_DATE).alias("event_date"), (F.col("_pos") + 1).alias("ord"),
-                 norm_marker("_pix").alias("pixel")))
-    ex = ex.select("cookie", "_tie", F.explode(rows).alias("r"))
+    ex = ex.join(known, F.col("_pix") == F.col("_known"), "left_semi")
     null = F.lit(None).cast("string")
     return ex.select(
-        "cookie", F.col("r.event_date").alias("event_date"), F.lit(1).alias("is_conv"),
-        F.col("_tie").alias("tie"), F.col("r.ord").alias("ord"), F.col("r.pixel").alias("pixel"),
+        "cookie", payload_extract("_p", RE_DATE).alias("event_date"), F.lit(1).alias("is_conv"),
+        F.col("_tie").alias("tie"), (F.col("_pos") + 1).alias("ord"), norm_marker("_pix").alias("pixel"),
         null.alias("campaign_id"), null.alias("hour"), null.alias("state"), null.alias("os"),
         null.alias("browser"), null.alias("category"))
 
@@ -105,78 +94,91 @@ def dedup_last_wins(timeline: DataFrame, key=("cookie", "event_date"),
                     .select(*key, *[F.col("_w." + c).alias(c) for c in (*order, *rest)]))
 
 
-def label_next(deduped: DataFrame, lk: PixelLookups) -> DataFrame:
-    """Label each impression 1 iff the next event of its cookie (by date text)
-    is a conversion whose pixel lists the impression's campaign; the last
-    impression of a cookie gets 0."""
-    w = Window.partitionBy("cookie").orderBy("event_date")
-    nxt = deduped.select("*", F.lead("is_conv").over(w).alias("_next_conv"),
-                         F.lead("pixel").over(w).alias("_next_pixel"))
-    imps = nxt.where(F.col("is_conv") == 0)
-    pairs = (lk.pairs.withColumnRenamed("pixel", "_pp")
-             .withColumnRenamed("campaign_id", "_pc").withColumn("_hit", F.lit(1)))
-    cond = (F.col("_next_pixel") == F.col("_pp")) & (F.col("campaign_id") == F.col("_pc"))
-    j = imps.join(maybe_broadcast(pairs, lk.small), cond, "left")
-    label = F.when((F.col("_next_conv") == 1) & F.col("_hit").isNotNull(), F.lit(1)).otherwise(F.lit(0))
-    return j.select("cookie", "hour", "state", "os", "browser", "category", label.alias("label"))
+def label_next(timeline: DataFrame, lk: PixelLookups) -> DataFrame:
+    """Label each impression that wins its second 1 iff the next event of its
+    cookie (by date text) is a conversion whose pixel lists the impression's
+    campaign; the last impression of a cookie gets 0.
+
+    Every retargeting line also stands at date ``-`` of its cookie, where the
+    last line decides: an undated impression (before ``-``) is followed by an
+    undated conversion only if that belongs to the cookie's last line.
+
+    Same-second rows: a conversion beats an impression, then the larger tie
+    value, then the later payload position."""
+    t = timeline.withColumn("_day", F.substring("event_date", 1, 8))
+    # latest first: a second's winner is its first row, the event after it the winner before
+    w = Window.partitionBy("cookie", "_day").orderBy(*[F.desc(c) for c in ("event_date", "is_conv", "tie", "ord")])
+    wins = F.lag("event_date").over(w).isNull() | (F.lag("event_date").over(w) != F.col("event_date"))
+    t = t.withColumn("_win", F.when(wins, F.struct("event_date", "is_conv", "pixel", "tie")))
+    t = t.withColumn("_next", F.last("_win", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    t = t.withColumn("_first", F.last("_win", ignorenulls=True).over(whole))
+    t = t.withColumn("_line", F.max(F.when(F.col("is_conv") == 1, F.col("tie"))).over(whole)).where(F.col("_win").isNotNull())
+    keep = ["cookie", "event_date", "is_conv", "campaign_id", "hour", "state", "os", "browser", "category", "_next"]
+    within = t.where(F.col("_next").isNotNull() & (F.col("is_conv") == 0)).select(*keep, F.lit(True).alias("_last_line"))
+    # the last winner of a day: the next day's first winner follows it
+    days = Window.partitionBy("cookie").orderBy("_day")
+    last = t.where(F.col("_next").isNull()).withColumn("_next", F.lead("_first").over(days))
+    latest = F.max("_line").over(Window.partitionBy("cookie"))
+    last = last.withColumn("_last_line", F.col("_next.tie") == latest)
+    imps = within.unionByName(last.where(F.col("is_conv") == 0).select(*keep, "_last_line"))
+    pairs = lk.pairs.withColumnRenamed("pixel", "_pp").withColumnRenamed("campaign_id", "_pc").withColumn("_hit", F.lit(1))
+    may = (F.col("_next.is_conv") == 1) & (
+        (F.col("event_date") != "") | ((F.col("_next.event_date") == MISSING) & F.col("_last_line")))
+    # rows without a conversion next carry a key of their own, which no pixel has
+    key = F.when(may, F.col("_next.pixel")).otherwise(F.concat(F.lit("\x00"), "cookie"))
+    imps = imps.withColumn("_np", key)
+    j = imps.join(pairs, (F.col("_np") == F.col("_pp")) & (F.col("campaign_id") == F.col("_pc")), "left")
+    return j.select("cookie", "hour", "state", "os", "browser", "category",
+                    F.when(F.col("_hit").isNotNull(), F.lit(1)).otherwise(F.lit(0)).alias("label"))
 
 
 def seq_events_mixed(lines: DataFrame, lk: PixelLookups, tie_col: str | None = None) -> DataFrame:
     """Timeline rows from a mixed input (both logs in the same files) in a
-    single scan: each line is split once, routed by its first field (32
-    characters = retargeting line), and turned into its candidate timeline
-    rows in one projection; two broadcast lookups then keep mapped
-    campaigns / pixels.  Same rows as :func:`seq_events` on the separated
-    logs."""
+    single scan: each line is split once and routed by its first field (32
+    characters = retargeting line); raw fields meet the lookups, and only kept
+    rows are cleaned.  Same rows as :func:`seq_events` on the separated logs."""
     idx = {f: i for i, f in enumerate(LOG_FIELDS)}
-    tie = F.col(tie_col).cast("bigint") if tie_col else F.xxhash64("value")
-    base = split_once(lines, F.split(F.regexp_replace("value", "\t+$", ""), "\t"), extra=(tie.alias("tie"),))
+    base = split_once(lines, F.split(F.regexp_replace("value", "\t+\\z", ""), "\t"), keep=(tie_col,) if tie_col else ())
     base = base.withColumnRenamed("_arr", "_a").where(F.size("_a") > 1)
     a = F.col("_a")
 
     def fld(name):
         return F.try_element_at(a, F.lit(idx[name] + 1))
-
     is_conv_line = F.length(a.getItem(0)) == COOKIE_LENGTH
-    null = F.lit(None).cast("string")
+    payloads = F.slice(a, 2, F.size(a) - 1)
+    used = ("cookie", "timestamp", "campaign_id", "geo_location", "os", "browser")
+    tie = F.col(tie_col).cast("bigint") if tie_col else F.when(
+        is_conv_line, F.xxhash64(a.getItem(0), payloads)).otherwise(F.xxhash64(*[fld(c) for c in used]))
     # one row per payload for a retargeting line, one row (no payload) otherwise
-    ex = base.select("_a", "tie", is_conv_line.alias("_c"),
-                     F.posexplode_outer(F.when(is_conv_line, F.slice(a, 2, F.size(a) - 1))).alias("_i", "_p"))
-    # candidate fields as plain columns first (Spark splits a wide projection
-    # into small generated methods); the rows below only reference them
-    date = format_epoch_ms(norm_marker(fld("timestamp")))
-    p = F.col("_p")
-    ex = ex.select(
-        "tie", "_c", "_i", a.getItem(0).alias("_first"),
-        (fld("campaign_id").isNotNull() & fld("cookie").isNotNull() & fld("timestamp").isNotNull()).alias("_ok"),
-        fld("cookie").alias("_cookie"), date.alias("_date"), norm_marker(fld("campaign_id")).alias("_camp"),
-        geo_state(norm_marker(fld("geo_location"))).alias("_state"),
-        F.when(fld("os").isNull(), F.lit("")).otherwise(clean_os(norm_marker(fld("os")), False)).alias("_os"),
-        F.when(fld("browser").isNull(), F.lit("")).otherwise(
-            clean_browser(norm_marker(fld("browser")), False)).alias("_browser"),
-        F.regexp_extract(p, RE_CMPN, 1).alias("_check"), payload_extract(p, RE_DATE).alias("_pdate"),
-        payload_extract(p, RE_CMPN).alias("_pixel"))
-    ex = ex.withColumn("_hour", F.regexp_extract("_date", RE_SEQ_HOUR, 1))
-
-    def row(is_conv, ord_, cookie, date_, pixel, camp, hour, state, os_, browser, check):
-        return F.struct(F.lit(is_conv).alias("is_conv"), ord_.alias("ord"), cookie.alias("cookie"),
-                        date_.alias("event_date"), pixel.alias("pixel"), camp.alias("campaign_id"),
-                        hour.alias("hour"), state.alias("state"), os_.alias("os"), browser.alias("browser"),
-                        check.alias("check"))
-
-    c = F.col
-    marker = row(1, F.lit(0), c("_first"), F.lit(MISSING), F.lit(MISSING), null, null, null, null, null, c("_check"))
-    payload = row(1, c("_i") + 1, c("_first"), c("_pdate"), c("_pixel"), null, null, null, null, null, c("_check"))
-    impression = row(0, F.lit(0), c("_cookie"), c("_date"), null, c("_camp"), c("_hour"), c("_state"),
-                     c("_os"), c("_browser"), null)
-    rows = F.when(c("_c"), F.array(marker, payload)).when(c("_ok"), F.array(impression))
-    ex = ex.select("tie", F.explode(rows).alias("r")).select("tie", "r.*")
+    ex = base.select(
+        is_conv_line.alias("_c"), tie.alias("tie"), F.when(is_conv_line, a.getItem(0)).otherwise(fld("cookie")).alias("cookie"),
+        *[fld(c).alias("_" + c) for c in used if c != "cookie"],
+        F.posexplode_outer(F.when(is_conv_line, payloads)).alias("_i", "_p"))
+    ex = split_once(ex, F.when(F.col("_c"), F.regexp_extract("_p", RE_CMPN, 1)),
+                    keep=[c for c in ex.columns]).withColumnRenamed("_arr", "_pix")
     cat = lk.category.withColumnRenamed("campaign_id", "_lk_campaign")
     known = lk.pixels.withColumnRenamed("pixel", "_known")
-    ex = (ex.join(maybe_broadcast(cat, lk.small), F.col("campaign_id") == F.col("_lk_campaign"), "left")
-            .join(maybe_broadcast(known, lk.small), F.col("check") == F.col("_known"), "left"))
-    keep = (((F.col("is_conv") == 0) & F.col("_lk_campaign").isNotNull() & (norm_marker("cookie") != MISSING))
-            | ((F.col("is_conv") == 1) & F.col("_known").isNotNull()))
-    return ex.where(keep).select(
-        "cookie", "event_date", "is_conv", "tie", "ord", "pixel", "campaign_id", "hour", "state", "os",
-        "browser", F.when(F.col("is_conv") == 0, norm_marker("category")).alias("category"))
+    # each kind meets its own lookup; the other kind carries a key that none has
+    camp = F.when(~F.col("_c"), norm_marker("_campaign_id")).otherwise(F.concat(F.lit("\x00"), "cookie"))
+    pix = F.coalesce("_pix", F.concat(F.lit("\x00"), "tie"))
+    ex = ex.withColumn("_camp", F.when(F.col("_c") | F.col("_campaign_id").isNotNull(), camp)).withColumn("_pk", pix)
+    ex = (ex.join(cat, F.col("_camp") == F.col("_lk_campaign"), "left")
+            .join(known, F.col("_pk") == F.col("_known"), "left"))
+    imp = (~F.col("_c") & F.col("_lk_campaign").isNotNull() & F.col("_timestamp").isNotNull()
+           & F.col("cookie").isNotNull() & (norm_marker("cookie") != MISSING))
+    ex = ex.where(imp | (F.col("_c") & F.col("_known").isNotNull()))
+    conv = F.col("_c")
+    date = F.when(conv, payload_extract("_p", RE_DATE)).otherwise(format_epoch_ms(norm_marker("_timestamp")))
+    ex = ex.withColumn("event_date", date)
+
+    def of_imp(c):
+        return F.when(~conv, c)
+    return ex.select(
+        "cookie", "event_date", F.when(conv, 1).otherwise(0).alias("is_conv"), "tie",
+        F.when(conv, F.col("_i") + 1).otherwise(0).alias("ord"), F.when(conv, norm_marker("_pix")).alias("pixel"),
+        of_imp(F.col("_camp")).alias("campaign_id"), of_imp(F.regexp_extract("event_date", RE_SEQ_HOUR, 1)).alias("hour"),
+        of_imp(geo_state(norm_marker("_geo_location"))).alias("state"),
+        of_imp(F.when(F.col("_os").isNull(), F.lit("")).otherwise(clean_os(norm_marker("_os"), False))).alias("os"),
+        of_imp(F.when(F.col("_browser").isNull(), F.lit("")).otherwise(clean_browser(norm_marker("_browser"), False))).alias("browser"),
+        of_imp(norm_marker("category")).alias("category"))

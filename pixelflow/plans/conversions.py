@@ -10,38 +10,42 @@ from pixelflow.constants import RE_CMPN, RE_STATE, RE_BRWSOS
 from pixelflow.functions.hours import hour_group_conversions
 from pixelflow.functions.text import clean_browser, clean_os, payload_extract
 from pixelflow.functions.useragent import classify_browser, classify_os
-from pixelflow.operators.aggregates import CONV_DIMS, sum_by
-from pixelflow.operators.joins import fan_out, maybe_broadcast
+from pixelflow.operators.aggregates import CONV_DIMS, count_by, sum_by
+from pixelflow.operators.joins import fan_out
 from pixelflow.sources.logs import split_once
 from pixelflow.sources.config import PixelLookups, pixel_lookups
 
 
 def conversion_dims(conv: DataFrame, lk: PixelLookups) -> DataFrame:
-    """Per (conversion, map entry): the five dimensions and ``weight``.
+    """Per conversion of a known pixel: ``_pix`` and its four dimensions.
 
     ``conv`` has ``cookie`` and ``payload`` (first payload of the line).
-    Order of work: broadcast semi join on the pixel (unknown pixels leave
-    before any regex work), the payload dimensions once per conversion,
-    then the broadcast fan-out join, which only copies computed values."""
+    The semi join on the pixel comes first (unknown pixels leave before any
+    regex work), then the payload dimensions."""
     df = conv.where((F.coalesce(F.col("cookie"), F.lit("")) != "")
                     & (F.coalesce(F.col("payload"), F.lit("")) != ""))
     # the pixel id once per conversion (generator barrier, see split_once),
     # then a broadcast semi join on it
     df = split_once(df, F.regexp_extract("payload", RE_CMPN, 1), keep=("payload",)).withColumnRenamed("_arr", "_pix")
     known = lk.pixels.withColumnRenamed("pixel", "_known")
-    df = df.join(maybe_broadcast(known, lk.small), F.col("_pix") == F.col("_known"), "left_semi")
+    df = df.join(known, F.col("_pix") == F.col("_known"), "left_semi")
     ua = payload_extract("payload", RE_BRWSOS)
-    dims = df.select(
+    return df.select(
         F.col("_pix"),
         hour_group_conversions("payload").alias("hour_group"),
         payload_extract("payload", RE_STATE).alias("state"),
         clean_os(classify_os(ua)).alias("os"),
         clean_browser(classify_browser(ua)).alias("browser"))
-    return fan_out(dims, lk, key="_pix").select("hour_group", "state", "os", "browser", "category", "weight")
 
 
 def collect_conversions(spark: SparkSession, conv: DataFrame, pixels: str) -> DataFrame:
-    """``(hour_group, state, os, browser, category, conv)`` with ``conv`` DOUBLE."""
+    """``(hour_group, state, os, browser, category, conv)`` with ``conv`` DOUBLE.
+
+    Conversions are counted per pixel and dimensions first; the small result
+    is spread over the pixel's categories and summed."""
     if pixels is None:
         raise ValueError("pixel map is required")
-    return sum_by(conversion_dims(conv, pixel_lookups(spark, pixels)), "weight", CONV_DIMS, "conv")
+    lk = pixel_lookups(spark, pixels)
+    counts = count_by(conversion_dims(conv, lk), ("_pix", *CONV_DIMS[:-1]), "_n")
+    spread = fan_out(counts, lk, key="_pix").withColumn("_credit", F.col("_n") * F.col("weight"))
+    return sum_by(spread, "_credit", CONV_DIMS, "conv")

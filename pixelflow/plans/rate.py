@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pixelflow.constants import RATE_HOUR_GROUPS, TAG_IMP, TAG_CONV
 from pixelflow.functions.scalars import smoothed_rate
-from pixelflow.operators.aggregates import CONV_DIMS, tag_pivot
+from pixelflow.operators.aggregates import CONV_DIMS
 from pixelflow.sources.config import local_table
 from pixelflow.sources.intermediate import parse_intermediate
 
@@ -51,10 +51,16 @@ def agg_rate_from_lines(imp_lines: DataFrame, conv_lines: DataFrame) -> DataFram
         p = parse_intermediate(lines).where(F.col("tag") == tag)
         return p.withColumn("hour_group", F.split("key", "\t")[0])
     imp, conv = side(imp_lines, TAG_IMP), side(conv_lines, TAG_CONV)
-    both = _groups_with(imp, "value").join(_groups_with(conv, "value"), "hour_group", "left_semi")
-    tagged = imp.unionByName(conv).join(F.broadcast(both), "hour_group", "left_semi").drop("hour_group")
-    piv = tag_pivot(tagged)
-    return piv.where(F.col("imp") > 0).withColumn("rate", smoothed_rate("conv", "imp"))
+    # the groups present on both sides come from the (much smaller) pivoted
+    # rows, so each side's lines are read once
+    tagged = imp.unionByName(conv).where(F.col("hour_group").isin(*RATE_HOUR_GROUPS) & F.col("value").isNotNull())
+    rows = tagged.groupBy("key", "hour_group").agg(
+        *[F.coalesce(F.sum(F.when(F.col("tag") == t, F.col("value"))), F.lit(0.0)).alias(t.lower()) for t in (TAG_IMP, TAG_CONV)],
+        *[F.max((F.col("tag") == t).cast("int")).alias("_" + t) for t in (TAG_IMP, TAG_CONV)])
+    both = rows.groupBy("hour_group").agg(F.max("_" + TAG_IMP).alias("_i"), F.max("_" + TAG_CONV).alias("_c"))
+    both = both.where("_i = 1 AND _c = 1").select("hour_group")          # four rows at most
+    piv = rows.where(F.col("imp") > 0).join(F.broadcast(both), "hour_group", "left_semi")
+    return piv.select("key", "imp", "conv").withColumn("rate", smoothed_rate("conv", "imp"))
 
 
 def agg_rate_from_folders(spark, imp_root: str, conv_root: str) -> DataFrame:
@@ -63,6 +69,7 @@ def agg_rate_from_folders(spark, imp_root: str, conv_root: str) -> DataFrame:
     group folders 1..4 are read (partition pruning), groups need folders on
     both sides; returns ``(key, imp, conv, rate)``."""
     def side(root):
-        return (spark.read.text(root).where(F.col("hour_group").cast("string").isin(*RATE_HOUR_GROUPS))
-                     .select("value"))
+        # the schema is given: a side without rows has no folder to infer it from
+        lines = spark.read.schema("value string, hour_group string").text(root)
+        return lines.where(F.col("hour_group").isin(*RATE_HOUR_GROUPS)).select("value")
     return agg_rate_from_lines(side(imp_root), side(conv_root))

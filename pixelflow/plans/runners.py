@@ -15,16 +15,18 @@ from pixelflow.plans.conversions import collect_conversions
 from pixelflow.plans.ctr import ctr_leaves
 from pixelflow.plans.impressions import collect_impressions
 from pixelflow.plans.rate import agg_rate_from_folders
-from pixelflow.plans.sequence import sequence_labels
+from pixelflow.plans.sequence import sequence_labels_mixed
 from pixelflow.sources import logs, sinks
 from pixelflow.sources.intermediate import write_intermediate
 
 
-def _check(start: str | None, out: str | None) -> None:
+def _check(start: str | None, out: str | None, *inputs: str | None) -> None:
     if not start:
         raise ValueError("start date (yyyyMMdd) is required")
     if not out:
         raise ValueError("output path is required")
+    if not all(inputs):
+        raise ValueError("input path is required")
 
 
 def _scan(spark, root, start, days, layout, leaf=None) -> DataFrame:
@@ -34,7 +36,7 @@ def _scan(spark, root, start, days, layout, leaf=None) -> DataFrame:
 def run_collect_impressions(spark: SparkSession, log_root: str, start: str, days: int, pixels: str,
                             out: str, layout: str = "partitioned", leaf: str | None = None) -> None:
     """Impression log (token mode) -> counts -> tagged text per hour-group folder."""
-    _check(start, out)
+    _check(start, out, log_root)
     imp = logs.parse_impressions_tokens(_scan(spark, log_root, start, days, layout, leaf))
     write_intermediate(collect_impressions(spark, imp, pixels), TAG_IMP, "imp", out)
 
@@ -42,7 +44,7 @@ def run_collect_impressions(spark: SparkSession, log_root: str, start: str, days
 def run_collect_conversions(spark: SparkSession, retarg_root: str, start: str, days: int, pixels: str,
                             out: str, layout: str = "partitioned", leaf: str | None = None) -> None:
     """Retargeting log (first payload) -> fractional credit -> tagged text per hour-group folder."""
-    _check(start, out)
+    _check(start, out, retarg_root)
     conv = logs.parse_retarg_first(_scan(spark, retarg_root, start, days, layout, leaf))
     write_intermediate(collect_conversions(spark, conv, pixels), TAG_CONV, "conv", out)
 
@@ -51,7 +53,7 @@ def run_agg_rate(spark: SparkSession, imp_out: str, conv_out: str, out: str) ->
     """Rate per context from the two collect outputs; one folder per hour
     group, lines ``hg state os browser category imp conv rate`` (rate with 8
     decimals)."""
-    _check("-", out)
+    _check("-", out, imp_out, conv_out)
     rate = agg_rate_from_folders(spark, imp_out, conv_out)
     lines = rate.select(F.split("key", "\t")[0].alias("hour_group"),
                         F.concat_ws("\t", "key", F.col("imp").cast("string"), F.col("conv").cast("string"),
@@ -62,16 +64,18 @@ def run_agg_rate(spark: SparkSession, imp_out: str, conv_out: str, out: str) ->
 def run_sequence(spark: SparkSession, log_root: str, retarg_root: str, start: str, days: int,
                  pixels: str, out: str, layout: str = "partitioned", log_leaf: str | None = None,
                  retarg_leaf: str | None = None, compression: str | None = None) -> None:
-    """Both logs (field mode, all payloads) -> labelled sequence rows, flat text."""
-    _check(start, out)
-    imp = logs.parse_impressions_fields(_scan(spark, log_root, start, days, layout, log_leaf))
-    conv = logs.parse_retarg_all(_scan(spark, retarg_root, start, days, layout, retarg_leaf))
-    sinks.write_flat(sequence_labels(spark, imp, conv, pixels, tie_col=None), out, compression=compression)
+    """Both logs -> labelled sequence rows, flat text.  Every line of either
+    folder is routed by its first field."""
+    _check(start, out, log_root, retarg_root)
+    lines = _scan(spark, log_root, start, days, layout, log_leaf).unionByName(
+        _scan(spark, retarg_root, start, days, layout, retarg_leaf))
+    sinks.write_flat(sequence_labels_mixed(spark, lines, pixels), out, compression=compression)
 
 
 def run_ctr_leaves(spark: SparkSession, log_root: str, start: str, days: int, adgroups: str | None,
                    out: str, layout: str = "partitioned", leaf: str | None = None) -> None:
-    """CTR log (token mode, 56 fields) -> leaves, one text folder per hour group."""
-    _check(start, out)
+    """CTR log (token mode, 56 fields) -> leaves, one text folder per hour
+    group; the line keeps the group as its first of eight fields."""
+    _check(start, out, log_root)
     ctr = ctr_leaves(spark, logs.parse_ctr_log(_scan(spark, log_root, start, days, layout, leaf)), adgroups)
-    sinks.write_partitioned(ctr, out, "hour_group", fmt="text")
+    sinks.write_partitioned(ctr, out, "hour_group", fmt="text", keep_by=True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pixelflow.operators.sequence import dedup_last_wins, label_next, seq_events, seq_events_mixed
+from pixelflow.operators.sequence import label_next, seq_events, seq_events_mixed
 from pixelflow.sources.config import pixel_lookups
 
 
@@ -19,7 +19,7 @@ def sequence_labels(spark: SparkSession, imp: DataFrame, conv_all: DataFrame, pi
     if pixels is None:
         raise ValueError("pixel map is required")
     lk = pixel_lookups(spark, pixels)
-    return label_next(dedup_last_wins(seq_events(imp, conv_all, lk, tie_col)), lk)
+    return label_next(seq_events(imp, conv_all, lk, tie_col), lk)
 
 
 def sequence_labels_mixed(spark: SparkSession, lines: DataFrame, pixels: str,
@@ -29,4 +29,4 @@ def sequence_labels_mixed(spark: SparkSession, lines: DataFrame, pixels: str,
     if pixels is None:
         raise ValueError("pixel map is required")
     lk = pixel_lookups(spark, pixels)
-    return label_next(dedup_last_wins(seq_events_mixed(lines, lk, tie_col)), lk)
+    return label_next(seq_events_mixed(lines, lk, tie_col), lk)

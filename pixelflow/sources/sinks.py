@@ -16,15 +16,15 @@ def _as_line(df: DataFrame, cols) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, by: str = "hour_group",
-                      fmt: str = "parquet") -> None:
+                      fmt: str = "parquet", keep_by: bool = False) -> None:
     """One sub-folder per value of ``by``; no file is written for a value that
     has no rows; an existing output is replaced.  Rows are rebalanced by
     ``by`` first (``REBALANCE`` hint): few files per folder, and AQE splits a
     value holding a large share of the rows over several tasks instead of
-    funnelling it through one."""
+    funnelling it through one.  ``keep_by``: text lines keep ``by`` in its place."""
     df = df.hint("rebalance", by)
     if fmt == "text":
-        rest = [c for c in df.columns if c != by]
+        rest = [c for c in df.columns if keep_by or c != by]
         df = df.select(F.col(by), F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit(""))
                                                       for c in rest]).alias("value"))
         df.write.mode("overwrite").partitionBy(by).text(path)
