@@ -69,7 +69,8 @@ def agg_rate_from_folders(spark, imp_root: str, conv_root: str) -> DataFrame:
     group folders 1..4 are read (partition pruning), groups need folders on
     both sides; returns ``(key, imp, conv, rate)``."""
     def side(root):
-        # the schema is given: a side without rows has no folder to infer it from
-        lines = spark.read.schema("value string, hour_group string").text(root)
-        return lines.where(F.col("hour_group").isin(*RATE_HOUR_GROUPS)).select("value")
+        lines = spark.read.schema("value string").text(root)
+        if "hour_group" not in lines.columns:          # a side without rows has no folders
+            return lines.where(F.lit(False))
+        return lines.where(F.col("hour_group").cast("string").isin(*RATE_HOUR_GROUPS)).select("value")
     return agg_rate_from_lines(side(imp_root), side(conv_root))

@@ -156,10 +156,15 @@ def malformed_intermediate(events: DataFrame) -> DataFrame:
     return ev.select("event_id", line.alias("value"))
 
 
-def materialize(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, str]:
+def materialize(spark: SparkSession, sf_dir: str, out_dir: str, copies: int = 1) -> dict[str, str]:
     """Write the log-shaped inputs once (typed parquet and tab-separated text
-    logs), so jobs can be run and timed on stored logs as in production."""
+    logs), so jobs can be run and timed on stored logs as in production.
+    ``copies``: every event so many times, each copy with users of its own."""
     ev = read_events(spark, sf_dir)
+    if copies > 1:
+        ev = ev.withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+        ev = ev.withColumn("event_id", F.col("event_id") * copies + F.col("_c"))
+        ev = ev.withColumn("user_id", F.col("user_id") + F.col("_c").cast("bigint") * 1_000_000).drop("_c")
     paths = {k: f"{out_dir.rstrip('/')}/{k}" for k in ("imp", "conv", "imp_lines", "conv_lines")}
     impressions(ev).write.mode("overwrite").parquet(paths["imp"])
     conversions(ev).write.mode("overwrite").parquet(paths["conv"])

@@ -141,6 +141,8 @@ def scan_hour_range(spark: SparkSession, root: str, start: str, days: int = 1,
         return spark.createDataFrame([], schema)
     hours = "{" + ",".join(dict.fromkeys(k[:8] for k in keys)) + "}[0-9][0-9]"
     if layout == "partitioned":
-        scan = spark.read.schema(schema).option("basePath", base).text(f"{base}/{partition_col}={hours}")
-        return scan.where(F.col(partition_col).between(keys[0], keys[-1]))
+        scan = spark.read.schema("value string").option("basePath", base).text(f"{base}/{partition_col}={hours}")
+        # folders without any file give no partition column
+        hour = F.col(partition_col).cast("string") if partition_col in scan.columns else F.lit(None).cast("string")
+        return scan.where(hour.between(keys[0], keys[-1])).withColumn(partition_col, hour)
     return spark.read.text(f"{base}/{hours}" + (f"/{leaf}" if leaf else ""))

@@ -48,14 +48,48 @@ def test_runners_match_in_memory_jobs(spark, hourly):
     e2 = collect_conversions(spark, logs.parse_retarg_first(conv_lines), PIX)
     back = spark.read.text(co).select(F.split("value", "\t").alias("a"))
     assert _rows(back.select(*[F.col("a")[i] for i in range(5)], F.col("a")[6].cast("double"))) == _rows(e2)
-    assert spark.read.text(ro).count() > 0
+    from pixelflow.plans import agg_rate
+    rate = agg_rate(e1, e2.withColumn("conv", F.col("conv").cast("string").cast("double")))
+    want = sorted("\t".join([*r[:5], str(r.imp), str(r.conv), f"{r.rate:.8f}"]) for r in rate.collect())
+    assert sorted(r.value for r in spark.read.text(ro).collect()) == want
     seq = sequence_labels(spark, logs.parse_impressions_fields(imp_lines), logs.parse_retarg_all(conv_lines),
                           PIX, tie_col=None)
     back = sinks.read_flat(spark, so, "cookie string, hour string, state string, os string, browser string, "
                                       "category string, label int")
     assert _rows(back) == _rows(seq)
     ctr = ctr_leaves(spark, logs.parse_ctr_log(imp_lines), ADG)
-    assert spark.read.text(to).count() == ctr.count()
+    want = sorted("\t".join("" if v is None else str(v) for v in r) for r in ctr.collect())
+    assert sorted(r.value for r in spark.read.text(to).collect()) == want and want[0].count("\t") == 7
+
+
+def test_rate_of_an_empty_side(spark, hourly):
+    io_, co, ro = (shared_dir(spark, n) for n in ("e-imp", "e-conv", "e-rate"))
+    runners.run_collect_impressions(spark, hourly[0], "20240101", 2, PIX, io_)
+    runners.run_collect_conversions(spark, hourly[1], "20240101", 2, "none|c0|auto", co)
+    runners.run_agg_rate(spark, io_, co, ro)
+    assert spark.read.schema("value string").text(ro).count() == 0
+    with pytest.raises(ValueError):
+        runners.run_agg_rate(spark, io_, "", ro)
+
+
+def test_sequence_routes_every_line(spark):
+    """A 32-character bid marks a retargeting line, in either folder."""
+    from pixelflow.plans import sequence_labels_mixed
+    from pixelflow.constants import LOG_FIELDS
+
+    def imp_line(**given):
+        return "\t".join(given.get(f, "null") for f in LOG_FIELDS)
+    rows = [(imp_line(bid="b" * 32, cookie="c" * 32, campaign_id="c0", timestamp="1704067200000"), "2024010100"),
+            (imp_line(bid="short", cookie="c" * 32, campaign_id="c0", timestamp="1704067260000"), "2024010100")]
+    logs_root, conv_root, out = (shared_dir(spark, n) for n in ("r-imp", "r-conv", "r-out"))
+    spark.createDataFrame(rows, "value string, dthr string").write.partitionBy("dthr").text(logs_root)
+    spark.createDataFrame([("x" * 32 + '\t{"cmpn":"p0","date":"20240101 00:02:00"}', "2024010100")], "value string, dthr string") \
+        .write.partitionBy("dthr").text(conv_root)
+    runners.run_sequence(spark, logs_root, conv_root, "20240101", 1, PIX, out)
+    lines = spark.read.text(logs_root).select("value").unionByName(spark.read.text(conv_root).select("value"))
+    want = ["\t".join("" if v is None else str(v) for v in r) for r in sequence_labels_mixed(spark, lines, PIX).collect()]
+    got = [r.value for r in spark.read.text(out).collect()]
+    assert got == want and len(got) == 1
 
 
 def test_runner_arguments_are_checked(spark):

@@ -64,7 +64,7 @@ def main():
            "| job | shuffles | reused | broadcast joins | sort-merge joins | Python | largest generated method (bytes) |",
            "| --- | --- | --- | --- | --- | --- | --- |"]
     details = []
-    for name, make in bench.jobs(spark, paths).items():
+    for name, (_, make) in bench.jobs(spark, paths).items():
         df = make()
         f = facts(df)
         out.append(f"| {name} | {f['shuffles']} | {f['reused']} | {f['bhj']} | {f['smj']} | "

@@ -43,7 +43,7 @@ def main():
     spark.sparkContext.setLogLevel("ERROR")
     paths = fx.materialize(spark, sf, shared_dir(spark, "stage-inputs"))
     names = []
-    jobs = bench.jobs(spark, paths)
+    jobs = {name: make for name, (_, make) in bench.jobs(spark, paths).items()}
     for name, make in jobs.items():              # warm-up pass (JIT), not recorded
         spark.sparkContext.setJobGroup("warmup", "warmup")
         make().write.format("noop").mode("overwrite").save()
