@@ -33,7 +33,7 @@ empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +42,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pixelflow.llm.common import map_batches, stored
 
 PARITY_WORDS = 8          # 64-bit words of the parity map
+MAP_BITS = 1 << 24        # bits of the bitmap of wanted sets (at most 262,144 rows are broadcast)
 
 
 @dataclass(frozen=True)
@@ -67,6 +68,17 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _G)
 
 
+BLOCK_BYTES = 1 << 18     # texts hashed at once, in bytes (a longer text alone)
+
+
+@lru_cache(maxsize=1)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse modulo 2 ** 64."""
+    up, down = np.full(size, _G), np.full(size, np.uint64(pow(int(_G), -1, 1 << 64)))
+    up[0] = down[0] = 1
+    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+
+
 def word_hashes(blob: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(start, hash) of each word: the polynomial sum of its bytes' codes in
     powers of an odd base, taken from prefix sums and divided by the power at
@@ -74,19 +86,28 @@ def word_hashes(blob: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     space = _SPACE[blob]
     edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).astype(np.int8)))
     start, end = edge[::2], edge[1::2]
-    powers = np.ones(len(blob) + 1, np.uint64)
-    powers[1:] = _G
-    powers = np.multiply.accumulate(powers)
-    inverse = np.full(len(blob) + 1, np.uint64(pow(int(_G), -1, 1 << 64)), np.uint64)
-    inverse[0] = 1
-    inverse = np.multiply.accumulate(inverse)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[blob] * powers[:-1], dtype=np.uint64)])
+    if len(blob) <= 2 * BLOCK_BYTES:
+        powers, inverse = _powers(2 * BLOCK_BYTES + 1)
+    else:
+        powers, inverse = _powers.__wrapped__(len(blob) + 1)
+    sums = np.zeros(len(blob) + 1, np.uint64)
+    np.cumsum(_BYTE[blob] * powers[:len(blob)], out=sums[1:])
     return start, mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
 
 
 def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes (uint64) of each text."""
-    raw = [(t or "").encode("utf-8").lower() for t in texts]      # bytes: A-Z only
+    out, some, size = [], [], 0
+    for t in texts:
+        some.append((t or "").encode("utf-8").lower())            # bytes: A-Z only
+        size += len(some[-1])
+        if size >= BLOCK_BYTES:
+            out += _block_sets(some, words)
+            some, size = [], 0
+    return out + _block_sets(some, words) if some else out
+
+
+def _block_sets(raw: list[bytes], words: int) -> list[np.ndarray]:
     blob = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
     start, h = word_hashes(blob)
     ends = np.cumsum([len(r) + 1 for r in raw])
@@ -245,7 +266,14 @@ def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, cfg: JoinConfig)
     """The pairs (x, y) that link, by the exact sets of both sides."""
     wanted = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node"))).distinct()
     ids = stored(nodes.select("node", "k1", "k2").join(wanted, "node", "left_semi"), "join-wanted")
-    sets = _sets(docs, cfg).join(ids, ["k1", "k2"]).groupBy("node").agg(F.first("set").alias("set"))
+    # a bitmap of the wanted keys, of at most MAP_BITS / 64 rows whatever the
+    # corpus, drops most other sets before they are shuffled
+    spot = F.pmod("k1", F.lit(MAP_BITS))
+    bit = F.expr("shiftleft(1L, cast(pmod(k1, 64) as int))")
+    bitmap = ids.groupBy(F.floor(spot / 64).alias("_at")).agg(F.bit_or(bit).alias("_map"))
+    sets = _sets(docs, cfg).withColumn("_at", F.floor(spot / 64)).join(F.broadcast(bitmap), "_at")
+    sets = sets.where(F.col("_map").bitwiseAND(bit) != 0).drop("_at", "_map")
+    sets = sets.join(ids, ["k1", "k2"]).groupBy("node").agg(F.first("set").alias("set"))
     sets = stored(sets, "join-sets")
     two = pairs.join(sets.select(F.col("node").alias("x"), F.col("set").alias("sx")), "x")
     two = two.join(sets.select(F.col("node").alias("y"), F.col("set").alias("sy")), "y")
@@ -276,13 +304,12 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> tuple[DataFrame, DataFrame]:
-    """(profiles, labels): the documents' sizes and set keys with their node,
-    and the component label of every linked node."""
+    """(profiles, nodes): doc_id, n, k1, k2 of every document, and of every
+    distinct set k1, k2, its smallest doc_id ``low`` and component ``label``."""
     prof = stored(_profiles(docs, cfg).withColumn("row", F.monotonically_increasing_id()), "join-profiles")
     full = prof.where("n > 0")
     # a node is named by its first row; its other columns follow from the set
-    nodes = full.groupBy("k1", "k2").agg(F.min("row").alias("node"))
-    nodes = stored(nodes, "join-nodes")
+    nodes = stored(full.groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min("doc_id").alias("low")), "join-nodes")
     reps = full.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node").drop("doc_id")
     post = stored(postings(reps, cfg), "join-postings")
     first = stored(pivot_pairs(post, cfg), "join-pairs")
@@ -290,27 +317,31 @@ def links(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> tuple[DataFrame, D
     labels = components(linked)
     second = stored(cross_pairs(post, labels, cfg).join(first, ["x", "y"], "left_anti"), "join-pairs")
     more = stored(verify(second, nodes, docs, cfg), "join-links")
-    return prof.join(nodes, ["k1", "k2"], "left"), components(linked.unionByName(more))
+    labels = components(linked.unionByName(more))
+    nodes = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return prof.select("doc_id", "n", "k1", "k2"), stored(nodes, "join-labels")
 
 
 def cluster(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable)."""
-    prof, labels = links(docs, cfg)
-    d = prof.select("doc_id", "n", "node", "row").join(labels, "node", "left")
-    d = d.withColumn("label", F.coalesce("label", "node", -1 - F.col("row")))      # an empty set: its own
-    low = d.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return d.join(low, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    prof, nodes = links(docs, cfg)
+    low = stored(nodes.groupBy("label").agg(F.min("low").alias("component_id")), "join-low")
+    of = nodes.join(low, "label").select("k1", "k2", "component_id")
+    d = prof.join(of, ["k1", "k2"], "left")
+    return d.select("doc_id", F.col("n").alias("n_shingles"),
+                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def deduplicate(docs: DataFrame, cfg: JoinConfig = JoinConfig(), columns: tuple[str, ...] = ("doc_id", "text", "lang", "source", "n_chars")) -> DataFrame:
     """One document of each component stays: the smallest id (null last), then
     the smaller set key; of rows equal in both, any one.  Documents with an
     empty set are linked with nothing and all stay."""
-    prof, labels = links(docs, cfg)
-    d = prof.where("n > 0").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    rows = d.groupBy("label", "doc_id", "k1", "k2").agg(F.count(F.lit(1)).alias("m"))
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k1", "k2")).alias("f")
-    rows = stored(rows.join(rows.groupBy("label").agg(first), "label").withColumn(
+    prof, nodes = links(docs, cfg)
+    first = F.min(F.struct(F.col("low").isNull().alias("last"), F.col("low").alias("doc_id"), "k1", "k2")).alias("f")
+    best = stored(nodes.groupBy("label").agg(first), "join-best")
+    of = nodes.join(best, "label").select("k1", "k2", "f")
+    rows = prof.where("n > 0").groupBy("doc_id", "k1", "k2").agg(F.count(F.lit(1)).alias("m"))
+    rows = stored(rows.join(of, ["k1", "k2"]).withColumn(
         "stays", F.col("doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("k1") == F.col("f.k1")) & (F.col("k2") == F.col("f.k2")))
         .select(F.col("doc_id").alias("_id"), F.col("k1").alias("_x1"), F.col("k2").alias("_x2"), "m", "stays"), "join-stays")
     keyed = _keyed(docs, cfg, columns)
