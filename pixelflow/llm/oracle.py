@@ -92,6 +92,22 @@ SELECT doc_id, n_words::BIGINT AS n_words, wc::BIGINT AS word_chars, n_symbols::
 FROM f
 """
 
+OP7 = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS ws
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+                      ELSE list_distinct([ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] FOR i IN range(1, len(ws) - 1)]) END AS sh FROM w),
+e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+sym AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id AS id, doc_id AS root FROM s UNION SELECT sym.y, reach.root FROM reach JOIN sym ON reach.id = sym.x)
+SELECT s.doc_id, len(sh)::BIGINT AS n_shingles, (SELECT min(root) FROM reach WHERE id = s.doc_id) AS component_id FROM s
+"""
+
 
 def statements() -> dict[str, str]:
-    return {"op2_quality_ledger": OP2, "op5_mix_apportion": OP5}
+    return {"op2_quality_ledger": OP2, "op5_mix_apportion": OP5, "op7_jaccard_join": OP7}
