@@ -48,7 +48,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     digest of the text they decode to."""
     path = public_tokenizers.path("word_bpe_49k.json")
     keep = ("doc_id", "lang", "source")
-    out = pair_bpe.decode(pair_bpe.encode(docs, path, keep), path, keep)
+    out = pair_bpe.round_trip(docs, path, keep)
     return out.select(*keep, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
                       F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
+import sys
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -41,13 +44,26 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
+def release() -> None:
+    """Give free memory of this process back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str,
-                rows: int = 1024) -> DataFrame:
+                rows: int = 1024, done: Callable[[], None] | None = None) -> DataFrame:
     """``fn`` over slices of at most ``rows`` rows of the Arrow batches, one at
-    a time (memory bounded by a slice)."""
+    a time (memory bounded by a slice).  After a partition, ``done`` is called
+    and free memory goes back to the system: a Python worker lives on and serves
+    other stages."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, rows):
                 yield fn(b.slice(at, rows))
+        if done:
+            done()
+        release()
     importable(df.sparkSession)
     return df.mapInArrow(run, schema)

@@ -38,7 +38,7 @@ from pixelflow.llm.common import map_batches
 #: The word pattern and white space of the vocabulary file.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 ODD_SPACE = "\x1c\x1d\x1e\x1f"       # white space for str.split, not for the pattern
-MEMO_WORDS = 250_000
+MEMO_WORDS = 150_000
 
 
 def byte_alphabet() -> list[str]:
@@ -184,7 +184,7 @@ class Encoder:
         for c in new:
             self.young[c] = added[c].to_bytes(4, "little") if c in added else b"".join([ids[w] for w in split[c]])
 
-    def encode(self, texts: list[str | None], block: int = 512) -> list[bytes]:
+    def encode(self, texts: list[str | None], block: int = 128) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         out = []
         for at in range(0, len(texts), block):
@@ -215,7 +215,21 @@ def encode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
         ids = encoder(path).encode(b.column(text).to_pylist())
         return pa.RecordBatch.from_arrays([*map(b.column, names), pa.array(ids, pa.binary())], [*names, "ids"])
-    return map_batches(docs.select(*dict.fromkeys([*names, text])), batch, ddl + "ids binary")
+    return map_batches(docs.select(*dict.fromkeys([*names, text])), batch, ddl + "ids binary", done=encoder.cache_clear)
+
+
+def round_trip(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
+    """``keep``, ``ids`` and the ``decoded`` text of the ids, in one pass (one
+    Python worker a task holds the vocabulary, not two)."""
+    names, ddl = _fields(docs, keep)
+
+    def batch(b: pa.RecordBatch) -> pa.RecordBatch:
+        enc = encoder(path)
+        ids = enc.encode(b.column(text).to_pylist())
+        return pa.RecordBatch.from_arrays([*map(b.column, names), pa.array(ids, pa.binary()), pa.array(map(enc.decode, ids), pa.string())],
+                                          [*names, "ids", "decoded"])
+    return map_batches(docs.select(*dict.fromkeys([*names, text])), batch, ddl + "ids binary, decoded string", rows=512,
+                       done=encoder.cache_clear)
 
 
 def decode(encoded: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -36,7 +36,7 @@ UNKNOWN = "und"
 class PpmConfig:
     train_bytes: int = 400_000     # bytes of training text per language, at most
     temper_bytes: int = 64         # the score weighs a text as if it had at most so many bytes
-    block_bytes: int = 1 << 19     # bytes scored at once
+    block_bytes: int = 1 << 17     # bytes scored at once
 
 
 def held_out(doc_id: Column) -> Column:

@@ -28,7 +28,7 @@ def op2_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_pair_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
-    out = pair_bpe.decode(pair_bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    out = pair_bpe.round_trip(table(spark, sf_dir, "documents"), path)
     return out.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                       F.sha2("ids", 256).alias("ids_sha256"),
                       F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))

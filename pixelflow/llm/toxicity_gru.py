@@ -276,7 +276,8 @@ def train(rows: list[tuple[str, int]], toxic_share: float, cfg: GruConfig = GruC
             second[k] = 0.99 * second[k] + 0.01 * v * v
             net.p[k] -= rate * (first[k] / (1 - 0.9 ** step)) / (np.sqrt(second[k] / (1 - 0.99 ** step)) + 1e-6)
     # calibration of the highest window logit
-    top = np.array([x for x, _ in _tops(net, [[names[i] for i in d] for d, _ in docs])])
+    top = np.array([x for at in range(0, len(docs), 64)
+                    for x, _ in _tops(net, [[names[i] for i in d] for d, _ in docs[at:at + 64]])])
     y = np.array([y for _, y in docs], float)
     weight = np.where(y == 1, toxic_share / y.mean(), (1 - toxic_share) / (1 - y.mean()))
     a, b = 1.0, 0.0

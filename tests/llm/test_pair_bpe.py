@@ -49,7 +49,9 @@ def test_odd_rows(odd, none, clashing, reference):
     for r in rows:
         ids, text = reference(r.text or "")
         assert bytes(r.ids) == ids and hashlib.sha256(r.decoded.encode()).digest() == hashlib.sha256(text.encode()).digest()
-    assert B.decode(B.encode(none, PATH), PATH).count() == 0
+    keep = ("doc_id", "text")
+    assert sorted(map(str, B.round_trip(odd, PATH, keep).collect())) == sorted(map(str, B.decode(B.encode(odd, PATH, keep), PATH, keep).collect()))
+    assert B.decode(B.encode(none, PATH), PATH).count() == 0 and B.round_trip(none, PATH).count() == 0
     assert B.encode(clashing, PATH).count() == odd.count()
 
 
