@@ -4,7 +4,9 @@ The target tokens of the sources are turned into integer numbers of
 equal-token blocks by highest quotients (votes / (2 seats + 1)), first over
 the sources and then, per source, over its shards.  In a shard the documents
 lie in a seeded order and form a circular token stream of blocks; the quota
-is taken from a seeded start block, in whole turns first.
+is taken from a seeded start block, in whole turns first.  What a small shard
+cannot take of its quota goes to the source's other shards, those with fewer
+turns first; a source of less than half a block takes its rounded target.
 
 DataFrame functions only.  The documents are scanned once into a narrow
 table (id, size, source, shard, order key); everything global is a table of
@@ -109,6 +111,24 @@ def sainte_lague(items: DataFrame, group: list[str], item: str, votes: str, seat
     return extra.select(*keys, seats_of.cast("long").alias(out))
 
 
+def hand_on(per: DataFrame, cfg: MixConfig) -> DataFrame:
+    """``_take``: the quota in tokens, never above max_repeat turns of the
+    shard's stream; what is cut off fills the first turn of the source's shards
+    in shard order, then the second, and so on (one row per source and shard)."""
+    g = W.partitionBy("_src")
+    before = g.orderBy("_shard").rowsBetween(W.unboundedPreceding, -1)
+    goal = F.when(F.col("_blocks") > 0, F.col("_blocks") * cfg.block_tokens).otherwise(F.round("target").cast("long"))
+    t = per.withColumn("_cut", F.least(F.col("_quota") * cfg.block_tokens, F.col("_t") * cfg.max_repeat))
+    t = t.withColumn("_left", goal - F.sum("_cut").over(g))
+    take, lower = F.col("_cut"), F.lit(0)
+    for turn in range(1, cfg.max_repeat + 1):
+        room = F.greatest(F.col("_t") * turn - F.greatest(F.col("_cut"), F.col("_t") * (turn - 1)), F.lit(0))
+        open_ = F.col("_left") - lower - F.coalesce(F.sum(room).over(before), F.lit(0))
+        take = take + F.greatest(F.least(room, open_), F.lit(0))
+        lower = lower + F.sum(room).over(g)
+    return t.withColumn("_take", take)
+
+
 def mix(docs: DataFrame, cfg: MixConfig = MixConfig(), keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` (the id first), size, source_size, target, taken (words the mix
     takes, repeats counted) and ``from_word`` / ``part_words`` (the range of words taken
@@ -129,14 +149,13 @@ def mix(docs: DataFrame, cfg: MixConfig = MixConfig(), keep: tuple[str, ...] = (
     blocks = sainte_lague(tgt, ["_all"], "_src", "target", "_n", "_blocks")
     per = shards.join(blocks.select("_src", "_blocks"), "_src")
     per = sainte_lague(per, ["_src"], "_shard", "_t", "_blocks", "_quota").join(shards, ["_src", "_shard"])
-    # the quota in tokens, never above max_repeat turns of the shard's stream
-    per = per.withColumn("_take", F.least(F.col("_quota") * cfg.block_tokens, F.col("_t") * cfg.max_repeat))
+    per = per.join(tgt.join(blocks, "_src").select("_src", "source_size", "target", "_blocks"), "_src")
+    per = hand_on(per, cfg)
     t1 = F.greatest(F.col("_t"), F.lit(1))
     per = per.withColumn("_turns", F.floor(F.col("_take") / t1)).withColumn("_rest", F.col("_take") - F.col("_turns") * F.col("_t"))
     start = _hex_int(F.md5(F.concat_ws("|", F.lit(cfg.seed), "_src", F.col("_shard").cast("string"))), 1)
     per = per.withColumn("_from", (start % F.ceil(t1 / cfg.block_tokens)) * cfg.block_tokens)
-    per = per.join(tgt.select("_src", "source_size", "target"), "_src").select(
-        "_src", "_shard", "source_size", "target", "_t", "_turns", "_rest", "_from")
+    per = per.select("_src", "_shard", "source_size", "target", "_t", "_turns", "_rest", "_from")
 
     run = (W.partitionBy("_src", "_shard").orderBy("_key", *keep[:1], "size")
             .rowsBetween(W.unboundedPreceding, W.currentRow))

@@ -55,6 +55,22 @@ def test_targets_and_taken(spark):
     assert sorted(map(str, again)) == sorted(map(str, got))
 
 
+def test_thin_sources_meet_their_targets(spark):
+    # short documents dealt thinly over shards that follow the large source; source c is below half a block
+    rows = [(i, " ".join(f"w{k}" for k in range(400)), "en", "a", 0) for i in range(300)]
+    rows += [(1000 + i, "one two three four five six seven eight nine ten", "en", "b", 0) for i in range(300)]
+    rows += [(5000, "a b c d e f g h i j", "en", "c", 0)]
+    cfg = A.MixConfig(weights=(40, 1, 1), shard_tokens=300)
+    got = A.mix(spark.createDataFrame(rows, SCHEMA), cfg, ("doc_id", "source")).collect()
+    taken, want = defaultdict(int), {}
+    for r in got:
+        assert 0 <= r.taken <= 3 * r.size
+        taken[r.source] += r.taken
+        want[r.source] = r.target
+    assert all(abs(taken[s] - want[s]) <= cfg.block_tokens for s in want) and taken["c"] == 30
+    assert any(r.source == "b" and r.taken for r in got)
+
+
 def test_highest_quotients(spark):
     r = random.Random(9)
     items, want = [], {}
