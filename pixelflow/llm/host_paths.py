@@ -1,7 +1,8 @@
 """Main text of web pages by consensus host paths.
 
 1. Each page is read into elements; the text of its blocks (outside menus,
-   forms, notices and the like) is summed up the tree, and the page names one
+   forms, notices and the like; a part that only its class or id words speak
+   against stays where it holds most of the page) is summed up the tree, and the page names one
    container: the path, as generalised tag-class steps, reached from the body
    by following the child that keeps most of the text, ending at an article
    or main element.
@@ -43,12 +44,17 @@ CONTAINERS = frozenset("body div article section main td center blockquote".spli
 GOALS = frozenset(("article", "main"))
 DROPPED = frozenset("nav header footer aside form button dialog menu fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-#: Class or id words of parts that are not the article.
+#: Class or id words of parts that are not the article, unless they hold it.
 DROPPED_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent notice "
     "notices popup modal overlay nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars aside footer "
     "footers masthead topbar toolbar share sharing social related recommended newsletter subscribe subscription signup "
     "login comment comments disqus respond reply replies pagination pager widget widgets skip".split())
+#: Of these, words of readers' parts, which may be longer than the article.
+READER_WORDS = frozenset("comment comments disqus respond reply replies".split())
+#: A name with one of these at its start, or end, tells a state or a wrapper.
+STATE_STARTS = frozenset("has have with without no not is hide show".split())
+STATE_ENDS = frozenset("open opened closed enabled disabled container wrapper wrap inner content on off".split())
 HEADER_WORDS = frozenset(("header", "site-header", "page-header"))
 #: A start tag on the left ends an open element on the right.
 ENDS = {"li": ("li",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd"),
@@ -56,20 +62,36 @@ ENDS = {"li": ("li",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td"
 LISTS = frozenset(("ul", "ol", "table", "dl", "td", "div", "article", "section", "body"))
 
 
-def _words(value: str) -> set[str]:
-    return {w for w in re.split(r"[^a-z]+", value.lower()) if w}
+KEPT, NAMED, DROPPED_PART = 0, 1, 2
 
 
-def _unwanted(tag: str, attributes: dict[str, str]) -> bool:
+def _words(name: str) -> list[str]:
+    return [w for w in re.split(r"[^a-z]+", name) if w]
+
+
+def _level(tag: str, attributes: dict[str, str]) -> tuple[int, bool]:
+    """KEPT, NAMED (only its class or id speaks against it) or DROPPED_PART,
+    and whether it is named as a readers' part."""
     if tag in DROPPED:
-        return True
+        return DROPPED_PART, False
     if not attributes:
-        return False
-    named = f'{attributes.get("class", "")} {attributes.get("id", "")}'.lower()
-    if _words(named) & DROPPED_WORDS or set(named.split()) & HEADER_WORDS:
-        return tag not in ("html", "body")
-    return (attributes.get("role", "").lower() in ROLES or attributes.get("aria-hidden", "").lower() == "true"
-            or "display:none" in attributes.get("style", "").replace(" ", "").lower())
+        return KEPT, False
+    if (attributes.get("role", "").lower() in ROLES or attributes.get("aria-hidden", "").lower() == "true"
+            or "display:none" in attributes.get("style", "").replace(" ", "").lower()):
+        return DROPPED_PART, False
+    if tag in ("html", "body"):
+        return KEPT, False
+    named = f'{attributes.get("class", "")} {attributes.get("id", "")}'.lower().split()
+    found, words = False, set()
+    for name in named:
+        parts = _words(name)
+        if len(parts) > 1 and (parts[0] in STATE_STARTS or parts[-1] in STATE_ENDS):
+            continue
+        words.update(parts)
+        found = found or name in HEADER_WORDS
+    if tag in GOALS:                                      # a single comment may be an article
+        return (NAMED, True) if words & {"comment", "reply"} else (KEPT, False)
+    return (NAMED, bool(words & READER_WORDS)) if found or words & DROPPED_WORDS else (KEPT, False)
 
 
 def step(tag: str, attributes: dict[str, str]) -> str:
@@ -85,31 +107,36 @@ class Page:
         self.paths: dict[tuple[int, str], int] = {}
         self.parent, self.steps = [-1], ["" ]          # path 0: the document
         self.kind = [""]
+        self.named, self.readers, self.titled = [False], [False], [False]
         self.blocks: list[tuple[int, str, int]] = []    # (path, text, length of its link text)
         self._read(html)
+        self._judge()
 
     def _read(self, html: str) -> None:
-        stack: list[tuple[str, int, bool]] = [("", 0, False)]    # tag, path, unwanted
+        stack: list[tuple[str, int, int]] = [("", 0, KEPT)]      # tag, path, level (NAMED: of inline parts)
         text: list[str] = []
+        plain = aside = False                            # words outside, and inside, NAMED inline parts
         links, in_link, at, n = 0, 0, 0, len(html)
 
         def flush():
-            nonlocal links
+            nonlocal links, plain, aside
             if text:
                 block = " ".join(unescape("".join(text)).split())
-                if block and not stack[-1][2]:
+                if block and (plain or not aside) and stack[-1][2] != DROPPED_PART:
                     self.blocks.append((stack[-1][1], block, links))
                 text.clear()
-            links = 0
+            links, plain, aside = 0, False, False
 
         def pop_to(k: int):
             while len(stack) > k:
                 stack.pop()
 
         def add(piece: str):
-            nonlocal links
-            if not stack[-1][2]:
+            nonlocal links, plain, aside
+            if stack[-1][2] != DROPPED_PART:
                 text.append(piece)
+                if any(map(str.isalnum, piece)):
+                    plain, aside = plain or stack[-1][2] == KEPT, aside or stack[-1][2] == NAMED
                 if in_link:
                     links += len(piece)
         while at < n:
@@ -161,10 +188,9 @@ class Page:
             if tag in INLINE and tag not in ("td", "th"):
                 if tag == "a":
                     in_link = 1
-                if stack[-1][2] or _unwanted(tag, attributes):
-                    stack.append((tag, stack[-1][1], True))
-                elif tag != "a":
-                    pass
+                level = max(stack[-1][2], _level(tag, attributes)[0])
+                if level:
+                    stack.append((tag, stack[-1][1], level))
                 continue
             if tag in ("td", "th"):
                 add(" ")
@@ -179,21 +205,53 @@ class Page:
                     break
                 if stack[k][0] in LISTS:
                     break
-            up, bad = stack[-1][1], stack[-1][2]
-            stack.append((tag, self._path(up, tag, attributes), bad or _unwanted(tag, attributes)))
+            up, above = stack[-1][1], stack[-1][2]
+            level, readers = _level(tag, attributes)
+            if tag in ("td", "th"):
+                stack.append((tag, up, max(above, level)))
+                continue
+            path = self._path(up, tag, attributes, level == NAMED, readers)
+            if tag in ("h1", "main") and above != DROPPED_PART:
+                self.titled[path] = True
+            stack.append((tag, path, DROPPED_PART if level == DROPPED_PART else above))
         flush()
 
-    def _path(self, up: int, tag: str, attributes: dict[str, str]) -> int:
-        if tag not in CONTAINERS and tag != "html":
+    def _path(self, up: int, tag: str, attributes: dict[str, str], named: bool, readers: bool) -> int:
+        if tag not in CONTAINERS and tag != "html" and not named:
             return up                                     # not a container: its blocks are its parent's
-        key = (up, step(tag, attributes))
+        key = (up, step(tag, attributes) + (" !" if named else ""))
         if key not in self.paths:
             self.paths[key] = len(self.parent)
             self.parent.append(up)
             self.steps.append(key[1])
             self.kind.append(tag)
+            self.named.append(named)
+            self.readers.append(readers)
+            self.titled.append(False)
         return self.paths[key]
 
+    def _judge(self) -> None:
+        """A NAMED part that holds most of the page's text is no side part; a
+        readers' part must also hold the title, or all of the text."""
+        own = [0] * len(self.parent)
+        for path, block, links in self.blocks:
+            own[path] += max(len(block) - 2 * links, 0)
+        total, titled = own[:], self.titled[:]
+        for p in range(len(own) - 1, 0, -1):
+            total[self.parent[p]] += total[p]
+            titled[self.parent[p]] = titled[self.parent[p]] or titled[p]
+        for p in range(1, len(own)):
+            if self.named[p] and 2 * total[p] >= total[0] > 0 and (not self.readers[p] or titled[p] or total[p] == total[0]):
+                self.named[p] = False
+
+    def _hidden(self, top: int) -> list[bool]:
+        """Per path: outside ``top`` or inside a NAMED part below it."""
+        out = [True] * len(self.parent)
+        out[top] = False
+        for p in range(top + 1, len(out)):               # children come after their parents
+            out[p] = out[self.parent[p]] or self.named[p]
+        return out
+
     def name(self, path: int) -> str:
         out = []
         while path > 0:
@@ -212,9 +270,10 @@ class Page:
 
     def container(self) -> tuple[int, int]:
         """The page's own container and its text length without links."""
-        own = [0.0] * len(self.parent)
+        own, hidden = [0.0] * len(self.parent), self._hidden(0)
         for path, block, links in self.blocks:
-            own[path] += max(len(block) - 2 * links, 0)
+            if not hidden[path]:
+                own[path] += max(len(block) - 2 * links, 0)
         total, children = own[:], [[] for _ in own]
         for p in range(len(own) - 1, 0, -1):              # children come after their parents
             total[self.parent[p]] += total[p]
@@ -235,10 +294,8 @@ class Page:
         """The blocks inside the first path of ``names`` that has any."""
         for name in names:
             if (top := self.find(name)) is not None:
-                inside = [False] * len(self.parent)
-                for p in range(len(self.parent)):
-                    inside[p] = p == top or (p > 0 and inside[self.parent[p]])
-                found = [b for path, b, _ in self.blocks if inside[path]]
+                hidden = self._hidden(top)
+                found = [b for path, b, _ in self.blocks if not hidden[path]]
                 if found:
                     return "\n\n".join(found)
         return ""

@@ -38,6 +38,23 @@ def test_parts_that_are_not_the_article():
     assert own("<main><ul><li>a<li>b</ul><table><tr><td>1<td>2<tr><td>3</table><pre>x\n y</pre></main>") == "a\n\nb\n\n1 2\n\n3\n\nx y"
 
 
+def test_class_words_do_not_drop_the_article():
+    body = "<h1>T</h1><p>First of all, good news came.</p><p>Second one goes on for a while.</p>"
+    want = "T\n\nFirst of all, good news came.\n\nSecond one goes on for a while."
+    side = "<div class='sidebar'><p>More to read</p></div><div id=comments><p>Nice page</p></div>"
+    for start, end in (("<article class='post has-comments'>", "</article>"), ("<div class='content with-sidebar'>", "</div>"),
+                       ("<main class=no-sidebar>", "</main>"), ("<div class=elementor-widget-container>", "</div>"),
+                       ("<article class='post related share'>", "</article>"), ("<div class='story widget'>", "</div>"),
+                       ("<div id=social-story><div class=in>", "</div></div>")):
+        assert own(f"<body>{side}{start}{body}{end}{side}</body>") == want, start
+        assert own(f"<body>{start}{body}{side}{end}</body>") == want, start
+    assert own("<p>See the <a class=related-link href=x>other page</a> and <span class=share>this</span> too.</p><p><a class=share>Share</a></p>"
+               ) == "See the other page and this too."
+    long = "<div class=comments>" + "<p>A reader has much to say about this.</p>" * 20 + "</div>"
+    assert own(f"<body><div class=post>{body}</div>{long}</body>") == want
+    assert own(f"<body><article class=post>{body}</article>{long.replace('<p>', '<article class=comment><p>')}</body>") == want
+
+
 def test_odd_pages():
     for page, want in (("", ""), ("<", "<"), ("<p title='x>y'>t</p>", "t"), ("plain <b>bold</b> &lt;x&gt;", "plain bold <x>"),
                        ("<article>cut off <b>he", "cut off he"), ("<article>cut off</artic", "cut off"), ("<!-- never closed <p>x", ""),
