@@ -5,7 +5,8 @@
    against stays where it holds most of the page) is summed up the tree, and the page names one
    container: the path, as generalised tag-class steps, reached from the body
    by following the child that keeps most of the text, ending at an article
-   or main element.
+   or main element; without one, back out over parents whose other blocks are
+   mostly article text (headings, paragraphs, sentences, few links).
 2. The pages of a host vote; the path with most pages wins (ties: more text,
    then the smaller path).  Votes are summed by (host, path) before they are
    dealt, so a host with a third of all pages is no hot group.
@@ -56,6 +57,10 @@ READER_WORDS = frozenset("comment comments disqus respond reply replies".split()
 STATE_STARTS = frozenset("has have with without no not is hide show".split())
 STATE_ENDS = frozenset("open opened closed enabled disabled container wrapper wrap inner content on off".split())
 HEADER_WORDS = frozenset(("header", "site-header", "page-header"))
+#: Blocks of these are article text, as are sentences elsewhere; lines that match NOTICE are not.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote".split())
+SENTENCE = re.compile(r"(?:\S+ ){4,}.*[.!?\u2026][\"'\u201d\u2019)\u00bb]?\Z|.{8,}[\u3002\uff01\uff1f]\Z", re.S)
+NOTICE = re.compile(r"\u00a9|\(c\) ?[12]|copyright|all rights reserved|powered by|cookies", re.I)
 #: A start tag on the left ends an open element on the right.
 ENDS = {"li": ("li",), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd"),
         "option": ("option",)}
@@ -109,6 +114,7 @@ class Page:
         self.kind = [""]
         self.named, self.readers, self.titled = [False], [False], [False]
         self.blocks: list[tuple[int, str, int]] = []    # (path, text, length of its link text)
+        self.prose: list[bool] = []                      # of each block: in a heading or paragraph
         self._read(html)
         self._judge()
 
@@ -124,6 +130,7 @@ class Page:
                 block = " ".join(unescape("".join(text)).split())
                 if block and (plain or not aside) and stack[-1][2] != DROPPED_PART:
                     self.blocks.append((stack[-1][1], block, links))
+                    self.prose.append(next((x[0] for x in reversed(stack) if x[0] not in INLINE), "") in PROSE)
                 text.clear()
             links, plain, aside = 0, False, False
 
@@ -219,7 +226,8 @@ class Page:
     def _path(self, up: int, tag: str, attributes: dict[str, str], named: bool, readers: bool) -> int:
         if tag not in CONTAINERS and tag != "html" and not named:
             return up                                     # not a container: its blocks are its parent's
-        key = (up, step(tag, attributes) + (" !" if named else ""))
+        mark = f' #{re.sub(r"[0-9>]+", "", attributes.get("id", "").lower())}' if named else ""
+        key = (up, step(tag, attributes) + mark)
         if key not in self.paths:
             self.paths[key] = len(self.parent)
             self.parent.append(up)
@@ -282,14 +290,42 @@ class Page:
         if goals:
             at = min(goals, key=lambda p: (-total[p], p))
             return at, int(total[at])
-        at = 0
-        while children[at]:
-            best = max(children[at], key=lambda p: (total[p], -p))
-            if total[best] < 0.75 * total[at]:
+        chain = [0]
+        while children[chain[-1]]:
+            best = max(children[chain[-1]], key=lambda p: (total[p], -p))
+            if total[best] < 0.75 * total[chain[-1]]:
                 break
-            at = best
+            chain.append(best)
+        at = self._outermost(chain, hidden)
         return at, int(total[at])
 
+    def _outermost(self, chain: list[int], hidden: list[bool]) -> int:
+        """Of nested paths the outermost whose blocks outside the next one are
+        mostly article text, as on every level below it."""
+        level = [0] * len(self.parent)                    # the last path of the chain around each path
+        for k, p in enumerate(chain):
+            level[p] = k
+        on_chain = set(chain)
+        for p in range(1, len(level)):
+            if p not in on_chain:
+                level[p] = level[self.parent[p]]
+        good, other = [0] * len(chain), [0] * len(chain)
+        for (path, block, links), prose in zip(self.blocks, self.prose):
+            k = level[path]
+            if hidden[path] or k == len(chain) - 1:
+                continue
+            if 3 * links <= len(block) and not NOTICE.search(block[:400]) and (prose or SENTENCE.match(block)):
+                good[k] += len(block)
+            else:
+                other[k] += len(block)
+        out = len(chain) - 1
+        for k in range(len(chain) - 2, -1, -1):
+            if good[k] > 2 * other[k]:
+                out = k
+            elif other[k]:
+                break
+        return chain[out]
+
     def text(self, names: tuple[str, ...]) -> str:
         """The blocks inside the first path of ``names`` that has any."""
         for name in names:

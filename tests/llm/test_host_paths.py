@@ -55,6 +55,22 @@ def test_class_words_do_not_drop_the_article():
     assert own(f"<body><article class=post>{body}</article>{long.replace('<p>', '<article class=comment><p>')}</body>") == want
 
 
+def test_headline_and_lead_beside_the_body(spark):
+    lead, para = "What the story says in short, for a start.", "The long text of the story goes here, with all it has to say. "
+    menu = "<div class=top><a href=/>Home</a> <a href=/a>All news</a> <a href=/b>Old news</a></div>"
+    low = "<div class=low><p>\u00a9 2024 Example. All rights reserved.</p></div>"
+    text = f"<div class=text><p>{para * 4}</p><p>{para * 4}</p></div>"
+    body = "\n\n".join([(para * 4).strip()] * 2)
+    for parts, head in ((f"<h1>A headline</h1>{text}", "A headline"), (f"<div class=lead><p>{lead}</p></div>{text}", lead),
+                        (f"<h1>A headline</h1><div class=lead>{lead}</div><div class=entry>{text}</div>", f"A headline\n\n{lead}"),
+                        (f"<div class=head><h1>A headline</h1></div><div class=a><p>{lead}</p><div class=b>{text}</div></div>",
+                         f"A headline\n\n{lead}"), (f"<div class=list><a href=/c>{lead}</a></div>{text}", None)):
+        page = f"<body>{menu}<div class=post>{parts}</div>{low}</body>"
+        assert own(page) == (f"{head}\n\n{body}" if head else body), parts
+    pages = [(i, f"https://host.example/{i}", f"<body>{menu}<div class=post><h1>No {i}</h1>{text}</div>{low}</body>") for i in range(4)]
+    assert all(r.text == f"No {r.page_id}\n\n{body}" for r in H.extract(spark.createDataFrame(pages, SCHEMA)).collect())
+
+
 def test_odd_pages():
     for page, want in (("", ""), ("<", "<"), ("<p title='x>y'>t</p>", "t"), ("plain <b>bold</b> &lt;x&gt;", "plain bold <x>"),
                        ("<article>cut off <b>he", "cut off he"), ("<article>cut off</artic", "cut off"), ("<!-- never closed <p>x", ""),
