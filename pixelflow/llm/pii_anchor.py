@@ -39,6 +39,12 @@ PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 CUES = ("account", "acct", "konto", "kontonummer", "cuenta", "compte", "passport", "ssn")
 CUED = re.compile(r"(?: ?(?:no|nr|number|num|id))?\.?[ ]?[:#=]?[ ]?(?=([A-Z0-9][A-Z0-9-]{4,32}[A-Z0-9])(?![A-Za-z0-9]))", re.I | re.A)
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+#: Characters of an IBAN by country (IBAN registry).
+IBAN_SIZES = {c: n for n, cs in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ DZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}.items() for c in cs.split()}
 LOGIN = re.compile(r"://[^\s/@:]+:[^\s/@]+@[A-Za-z0-9.-]+")
 
 
@@ -70,6 +76,19 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in turned)) % 97 == 1
 
 
+def iban_end(text: str, start: int) -> int:
+    """The end of the IBAN at ``start``, or 0: where its country's size ends,
+    or, of an unknown country, the longest groups of 15 characters or more that
+    pass mod 97."""
+    m = IBAN.match(text, start)
+    if not m:
+        return 0
+    run, size = m[0], IBAN_SIZES.get(text[start:start + 2])
+    ends = [len(run), *(k for k in range(len(run) - 1, 14, -1) if run[k] == " ")]
+    codes = {k: run[:k].replace(" ", "") for k in ends}
+    return next((start + k for k in ends if len(codes[k]) == (size or max(len(codes[k]), 15)) and mod97(codes[k])), 0)
+
+
 def spans(text: str) -> list[tuple[int, int, int]]:
     """(kind index, start, end) of one text, sorted; code points, end exclusive."""
     out: list[tuple[int, int, int]] = []
@@ -90,12 +109,10 @@ def spans(text: str) -> list[tuple[int, int, int]]:
                     digits = m[0].replace(" ", "").replace("-", "")
                     if 13 <= len(digits) <= 19 and luhn(digits):
                         out.append((2, p, card_floor))
-            if p >= iban_floor + 2 and "A" <= text[p - 1] <= "Z" and (m := IBAN.match(text, p - 2)):
-                if not (p > 2 and text[p - 3].isalnum()):
-                    code = m[0].replace(" ", "")
-                    if mod97(code):
-                        out.append((4, p - 2, m.end()))
-                        iban_floor = m.end()
+            if p >= iban_floor + 2 and "A" <= text[p - 1] <= "Z" and not (p > 2 and text[p - 3].isalnum()):
+                if stop := iban_end(text, p - 2):
+                    out.append((4, p - 2, stop))
+                    iban_floor = stop
         elif what == "at":
             if m := DOMAIN.match(text, p + 1):
                 s = p

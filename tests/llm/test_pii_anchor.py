@@ -43,6 +43,16 @@ def test_added_kinds():
     assert named("on account of the many things") == []
 
 
+def test_iban_before_capitals_and_numbers():
+    ibans = ("DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB29 NWBK 6016 1331 9268 19", "NO93 8601 1117 947",
+             "FR14 2004 1010 0505 0001 3M02 606", "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "NO9386011117947")
+    for iban in ibans:
+        for rest in ("", " BIC COBADEFFXXX", " 2024", " PAY NOW", " BIC", " A B C D E F G H", " 12 34 56 78 90 12 34", ", BIC", "\nBIC"):
+            text = f"to {iban}{rest}"
+            assert [text[a:b] for k, a, b in P.spans(text) if P.KINDS[k] == "iban"] == [iban], text
+    assert not [x for x in P.spans("to DE88370400440532013000 2024") if P.KINDS[x[0]] == "iban"]
+
+
 def test_odd_rows_and_redaction(spark, odd, none, clashing):
     assert P.find(odd).count() == odd.count() and P.find(none).count() == 0 and P.find(clashing).count() == odd.count()
     rows = [(1, "é mail bob@host.example.org or +1 (017) 555-7713, 10.1.2.3!"), (2, None), (3, "nothing"),
