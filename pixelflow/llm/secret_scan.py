@@ -4,14 +4,16 @@ Three fixed kinds (``assign``, ``access``, ``hex``) are found as leftmost
 non-overlapping matches.  Further spans (``random``) come from the battery:
 every run of 20 or more characters of the common encodings is a candidate;
 its encoding is inferred (hex, base32, base62, base64), its symbols fall into
-eight bins of the encoding's alphabet, and four statistics are taken:
+eight bins of the encoding's alphabet, and three statistics are taken of them:
 
 * chi-squared of the bins against the uniform alphabet,
 * the runs test (lower against upper half of the alphabet),
-* the lag-1 serial correlation of the bins,
-* the chi-squared per symbol against what ordinary text would give
-  (expectation and variance follow from the token's length and the
-  encoding's ordinary bin shares), as a lower-tail p-value.
+* the lag-1 serial correlation of the bins.
+
+The fourth is the likelihood ratio of the whole alphabet's symbols under the
+uniform alphabet against ordinary strings (small letters, capitals, mixed case,
+numbers; each with the letter shares of text), as a p-value of ordinary strings
+by Chernoff's bound; the largest over their kinds counts.
 
 A candidate is reported when the first three do not reject randomness
 (Bonferroni at ``alpha``) and ordinary text is rejected under
@@ -30,6 +32,7 @@ rows; other columns are not read; whole texts are searched.
 
 from __future__ import annotations
 
+import math
 import string
 from dataclasses import dataclass
 
@@ -50,11 +53,12 @@ BINS = 8
 
 @dataclass(frozen=True)
 class Encoding:
-    """An alphabet and the shares of its eighths in ordinary text."""
+    """An alphabet and the kinds of ordinary strings in it: the shares of
+    small letters, capitals, digits and separators."""
     name: str
     pattern: str
     alphabet: str
-    ordinary: tuple[float, ...]
+    ordinary: tuple[tuple[float, float, float, float], ...]
 
     @property
     def bins(self) -> str:
@@ -69,14 +73,29 @@ class Encoding:
     def uniform(self) -> list[float]:
         return [self.bins.count(str(b)) / len(self.alphabet) for b in range(BINS)]
 
+    def shares(self, kind: tuple[float, ...]) -> dict[str, float]:
+        """The share of each alphabet character in a kind of ordinary strings."""
+        out = {}
+        for group, share in zip((_LOW, _UP, _DIG, "+/"), kind):
+            weight = {c: LETTERS.get(c.lower(), 1.0) for c in group if c in self.alphabet}
+            out.update({c: share * w / sum(weight.values()) for c, w in weight.items()})
+        return out
+
+    def steps(self, kind: tuple[float, ...]) -> dict[str, int]:
+        """The logarithm of each character's uniform over its ordinary share, in steps of 1 / SCALE."""
+        return {c: math.floor(SCALE * math.log(1 / len(self.alphabet) / x)) for c, x in self.shares(kind).items()}
+
 
 _UP, _LOW, _DIG = string.ascii_uppercase, string.ascii_lowercase, string.digits
-# ordinary shares: letters of running text (rounded shares of a-f, g-n, o-v, w-z)
-# with an eighth spread evenly; for hex, numbers padded with zeros and few letters
-_TEXT = (0.015, 0.015, 0.015, 0.294, 0.271, 0.32, 0.055, 0.015)
+SCALE, ZERO = 10, 0x4e00        # steps of a tenth, held as characters around this code
+TILTS = (0.25, 0.5, 0.75, 1.0, 1.5)
+#: Rounded shares of the letters in text, in per cent (the rarest raised).
+LETTERS = dict(zip("etaoinshrdlcumwfgypbvkjxqz", (
+    12.0, 9.1, 8.1, 7.7, 7.3, 7.0, 6.3, 5.9, 6.0, 4.3, 4.0, 2.8, 2.9, 2.6, 2.1, 2.3, 2.0, 2.1, 1.9, 1.5, 1.1, 0.9, 0.3, 0.4, 0.3, 0.3)))
+_TEXT = ((0.85, 0.06, 0.05, 0.04), (0.06, 0.85, 0.05, 0.04), (0.65, 0.2, 0.1, 0.05), (0.15, 0.08, 0.7, 0.07))
 ENCODINGS = (
-    Encoding("hex", "^([0-9a-f]+|[0-9A-F]+)$", _DIG + "abcdef", (0.3, 0.2, 0.1, 0.1, 0.1, 0.1, 0.05, 0.05)),
-    Encoding("base32", "^[A-Z2-7]+$", _UP + "234567", (0.2, 0.26, 0.13, 0.17, 0.2, 0.02, 0.01, 0.01)),
+    Encoding("hex", "^([0-9a-f]+|[0-9A-F]+)$", _DIG + "abcdef", ((0.05, 0, 0.95, 0), (0.8, 0, 0.2, 0))),
+    Encoding("base32", "^[A-Z2-7]+$", _UP + "234567", ((0, 0.95, 0.05, 0), (0, 0.3, 0.7, 0))),
     Encoding("base62", "^[A-Za-z0-9]+$", _UP + _LOW + _DIG, _TEXT),
     Encoding("base64", "^.*$", _UP + _LOW + _DIG + "+/", _TEXT),
 )
@@ -85,7 +104,7 @@ ENCODINGS = (
 @dataclass(frozen=True)
 class ScanConfig:
     alpha: float = 0.001     # level of the three randomness tests together
-    fdr: float = 0.001       # expected share of ordinary strings among the reported
+    fdr: float = 0.05        # expected share of ordinary strings among the reported
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -131,6 +150,21 @@ def _chi(bins: Column, n: Column, e: Encoding) -> Column:
     return total
 
 
+def _ratio(core: Column, e: Encoding) -> Column:
+    """Minus the logarithm of the ordinary-text p-value: for each kind of
+    ordinary strings the best Chernoff bound of the summed steps."""
+    text = F.lower(core) if e.name == "hex" else core
+    out = []
+    for kind in e.ordinary:
+        share, step = e.shares(kind), e.steps(kind)
+        codes = "".join(chr(ZERO + step[c]) for c in e.alphabet)
+        total = F.aggregate(F.split(F.translate(text, e.alphabet, codes), ""), F.lit(0), lambda a, c: a + F.ascii(c) - ZERO)
+        grow = {t: math.log(sum(x * math.exp(t * step[c] / SCALE) for c, x in share.items())) for t in TILTS}
+        bound = F.transform(F.array(total), lambda s: F.greatest(*[s * (t / SCALE) - F.length(core) * grow[t] for t in TILTS]))
+        out.append(bound[0])
+    return F.least(*out).cast("double")
+
+
 def battery(token: Column, cfg: ScanConfig) -> Column:
     """struct<enc, band, step, fair>: encoding, length band, the ordinary-text
     p-value in twentieths of a decade (rounded up) and whether randomness
@@ -144,13 +178,14 @@ def battery(token: Column, cfg: ScanConfig) -> Column:
 
     def with_bins(x: Column) -> Column:
         bins = _per_encoding(x["enc"], lambda e: F.translate(F.lower(x["core"]) if e.name == "hex" else x["core"], e.alphabet, e.bins))
-        return F.struct(bins.alias("bins"), x["enc"].alias("enc"), F.length(x["core"]).cast("double").alias("n"))
+        return F.struct(bins.alias("bins"), x["enc"].alias("enc"), F.length(x["core"]).cast("double").alias("n"),
+                        _per_encoding(x["enc"], lambda e: _ratio(x["core"], e)).alias("ratio"))
 
     def with_counts(x: Column) -> Column:
         low_high = F.translate(x["bins"], "01234567", "00001111")
         values = F.transform(F.split(x["bins"], ""), lambda c: c.cast("double"))
         return F.struct(
-            x["enc"].alias("enc"), x["n"].alias("n"),
+            x["enc"].alias("enc"), x["n"].alias("n"), x["ratio"].alias("ratio"),
             _per_encoding(x["enc"], lambda e: _chi(x["bins"], x["n"], e)).alias("chi"),
             (x["n"] - F.length(F.replace(low_high, F.lit("1"), F.lit("")))).alias("ones"),
             F.length(F.regexp_replace(low_high, "0+|1+", "x")).cast("double").alias("runs"),
@@ -169,14 +204,8 @@ def battery(token: Column, cfg: ScanConfig) -> Column:
         z_runs = F.when(var > 0, (x["runs"] - mu) / F.sqrt(var)).otherwise(F.lit(99.0))
         z_serial = F.when(square > 0, cross / square * F.sqrt(x["n"])).otherwise(F.lit(99.0))
 
-        def against_text(e: Encoding) -> Column:
-            u = e.uniform
-            dens = [o * o / p for o, p in zip(e.ordinary, u)]
-            mean = sum(dens) - 1 + sum(o * (1 - o) / p for o, p in zip(e.ordinary, u)) / x["n"]
-            var_ = 4 * (sum(o ** 3 / p ** 2 for o, p in zip(e.ordinary, u)) - sum(dens) ** 2)
-            return (x["chi"] / x["n"] - mean) / F.sqrt(F.lit(var_) / x["n"])
         p_rand = 3 * F.least(1 - normal_cdf(z_chi), 2 * (1 - normal_cdf(F.abs(z_runs))), 2 * (1 - normal_cdf(F.abs(z_serial))))
-        p_text = F.greatest(normal_cdf(_per_encoding(x["enc"], against_text)), F.lit(1e-30))
+        p_text = F.greatest(F.least(F.exp(-x["ratio"]), F.lit(1.0)), F.lit(1e-30))
         return F.struct(x["enc"].alias("enc"), F.floor(F.log2(x["n"])).cast("int").alias("band"),
                         F.floor(-20 * F.log10(p_text)).cast("int").alias("step"), (p_rand >= cfg.alpha).alias("fair"))
     out = F.transform(F.array(one), with_bins)

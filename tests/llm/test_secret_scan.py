@@ -1,10 +1,14 @@
 import base64
 import random
 import re
+import string
 
 from pixelflow.llm import secret_scan as S
 
 
+ALPHABET = string.ascii_letters + string.digits
+
+
 def base(text):
     text, out = text or "", []
     for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A):
@@ -44,6 +48,24 @@ def test_battery_separates_random_strings_from_words(spark):
             assert t[spans[0][0]:spans[0][2]] == t.split()[-1]
 
 
+def test_short_keys_that_are_rare(spark):
+    r = random.Random(3)
+    words = "the state of public information from every major report about water people system number between under through".split()
+    kinds = (lambda w: "-".join(w), lambda w: "_".join(w).upper(), lambda w: "".join(x.title() for x in w),
+             lambda w: "/".join(["2024", "03", *w]), lambda w: "".join(w) + str(r.randrange(10 ** 6)))
+    rows = []
+    for i in range(6000):
+        size, key = r.choice((20, 24, 28, 32, 36)), i % 100 == 0
+        token = r.choice(kinds)(r.sample(words, 6))[:r.choice((24, 31, 40))]
+        rows.append((i, "".join(r.choice(ALPHABET) for _ in range(size)) if key else token))
+    got = {t: bool(spans) for t, spans in found(spark.createDataFrame(rows, "doc_id bigint, text string"), random_too=True)}
+    keys = [t for i, t in rows if i % 100 == 0]
+    recall = {a: [got[t] for t in keys if a <= len(t) < b] for a, b in ((20, 28), (28, 37))}
+    wrong = [t for i, t in rows if i % 100 and got[t]]
+    assert sum(recall[20]) >= 0.6 * len(recall[20]) and sum(recall[28]) >= 0.85 * len(recall[28]), (recall, wrong[:5])
+    assert len(wrong) <= 0.1 * len(keys), wrong[:9]
+
+
 def test_odd_rows(odd, none, clashing):
     assert len(found(odd)) == odd.count()
     assert found(none) == []
