@@ -108,6 +108,39 @@ reach AS (SELECT doc_id AS id, doc_id AS root FROM s UNION SELECT sym.y, reach.r
 SELECT s.doc_id, len(sh)::BIGINT AS n_shingles, (SELECT min(root) FROM reach WHERE id = s.doc_id) AS component_id FROM s
 """
 
+#: CRC-32 of the decimal digits of an id: each character is a step and seven more.
+def _crc32(id_: str) -> str:
+    steps = f"[[ord(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0] FOR x IN string_split({id_}::VARCHAR, '')]"
+    step = "xor(xor(crc, x) >> 1, (xor(crc, x) & 1) * 3988292384)"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten({steps})), lambda crc, x: {step}))"
+
+
+OP12 = rf"""
+WITH raw AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws,
+         coalesce({_crc32('doc_id')}, 1) AS h FROM documents),
+par AS (SELECT *, len(ws) AS n, h // 10 AS g FROM raw),
+cut AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n ELSE n END AS a FROM par),
+new AS (
+  SELECT rid, doc_id, n, CASE WHEN a >= n THEN ws
+    ELSE ws[1:a] || [ws[a + 1 + k % (1 + (n - a) // (3 + g % 8))] FOR k IN range(0, n - a)] END AS ws FROM cut),
+w AS (SELECT rid, n, unnest(ws) AS word, unnest(range(0, n)) AS i FROM new),
+eq AS (SELECT x.rid, y.i - x.i AS q, x.i FROM w x JOIN w y ON x.rid = y.rid AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+isl AS (SELECT rid, q, i, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS grp FROM eq),
+cand AS (SELECT rid, q, min(i) AS s, count(*) + q AS len FROM isl GROUP BY rid, q, grp HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT rid, s, len, min(q) AS q FROM cand GROUP BY ALL),
+agg AS (
+  SELECT rid, count(*) AS n_runs, arg_min({{'s': s, 'len': len, 'q': q}}, (-len, s, q)) AS top,
+         sha256(string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q)) AS runs_sha256 FROM runs GROUP BY rid),
+gone AS (SELECT DISTINCT rid, unnest(range(s + q, s + len)) AS i FROM runs),
+kept AS (
+  SELECT w.rid, string_agg(word, ' ' ORDER BY w.i) AS t FROM w ANTI JOIN gone ON w.rid = gone.rid AND w.i = gone.i GROUP BY w.rid)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, top.s::BIGINT AS start, top.len::BIGINT AS length, top.q::BIGINT AS period,
+       (1000 * top.len // top.q)::BIGINT AS exponent_milli, coalesce(runs_sha256, sha256('')) AS runs_sha256,
+       sha256(coalesce(t, '')) AS collapsed_sha256
+FROM new LEFT JOIN agg USING (rid) LEFT JOIN kept USING (rid)
+"""
+
 
 def statements() -> dict[str, str]:
-    return {"op2_quality_ledger": OP2, "op5_mix_apportion": OP5, "op7_jaccard_join": OP7}
+    return {"op2_quality_ledger": OP2, "op5_mix_apportion": OP5, "op7_jaccard_join": OP7, "op12_periodic_runs": OP12}
