@@ -109,6 +109,30 @@ SELECT s.doc_id, len(sh)::BIGINT AS n_shingles, (SELECT min(root) FROM reach WHE
 """
 
 #: CRC-32 of the decimal digits of an id: each character is a step and seven more.
+_LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11 = rf"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER}, '{_LETTERS}') AS ws FROM documents),
+items AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_LETTERS}') AS ws FROM benchmark),
+wins AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS n, unnest([array_to_string(ws[k:k + 9], ' ') FOR k IN range(1, greatest(len(ws) - 9, 1) + 1)]) AS win
+  FROM items WHERE len(ws) > 0),
+sizes AS (SELECT DISTINCT n FROM wins),
+grams AS (
+  SELECT rid, n, unnest([{{'p': k, 'win': array_to_string(ws[k:k + n - 1], ' ')}} FOR k IN range(1, len(ws) - n + 2)]) AS g
+  FROM docs, sizes WHERE len(ws) >= n),
+occ AS (SELECT rid, g.p AS p, grams.n, item_id FROM grams JOIN wins ON grams.n = wins.n AND g.win = wins.win),
+hits AS (SELECT rid, count(DISTINCT w) AS n_hit FROM (SELECT rid, unnest(range(p, p + n)) AS w FROM occ) GROUP BY rid),
+named AS (
+  SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item FROM occ WHERE item_id IS NOT NULL) GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (rid) LEFT JOIN named USING (rid)
+"""
+
+
 def _crc32(id_: str) -> str:
     steps = f"[[ord(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0] FOR x IN string_split({id_}::VARCHAR, '')]"
     step = "xor(xor(crc, x) >> 1, (xor(crc, x) & 1) * 3988292384)"
@@ -143,4 +167,4 @@ FROM new LEFT JOIN agg USING (rid) LEFT JOIN kept USING (rid)
 
 
 def statements() -> dict[str, str]:
-    return {"op2_quality_ledger": OP2, "op5_mix_apportion": OP5, "op7_jaccard_join": OP7, "op12_periodic_runs": OP12}
+    return {"op2_quality_ledger": OP2, "op5_mix_apportion": OP5, "op7_jaccard_join": OP7, "op11_set_decontam": OP11, "op12_periodic_runs": OP12}

@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pixelflow.llm import apportion, hilbert_ann, host_paths, jaccard_join, pair_bpe, periodic_runs, pii_anchor, ppm_langid, quality_ledger, secret_scan, toxicity_gru
+from pixelflow.llm import apportion, hilbert_ann, host_paths, jaccard_join, pair_bpe, periodic_runs, pii_anchor, ppm_langid, quality_ledger, secret_scan, set_decontam, toxicity_gru
 from pixelflow.llm.common import table
 
 
@@ -75,9 +75,16 @@ def op10_ppm_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", ppm_langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
+def op11_set_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = set_decontam.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    ids = F.sha2(F.concat_ws(",", "items").cast("binary"), 256)
+    return out.select("doc_id", "n_words", "n_hit", "n_items", ids.alias("items_sha256"), "contaminated")
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.scan(table(spark, sf_dir, "documents"), plant=True).drop("runs")
 
 
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_ledger, op3_pair_bpe, op4_pii_anchor, op5_mix_apportion,
-                                   op6_hilbert_ann, op7_jaccard_join, op8_toxicity_gru, op9_host_paths, op10_ppm_langid, op12_periodic_runs)}
+                                   op6_hilbert_ann, op7_jaccard_join, op8_toxicity_gru, op9_host_paths, op10_ppm_langid, op11_set_decontam,
+                                   op12_periodic_runs)}
