@@ -37,8 +37,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pixelflow.llm.common import stored
 
-#: Fixed value: a word of lower-cased text is of letters, digits and what is not ASCII.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What is between the words of lower-cased text, and of any text (words
+#: are of letters, digits and what is not ASCII).  Splitting there is several times
+#: faster than matching the words' negated class.
+BETWEEN, BETWEEN_ANY_CASE = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 MAP_BITS = 1 << 24        # bits of the bitmap of benchmark shingles (at most 262,144 rows are broadcast)
@@ -56,7 +58,7 @@ class DecontamConfig:
 
 def words(text: Column) -> Column:
     """The words of a text (null: none), lower-cased in A-Z."""
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), BETWEEN), "")
 
 
 def _shingles(df: DataFrame, ws: str, width: int, keep: list[str]) -> DataFrame:
@@ -68,8 +70,8 @@ def _shingles(df: DataFrame, ws: str, width: int, keep: list[str]) -> DataFrame:
 
 
 def _hash(width: int) -> Column:
-    """Hash of the first ``width`` words, null where there are fewer."""
-    return F.when(F.col(f"_w{width - 1}").isNotNull(), F.xxhash64(F.lit(width), *[F.col(f"_w{k}") for k in range(width)]))
+    """Hash of the first ``width`` words (of a row that has them)."""
+    return F.xxhash64(F.lit(width), *[F.col(f"_w{k}") for k in range(width)])
 
 
 def _text(width: int) -> Column:
@@ -103,20 +105,21 @@ def matches(docs: DataFrame, wins: DataFrame, cfg: DecontamConfig) -> DataFrame:
     if not widths:
         return docs.sparkSession.createDataFrame([], f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key string, size int, pos int, sh string")
     full = docs.select("doc_id", F.md5("text").alias("key"), words(F.col("text")).alias("ws"))
-    full = full.withColumn("size", F.size("ws")).where(F.col("size") > 0)
-    each = _shingles(full, "ws", max(widths), ["doc_id", "key", "size"])
+    each = _shingles(full.withColumn("size", F.size("ws")), "ws", max(widths), ["doc_id", "key", "size"])
     if len(widths) == 1:
-        each = each.withColumn("h", _hash(widths[0])).withColumn("sh", _text(widths[0]))
+        each = each.withColumn("width", F.lit(widths[0])).withColumn("h", _hash(widths[0]))
     else:
-        both = F.array(*[F.struct(_hash(k).alias("h"), _text(k).alias("sh")) for k in widths])
-        each = each.withColumn("_s", F.explode(both)).withColumn("h", F.col("_s.h")).withColumn("sh", F.col("_s.sh"))
-    # the bitmap drops most shingles before the join proper
-    spot = F.pmod("h", F.lit(MAP_BITS))
+        both = F.explode(F.array(*[F.struct(F.lit(k).alias("width"), _hash(k).alias("h")) for k in widths]))
+        each = each.withColumn("_s", both).withColumn("width", F.col("_s.width")).withColumn("h", F.col("_s.h"))
+    # the bitmap drops most shingles before their words are put together
+    spot = F.shiftright(F.pmod("h", F.lit(MAP_BITS)), 6)
     bit = F.expr("shiftleft(1L, cast(pmod(h, 64) as int))")
-    bitmap = wanted.groupBy(F.floor(spot / 64).alias("_at")).agg(F.bit_or(bit).alias("_map"))
-    near = each.withColumn("_at", F.floor(spot / 64)).join(F.broadcast(bitmap), "_at")
-    near = near.where(F.col("_map").bitwiseAND(bit) != 0).select("doc_id", "key", "size", "pos", "h", "sh")
-    return near.join(wanted.select("h", "sh"), ["h", "sh"], "left_semi").select("doc_id", "key", "size", "pos", "sh").distinct()
+    bitmap = wanted.groupBy(spot.alias("_at")).agg(F.bit_or(bit).alias("_map"))
+    near = each.withColumn("_at", spot).join(F.broadcast(bitmap), "_at").where(F.col("_map").bitwiseAND(bit) != 0)
+    of_width = [F.when((F.col("width") == k) & F.col(f"_w{k - 1}").isNotNull(), _text(k)) for k in widths]
+    near = near.select("doc_id", "key", "size", "pos", "h", F.coalesce(*of_width).alias("sh"))
+    # an inner join: a semi join would be moved below the bitmap's join
+    return near.join(wanted.select("h", "sh"), ["h", "sh"]).select("doc_id", "key", "size", "pos", "sh").distinct()
 
 
 def occurrences(found: DataFrame, wins: DataFrame) -> DataFrame:
@@ -155,8 +158,7 @@ def scan(docs: DataFrame, items: DataFrame, cfg: DecontamConfig = DecontamConfig
     tags = hit.join(named.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), "items"),
                     F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("key") == F.col("_k")), "left")
     tags = stored(tags.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), "n_hit", "items"), "decontam-documents")
-    # words of the text as it stands: upper case counts as letters here
-    n = F.coalesce(F.regexp_count("text", F.lit(WORD.replace("-\\x60", "-\\x40\\x5B-\\x60"))), F.lit(0)).cast("long")
+    n = F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), BETWEEN_ANY_CASE), "")).cast("long")
     each = docs.select("doc_id", F.md5("text").alias("key"), n.alias("n_words"))
     out = each.join(tags, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("key") == F.col("_k")), "left")
     none = F.array().cast("array<string>")
