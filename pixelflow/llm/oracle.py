@@ -165,6 +165,36 @@ SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, top.s::BIGINT AS start, to
 FROM new LEFT JOIN agg USING (rid) LEFT JOIN kept USING (rid)
 """
 
+# a prefix is named by the MD5 of its turns' digests
+OP13 = f"""
+WITH t AS (
+  SELECT conv_id AS c, md5(md5(coalesce(role, '')) || md5(coalesce(text, ''))) AS e, length(coalesce(text, '')) AS len,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS r FROM conversations WHERE conv_id IS NOT NULL),
+conv AS (
+  SELECT c, max(r) + 1 AS n, {_crc32('c')} % 6 AS h, c - c % 100 AS base FROM t GROUP BY c),
+parts AS (
+  SELECT conv.c, 0 AS half, t.r, e, len FROM conv JOIN t ON t.c = base AND t.r < h
+  UNION ALL SELECT conv.c, 1, t.r, e, len FROM conv JOIN t ON t.c = conv.c AND t.r >= h),
+seq AS (SELECT c, list(e ORDER BY half, r) AS es, list(len ORDER BY half, r) AS lens FROM parts GROUP BY c),
+conv2 AS (SELECT conv.c, coalesce(es, []) AS es, coalesce(lens, []) AS lens FROM conv LEFT JOIN seq USING (c)),
+pre AS (
+  SELECT c, len(es) AS n, unnest([{{'d': d, 'k': md5(array_to_string(es[1:d], ' ')), 'p': md5(array_to_string(es[1:d - 1], ' ')),
+         'len': CASE WHEN d = 0 THEN 0 ELSE lens[d] END}} FOR d IN range(0, len(es) + 1)], recursive := true) FROM conv2),
+node AS (
+  SELECT d, k, any_value(p) AS p, min(c) AS conv_id, count(*) AS n_convs, max(len) AS len, string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d) AS ends
+  FROM pre GROUP BY d, k),
+kids AS (SELECT d - 1 AS d, p AS k, count(*) AS n_children FROM node WHERE d > 0 GROUP BY ALL),
+full_ AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (d, k)),
+-- every node under each prefix of its smallest member
+under AS (
+  SELECT a.d, a.k, sum((f.n_convs - 1) * f.len) AS saved, count(*) FILTER (f.n_children = 0) AS n_leaves
+  FROM full_ f JOIN pre a ON a.c = f.conv_id AND a.d <= f.d GROUP BY a.d, a.k)
+SELECT f.conv_id, f.d::BIGINT AS depth, up.conv_id AS parent_conv_id, f.n_convs::BIGINT AS n_convs, f.n_children::BIGINT AS n_children,
+       n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, sha256(coalesce(f.ends, '')) AS ends_sha256
+FROM full_ f JOIN under USING (d, k) LEFT JOIN full_ up ON up.d = f.d - 1 AND up.k = f.p
+"""
+
 
 def statements() -> dict[str, str]:
-    return {"op2_quality_ledger": OP2, "op5_mix_apportion": OP5, "op7_jaccard_join": OP7, "op11_set_decontam": OP11, "op12_periodic_runs": OP12}
+    return {"op2_quality_ledger": OP2, "op5_mix_apportion": OP5, "op7_jaccard_join": OP7, "op11_set_decontam": OP11, "op12_periodic_runs": OP12,
+            "op13_prefix_trie": OP13}

@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pixelflow.llm import apportion, hilbert_ann, host_paths, jaccard_join, pair_bpe, periodic_runs, pii_anchor, ppm_langid, quality_ledger, secret_scan, set_decontam, toxicity_gru
+from pixelflow.llm import apportion, hilbert_ann, host_paths, jaccard_join, pair_bpe, periodic_runs, pii_anchor, ppm_langid, prefix_trie, quality_ledger, secret_scan, set_decontam, toxicity_gru
 from pixelflow.llm.common import table
 
 
@@ -85,6 +85,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.scan(table(spark, sf_dir, "documents"), plant=True).drop("runs")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_quality_ledger, op3_pair_bpe, op4_pii_anchor, op5_mix_apportion,
                                    op6_hilbert_ann, op7_jaccard_join, op8_toxicity_gru, op9_host_paths, op10_ppm_langid, op11_set_decontam,
-                                   op12_periodic_runs)}
+                                   op12_periodic_runs, op13_prefix_trie)}
