@@ -17,7 +17,7 @@ def test_measurements():
     for _ in range(400):
         ws = [r.choice("abcd") for _ in range(r.randint(0, 30))]
         assert Q.repeat_words(ws) == repeat_words(ws)
-    assert Q.measure("a #b\n\na #b\n \nx y 12") == (6, 10, 2, 3, 1, 0, 2)
+    assert Q.measure("a #b\n\na #b\n \nx y 12") == (6, 11, 2, 3, 1, 0, 2)   # U+00A0 is part of a word
     assert Q.measure(None) == Q.measure("") == (0,) * 7
     assert Q.measure("a\x1cb c")[0] == 1          # only the six white-space characters separate words
 
