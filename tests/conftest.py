@@ -8,8 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from pixelflow.constants import LOG_FIELDS  # noqa: E402
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -23,31 +21,3 @@ def spark():
     if not s.sparkContext.getCheckpointDir():   # tests only: set one where unset
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pixelflow-test-ckpt-"))
     yield s
-
-
-def imp_frame(spark, rows):
-    """Typed impression log from dicts; fields not given are absent (NULL)."""
-    cols = ("event_id",) + LOG_FIELDS
-    data = [tuple(r.get(c) for c in cols) for r in rows]
-    schema = "event_id bigint, " + ", ".join(f"`{c}` string" for c in LOG_FIELDS)
-    return spark.createDataFrame(data, schema)
-
-
-def conv_frame(spark, rows):
-    """Retargeting log rows: (event_id, cookie, payload) or payload lists."""
-    if rows and isinstance(rows[0][2], list):
-        return spark.createDataFrame(rows, "event_id bigint, cookie string, payloads array<string>")
-    return spark.createDataFrame(rows, "event_id bigint, cookie string, payload string")
-
-
-def payload(cmpn=None, ua=None, date=None, st=None):
-    parts = []
-    if cmpn is not None:
-        parts.append(f'"cmpn":"{cmpn}"')
-    if ua is not None:
-        parts.append(f'"brwsos":"{ua}"')
-    if date is not None:
-        parts.append(f'"date":"{date}"')
-    if st is not None:
-        parts.append(f'"st":"{st}"')
-    return "{" + ",".join(parts) + "}"

@@ -4,7 +4,7 @@ import datetime as dt
 import random
 import re
 
-from conftest import conv_frame, imp_frame
+from log_frames import conv_frame, imp_frame
 from pyspark.sql import functions as F
 
 from pixelflow import functions as pf

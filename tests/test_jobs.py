@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import conv_frame, imp_frame, payload
+from log_frames import conv_frame, imp_frame, payload
 from pixelflow.plans import (agg_rate, collect_conversions, collect_impressions, ctr_leaves,
                              sequence_labels)
 from pixelflow.sources import fixtures as fx

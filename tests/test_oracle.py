@@ -7,10 +7,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from pixelflow import oracle
+from pixelflow.queries import QUERIES
 from tools.oracle_check import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
-KEYS = sorted(E.queries())
+KEYS = sorted(QUERIES)
+SQL = oracle.statements()
 TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
@@ -25,18 +28,19 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(SQL) == set(KEYS)
+    assert set(KEYS) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
-    df = E.queries()[key](spark, SF)
+    df = QUERIES[key](spark, SF)
     rows = [tuple(r) for r in df.collect()]
-    rel = con.sql(E.oracle_sql()[key])
+    rel = con.sql(SQL[key])
     dtypes = {n: str(t) for n, t in zip(rel.columns, rel.types)}
     stypes = {f.name: TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
     assert stypes == dtypes
-    res = con.execute(E.oracle_sql()[key])
+    res = con.execute(SQL[key])
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)
