@@ -7,6 +7,7 @@ import gc
 import os
 import sys
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -26,14 +27,41 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+_SCOPES: list[list[str]] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table in the shared folder and read back: cuts the
     lineage, survives lost executors, and later reads do not redo the work."""
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables stored inside are deleted at the end, but for those stored by
+    the function it gives: results must not read the others lazily."""
+    _SCOPES.append([])
+    kept: list[str] = []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        out = stored(df, name)
+        kept.append(_SCOPES[-1].pop())
+        return out
+    try:
+        yield keep
+    finally:
+        made = _SCOPES.pop()
+        if _SCOPES:
+            _SCOPES[-1].extend(kept)
+        for p in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def importable(spark: SparkSession) -> None:
     """Python workers on this machine find this package where the driver has
     it (on a cluster, ship it with --py-files)."""

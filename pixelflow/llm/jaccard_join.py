@@ -14,20 +14,22 @@ exact; the lead class only saves counting the other four fifths.
 
 Filters on a shared prefix shingle at positions i and j, taken as the first
 shared one: length; positional (all i + j before it differ); suffix (a
-512-bit parity map of the shingles after the lead class: each differing bit
-is a differing shingle).  A pair they wrongly drop at a later shared shingle
-has passed at its first.
+512-bit parity map of all shingles: each differing bit is a differing
+shingle).  A pair they wrongly drop at a later shared shingle has passed at
+its first.
 
 No list of prefix holders is expanded into all its pairs.  First every holder
-meets the pivot (smallest) of its length band and of the next band; verified
-links give components.  Then, in lists that still hold more than one
-component, only holders outside the list's largest component meet the rest,
-across components.  Pairs already verified are not verified again.
+meets the pivot of its length band and of the next band; verified links give
+components.  In lists that still hold several, what is outside the largest
+meets the list's PIVOTS best pivots.  Then only what is left outside meets the
+rest of its lists, across components.  So a group of near copies costs its size times
+the pivots, not its square; what the pivots miss, the last step finds.
 
 Nulls and edges: a null, empty or blank text has an empty set, is linked with
 nothing and is its own component; a text with fewer words than a shingle is
 one shingle; ids may repeat (a component's id is its smallest) or be null; an
-empty table gives no rows; other columns are not read.
+empty table gives no rows; very long texts are hashed whole; other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -39,9 +41,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from pixelflow.llm.common import map_batches, stored
+from pixelflow.llm.common import map_batches, scratch, stored
 
 PARITY_WORDS = 8          # 64-bit words of the parity map
+PIVOTS = 8                # further pivots of a list and length band
 MAP_BITS = 1 << 24        # bits of the bitmap of wanted sets (at most 262,144 rows are broadcast)
 
 
@@ -142,7 +145,7 @@ def prefix_size(n: int, percent: int) -> int:
 
 def _profiles(docs: DataFrame, cfg: JoinConfig) -> DataFrame:
     """Per document: doc_id, k1, k2 (set key), n, n_lead, cand (the shingles
-    that may be in the prefix) and the parity map of the others."""
+    that may be in the prefix), the parity map of all, and tk (a hash of the text)."""
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
         sets = shingle_sets(b.column("text").to_pylist(), cfg.words)
         keys, n, lead, cand, par = [], [], [], [], []
@@ -152,7 +155,7 @@ def _profiles(docs: DataFrame, cfg: JoinConfig) -> DataFrame:
             n.append(len(s))
             lead.append(int(is_lead.sum()))
             cand.append((s[is_lead] if lead[-1] >= prefix_size(len(s), cfg.percent) else s).view(np.int64))
-            bits = np.bincount((s[~is_lead] >> np.uint64(40)) % np.uint64(64 * PARITY_WORDS), minlength=64 * PARITY_WORDS) & 1
+            bits = np.bincount((s >> np.uint64(40)) % np.uint64(64 * PARITY_WORDS), minlength=64 * PARITY_WORDS) & 1
             par.append(np.packbits(bits.astype(np.uint8)).view(np.int64))
         offsets = np.concatenate([[0], np.cumsum([len(c) for c in cand])]).astype(np.int32)
         values = np.concatenate(cand) if cand else np.zeros(0, np.int64)
@@ -160,10 +163,11 @@ def _profiles(docs: DataFrame, cfg: JoinConfig) -> DataFrame:
         cols = [b.column("doc_id"), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
                 pa.array(n, pa.int64()), pa.array(lead, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int64())),
-                *[pa.array(par[:, k]) for k in range(PARITY_WORDS)]]
-        return pa.RecordBatch.from_arrays(cols, ["doc_id", "k1", "k2", "n", "n_lead", "cand", *_PARITY])
+                *[pa.array(par[:, k]) for k in range(PARITY_WORDS)], b.column("tk")]
+        return pa.RecordBatch.from_arrays(cols, ["doc_id", "k1", "k2", "n", "n_lead", "cand", *_PARITY, "tk"])
     ddl = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, k1 bigint, k2 bigint, n bigint, n_lead bigint, cand array<bigint>, "
-    return map_batches(docs.select("doc_id", "text"), batch, ddl + ", ".join(f"{p} bigint" for p in _PARITY), rows=512)
+    return map_batches(docs.select("doc_id", "text", F.xxhash64("text").alias("tk")), batch,
+                       ddl + ", ".join(f"{p} bigint" for p in [*_PARITY, "tk"]), rows=512)
 
 
 _PARITY = [f"s{k}" for k in range(PARITY_WORDS)]
@@ -184,8 +188,8 @@ def _keyed(docs: DataFrame, cfg: JoinConfig, keep: tuple[str, ...]) -> DataFrame
     return map_batches(docs.select(*dict.fromkeys([*names, "text"])), batch, ddl + "_k1 bigint, _k2 bigint, _n bigint", rows=512)
 
 
-def _sets(docs: DataFrame, cfg: JoinConfig) -> DataFrame:
-    """(k1, k2, set) of each document."""
+def _sets(texts: DataFrame, cfg: JoinConfig) -> DataFrame:
+    """(k1, k2, set) of each text."""
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
         sets = shingle_sets(b.column("text").to_pylist(), cfg.words)
         keys = [keys_of(s) for s in sets]
@@ -194,12 +198,12 @@ def _sets(docs: DataFrame, cfg: JoinConfig) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
              pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int64()))], ["k1", "k2", "set"])
-    return map_batches(docs.select("text"), batch, "k1 bigint, k2 bigint, set array<bigint>", rows=512)
+    return map_batches(texts.select("text"), batch, "k1 bigint, k2 bigint, set array<bigint>", rows=512)
 
 
 def postings(nodes: DataFrame, cfg: JoinConfig) -> DataFrame:
-    """Prefix entries shared by two nodes at least: h, node, n, pos, in_lead,
-    band and the parity map."""
+    """Prefix entries shared by two nodes at least: h, node, n, pos, band and
+    the parity map."""
     each = nodes.select("node", F.explode("cand").alias("h"))
     df = each.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = each.join(stored(df, "join-df"), "h")
@@ -217,7 +221,7 @@ def postings(nodes: DataFrame, cfg: JoinConfig) -> DataFrame:
     # linked sizes differ by less than one band
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.1 / cfg.percent)))
     return (e.withColumn("pos", pos).where(F.col("pos") < size)
-            .select(F.col("_x.h").alias("h"), "node", "n", "pos", (~F.col("_x.tail")).alias("in_lead"),
+            .select(F.col("_x.h").alias("h"), "node", "n", "pos",
                     band.cast("int").alias("band"), *_PARITY))
 
 
@@ -228,9 +232,8 @@ def passes(a: str, b: str, cfg: JoinConfig) -> Column:
     need = F.ceil((na + nb) * cfg.percent / (100 + cfg.percent) - 1e-9)
     most = na + nb - 2 * need                     # differing shingles a linked pair can have
     before = col(a, "pos") + col(b, "pos")
-    tail = reduce(lambda x, y: x + y, [F.bit_count(col(a, p).bitwiseXOR(col(b, p))) for p in _PARITY])
-    differ = F.when(col(a, "in_lead"), before + tail).otherwise(F.greatest(before, tail))
-    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * cfg.percent) & (differ <= most)
+    parity = reduce(lambda x, y: x + y, [F.bit_count(col(a, p).bitwiseXOR(col(b, p))) for p in _PARITY])
+    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * cfg.percent) & (F.greatest(before, parity) <= most)
 
 
 def _pairs(df: DataFrame) -> DataFrame:
@@ -238,41 +241,61 @@ def _pairs(df: DataFrame) -> DataFrame:
 
 
 def pivot_pairs(post: DataFrame, cfg: JoinConfig) -> DataFrame:
-    """Every entry with the pivot of its band and of the next band of its list."""
-    fields = [c for c in post.columns if c not in ("h", "band")]
-    pivot = post.groupBy("h", "band").agg(F.min(F.struct("node", *[c for c in fields if c != "node"])).alias("p"))
-    pivot = pivot.select("h", "band", "p.*")
+    """Every entry with the pivot of its band and of the next band of its list:
+    the entry with the fewest rarer shingles, so likely the nearest to all."""
+    rest = [c for c in post.columns if c not in ("h", "band", "pos", "node")]
+    pivot = post.groupBy("h", "band").agg(F.min(F.struct("pos", "node", *rest)).alias("p")).select("h", "band", "p.*")
     near = post.withColumn("band", F.explode(F.array("band", F.col("band") + 1)))
     met = near.alias("a").join(pivot.alias("b"), ["h", "band"])
     return _pairs(met.where((F.col("a.node") != F.col("b.node")) & passes("a", "b", cfg)))
 
 
-def cross_pairs(post: DataFrame, labels: DataFrame, cfg: JoinConfig) -> DataFrame:
-    """Pairs across components, of lists that hold more than one: the entries
-    outside the list's largest component meet all others of their band and the
-    bands beside it."""
+def open_lists(post: DataFrame, labels: DataFrame) -> DataFrame:
+    """The entries, with their component ``label``, of lists that hold more
+    than one, and each list's largest component ``main`` and ``size``."""
     full = post.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     count = full.groupBy("h", "label").agg(F.count(F.lit(1)).alias("c"))
-    top = count.groupBy("h").agg(F.max(F.struct("c", "label")).alias("t"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    full = stored(full.join(top.select("h", F.col("t.label").alias("main")), "h"), "join-open")
-    side = full.where("label <> main").withColumn("band", F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)))
-    met = side.alias("a").join(full.alias("b"), ["h", "band"])
+    top = count.groupBy("h").agg(F.max(F.struct("c", "label")).alias("t"), F.count(F.lit(1)).alias("k"), F.sum("c").alias("size")).where("k > 1")
+    return stored(full.join(top.select("h", F.col("t.label").alias("main"), "size"), "h"), "join-open")
+
+
+def next_pivots(opened: DataFrame, cfg: JoinConfig) -> DataFrame:
+    """Pairs of each entry outside its list's largest component with PIVOTS
+    entries of each length band near its own: those with the fewest rarer
+    shingles."""
+    side = opened.where("label <> main").withColumn("band", F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)))
+    r = F.row_number().over(W.partitionBy("h", "band").orderBy("pos", "node"))
+    pivots = opened.withColumn("_r", r).where(F.col("_r") <= PIVOTS).drop("_r")
+    met = side.alias("a").join(pivots.alias("b"), ["h", "band"])
+    return _pairs(met.where((F.col("a.label") != F.col("b.label")) & passes("a", "b", cfg)))
+
+
+def cross_pairs(opened: DataFrame, cfg: JoinConfig) -> DataFrame:
+    """Pairs across components: the entries outside a list's largest component
+    meet all others of their band and the bands beside it."""
+    side = opened.where("label <> main").withColumn("band", F.explode(F.array(F.col("band") - 1, "band", F.col("band") + 1)))
+    met = side.alias("a").join(opened.alias("b"), ["h", "band"])
     # two entries outside the main component meet twice: keep one direction
     once = (F.col("b.label") == F.col("b.main")) | (F.col("a.node") < F.col("b.node"))
     return _pairs(met.where((F.col("a.label") != F.col("b.label")) & once & passes("a", "b", cfg)))
 
 
 def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, cfg: JoinConfig) -> DataFrame:
-    """The pairs (x, y) that link, by the exact sets of both sides."""
+    """The pairs (x, y) that link, by the exact sets of both sides (stored)."""
+    with scratch(docs.sparkSession) as keep:
+        return keep(_verified(pairs, nodes, docs, cfg), "join-links")
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, cfg: JoinConfig) -> DataFrame:
     wanted = pairs.select(F.col("x").alias("node")).unionByName(pairs.select(F.col("y").alias("node"))).distinct()
-    ids = stored(nodes.select("node", "k1", "k2").join(wanted, "node", "left_semi"), "join-wanted")
-    # a bitmap of the wanted keys, of at most MAP_BITS / 64 rows whatever the
-    # corpus, drops most other sets before they are shuffled
-    spot = F.pmod("k1", F.lit(MAP_BITS))
-    bit = F.expr("shiftleft(1L, cast(pmod(k1, 64) as int))")
-    bitmap = ids.groupBy(F.floor(spot / 64).alias("_at")).agg(F.bit_or(bit).alias("_map"))
-    sets = _sets(docs, cfg).withColumn("_at", F.floor(spot / 64)).join(F.broadcast(bitmap), "_at")
-    sets = sets.where(F.col("_map").bitwiseAND(bit) != 0).drop("_at", "_map")
+    ids = stored(nodes.select("node", "k1", "k2", "tk").join(wanted, "node", "left_semi"), "join-wanted")
+    # a bitmap of the wanted texts' hashes, of at most MAP_BITS / 64 rows whatever
+    # the corpus, drops most other texts before they are hashed anew
+    spot = F.shiftright(F.pmod("tk", F.lit(MAP_BITS)), 6)
+    bit = F.expr("shiftleft(1L, cast(pmod(tk, 64) as int))")
+    bitmap = ids.groupBy(spot.alias("_at")).agg(F.bit_or(bit).alias("_map"))
+    texts = docs.select("text", F.xxhash64("text").alias("tk")).withColumn("_at", spot).join(F.broadcast(bitmap), "_at")
+    sets = _sets(texts.where(F.col("_map").bitwiseAND(bit) != 0), cfg)
     sets = sets.join(ids, ["k1", "k2"]).groupBy("node").agg(F.first("set").alias("set"))
     sets = stored(sets, "join-sets")
     two = pairs.join(sets.select(F.col("node").alias("x"), F.col("set").alias("sx")), "x")
@@ -285,41 +308,47 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node with an edge: label is the component's
     smallest node.  Alternating large-star and small-star steps until nothing
     changes; each round is written to the shared folder."""
-    cur = edges.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).where("u <> v").distinct()
-    cur = stored(cur, "cc")
-    state = None
-    while True:
-        now = cur.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if now == state or not now[0]:
-            return cur.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
-                cur.select(F.col("v").alias("node"), F.col("v").alias("label"))).distinct()
-        state = now
-        both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        met = large.join(least, "u")
-        small = met.select("u", F.col("m").alias("v")).unionByName(met.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        cur = stored(small.where("u <> v").distinct(), "cc")
+    spark = edges.sparkSession
+    with scratch(spark) as keep_labels:
+        cur = stored(edges.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).where("u <> v").distinct(), "cc")
+        state = None
+        while True:
+            now = cur.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+            if now == state or not now[0]:
+                return keep_labels(cur.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
+                    cur.select(F.col("v").alias("node"), F.col("v").alias("label"))).distinct(), "join-components")
+            state = now
+            both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+            large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            least = large.groupBy("u").agg(F.min("v").alias("m"))
+            met = large.join(least, "u")
+            small = met.select("u", F.col("m").alias("v")).unionByName(met.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
+            cur = stored(small.where("u <> v").distinct(), "cc")
 
 
 def links(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> tuple[DataFrame, DataFrame]:
     """(profiles, nodes): doc_id, n, k1, k2 of every document, and of every
     distinct set k1, k2, its smallest doc_id ``low`` and component ``label``."""
     prof = stored(_profiles(docs, cfg).withColumn("row", F.monotonically_increasing_id()), "join-profiles")
-    full = prof.where("n > 0")
-    # a node is named by its first row; its other columns follow from the set
-    nodes = stored(full.groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min("doc_id").alias("low")), "join-nodes")
-    reps = full.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node").drop("doc_id")
-    post = stored(postings(reps, cfg), "join-postings")
-    first = stored(pivot_pairs(post, cfg), "join-pairs")
-    linked = stored(verify(first, nodes, docs, cfg), "join-links")
-    labels = components(linked)
-    second = stored(cross_pairs(post, labels, cfg).join(first, ["x", "y"], "left_anti"), "join-pairs")
-    more = stored(verify(second, nodes, docs, cfg), "join-links")
-    labels = components(linked.unionByName(more))
-    nodes = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    return prof.select("doc_id", "n", "k1", "k2"), stored(nodes, "join-labels")
+    with scratch(docs.sparkSession) as keep:
+        full = prof.where("n > 0")
+        # a node is named by its first row; its other columns follow from the set
+        nodes = stored(full.groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min("doc_id").alias("low"), F.min_by("tk", "row").alias("tk")), "join-nodes")
+        reps = full.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node").drop("doc_id", "tk")
+        post = stored(postings(reps, cfg), "join-postings")
+        first = stored(pivot_pairs(post, cfg), "join-pairs")
+        linked = verify(first, nodes, docs, cfg)
+        with scratch(docs.sparkSession) as keep_pairs:
+            near = next_pivots(open_lists(post, components(linked)), cfg)
+            second = keep_pairs(near.join(first, ["x", "y"], "left_anti"), "join-pairs")
+        linked = linked.unionByName(verify(second, nodes, docs, cfg))
+        with scratch(docs.sparkSession) as keep_pairs:
+            rest = cross_pairs(open_lists(post, components(linked)), cfg)
+            third = keep_pairs(rest.join(first.unionByName(second), ["x", "y"], "left_anti"), "join-pairs")
+        labels = components(linked.unionByName(verify(third, nodes, docs, cfg)))
+        nodes = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        return prof.select("doc_id", "n", "k1", "k2"), keep(nodes, "join-labels")
 
 
 def cluster(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> DataFrame:
@@ -334,8 +363,8 @@ def cluster(docs: DataFrame, cfg: JoinConfig = JoinConfig()) -> DataFrame:
 
 def deduplicate(docs: DataFrame, cfg: JoinConfig = JoinConfig(), columns: tuple[str, ...] = ("doc_id", "text", "lang", "source", "n_chars")) -> DataFrame:
     """One document of each component stays: the smallest id (null last), then
-    the smaller set key; of rows equal in both, any one.  Documents with an
-    empty set are linked with nothing and all stay."""
+    the smaller set key; of rows equal in both, the smallest by ``columns``.
+    Documents with an empty set are linked with nothing and all stay."""
     prof, nodes = links(docs, cfg)
     first = F.min(F.struct(F.col("low").isNull().alias("last"), F.col("low").alias("doc_id"), "k1", "k2")).alias("f")
     best = stored(nodes.groupBy("label").agg(first), "join-best")
@@ -347,6 +376,7 @@ def deduplicate(docs: DataFrame, cfg: JoinConfig = JoinConfig(), columns: tuple[
     keyed = _keyed(docs, cfg, columns)
     same = (F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_k1") == F.col("_x1")) & (F.col("_k2") == F.col("_x2")))
     once = keyed.join(rows.where(~F.col("stays") | (F.col("m") > 1)), same, "left_anti")
-    # keepers that stand in several rows: one of them
-    again = keyed.join(rows.where(F.col("stays") & (F.col("m") > 1)), same, "left_semi").dropDuplicates(["doc_id", "_k1", "_k2"])
-    return once.unionByName(again).select(*columns)
+    # keepers that stand in several rows: the smallest of them
+    again = keyed.join(rows.where(F.col("stays") & (F.col("m") > 1)), same, "left_semi")
+    again = again.groupBy("doc_id", "_k1", "_k2").agg(F.min(F.struct(*columns)).alias("_row")).select("_row.*")
+    return once.select(*columns).unionByName(again)

@@ -3,7 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from pixelflow.llm import jaccard_join as J
+from pixelflow.llm import common, jaccard_join as J
 
 
 def sets(text, words=3):
@@ -77,6 +77,37 @@ def test_chains_and_a_hot_group(spark):
     assert got == want and len(set(want.values())) < 60
 
 
+def test_candidates_grow_in_proportion(spark, monkeypatch):
+    # copies of one text, each with edits of its own: most pairs just below or just above the threshold
+    keep, met = J.stored, []
+    for module in (J, common):
+        monkeypatch.setattr(module, "stored", lambda df, name: (out := keep(df, name), name == "join-pairs" and met.append(out.count()))[0])
+    base = [f"c{i}" for i in range(300)]
+    for edits in (4, 7):
+        counts = {}
+        for m in (200, 800):
+            r = random.Random(m)
+            rows = []
+            for i in range(m):
+                w = list(base)
+                for k in r.sample(range(300), edits if i else 0):
+                    w[k] = f"e{i}x{k}"
+                rows.append((i, " ".join(w)))
+            met.clear()
+            got = {x.doc_id: x.component_id for x in J.cluster(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+            counts[m] = sum(met)
+            if m == 200:
+                assert got == {d: c for d, _, c in model(rows)}
+        assert counts[800] <= 6 * counts[200] + 200 and (edits - 4 or counts[200] >= 199), counts
+
+
+def test_kept_row_is_defined(spark):
+    rows = [(1, "A b c d", "en", "s2", 7), (1, "a b c d", "en", "s1", 7), (1, "a b c d", "de", "s3", 7)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+        assert [tuple(x) for x in J.deduplicate(df).collect()] == [rows[0]]
+
+
 def test_components(spark):
     r = random.Random(5)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(64)]
