@@ -16,8 +16,9 @@ from pixelflow.sources.logs import split_once
 from pixelflow.sources.config import PixelLookups, pixel_lookups
 
 
-def conversion_dims(conv: DataFrame, lk: PixelLookups) -> DataFrame:
-    """Per conversion of a known pixel: ``_pix`` and its four dimensions.
+def raw_dims(conv: DataFrame, lk: PixelLookups) -> DataFrame:
+    """Per conversion of a known pixel: ``_pix``, its hour group and state, and
+    the user agent as it stands (``_ua``).
 
     ``conv`` has ``cookie`` and ``payload`` (first payload of the line).
     The semi join on the pixel comes first (unknown pixels leave before any
@@ -29,23 +30,25 @@ def conversion_dims(conv: DataFrame, lk: PixelLookups) -> DataFrame:
     df = split_once(df, F.regexp_extract("payload", RE_CMPN, 1), keep=("payload",)).withColumnRenamed("_arr", "_pix")
     known = lk.pixels.withColumnRenamed("pixel", "_known")
     df = df.join(known, F.col("_pix") == F.col("_known"), "left_semi")
-    ua = payload_extract("payload", RE_BRWSOS)
     return df.select(
         F.col("_pix"),
         hour_group_conversions("payload").alias("hour_group"),
         payload_extract("payload", RE_STATE).alias("state"),
-        clean_os(classify_os(ua)).alias("os"),
-        clean_browser(classify_browser(ua)).alias("browser"))
+        payload_extract("payload", RE_BRWSOS).alias("_ua"))
 
 
 def collect_conversions(spark: SparkSession, conv: DataFrame, pixels: str) -> DataFrame:
     """``(hour_group, state, os, browser, category, conv)`` with ``conv`` DOUBLE.
 
-    Conversions are counted per pixel and dimensions first; the small result
-    is spread over the pixel's categories and summed."""
+    Conversions are counted per pixel, hour group, state and raw user agent
+    first, so the agent rules run once per distinct agent of a group and not
+    once per conversion; the counts are then named, spread over the pixel's
+    categories and summed."""
     if pixels is None:
         raise ValueError("pixel map is required")
     lk = pixel_lookups(spark, pixels)
-    counts = count_by(conversion_dims(conv, lk), ("_pix", *CONV_DIMS[:-1]), "_n")
-    spread = fan_out(counts, lk, key="_pix").withColumn("_credit", F.col("_n") * F.col("weight"))
+    counts = count_by(raw_dims(conv, lk), ("_pix", "hour_group", "state", "_ua"), "_n")
+    named = counts.select("_pix", "hour_group", "state", clean_os(classify_os("_ua")).alias("os"),
+                          clean_browser(classify_browser("_ua")).alias("browser"), "_n")
+    spread = fan_out(named, lk, key="_pix").withColumn("_credit", F.col("_n") * F.col("weight"))
     return sum_by(spread, "_credit", CONV_DIMS, "conv")

@@ -63,14 +63,24 @@ def agg_rate_from_lines(imp_lines: DataFrame, conv_lines: DataFrame) -> DataFram
     return piv.select("key", "imp", "conv").withColumn("rate", smoothed_rate("conv", "imp"))
 
 
+def _group_folders(spark, root: str) -> set[str]:
+    """The hour groups 1..4 that have a folder under ``root`` (four look-ups)."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    return {g for g in RATE_HOUR_GROUPS if fs.exists(hadoop.Path(f"{root.rstrip('/')}/hour_group={g}"))}
+
+
 def agg_rate_from_folders(spark, imp_root: str, conv_root: str) -> DataFrame:
     """The rate job on intermediates written by
-    :func:`pixelflow.sources.intermediate.write_intermediate`: only the hour
-    group folders 1..4 are read (partition pruning), groups need folders on
-    both sides; returns ``(key, imp, conv, rate)``."""
+    :func:`pixelflow.sources.intermediate.write_intermediate`: of the hour
+    group folders 1..4 only those that stand on both sides are read (partition
+    pruning); returns ``(key, imp, conv, rate)``."""
+    groups = sorted(_group_folders(spark, imp_root) & _group_folders(spark, conv_root))
+
     def side(root):
         lines = spark.read.schema("value string").text(root)
-        if "hour_group" not in lines.columns:          # a side without rows has no folders
-            return lines.where(F.lit(False))
-        return lines.where(F.col("hour_group").cast("string").isin(*RATE_HOUR_GROUPS)).select("value")
+        if not groups:                                 # nothing in common
+            return lines.select("value").where(F.lit(False))
+        group = F.col("hour_group").cast("string")
+        return lines.where(group.isin(*RATE_HOUR_GROUPS)).where(group.isin(*groups)).select("value")
     return agg_rate_from_lines(side(imp_root), side(conv_root))

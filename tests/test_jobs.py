@@ -190,3 +190,22 @@ def test_shuffled_lookups_give_same_results(spark):
         assert run() == small
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_one_sided_group_folder_is_not_read(spark, tmp_path):
+    from pixelflow.constants import TAG_CONV, TAG_IMP
+    from pixelflow.plans import agg_rate_from_folders
+    from pixelflow.sources.intermediate import write_intermediate
+    row = "hour_group string, state string, os string, browser string, category string, "
+    dims = ("s", "o", "b", "c")
+    imp = spark.createDataFrame([(g, *dims, 5) for g in "123"], row + "imp bigint")
+    conv = spark.createDataFrame([(g, *dims, 1.0) for g in "24"], row + "conv double")
+    ir, cr = str(tmp_path / "imp"), str(tmp_path / "conv")
+    write_intermediate(imp, TAG_IMP, "imp", ir)
+    write_intermediate(conv, TAG_CONV, "conv", cr)
+    for side, g in (("imp", 1), ("conv", 4)):            # a file that fails when it is read
+        (tmp_path / side / f"hour_group={g}" / "part-bad.gz").write_bytes(b"not gzip")
+    got = agg_rate_from_folders(spark, ir, cr).collect()
+    assert [(r.key, r.imp, r.conv) for r in got] == [("2\ts\to\tb\tc", 5.0, 1.0)]
+    write_intermediate(conv.where("hour_group = '4'"), TAG_CONV, "conv", cr)
+    assert agg_rate_from_folders(spark, ir, cr).count() == 0

@@ -110,3 +110,11 @@ def test_hot_cookie_window_input_is_bounded(spark):
     per_cookie = dict(out.groupBy("cookie").count().collect())
     assert per_cookie[hot] == 10                      # one row per distinct second
     assert out.where(F.col("cookie") == hot).agg(F.min("tie")).first()[0] == 4990   # largest tie wins
+
+
+def test_agents_are_classified_above_the_first_aggregate(spark):
+    df = collect_conversions(spark, fx.conversions(fx.read_events(spark, SF)), PIX)
+    p = df._jdf.queryExecution().optimizedPlan().toString().splitlines()      # from the top down
+    first = max(i for i, line in enumerate(p) if "Aggregate [_pix" in line)
+    rules = [i for i, line in enumerate(p) if "RLIKE" in line]
+    assert rules and max(rules) <= first and "_ua" in p[first]
