@@ -41,8 +41,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by the mark of its kind; a null text becomes
-    empty; no row goes."""
+    """Personal data is replaced by the mark of its kind; a null text stays
+    null (its n_chars, too); no row goes."""
     found = pii_anchor.find(docs, COLUMNS)
     out = found.withColumn("text", pii_anchor.redact(F.col("text"), F.col("spans")))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
