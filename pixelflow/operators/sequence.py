@@ -4,8 +4,10 @@ Plan: both logs are projected to narrow timeline rows before any shuffle; one
 exchange by (cookie, day) and one sort then give, in a window over the text
 date, the winner of every second and the winner that follows it the same day.
 The last winner of each (cookie, day) is settled from the next day's first
-winner in a second, small window (one row per cookie and day), so a hot
-cookie is split by day.
+winner in a second window (one row per cookie and day), so a hot cookie is
+split by day.  A hot (cookie, day) is first combined to one row a second
+(:func:`combine_hot`): no window group is larger than the bound on a day's
+rows, or the seconds of a day.
 """
 
 from __future__ import annotations
@@ -94,6 +96,23 @@ def dedup_last_wins(timeline: DataFrame, key=("cookie", "event_date"),
                     .select(*key, *[F.col("_w." + c).alias(c) for c in (*order, *rest)]))
 
 
+def hot_days(timeline: DataFrame, rows: int) -> DataFrame:
+    """``(cookie, _day)`` groups of more than ``rows`` timeline rows: at most
+    ``count / rows`` of them, counted map-side, so a group of any size is a few
+    partial counts."""
+    day = F.substring("event_date", 1, 8).alias("_day")
+    return timeline.groupBy("cookie", day).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows).select("cookie", "_day")
+
+
+def combine_hot(timeline: DataFrame, hot: DataFrame) -> DataFrame:
+    """The timeline with the rows of hot (cookie, day) groups reduced to each
+    second's winner ahead of the window's exchange; other rows as they are.
+    Losers never change a label, so any ``hot`` gives the same labels."""
+    t = timeline.withColumn("_day", F.substring("event_date", 1, 8))
+    cold = t.join(hot, ["cookie", "_day"], "left_anti").drop("_day")
+    return cold.unionByName(dedup_last_wins(t.join(hot, ["cookie", "_day"], "left_semi").drop("_day")))
+
+
 def label_next(timeline: DataFrame, lk: PixelLookups) -> DataFrame:
     """Label each impression that wins its second 1 iff the next event of its
     cookie (by date text) is a conversion whose pixel lists the impression's

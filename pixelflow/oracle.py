@@ -421,6 +421,7 @@ def statements() -> dict[str, str]:
     s["seq_label"] = P + _seq_label_body() + "SELECT * FROM lab"
     s["sink_flat"] = s["seq_label"]
     s["seq_label_mixed"] = s["seq_label"]
+    s["seq_label_split"] = s["seq_label"]
     s["check_label_bound"] = (P + _seq_label_body() +
         "SELECT CAST(COALESCE(sum(label), 0) AS BIGINT) AS labels, count(*) AS rows, "
         "(SELECT count(*) FROM conv WHERE length(cookie) = 32) AS conversions, "

@@ -15,7 +15,8 @@ from pixelflow.plans.conversions import collect_conversions
 from pixelflow.plans.ctr import ctr_leaves
 from pixelflow.plans.impressions import collect_impressions
 from pixelflow.plans.rate import agg_rate_from_folders
-from pixelflow.plans.sequence import sequence_labels_mixed
+from pixelflow.plans.sequence import HOT_ROWS, sequence_labels_split
+from pixelflow.session import delete_dir, shared_dir
 from pixelflow.sources import logs, sinks
 from pixelflow.sources.intermediate import write_intermediate
 
@@ -63,13 +64,19 @@ def run_agg_rate(spark: SparkSession, imp_out: str, conv_out: str, out: str) ->
 
 def run_sequence(spark: SparkSession, log_root: str, retarg_root: str, start: str, days: int,
                  pixels: str, out: str, layout: str = "partitioned", log_leaf: str | None = None,
-                 retarg_leaf: str | None = None, compression: str | None = None) -> None:
+                 retarg_leaf: str | None = None, compression: str | None = None, hot_rows: int = HOT_ROWS) -> None:
     """Both logs -> labelled sequence rows, flat text.  Every line of either
-    folder is routed by its first field."""
+    folder is routed by its first field; the timeline stands in the shared
+    folder while the job runs, and days of a cookie with more than
+    ``hot_rows`` rows are combined by second."""
     _check(start, out, log_root, retarg_root)
     lines = _scan(spark, log_root, start, days, layout, log_leaf).unionByName(
         _scan(spark, retarg_root, start, days, layout, retarg_leaf))
-    sinks.write_flat(sequence_labels_mixed(spark, lines, pixels), out, compression=compression)
+    folder = shared_dir(spark, "timeline")
+    try:
+        sinks.write_flat(sequence_labels_split(spark, lines, pixels, hot_rows=hot_rows, folder=folder), out, compression=compression)
+    finally:
+        delete_dir(spark, folder)
 
 
 def run_ctr_leaves(spark: SparkSession, log_root: str, start: str, days: int, adgroups: str | None,

@@ -5,9 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pixelflow.operators.sequence import label_next, seq_events, seq_events_mixed
+from pixelflow.operators.sequence import combine_hot, hot_days, label_next, seq_events, seq_events_mixed
+from pixelflow.session import shared_dir
 from pixelflow.sources.config import pixel_lookups
 
+#: Timeline rows of one cookie and day beyond which they are combined by second ahead of the window.
+HOT_ROWS = 1_000_000
+
 
 def sequence_labels(spark: SparkSession, imp: DataFrame, conv_all: DataFrame, pixels: str,
                     tie_col: str | None = "event_id") -> DataFrame:
@@ -30,3 +34,26 @@ def sequence_labels_mixed(spark: SparkSession, lines: DataFrame, pixels: str,
         raise ValueError("pixel map is required")
     lk = pixel_lookups(spark, pixels)
     return label_next(seq_events_mixed(lines, lk, tie_col), lk)
+
+
+def sequence_labels_split(spark: SparkSession, lines: DataFrame, pixels: str, tie_col: str | None = None,
+                          hot_rows: int = HOT_ROWS, folder: str | None = None) -> DataFrame:
+    """Same rows as :func:`sequence_labels_mixed`, for logs in which one cookie
+    may hold any share of a day.
+
+    The narrow timeline is written once under ``folder`` (a fresh one in the
+    shared folder if not given), so the input is parsed once; the groups of
+    more than ``hot_rows`` rows are counted on it, kept as a table whose size
+    lets the planner choose the join, and combined by second."""
+    if pixels is None:
+        raise ValueError("pixel map is required")
+    if hot_rows < 1:
+        raise ValueError("hot_rows must be positive")
+    lk = pixel_lookups(spark, pixels)
+    base = folder or shared_dir(spark, "timeline")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{base}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{base}/{name}")
+    events = kept(seq_events_mixed(lines, lk, tie_col), "events")
+    return label_next(combine_hot(events, kept(hot_days(events, hot_rows), "hot")), lk)

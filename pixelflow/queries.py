@@ -19,7 +19,8 @@ from pixelflow.operators import filters as flt
 from pixelflow.operators import joins as jn
 from pixelflow.operators import sequence as seq
 from pixelflow.plans import (agg_rate, agg_rate_from_folders, agg_rate_from_lines, collect_conversions,
-                             collect_impressions, ctr_leaves, sequence_labels, sequence_labels_mixed)
+                             collect_impressions, ctr_leaves, sequence_labels, sequence_labels_mixed,
+                             sequence_labels_split)
 from pixelflow.plans.ctr import ctr_dims as _ctr_dims
 from pixelflow.session import shared_dir
 from pixelflow.sources import fixtures as fx
@@ -286,6 +287,13 @@ def q_seq_label_mixed(spark, d):
     return sequence_labels_mixed(spark, _mixed_lines(spark, d), PIX, tie_col="event_id")
 
 
+def q_seq_label_split(spark, d):
+    """Sequence job with its hot (cookie, day) groups combined by second ahead
+    of the window; the bound of one row a day makes every day of two events
+    such a group, as the test tables have no hotter one."""
+    return sequence_labels_split(spark, _mixed_lines(spark, d), PIX, tie_col="event_id", hot_rows=1)
+
+
 def q_seq_label(spark, d):
     imp, conv = _seq_inputs(spark, d)
     return sequence_labels(spark, imp, conv, PIX)

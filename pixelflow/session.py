@@ -74,3 +74,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         sc.setCheckpointDir(base)
         base = sc.getCheckpointDir() or base
     return os.path.join(base.rstrip("/"), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def delete_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by :func:`shared_dir`."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

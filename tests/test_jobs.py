@@ -209,3 +209,24 @@ def test_one_sided_group_folder_is_not_read(spark, tmp_path):
     assert [(r.key, r.imp, r.conv) for r in got] == [("2\ts\to\tb\tc", 5.0, 1.0)]
     write_intermediate(conv.where("hour_group = '4'"), TAG_CONV, "conv", cr)
     assert agg_rate_from_folders(spark, ir, cr).count() == 0
+
+
+def test_one_cookie_with_half_of_a_day(spark):
+    """The hot day is one row a second before the window; labels stay the same."""
+    from pixelflow.operators.sequence import combine_hot, hot_days, label_next, seq_events
+    from pixelflow.sources.config import pixel_lookups
+    H = ck("h")
+    imps = [imp(i, H, "c1", str(1704067200000 + 1000 * (i % 40))) for i in range(2000)]
+    imps += [imp(3000 + i, f"{i:032d}", "c1", ms(8)) for i in range(2000)]
+    convs = [(5000 + i, H, [payload("p0", date=f"20240101 00:00:{10 + i % 5 * 7:02d}")]) for i in range(300)]
+    convs += [(6000 + i, f"{i:032d}", [payload("p0", date=cdate(9))]) for i in range(0, 2000, 2)]
+    lk = pixel_lookups(spark, PIX)
+    tl = seq_events(imp_frame(spark, imps), conv_frame(spark, convs), lk).cache()
+    hot = hot_days(tl, 500)
+    assert [tuple(r) for r in hot.collect()] == [(H, "20240101")]
+    few = combine_hot(tl, hot)
+    assert few.where(F.col("cookie") == H).count() == 40 and few.where(F.col("cookie") != H).count() == 3000
+    got, want = (sorted(tuple(r) for r in label_next(t, lk).collect()) for t in (few, tl))
+    assert got == want and sum(r[-1] for r in got) == 1000 + 5
+    assert hot_days(tl, 10**6).count() == 0 and sorted(map(tuple, combine_hot(tl, hot_days(tl, 10**6)).collect())) == sorted(map(tuple, tl.collect()))
+    tl.unpersist()
