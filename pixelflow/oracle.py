@@ -289,6 +289,7 @@ def statements() -> dict[str, str]:
     s["scan_hour_range"] = (P + "x AS (SELECT 1)\n"
         f"SELECT strftime(ts, '%Y%m%d%H') AS dthr, line AS value FROM imp_lines "
         f"WHERE strftime(ts, '%Y%m%d%H') BETWEEN {q(SCAN_FROM)} AND {q(SCAN_TO)}")
+    s["scan_manifest"] = s["scan_hour_range"]
     s["parse_impressions_tokens"] = (P + "x AS (SELECT 1)\n"
         f"SELECT event_id, {_fields('t', LOG_FIELDS)} FROM (SELECT event_id, {tok} AS t FROM imp_lines)")
     s["parse_impressions_fields"] = (P + "x AS (SELECT 1)\n"

@@ -2,7 +2,8 @@
 (``yyyyMMdd``), number of days, configuration string and output folder.
 
 Each runner is scan -> parse -> job -> write, one Spark plan per output;
-outputs replace existing ones.  A missing start date or output path is a
+outputs replace existing ones.  With ``layout="manifest"`` a log folder is
+instead the path of a stored hour manifest of the logs.  A missing start date or output path is a
 ``ValueError``.
 """
 
@@ -31,6 +32,9 @@ def _check(start: str | None, out: str | None, *inputs: str | None) -> None:
 
 
 def _scan(spark, root, start, days, layout, leaf=None) -> DataFrame:
+    if layout == "manifest":
+        kept = spark.read.schema(logs.MANIFEST_SCHEMA).parquet(root)
+        return logs.scan_manifest(spark, kept, start, days, leaf=leaf).select("value")
     return logs.scan_hour_range(spark, root, start, days, layout=layout, leaf=leaf).select("value")
 
 

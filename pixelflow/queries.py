@@ -64,6 +64,15 @@ def q_scan_hour_range(spark, d):
     return out.select(F.col("dthr").cast("string").alias("dthr"), "value")
 
 
+def q_scan_manifest(spark, d):
+    """The same day range through a stored hour manifest."""
+    lines = fx.impression_lines(_ev(spark, d), with_hour=True)
+    root, kept = shared_dir(spark, "hourly"), shared_dir(spark, "manifest")
+    lines.select("value", "dthr").hint("rebalance", "dthr").write.partitionBy("dthr").text(root)
+    logs.hour_manifest(spark, root).write.parquet(kept)
+    return logs.scan_manifest(spark, spark.read.schema(logs.MANIFEST_SCHEMA).parquet(kept), SCAN_START, SCAN_DAYS).select("dthr", "value")
+
+
 def q_parse_impressions_tokens(spark, d):
     lines = fx.impression_lines(_ev(spark, d))
     return logs.parse_impressions_tokens(lines, keep=("event_id",))

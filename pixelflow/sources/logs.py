@@ -17,6 +17,7 @@ field is SQL NULL.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -127,7 +128,7 @@ def scan_hour_range(spark: SparkSession, root: str, start: str, days: int = 1,
     ``layout="partitioned"``: ``<root>/<partition_col>=yyyyMMddHH/...``, with
     the folder's hour as a string column.  ``layout="dirs"``:
     ``<root>/<yyyyMMddHH>[/<leaf>]`` (``leaf``: a file or a folder of part
-    files under each hour).  Ranges of any length take the same path: one
+    files under each hour), with the hour taken from the path in the same column.  Ranges of any length take the same path: one
     glob with a day pattern per day, so only the folders of the range are
     listed below the root.  A missing hour is skipped; a missing root, or a
     range without any hour, raises Spark's path-not-found error.
@@ -136,7 +137,7 @@ def scan_hour_range(spark: SparkSession, root: str, start: str, days: int = 1,
     base = root.rstrip("/")
     if layout not in ("partitioned", "dirs"):
         raise ValueError(f"unknown layout {layout!r}")
-    schema = "value string" + (f", {partition_col} string" if layout == "partitioned" else "")
+    schema = f"value string, {partition_col} string"
     if not keys:
         return spark.createDataFrame([], schema)
     hours = "{" + ",".join(dict.fromkeys(k[:8] for k in keys)) + "}[0-9][0-9]"
@@ -145,4 +146,49 @@ def scan_hour_range(spark: SparkSession, root: str, start: str, days: int = 1,
         # folders without any file give no partition column
         hour = F.col(partition_col).cast("string") if partition_col in scan.columns else F.lit(None).cast("string")
         return scan.where(hour.between(keys[0], keys[-1])).withColumn(partition_col, hour)
-    return spark.read.text(f"{base}/{hours}" + (f"/{leaf}" if leaf else ""))
+    scan = spark.read.text(f"{base}/{hours}" + (f"/{leaf}" if leaf else ""))
+    return scan.withColumn(partition_col, _path_hour(F.col("_metadata.file_path"), partition_col))
+
+
+def _path_hour(path, partition_col: str):
+    """The hour of a file: its deepest folder named ``yyyyMMddHH``, with or
+    without ``<partition_col>=`` before it (``''`` without any)."""
+    return F.regexp_extract(path, f".*/(?:{re.escape(partition_col)}=)?([0-9]{{10}})(?:/|$)", 1)
+
+
+MANIFEST_SCHEMA = "hour string, path string, files bigint, bytes bigint"
+
+
+def hour_manifest(spark: SparkSession, root: str, partition_col: str = "dthr") -> DataFrame:
+    """``(hour, path, files, bytes)``: one row per folder of data files below
+    ``root``, whatever the layout or leaf, from one listing that Spark spreads
+    over its executors; no file is opened.  Files outside an hour's folder are
+    left out.  Kept as a table (and appended to as hours arrive), it replaces
+    the listing of every later scan."""
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root.rstrip("/"))
+               .select("path", "length"))
+    folder = F.regexp_extract("path", "^(.*)/[^/]+$", 1)
+    rows = listing.select(_path_hour(F.concat(folder, F.lit("/")), partition_col).alias("hour"), folder.alias("path"), "length")
+    return (rows.where(F.col("hour") != "").groupBy("hour", "path")
+                .agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes")))
+
+
+def scan_manifest(spark: SparkSession, manifest: DataFrame, start: str, days: int = 1,
+                  partition_col: str = "dthr", leaf: str | None = None) -> DataFrame:
+    """Text lines and hour of ``days`` days from ``start``, read from exactly
+    the manifest's folders of the range (``leaf``: only folders of that name).
+    Below the root nothing else is listed, and of the manifest only the
+    range's paths (at most a few an hour) reach the driver.  An hour without a
+    row is skipped; a range without any raises ``ValueError``."""
+    keys = hour_keys(start, days)
+    empty = spark.createDataFrame([], f"value string, {partition_col} string")
+    if not keys:
+        return empty
+    rows = manifest.where(F.col("hour").between(keys[0], keys[-1]) & (F.col("files") > 0))
+    if leaf:
+        rows = rows.where(F.substring_index("path", "/", -1) == leaf)
+    paths = sorted(r.path for r in rows.select("path").distinct().collect())
+    if not paths:
+        raise ValueError(f"the manifest has no hour from {keys[0]} to {keys[-1]}")
+    scan = spark.read.schema("value string").text(paths)
+    return scan.select("value", _path_hour(F.col("_metadata.file_path"), partition_col).alias(partition_col))

@@ -92,6 +92,19 @@ def test_sequence_routes_every_line(spark):
     assert got == want and len(got) == 1
 
 
+def test_runner_reads_a_manifest(spark):
+    from pixelflow.sources import fixtures as fx, logs
+    root, kept, a, b = (shared_dir(spark, n) for n in ("m-imp", "m-kept", "m-a", "m-b"))
+    lines = fx.impression_lines(fx.read_events(spark, "/root/testdata/sf0.001"), with_hour=True)
+    lines.select("value", "dthr").hint("rebalance", "dthr").write.partitionBy("dthr").text(root)
+    logs.hour_manifest(spark, root).write.parquet(kept)
+    start = lines.selectExpr("substr(min(dthr), 1, 8)").first()[0]
+    runners.run_collect_impressions(spark, root, start, 3, PIX, a)
+    runners.run_collect_impressions(spark, kept, start, 3, PIX, b, layout="manifest")
+    rows = [sorted(tuple(r) for r in spark.read.text(p).collect()) for p in (a, b)]
+    assert rows[0] == rows[1] and rows[0]
+
+
 def test_runner_arguments_are_checked(spark):
     with pytest.raises(ValueError):
         runners.run_collect_impressions(spark, "/nowhere", "", 1, PIX, "/tmp/x")

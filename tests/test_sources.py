@@ -175,3 +175,49 @@ def test_flat_text_sink_compressed(spark):
     assert any(f.endswith(".gz") for f in os.listdir(out.replace("file:", "")))
     back = sinks.read_flat(spark, out, "cookie string, hour string, state string, label int")
     assert [tuple(r) for r in back.collect()] == [("ck", "", "CA", 1)]
+
+
+def test_plain_dirs_carry_the_hour(spark):
+    root = shared_dir(spark, "2023010101/hours")               # an hour-like folder above the root does not count
+    _write_hours(spark, root, ["2024010123", "2024010205"], "dirs")
+    spark.createDataFrame([("leaf",)], "value string").write.text(f"{root}/2024010207/leaf")
+    got = logs.scan_hour_range(spark, root, "20240101", 2, layout="dirs")
+    assert dict(got.dtypes) == {"value": "string", "dthr": "string"}
+    assert sorted((r.value[5:15], r.dthr) for r in got.collect()) == [(h, h) for h in ("2024010123", "2024010205") for _ in range(2)]
+    leaf = logs.scan_hour_range(spark, root, "20240102", 1, layout="dirs", leaf="leaf")
+    assert [tuple(r) for r in leaf.collect()] == [("leaf", "2024010207")]
+
+
+@pytest.mark.parametrize("layout", ["partitioned", "dirs"])
+def test_manifest_scan_lists_only_its_folders(spark, layout):
+    root = shared_dir(spark, "hours-m")
+    _write_hours(spark, root, ["2023123123", "2024010100", "2024010123", "2024020500"], layout)
+    spark.createDataFrame([("stray",)], "value string").write.text(f"{root}/other")
+    m = logs.hour_manifest(spark, root)
+    assert m.schema.simpleString() == "struct<hour:string,path:string,files:bigint,bytes:bigint>"
+    rows = {r.hour: r for r in m.collect()}
+    assert sorted(rows) == ["2023123123", "2024010100", "2024010123", "2024020500"]
+    assert all(r.files >= 1 and r.bytes >= 2 * len("line-2024010100-0\n") for r in rows.values())
+    kept = spark.createDataFrame(m.collect(), logs.MANIFEST_SCHEMA)
+    # an hour that arrives later is not seen until the manifest has it
+    later = "/dthr=2024010105" if layout == "partitioned" else "/2024010105"
+    spark.createDataFrame([("late",)], "value string").write.text(root + later)
+    got = logs.scan_manifest(spark, kept, "20240101", 31)
+    assert sorted((r.dthr, r.value) for r in got.collect()) == [
+        (h, f"line-{h}-{i}") for h in ("2024010100", "2024010123") for i in range(2)]
+    assert {f.rsplit("/", 2)[-2][-10:] for f in got.inputFiles()} == {"2024010100", "2024010123"}
+    assert logs.scan_manifest(spark, logs.hour_manifest(spark, root), "20240101", 1).count() == 5
+    assert logs.scan_manifest(spark, kept, "20240101", 0).count() == 0
+    with pytest.raises(ValueError):
+        logs.scan_manifest(spark, kept, "20300101", 2)
+
+
+def test_manifest_scan_of_a_leaf(spark):
+    root = shared_dir(spark, "hours-ml")
+    for leaf in ("all_data_hourly", "other"):
+        spark.createDataFrame([(leaf,)], "value string").write.text(f"{root}/2024010105/{leaf}")
+    m = logs.hour_manifest(spark, root)
+    assert m.count() == 2
+    got = logs.scan_manifest(spark, m, "20240101", 1, leaf="other")
+    assert [tuple(r) for r in got.collect()] == [("other", "2024010105")]
+    assert logs.scan_manifest(spark, m, "20240101", 1).count() == 2
