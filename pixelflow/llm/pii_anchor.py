@@ -4,8 +4,8 @@ One Aho-Corasick pass over a text finds anchors: at-signs, schemes, plus
 signs, digits and identifier cue words.  Deterministic local parsers expand
 each anchor to the boundaries of an email address, IP address, card number,
 phone number (the base kinds, leftmost and non-overlapping per kind), IBAN,
-URL with credentials, or cued account number, and validate it (part sizes,
-Luhn, digit counts, mod 97).  Parsers read around an anchor only and each
+URL with credentials, or account number after a cue that is a word of its
+own, and validate it (part sizes, Luhn, digit counts, mod 97).  Parsers read around an anchor only and each
 keeps a floor (the end of its last match), so the work stays linear.
 
 Nulls and edges: a null text counts as empty and has no spans; whole texts
@@ -37,7 +37,8 @@ DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])*")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 CUES = ("account", "acct", "konto", "kontonummer", "cuenta", "compte", "passport", "ssn")
-CUED = re.compile(r"(?: ?(?:no|nr|number|num|id))?\.?[ ]?[:#=]?[ ]?(?=([A-Z0-9][A-Z0-9-]{4,32}[A-Z0-9])(?![A-Za-z0-9]))", re.I | re.A)
+#: After a cue: a designator, if any, that ends its word, then the value.
+CUED = re.compile(r"(?: ?(?:no|nr|number|num|id))?(?u:(?![^\W\d_]))\.?[ ]?[:#=]?[ ]?(?=([A-Z0-9][A-Z0-9-]{4,32}[A-Z0-9])(?![A-Za-z0-9]))", re.I | re.A)
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 #: Characters of an IBAN by country (IBAN registry).
 IBAN_SIZES = {c: n for n, cs in {
@@ -58,7 +59,7 @@ def automaton() -> ahocorasick.Automaton:
     a.add_word("://", "scheme")
     for c in CUES:
         for w in (c, c.capitalize(), c.upper()):
-            a.add_word(w, "cue")
+            a.add_word(w, w)
     a.make_automaton()
     return a
 
@@ -135,7 +136,7 @@ def spans(text: str) -> list[tuple[int, int, int]]:
                 if b < s:
                     out.append((5, b, m.end()))
                     login_floor = m.end()
-        elif (m := CUED.match(text, p + 1)) and sum(c.isdigit() for c in m[1]) >= 6:
+        elif not text[max(p - len(what), 0):p - len(what) + 1].isalpha() and (m := CUED.match(text, p + 1)) and sum(c.isdigit() for c in m[1]) >= 6:
             out.append((6, m.start(1), m.end(1)))
     return sorted(set(out))
 

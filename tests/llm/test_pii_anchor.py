@@ -43,6 +43,17 @@ def test_added_kinds():
     assert named("on account of the many things") == []
 
 
+def test_cues_are_words_of_their_own():
+    def accounts(text):
+        return [text[a:b] for k, a, b in P.spans(text) if P.KINDS[k] == "account"]
+    for text in ("accounting-20240301 report", "subaccount 12345678", "kontor 12345678", "éacct 12345678", "accounté 12345678",
+                 "account numbers 12345678", "passports: 12345678", "account noé 12345678"):
+        assert accounts(text) == [], text
+    for text in ("account 12345678", "ACCT#12345678", "(account) no", "_ssn 12345678", "1konto:12345678", "kontonummer: 12345678",
+                 "konto nr. 12345678", "accountno 12345678", "account id 12345678", "Passport number: 12345678", "ssn12345678"):
+        assert accounts(text) == ([] if text == "(account) no" else ["12345678"]), text
+
+
 def test_iban_before_capitals_and_numbers():
     ibans = ("DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB29 NWBK 6016 1331 9268 19", "NO93 8601 1117 947",
              "FR14 2004 1010 0505 0001 3M02 606", "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "NO9386011117947")
