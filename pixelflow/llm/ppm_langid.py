@@ -9,9 +9,9 @@ training, so the cost of every (context, byte) pair is a table, and a text's
 exact code length per language is a sum of table entries, taken with numpy
 over blocks of concatenated whole texts.  The shortest code wins.
 
-Training reads at most ``train_bytes`` bytes of whole documents per language
-(a documented bound; documents are chosen by a hash), which also bounds the
-tables that are broadcast.  Scoring reads every byte of every text.
+Training reads at most ``train_bytes`` bytes per language (a documented
+bound; documents are taken in the order of a hash and the last is cut at the
+bound), which also bounds the tables that are broadcast.  Scoring reads every byte of every text.
 
 Nulls and edges: ``und`` with score 0 for a null text, a text without a
 letter, or when nothing could be learned; ids are carried unread; a null id
@@ -45,21 +45,27 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_texts(docs: DataFrame, cfg: PpmConfig) -> dict[str, list[str]]:
-    """Whole texts per language in hash order, up to the byte bound; the
-    fraction that is looked at follows from the language's total."""
+    """Texts per language in the order of their (unsigned) hash until the byte
+    bound is reached; the last one is cut there, between characters.  So every
+    labelled language has at least one text, and no more than the bound.
+
+    Byte totals per binary size of the hash (at most 64 rows a language) give
+    the smallest range of hashes that fills the bound; only it is sorted."""
+    h = F.xxhash64("doc_id", "text")
     rows = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.length("text") > 0))
-    rows = rows.select("lang", "text", F.octet_length("text").cast("long").alias("b"),
-                       F.xxhash64("doc_id", "text").alias("h"))
-    total = {r.lang: r.b for r in rows.groupBy("lang").agg(F.sum("b").alias("b")).collect()}
-    if not total:
-        return {}
-    share = F.create_map(*[F.lit(x) for lang, b in total.items() for x in (lang, min(1.0, 2.0 * cfg.train_bytes / b))])
-    drawn = rows.where(F.pmod("h", F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
+    rows = rows.select("lang", "text", F.octet_length("text").cast("long").alias("b"), F.length(F.bin(h)).alias("size"),
+                       F.lpad(F.hex(h), 16, "0").alias("h"))
+    sizes = rows.groupBy("lang", "size").agg(F.sum("b").alias("b"))
+    upto = W.partitionBy("lang").orderBy("size").rowsBetween(W.unboundedPreceding, -1)
+    sizes = sizes.withColumn("less", F.coalesce(F.sum("b").over(upto), F.lit(0))).where(F.col("less") < cfg.train_bytes)
+    drawn = rows.join(sizes.select("lang", "size"), ["lang", "size"])
     run = W.partitionBy("lang").orderBy("h", "text").rowsBetween(W.unboundedPreceding, -1)
     kept = drawn.withColumn("before", F.coalesce(F.sum("b").over(run), F.lit(0))).where(F.col("before") < cfg.train_bytes)
+    left = (F.lit(cfg.train_bytes) - F.col("before")).cast("int")
+    kept = kept.select("lang", "h", "text", F.substring(F.encode("text", "UTF-8"), F.lit(1), left).alias("raw"))
     out: dict[str, list[str]] = {}
-    for r in kept.orderBy("lang", "h", "text").select("lang", "text").collect():
-        out.setdefault(r.lang, []).append(r.text)
+    for r in kept.orderBy("lang", "h", "text").select("lang", "raw").collect():
+        out.setdefault(r.lang, []).append(bytes(r.raw).decode("utf-8", "ignore"))
     return out
 
 

@@ -1,5 +1,6 @@
 import math
 import random
+import zlib
 from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
@@ -53,7 +54,6 @@ def test_held_out_accuracy(spark):
 
 
 def test_training_reads_only_the_fold_and_the_bound(spark):
-    import zlib
     rows = [(i, f"text number {i} " * 20, "en" if i % 3 else "de", "s", 0) for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
     got = P.training_texts(df, P.PpmConfig(train_bytes=2000))
@@ -65,6 +65,34 @@ def test_training_reads_only_the_fold_and_the_bound(spark):
             assert zlib.crc32(t.split()[2].encode()) % 4 != 2
 
 
+def test_a_language_of_one_long_document_is_learned(spark):
+    long = "gwl yr ñandú 𝄞 " * 300000                   # about 5 MB
+    for i in (1, 5, 6, 10, 12):
+        if zlib.crc32(str(i).encode()) % 4 == 2:
+            continue
+        rows = [(i, long, "cy")] + [(100 + k, f"the text number {k} " * 50, "en") for k in range(200)]
+        df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+        got = P.training_texts(df, P.PpmConfig(train_bytes=10007))
+        assert set(got) == {"cy", "en"}
+        for texts in got.values():
+            assert 10000 <= sum(len(t.encode()) for t in texts) <= 10007
+        assert long.startswith(got["cy"][0])
+
+
+def test_training_takes_the_smallest_hashes(spark):
+    rows = [(i, "a" * (1 + i * 37 % 400), "en") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    hashed = df.where(~P.held_out(F.col("doc_id"))).select("text", F.xxhash64("doc_id", "text").alias("h")).collect()
+    order = [r.text for r in sorted(hashed, key=lambda r: (r.h % 2 ** 64, r.text))]
+    for bound in (1, 500, 3000, 20000, 10 ** 6):
+        want, left = [], bound
+        for t in order:
+            if left > 0:
+                want.append(t[:left])
+                left -= len(t)
+        assert P.training_texts(df, P.PpmConfig(train_bytes=bound)).get("en") == want
+
+
 def test_odd_rows(odd, none, clashing):
     m = P.train(odd)
     rows = P.predict(odd, m, ("doc_id", "text")).collect()
