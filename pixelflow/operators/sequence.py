@@ -176,17 +176,12 @@ def seq_events_mixed(lines: DataFrame, lk: PixelLookups, tie_col: str | None = N
         F.posexplode_outer(F.when(is_conv_line, payloads)).alias("_i", "_p"))
     ex = split_once(ex, F.when(F.col("_c"), F.regexp_extract("_p", RE_CMPN, 1)),
                     keep=[c for c in ex.columns]).withColumnRenamed("_arr", "_pix")
-    cat = lk.category.withColumnRenamed("campaign_id", "_lk_campaign")
-    known = lk.pixels.withColumnRenamed("pixel", "_known")
-    # each kind meets its own lookup; the other kind carries a key that none has
-    camp = F.when(~F.col("_c"), norm_marker("_campaign_id")).otherwise(F.concat(F.lit("\x00"), "cookie"))
-    pix = F.coalesce("_pix", F.concat(F.lit("\x00"), "tie"))
-    ex = ex.withColumn("_camp", F.when(F.col("_c") | F.col("_campaign_id").isNotNull(), camp)).withColumn("_pk", pix)
-    ex = (ex.join(cat, F.col("_camp") == F.col("_lk_campaign"), "left")
-            .join(known, F.col("_pk") == F.col("_known"), "left"))
-    imp = (~F.col("_c") & F.col("_lk_campaign").isNotNull() & F.col("_timestamp").isNotNull()
-           & F.col("cookie").isNotNull() & (norm_marker("cookie") != MISSING))
-    ex = ex.where(imp | (F.col("_c") & F.col("_known").isNotNull()))
+    # one lookup of both kinds, one inner join: a row meets the ids of its own kind
+    ids = lk.category.select(F.lit(False).alias("_kind"), F.col("campaign_id").alias("_known"), "category").unionByName(
+        lk.pixels.select(F.lit(True).alias("_kind"), F.col("pixel").alias("_known"), F.lit(None).cast("string").alias("category")))
+    ex = ex.withColumn("_id", F.when(F.col("_c"), F.col("_pix")).when(F.col("_campaign_id").isNotNull(), norm_marker("_campaign_id")))
+    ex = ex.join(ids, (F.col("_c") == F.col("_kind")) & (F.col("_id") == F.col("_known")))
+    ex = ex.where(F.col("_c") | (F.col("_timestamp").isNotNull() & F.col("cookie").isNotNull() & (norm_marker("cookie") != MISSING)))
     conv = F.col("_c")
     date = F.when(conv, payload_extract("_p", RE_DATE)).otherwise(format_epoch_ms(norm_marker("_timestamp")))
     ex = ex.withColumn("event_date", date)
@@ -196,7 +191,7 @@ def seq_events_mixed(lines: DataFrame, lk: PixelLookups, tie_col: str | None = N
     return ex.select(
         "cookie", "event_date", F.when(conv, 1).otherwise(0).alias("is_conv"), "tie",
         F.when(conv, F.col("_i") + 1).otherwise(0).alias("ord"), F.when(conv, norm_marker("_pix")).alias("pixel"),
-        of_imp(F.col("_camp")).alias("campaign_id"), of_imp(F.regexp_extract("event_date", RE_SEQ_HOUR, 1)).alias("hour"),
+        of_imp(F.col("_id")).alias("campaign_id"), of_imp(F.regexp_extract("event_date", RE_SEQ_HOUR, 1)).alias("hour"),
         of_imp(geo_state(norm_marker("_geo_location"))).alias("state"),
         of_imp(F.when(F.col("_os").isNull(), F.lit("")).otherwise(clean_os(norm_marker("_os"), False))).alias("os"),
         of_imp(F.when(F.col("_browser").isNull(), F.lit("")).otherwise(clean_browser(norm_marker("_browser"), False))).alias("browser"),
