@@ -449,6 +449,7 @@ def statements() -> dict[str, str]:
         "COALESCE(sum(CASE WHEN tag = 'CONV' THEN value END), 0.0) AS conv FROM hg "
         "WHERE hour_group IN (SELECT hour_group FROM good) GROUP BY key)\n"
         "SELECT key, imp, conv, round((conv + 1.0) / (imp + 1000.0), 8) AS rate FROM pv WHERE imp > 0")
+    s["agg_rate_bucketed"] = s["agg_rate"]
     s["agg_rate_files"] = s["agg_rate_text"]
     implog = (f"implog AS (SELECT {_fields('t', LOG_FIELDS)} FROM "
               f"(SELECT {tok} AS t FROM imp_lines))\n")

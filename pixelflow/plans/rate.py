@@ -37,12 +37,28 @@ def agg_rate(imp_agg: DataFrame, conv_agg: DataFrame) -> DataFrame:
     with the conversions is on the aggregates' own grouping keys, so it
     reuses their hash partitioning."""
     kept = imp_agg.join(_groups_with(conv_agg, "conv"), "hour_group", "left_semi")
-    j = kept.join(conv_agg, list(CONV_DIMS), "left")
+    return _rates(kept, conv_agg)
+
+
+def _rates(imp_agg: DataFrame, conv_agg: DataFrame) -> DataFrame:
+    j = imp_agg.join(conv_agg, list(CONV_DIMS), "left")
     out = j.select(*CONV_DIMS, F.col("imp").cast("double").alias("imp"),
                    F.coalesce(F.col("conv"), F.lit(0.0)).alias("conv"))
     return out.where(F.col("imp") > 0).withColumn("rate", smoothed_rate("conv", "imp"))
 
 
+def agg_rate_bucketed(spark, imp_table: str, conv_table: str) -> DataFrame:
+    """:func:`agg_rate` on tables written by
+    :func:`pixelflow.sources.intermediate.write_bucketed`: bucket meets bucket,
+    so the plan has no exchange.  The hour groups (four at most) that have
+    conversions are looked up first and are filters of both scans."""
+    imp, conv = spark.table(imp_table), spark.table(conv_table)
+    present = conv.where(F.col("hour_group").isin(*RATE_HOUR_GROUPS) & F.col("conv").isNotNull())
+    groups = sorted(r[0] for r in present.select("hour_group").distinct().collect())
+    kept = F.col("hour_group").isin(*groups) if groups else F.lit(False)
+    return _rates(imp.where(kept), conv.where(kept))
+
+
 def agg_rate_from_lines(imp_lines: DataFrame, conv_lines: DataFrame) -> DataFrame:
     """The same job on text intermediates (``hg state os browser category TAG
     value`` lines, one DataFrame per side); returns ``(key, imp, conv, rate)``

@@ -18,7 +18,7 @@ from pixelflow.operators import aggregates as agg
 from pixelflow.operators import filters as flt
 from pixelflow.operators import joins as jn
 from pixelflow.operators import sequence as seq
-from pixelflow.plans import (agg_rate, agg_rate_from_folders, agg_rate_from_lines, collect_conversions,
+from pixelflow.plans import (agg_rate, agg_rate_bucketed, agg_rate_from_folders, agg_rate_from_lines, collect_conversions,
                              collect_impressions, ctr_leaves, sequence_labels, sequence_labels_mixed,
                              sequence_labels_split)
 from pixelflow.plans.ctr import ctr_dims as _ctr_dims
@@ -26,7 +26,7 @@ from pixelflow.session import shared_dir
 from pixelflow.sources import fixtures as fx
 from pixelflow.sources import logs, sinks
 from pixelflow.sources.config import adgroup_table, pixel_lookups
-from pixelflow.sources.intermediate import parse_intermediate, to_intermediate_lines, write_intermediate
+from pixelflow.sources.intermediate import parse_intermediate, to_intermediate_lines, write_bucketed, write_intermediate
 
 PIX = fx.PIXEL_SPEC
 ADG = fx.ADGROUP_SPEC
@@ -364,6 +364,17 @@ def q_agg_rate_files(spark, d):
     return agg_rate_from_folders(spark, imp_root, conv_root)
 
 
+def q_agg_rate_bucketed(spark, d):
+    """Both aggregates kept as tables in buckets of the five dimensions, joined
+    bucket by bucket."""
+    tables = []
+    for side, agg in (("imp", collect_impressions(spark, _imp(spark, d), PIX)), ("conv", collect_conversions(spark, _conv(spark, d), PIX))):
+        path = shared_dir(spark, f"{side}_buckets")
+        tables.append(path.rsplit("/", 1)[1].replace("-", "_"))
+        write_bucketed(agg, tables[-1], path, 8)
+    return _credit(agg_rate_bucketed(spark, *tables))
+
+
 def q_ctr_leaves_all(spark, d):
     return ctr_leaves(spark, _imp(spark, d), "")
 

@@ -36,3 +36,12 @@ def write_intermediate(agg: DataFrame, tag: str, value_col: str, path: str) -> N
     lines = agg.select(F.col("hour_group").alias("_g"), _line(tag, value_col).alias("value"))
     (lines.hint("rebalance", "_g").withColumnRenamed("_g", "hour_group")
           .write.mode("overwrite").partitionBy("hour_group").text(path))
+
+
+def write_bucketed(agg: DataFrame, table: str, path: str, buckets: int) -> None:
+    """Write an aggregate as the catalog table ``table`` at ``path``: Parquet
+    in ``buckets`` buckets of the five dimensions, sorted by them, one file a
+    bucket.  Two sides with the same number of buckets join without an
+    exchange, as often as they are read.  Output replaced."""
+    (agg.repartition(buckets, *DIMS).write.mode("overwrite").format("parquet").option("path", path)
+        .bucketBy(buckets, *DIMS).sortBy(*DIMS).saveAsTable(table))

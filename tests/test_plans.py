@@ -118,3 +118,30 @@ def test_agents_are_classified_above_the_first_aggregate(spark):
     first = max(i for i, line in enumerate(p) if "Aggregate [_pix" in line)
     rules = [i for i, line in enumerate(p) if "RLIKE" in line]
     assert rules and max(rules) <= first and "_ua" in p[first]
+
+
+def test_bucketed_rate_join_has_no_exchange(spark):
+    from pixelflow.plans import agg_rate_bucketed
+    from pixelflow.session import shared_dir
+    from pixelflow.sources import write_bucketed
+    ev = fx.read_events(spark, SF)
+    imp, conv = collect_impressions(spark, fx.impressions(ev), PIX), collect_conversions(spark, fx.conversions(ev), PIX)
+    conv = conv.where("hour_group <> '2'")                        # a group without conversions goes
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, agg in (("t_imp_buckets", imp), ("t_conv_buckets", conv)):
+            write_bucketed(agg, name, shared_dir(spark, name), 5)
+            write_bucketed(agg, name, shared_dir(spark, name), 5)      # replaced, not appended
+        out = agg_rate_bucketed(spark, "t_imp_buckets", "t_conv_buckets")
+        got = sorted(tuple(r) for r in out.collect())
+        p = plan(out)
+        assert "Exchange" not in p and "SortMergeJoin" in p and "Bucketed: true" in p and p.count("PushedFilters: [In(hour_group") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = sorted(tuple(r) for r in agg_rate(imp, conv).collect())
+    assert [g[:6] for g in got] == [w[:6] for w in want] and all(abs(a - b) < 1e-9 for g, w in zip(got, want) for a, b in zip(g[6:], w[6:]))
+    assert got and "2" not in {g[0] for g in got}
+    write_bucketed(conv.where("false"), "t_conv_buckets", shared_dir(spark, "none"), 5)
+    assert agg_rate_bucketed(spark, "t_imp_buckets", "t_conv_buckets").count() == 0
+    for name in ("t_imp_buckets", "t_conv_buckets"):
+        spark.sql(f"DROP TABLE {name}")
