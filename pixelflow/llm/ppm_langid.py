@@ -58,7 +58,7 @@ def training_texts(docs: DataFrame, cfg: PpmConfig) -> dict[str, list[str]]:
     sizes = rows.groupBy("lang", "size").agg(F.sum("b").alias("b"))
     upto = W.partitionBy("lang").orderBy("size").rowsBetween(W.unboundedPreceding, -1)
     sizes = sizes.withColumn("less", F.coalesce(F.sum("b").over(upto), F.lit(0))).where(F.col("less") < cfg.train_bytes)
-    drawn = rows.join(sizes.select("lang", "size"), ["lang", "size"])
+    drawn = rows.join(F.broadcast(sizes.select("lang", "size")), ["lang", "size"])      # at most 64 rows a language
     run = W.partitionBy("lang").orderBy("h", "text").rowsBetween(W.unboundedPreceding, -1)
     kept = drawn.withColumn("before", F.coalesce(F.sum("b").over(run), F.lit(0))).where(F.col("before") < cfg.train_bytes)
     left = (F.lit(cfg.train_bytes) - F.col("before")).cast("int")
