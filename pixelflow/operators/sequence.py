@@ -5,9 +5,14 @@ exchange by (cookie, day) and one sort then give, in a window over the text
 date, the winner of every second and the winner that follows it the same day.
 The last winner of each (cookie, day) is settled from the next day's first
 winner in a second window (one row per cookie and day), so a hot cookie is
-split by day.  A hot (cookie, day) is first combined to one row a second
-(:func:`combine_hot`): no window group is larger than the bound on a day's
-rows, or the seconds of a day.
+split by day.
+
+With the timeline stored (:func:`label_slices`) the counts of its cookies are
+known first: cookies within a bound take one window each, the others are
+combined to one row a second, dealt into ranges of (cookie, date), and the
+event after each range is carried over from the next one's first row.  Then
+there is one exchange of the timeline and one sort, and no window is larger
+than the bound, whatever a cookie holds of a day.
 """
 
 from __future__ import annotations
@@ -96,21 +101,71 @@ def dedup_last_wins(timeline: DataFrame, key=("cookie", "event_date"),
                     .select(*key, *[F.col("_w." + c).alias(c) for c in (*order, *rest)]))
 
 
-def hot_days(timeline: DataFrame, rows: int) -> DataFrame:
-    """``(cookie, _day)`` groups of more than ``rows`` timeline rows: at most
-    ``count / rows`` of them, counted map-side, so a group of any size is a few
-    partial counts."""
-    day = F.substring("event_date", 1, 8).alias("_day")
-    return timeline.groupBy("cookie", day).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows).select("cookie", "_day")
+def hot_cookies(timeline: DataFrame, rows: int) -> DataFrame:
+    """``cookie`` of more than ``rows`` timeline rows: at most ``count / rows``
+    of them, counted map-side, so a cookie of any size is a few partial counts."""
+    return timeline.groupBy("cookie").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows).select("cookie")
 
 
-def combine_hot(timeline: DataFrame, hot: DataFrame) -> DataFrame:
-    """The timeline with the rows of hot (cookie, day) groups reduced to each
-    second's winner ahead of the window's exchange; other rows as they are.
-    Losers never change a label, so any ``hot`` gives the same labels."""
-    t = timeline.withColumn("_day", F.substring("event_date", 1, 8))
-    cold = t.join(hot, ["cookie", "_day"], "left_anti").drop("_day")
-    return cold.unionByName(dedup_last_wins(t.join(hot, ["cookie", "_day"], "left_semi").drop("_day")))
+def hot_winners(timeline: DataFrame, hot: DataFrame) -> DataFrame:
+    """The winner of each second of the hot cookies, combined ahead of the exchange."""
+    return dedup_last_wins(timeline.join(hot, "cookie", "left_semi"))
+
+
+def sliced(winners: DataFrame, slices: int) -> DataFrame:
+    """``winners`` dealt into ranges of (cookie, date) of about the same size,
+    with the number of their range as ``_slice``; a second is never cut, a
+    cookie is wherever a range ends.  Store it before it is used twice."""
+    return winners.repartitionByRange(slices, "cookie", "event_date").withColumn("_slice", F.spark_partition_id())
+
+
+def carry_over(parts: DataFrame) -> DataFrame:
+    """``cookie, _slice, _after, _latest``: the winner that opens the cookie's
+    next slice, and the last line of the cookie's conversions.  One row per
+    cookie and slice, aggregated map-side."""
+    first = F.min(F.struct("event_date", "is_conv", "pixel", "tie")).alias("_first")
+    edges = parts.groupBy("cookie", "_slice").agg(first, F.max(F.when(F.col("is_conv") == 1, F.col("tie"))).alias("_line"))
+    of = Window.partitionBy("cookie")
+    return edges.select("cookie", "_slice", F.lead("_first").over(of.orderBy("_slice")).alias("_after"), F.max("_line").over(of).alias("_latest"))
+
+
+def label_slices(timeline: DataFrame, hot: DataFrame, parts: DataFrame, lk: PixelLookups) -> DataFrame:
+    """The rows of :func:`label_next`, with one exchange and one sort of the
+    timeline: a cookie that is not ``hot`` lies in one window, a hot one in its
+    slices ``parts`` (:func:`sliced`), whose ends meet the event after them by
+    :func:`carry_over`.  No window holds more than a slice, or the rows
+    a cookie may have without being hot.
+
+    Conversions without a cookie follow no impression and are left out."""
+    cold = timeline.where(F.col("cookie").isNotNull()).join(hot, "cookie", "left_anti").withColumn("_slice", F.lit(-1))
+    t = cold.unionByName(parts)
+    # latest first: a second's winner is its first row, the event after it the winner before
+    w = Window.partitionBy("cookie", "_slice").orderBy(*[F.desc(c) for c in ("event_date", "is_conv", "tie", "ord")])
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    t = t.withColumn("_later", F.lag("event_date").over(w))
+    wins = F.col("_later").isNull() | (F.col("_later") != F.col("event_date"))
+    t = t.withColumn("_win", F.when(wins, F.struct("event_date", "is_conv", "pixel", "tie")))
+    t = t.withColumn("_next", F.last("_win", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    # undated impressions come last here, so what was seen up to them is all of the window
+    t = t.withColumn("_line", F.max(F.when(F.col("is_conv") == 1, F.col("tie"))).over(upto))
+    imps = t.where(F.col("_win").isNotNull() & (F.col("is_conv") == 0)).join(carry_over(parts), ["cookie", "_slice"], "left")
+    imps = imps.withColumn("_next", F.coalesce("_next", "_after"))
+    imps = imps.withColumn("_last_line", F.col("_next.tie") == F.coalesce("_latest", "_line"))
+    return _matched(imps, lk)
+
+
+def _matched(imps: DataFrame, lk: PixelLookups) -> DataFrame:
+    """Labels of winning impressions from the event ``_next`` after them;
+    ``_last_line`` says whether that belongs to the cookie's last line."""
+    pairs = lk.pairs.withColumnRenamed("pixel", "_pp").withColumnRenamed("campaign_id", "_pc").withColumn("_hit", F.lit(1))
+    may = (F.col("_next.is_conv") == 1) & (
+        (F.col("event_date") != "") | ((F.col("_next.event_date") == MISSING) & F.col("_last_line")))
+    # rows without a conversion next carry a key of their own, which no pixel has
+    key = F.when(may, F.col("_next.pixel")).otherwise(F.concat(F.lit("\x00"), "cookie"))
+    imps = imps.withColumn("_np", key)
+    j = imps.join(pairs, (F.col("_np") == F.col("_pp")) & (F.col("campaign_id") == F.col("_pc")), "left")
+    return j.select("cookie", "hour", "state", "os", "browser", "category",
+                    F.when(F.col("_hit").isNotNull(), F.lit(1)).otherwise(F.lit(0)).alias("label"))
 
 
 def label_next(timeline: DataFrame, lk: PixelLookups) -> DataFrame:
@@ -141,15 +196,7 @@ def label_next(timeline: DataFrame, lk: PixelLookups) -> DataFrame:
     latest = F.max("_line").over(Window.partitionBy("cookie"))
     last = last.withColumn("_last_line", F.col("_next.tie") == latest)
     imps = within.unionByName(last.where(F.col("is_conv") == 0).select(*keep, "_last_line"))
-    pairs = lk.pairs.withColumnRenamed("pixel", "_pp").withColumnRenamed("campaign_id", "_pc").withColumn("_hit", F.lit(1))
-    may = (F.col("_next.is_conv") == 1) & (
-        (F.col("event_date") != "") | ((F.col("_next.event_date") == MISSING) & F.col("_last_line")))
-    # rows without a conversion next carry a key of their own, which no pixel has
-    key = F.when(may, F.col("_next.pixel")).otherwise(F.concat(F.lit("\x00"), "cookie"))
-    imps = imps.withColumn("_np", key)
-    j = imps.join(pairs, (F.col("_np") == F.col("_pp")) & (F.col("campaign_id") == F.col("_pc")), "left")
-    return j.select("cookie", "hour", "state", "os", "browser", "category",
-                    F.when(F.col("_hit").isNotNull(), F.lit(1)).otherwise(F.lit(0)).alias("label"))
+    return _matched(imps, lk)
 
 
 def seq_events_mixed(lines: DataFrame, lk: PixelLookups, tie_col: str | None = None) -> DataFrame:

@@ -71,8 +71,8 @@ def run_sequence(spark: SparkSession, log_root: str, retarg_root: str, start: st
                  retarg_leaf: str | None = None, compression: str | None = None, hot_rows: int = HOT_ROWS) -> None:
     """Both logs -> labelled sequence rows, flat text.  Every line of either
     folder is routed by its first field; the timeline stands in the shared
-    folder while the job runs, and days of a cookie with more than
-    ``hot_rows`` rows are combined by second."""
+    folder while the job runs, and a cookie with more than ``hot_rows``
+    rows is combined by second and cut into ranges."""
     _check(start, out, log_root, retarg_root)
     lines = _scan(spark, log_root, start, days, layout, log_leaf).unionByName(
         _scan(spark, retarg_root, start, days, layout, retarg_leaf))

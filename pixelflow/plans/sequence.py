@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pixelflow.operators.sequence import combine_hot, hot_days, label_next, seq_events, seq_events_mixed
+from pixelflow.operators.sequence import hot_cookies, hot_winners, label_next, label_slices, seq_events, seq_events_mixed, sliced
 from pixelflow.session import shared_dir
 from pixelflow.sources.config import pixel_lookups
 
-#: Timeline rows of one cookie and day beyond which they are combined by second ahead of the window.
+#: Timeline rows of one cookie beyond which they are combined by second and cut into slices of that size.
 HOT_ROWS = 1_000_000
 
 
@@ -37,18 +37,19 @@ def sequence_labels_mixed(spark: SparkSession, lines: DataFrame, pixels: str,
 
 
 def sequence_labels_split(spark: SparkSession, lines: DataFrame, pixels: str, tie_col: str | None = None,
-                          hot_rows: int = HOT_ROWS, folder: str | None = None) -> DataFrame:
+                          hot_rows: int = HOT_ROWS, folder: str | None = None, slice_rows: int = HOT_ROWS) -> DataFrame:
     """Same rows as :func:`sequence_labels_mixed`, for logs in which one cookie
     may hold any share of a day.
 
     The narrow timeline is written once under ``folder`` (a fresh one in the
-    shared folder if not given), so the input is parsed once; the groups of
-    more than ``hot_rows`` rows are counted on it, kept as a table whose size
-    lets the planner choose the join, and combined by second."""
+    shared folder if not given), so the input is parsed once; cookies of more
+    than ``hot_rows`` rows are counted on it, kept as a table whose size lets
+    the planner choose the join, combined by second, and stored in ranges
+    of about ``slice_rows`` rows."""
     if pixels is None:
         raise ValueError("pixel map is required")
-    if hot_rows < 1:
-        raise ValueError("hot_rows must be positive")
+    if hot_rows < 1 or slice_rows < 1:
+        raise ValueError("hot_rows and slice_rows must be positive")
     lk = pixel_lookups(spark, pixels)
     base = folder or shared_dir(spark, "timeline")
 
@@ -56,4 +57,7 @@ def sequence_labels_split(spark: SparkSession, lines: DataFrame, pixels: str, ti
         df.write.parquet(f"{base}/{name}")
         return spark.read.schema(df.schema).parquet(f"{base}/{name}")
     events = kept(seq_events_mixed(lines, lk, tie_col), "events")
-    return label_next(combine_hot(events, kept(hot_days(events, hot_rows), "hot")), lk)
+    hot = kept(hot_cookies(events, hot_rows), "hot")
+    winners = kept(hot_winners(events, hot), "winners")
+    parts = kept(sliced(winners, -(-winners.count() // slice_rows) or 1), "slices")
+    return label_slices(events, hot, parts, lk)

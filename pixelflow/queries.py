@@ -297,10 +297,10 @@ def q_seq_label_mixed(spark, d):
 
 
 def q_seq_label_split(spark, d):
-    """Sequence job with its hot (cookie, day) groups combined by second ahead
-    of the window; the bound of one row a day makes every day of two events
-    such a group, as the test tables have no hotter one."""
-    return sequence_labels_split(spark, _mixed_lines(spark, d), PIX, tie_col="event_id", hot_rows=1)
+    """Sequence job with its hot cookies combined by second and cut into ranges
+    ahead of the window; the bound of one row makes every cookie of two events
+    a hot one, as the test tables have no hotter one."""
+    return sequence_labels_split(spark, _mixed_lines(spark, d), PIX, tie_col="event_id", hot_rows=1, slice_rows=500)
 
 
 def q_seq_label(spark, d):

@@ -165,11 +165,11 @@ def test_mixed_input_sequence_matches_model(spark):
 
 def test_split_sequence_matches_model(spark):
     from pixelflow.plans import sequence_labels_split
-    for seed, hot_rows in ((4, 1), (5, 3), (6, 10), (7, 10**6)):
+    for seed, hot_rows, slice_rows in ((4, 1, 3), (5, 3, 10), (6, 10, 2), (7, 10**6, 5)):
         imps, convs = random_logs(random.Random(seed))
         imps = [dict(r, **{k: (v if v is not None else "") for k, v in r.items()}) for r in imps]
         df = spark.createDataFrame(_lines(imps, convs), "event_id bigint, value string")
-        got = sorted(tuple(r) for r in sequence_labels_split(spark, df, PIX, tie_col="event_id", hot_rows=hot_rows).collect())
+        got = sorted(tuple(r) for r in sequence_labels_split(spark, df, PIX, tie_col="event_id", hot_rows=hot_rows, slice_rows=slice_rows).collect())
         assert got == model_sequence(imps, convs), f"seed {seed}"
 
 

@@ -212,8 +212,8 @@ def test_one_sided_group_folder_is_not_read(spark, tmp_path):
 
 
 def test_one_cookie_with_half_of_a_day(spark):
-    """The hot day is one row a second before the window; labels stay the same."""
-    from pixelflow.operators.sequence import combine_hot, hot_days, label_next, seq_events
+    """The hot cookie is one row a second before the window, in several slices; labels stay the same."""
+    from pixelflow.operators.sequence import hot_cookies, hot_winners, label_next, label_slices, seq_events, sliced
     from pixelflow.sources.config import pixel_lookups
     H = ck("h")
     imps = [imp(i, H, "c1", str(1704067200000 + 1000 * (i % 40))) for i in range(2000)]
@@ -222,11 +222,19 @@ def test_one_cookie_with_half_of_a_day(spark):
     convs += [(6000 + i, f"{i:032d}", [payload("p0", date=cdate(9))]) for i in range(0, 2000, 2)]
     lk = pixel_lookups(spark, PIX)
     tl = seq_events(imp_frame(spark, imps), conv_frame(spark, convs), lk).cache()
-    hot = hot_days(tl, 500)
-    assert [tuple(r) for r in hot.collect()] == [(H, "20240101")]
-    few = combine_hot(tl, hot)
-    assert few.where(F.col("cookie") == H).count() == 40 and few.where(F.col("cookie") != H).count() == 3000
-    got, want = (sorted(tuple(r) for r in label_next(t, lk).collect()) for t in (few, tl))
-    assert got == want and sum(r[-1] for r in got) == 1000 + 5
-    assert hot_days(tl, 10**6).count() == 0 and sorted(map(tuple, combine_hot(tl, hot_days(tl, 10**6)).collect())) == sorted(map(tuple, tl.collect()))
+    want = sorted(tuple(r) for r in label_next(tl, lk).collect())
+    assert sum(r[-1] for r in want) == 1000 + 5
+    hot = hot_cookies(tl, 500)
+    assert [tuple(r) for r in hot.collect()] == [(H,)]
+    few = hot_winners(tl, hot)
+    assert few.count() == 40
+    for slices in (1, 7, 60):
+        parts = sliced(few, slices).cache()
+        sizes = [r["count"] for r in parts.groupBy("_slice").count().collect()]
+        assert sum(sizes) == 40 and max(sizes) <= -(-40 // slices) + 2        # no slice holds the day
+        assert sorted(tuple(r) for r in label_slices(tl, hot, parts, lk).collect()) == want
+        parts.unpersist()
+    none = hot_cookies(tl, 10**6)
+    assert none.count() == 0
+    assert sorted(tuple(r) for r in label_slices(tl, none, sliced(hot_winners(tl, none), 1), lk).collect()) == want
     tl.unpersist()

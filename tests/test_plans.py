@@ -99,6 +99,29 @@ def test_sequence_splits_a_cookie_by_day(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+def test_stored_timeline_is_exchanged_and_sorted_once(spark):
+    from pixelflow.operators.sequence import label_slices
+    from pixelflow.session import shared_dir
+    from pixelflow.sources.config import pixel_lookups
+    base = shared_dir(spark, "timeline-plan")
+    tl = "cookie string, event_date string, is_conv int, tie bigint, ord int, pixel string, campaign_id string, hour string, state string, os string, browser string, category string"
+    spark.createDataFrame([], tl).write.parquet(base + "/events")
+    spark.createDataFrame([], tl + ", _slice int").write.parquet(base + "/slices")
+    spark.createDataFrame([], "cookie string").write.parquet(base + "/hot")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        read = lambda n: spark.read.parquet(f"{base}/{n}")
+        p = plan(label_slices(read("events"), read("hot"), read("slices"), pixel_lookups(spark, PIX)))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    lines = p.splitlines()
+    # the timeline once by (cookie, slice); then the slices' edges, a row per cookie and slice
+    keys = [line for line in lines if "Exchange hashpartitioning(" in line]
+    assert sum("_slice" in line for line in keys) == 2 and len(keys) == 3
+    assert sum("Sort [" in line and "_slice" in line and "event_date" in line for line in lines) == 1
+    assert sum("FileScan parquet" in line and "campaign_id" in line and "_slice" not in line for line in lines) == 1
+
+
 def test_hot_cookie_window_input_is_bounded(spark):
     from pyspark.sql import functions as F
     from pixelflow.operators.sequence import dedup_last_wins
