@@ -6,21 +6,23 @@ from pyspark.sql import DataFrame, functions as F
 
 from pixelflow.constants import MISSING, RE_CMPN
 from pixelflow.functions.markers import norm_marker
+from pixelflow.operators.keyfilter import reduced
 from pixelflow.sources.config import PixelLookups
 
 
 def filter_known_campaigns(imp: DataFrame, lk: PixelLookups) -> DataFrame:
     """Impressions whose (normalised) ``campaign_id`` is in the pixel map."""
     known = lk.campaigns.withColumnRenamed("campaign_id", "_known")
-    cond = norm_marker("campaign_id") == F.col("_known")
-    return imp.where(F.col("campaign_id").isNotNull()).join(known, cond, "left_semi")
+    df = imp.where(F.col("campaign_id").isNotNull()).withColumn("_camp", norm_marker("campaign_id"))
+    df = reduced(df, "_camp", lk, "campaigns")
+    return df.join(known, F.col("_camp") == F.col("_known"), "left_semi").drop("_camp")
 
 
 def filter_known_pixels(conv: DataFrame, lk: PixelLookups, payload: str = "payload") -> DataFrame:
     """Conversions whose payload ``cmpn`` is a pixel of the map."""
     known = lk.pixels.withColumnRenamed("pixel", "_known")
-    cond = F.regexp_extract(F.col(payload), RE_CMPN, 1) == F.col("_known")
-    return conv.join(known, cond, "left_semi")
+    df = reduced(conv.withColumn("_pix", F.regexp_extract(F.col(payload), RE_CMPN, 1)), "_pix", lk, "pixels")
+    return df.join(known, F.col("_pix") == F.col("_known"), "left_semi").drop("_pix")
 
 
 def filter_adgroups(imp: DataFrame, adgroups: DataFrame | None) -> DataFrame:

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from pixelflow.operators.keyfilter import reduced
 from pixelflow.sources.config import PixelLookups
 
 
@@ -13,6 +14,8 @@ def with_category(df: DataFrame, lk: PixelLookups, key: str = "campaign_id",
                   how: str = "inner") -> DataFrame:
     """Attach the last-wins ``category`` of ``key``; ``inner`` also drops rows
     whose campaign is not in the map (semi join and lookup in one join)."""
+    if how == "inner":
+        df = reduced(df, key, lk, "campaigns")
     cat = lk.category.withColumnRenamed("campaign_id", "_lk_campaign")
     out = df.join(cat, F.col(key) == F.col("_lk_campaign"), how)
     return out.drop("_lk_campaign")
@@ -21,5 +24,6 @@ def with_category(df: DataFrame, lk: PixelLookups, key: str = "campaign_id",
 def fan_out(df: DataFrame, lk: PixelLookups, key: str = "pixel") -> DataFrame:
     """Repeat each row once per map entry of its pixel, with ``weight = 1/n``
     and the entry's ``category``; rows of unknown pixels are dropped."""
+    df = reduced(df, key, lk, "pixels")
     w = lk.weights.withColumnRenamed("pixel", "_fan_pixel")
     return df.join(w, F.col(key) == F.col("_fan_pixel"), "inner").drop("_fan_pixel")

@@ -26,6 +26,7 @@ from pixelflow.functions.markers import norm_marker
 from pixelflow.functions.text import clean_browser, clean_os, payload_extract
 from pixelflow.operators.filters import require_cookie, require_timestamp
 from pixelflow.operators.joins import with_category
+from pixelflow.operators.keyfilter import key_filter, may_match, reduced
 from pixelflow.sources.config import PixelLookups
 from pixelflow.sources.logs import split_once
 
@@ -71,7 +72,7 @@ def timeline_conversions(conv_all: DataFrame, lk: PixelLookups,
     ex = split_once(ex, F.regexp_extract("_p", RE_CMPN, 1), keep=("cookie", "_tie", "_pos", "_p")) \
         .withColumnRenamed("_arr", "_pix")
     known = lk.pixels.withColumnRenamed("pixel", "_known")
-    ex = ex.join(known, F.col("_pix") == F.col("_known"), "left_semi")
+    ex = reduced(ex, "_pix", lk, "pixels").join(known, F.col("_pix") == F.col("_known"), "left_semi")
     null = F.lit(None).cast("string")
     return ex.select(
         "cookie", payload_extract("_p", RE_DATE).alias("event_date"), F.lit(1).alias("is_conv"),
@@ -227,6 +228,8 @@ def seq_events_mixed(lines: DataFrame, lk: PixelLookups, tie_col: str | None = N
     ids = lk.category.select(F.lit(False).alias("_kind"), F.col("campaign_id").alias("_known"), "category").unionByName(
         lk.pixels.select(F.lit(True).alias("_kind"), F.col("pixel").alias("_known"), F.lit(None).cast("string").alias("category")))
     ex = ex.withColumn("_id", F.when(F.col("_c"), F.col("_pix")).when(F.col("_campaign_id").isNotNull(), norm_marker("_campaign_id")))
+    if lk.is_table:
+        ex = may_match(ex, "_id", key_filter(ids, "_known"))
     ex = ex.join(ids, (F.col("_c") == F.col("_kind")) & (F.col("_id") == F.col("_known")))
     ex = ex.where(F.col("_c") | (F.col("_timestamp").isNotNull() & F.col("cookie").isNotNull() & (norm_marker("cookie") != MISSING)))
     conv = F.col("_c")

@@ -453,6 +453,9 @@ def statements() -> dict[str, str]:
     s["agg_rate_files"] = s["agg_rate_text"]
     implog = (f"implog AS (SELECT {_fields('t', LOG_FIELDS)} FROM "
               f"(SELECT {tok} AS t FROM imp_lines))\n")
+    s["collect_impressions_table_map"] = s["collect_impressions"]
+    s["collect_conversions_table_map"] = s["collect_conversions"]
+    s["seq_label_table_map"] = s["seq_label"]
     s["collect_impressions_text"] = P + implog + _collect_impressions_body("implog")
     convlog = (f"convlog AS (SELECT t[1] AS cookie, t[2] AS payload FROM (SELECT {tok} AS t FROM conv_lines) "
                f"WHERE t[1] IS NOT NULL AND t[2] IS NOT NULL)\n")

@@ -12,6 +12,7 @@ from pixelflow.functions.text import clean_browser, clean_os, payload_extract
 from pixelflow.functions.useragent import classify_browser, classify_os
 from pixelflow.operators.aggregates import CONV_DIMS, count_by, sum_by
 from pixelflow.operators.joins import fan_out
+from pixelflow.operators.keyfilter import reduced
 from pixelflow.sources.logs import split_once
 from pixelflow.sources.config import PixelLookups, pixel_lookups
 
@@ -29,7 +30,7 @@ def raw_dims(conv: DataFrame, lk: PixelLookups) -> DataFrame:
     # then a broadcast semi join on it
     df = split_once(df, F.regexp_extract("payload", RE_CMPN, 1), keep=("payload",)).withColumnRenamed("_arr", "_pix")
     known = lk.pixels.withColumnRenamed("pixel", "_known")
-    df = df.join(known, F.col("_pix") == F.col("_known"), "left_semi")
+    df = reduced(df, "_pix", lk, "pixels").join(known, F.col("_pix") == F.col("_known"), "left_semi")
     return df.select(
         F.col("_pix"),
         hour_group_conversions("payload").alias("hour_group"),
@@ -37,13 +38,14 @@ def raw_dims(conv: DataFrame, lk: PixelLookups) -> DataFrame:
         payload_extract("payload", RE_BRWSOS).alias("_ua"))
 
 
-def collect_conversions(spark: SparkSession, conv: DataFrame, pixels: str) -> DataFrame:
+def collect_conversions(spark: SparkSession, conv: DataFrame, pixels: str | PixelLookups) -> DataFrame:
     """``(hour_group, state, os, browser, category, conv)`` with ``conv`` DOUBLE.
 
     Conversions are counted per pixel, hour group, state and raw user agent
     first, so the agent rules run once per distinct agent of a group and not
     once per conversion; the counts are then named, spread over the pixel's
-    categories and summed."""
+    categories and summed.  ``pixels``: the map as a string, or lookups of a
+    map kept as a table."""
     if pixels is None:
         raise ValueError("pixel map is required")
     lk = pixel_lookups(spark, pixels)

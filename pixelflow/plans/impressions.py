@@ -34,8 +34,9 @@ def impression_dims(imp: DataFrame, lk: PixelLookups) -> DataFrame:
         norm_marker("category").alias("category"))
 
 
-def collect_impressions(spark: SparkSession, imp: DataFrame, pixels: str) -> DataFrame:
-    """``(hour_group, state, os, browser, category, imp)`` with ``imp`` BIGINT."""
+def collect_impressions(spark: SparkSession, imp: DataFrame, pixels: str | PixelLookups) -> DataFrame:
+    """``(hour_group, state, os, browser, category, imp)`` with ``imp`` BIGINT.
+    ``pixels``: the map as a string, or lookups of a map kept as a table."""
     if pixels is None:
         raise ValueError("pixel map is required")
     return count_by(impression_dims(imp, pixel_lookups(spark, pixels)), CONV_DIMS, "imp")

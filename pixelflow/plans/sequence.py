@@ -7,13 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pixelflow.operators.sequence import hot_cookies, hot_winners, label_next, label_slices, seq_events, seq_events_mixed, sliced
 from pixelflow.session import shared_dir
-from pixelflow.sources.config import pixel_lookups
+from pixelflow.sources.config import PixelLookups, pixel_lookups
 
 #: Timeline rows of one cookie beyond which they are combined by second and cut into slices of that size.
 HOT_ROWS = 1_000_000
 
 
-def sequence_labels(spark: SparkSession, imp: DataFrame, conv_all: DataFrame, pixels: str,
+def sequence_labels(spark: SparkSession, imp: DataFrame, conv_all: DataFrame, pixels: str | PixelLookups,
                     tie_col: str | None = "event_id") -> DataFrame:
     """``(cookie, hour, state, os, browser, category, label)``.
 
@@ -26,7 +26,7 @@ def sequence_labels(spark: SparkSession, imp: DataFrame, conv_all: DataFrame, pi
     return label_next(seq_events(imp, conv_all, lk, tie_col), lk)
 
 
-def sequence_labels_mixed(spark: SparkSession, lines: DataFrame, pixels: str,
+def sequence_labels_mixed(spark: SparkSession, lines: DataFrame, pixels: str | PixelLookups,
                           tie_col: str | None = None) -> DataFrame:
     """Same job on one mixed text input (both logs in the same files), read
     in a single scan; ``lines`` has the text column ``value``."""
@@ -36,7 +36,7 @@ def sequence_labels_mixed(spark: SparkSession, lines: DataFrame, pixels: str,
     return label_next(seq_events_mixed(lines, lk, tie_col), lk)
 
 
-def sequence_labels_split(spark: SparkSession, lines: DataFrame, pixels: str, tie_col: str | None = None,
+def sequence_labels_split(spark: SparkSession, lines: DataFrame, pixels: str | PixelLookups, tie_col: str | None = None,
                           hot_rows: int = HOT_ROWS, folder: str | None = None, slice_rows: int = HOT_ROWS) -> DataFrame:
     """Same rows as :func:`sequence_labels_mixed`, for logs in which one cookie
     may hold any share of a day.

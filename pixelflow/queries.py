@@ -25,7 +25,7 @@ from pixelflow.plans.ctr import ctr_dims as _ctr_dims
 from pixelflow.session import shared_dir
 from pixelflow.sources import fixtures as fx
 from pixelflow.sources import logs, sinks
-from pixelflow.sources.config import adgroup_table, pixel_lookups
+from pixelflow.sources.config import adgroup_table, lookups_from_entries, pixel_lookups, pixel_map
 from pixelflow.sources.intermediate import parse_intermediate, to_intermediate_lines, write_bucketed, write_intermediate
 
 PIX = fx.PIXEL_SPEC
@@ -313,6 +313,23 @@ def q_collect_impressions(spark, d):
     return collect_impressions(spark, _imp(spark, d), PIX)
 
 
+def _table_map(spark):
+    return lookups_from_entries(pixel_map(spark, PIX))
+
+
+def q_collect_impressions_table_map(spark, d):
+    """The map as a table: log rows pass its key filter ahead of the join."""
+    return collect_impressions(spark, _imp(spark, d), _table_map(spark))
+
+
+def q_collect_conversions_table_map(spark, d):
+    return _credit(collect_conversions(spark, _conv(spark, d), _table_map(spark)))
+
+
+def q_seq_label_table_map(spark, d):
+    return sequence_labels_mixed(spark, _mixed_lines(spark, d), _table_map(spark), tie_col="event_id")
+
+
 def q_collect_impressions_text(spark, d):
     """Impression job on the text log read in token mode (empty fields shift columns)."""
     return collect_impressions(spark, logs.parse_impressions_tokens(fx.impression_lines(_ev(spark, d))), PIX)

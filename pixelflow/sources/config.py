@@ -68,8 +68,9 @@ class PixelLookups:
     (n = entries of the pixel); ``pairs``: distinct (pixel, campaign_id);
     ``pixels`` / ``campaigns``: distinct ids; ``entries``: the map itself."""
 
-    def __init__(self, builders: dict):
+    def __init__(self, builders: dict, is_table: bool = False):
         self._builders = builders
+        self.is_table = is_table      # a map of any size, not a job parameter
         self._built: dict[str, DataFrame] = {}
 
     def _get(self, name: str) -> DataFrame:
@@ -100,15 +101,18 @@ def lookups_from_entries(pm: DataFrame) -> PixelLookups:
         "pairs": lambda: pm.select("pixel", "campaign_id").distinct(),
         "pixels": lambda: pm.select("pixel").distinct(),
         "campaigns": lambda: pm.select("campaign_id").distinct(),
-    })
+    }, is_table=True)
 
 
 _CACHE: dict = {}
 
 
-def pixel_lookups(spark: SparkSession, spec: str | None) -> PixelLookups:
+def pixel_lookups(spark: SparkSession, spec: str | PixelLookups | None) -> PixelLookups:
     """Lookup tables of a ``pixel|campaign_id|category,...`` string.  Reused
-    for the same session and string (DataFrames are immutable)."""
+    for the same session and string (DataFrames are immutable).  Lookups made
+    before (:func:`lookups_from_entries`) are taken as they are."""
+    if isinstance(spec, PixelLookups):
+        return spec
     key = (id(spark), spec)
     hit = _CACHE.get(key)
     if hit is not None and hit[0]() is spark:      # same live session object

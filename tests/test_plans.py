@@ -135,6 +135,37 @@ def test_hot_cookie_window_input_is_bounded(spark):
     assert out.where(F.col("cookie") == hot).agg(F.min("tie")).first()[0] == 4990   # largest tie wins
 
 
+def test_key_filter_drops_rows_ahead_of_a_large_join(spark):
+    from pyspark.sql import functions as F
+    from pixelflow.operators import filter_known_campaigns, key_filter, may_match, with_category
+    from pixelflow.sources.config import lookups_from_entries, pixel_lookups, pixel_map
+    ids = spark.range(20_000).select(F.when(F.col("id") % 1000 != 999, F.concat(F.lit("c"), F.col("id").cast("string"))).alias("campaign_id"))
+    table, local = lookups_from_entries(pixel_map(spark, PIX)), pixel_lookups(spark, PIX)
+    passed = may_match(ids, "campaign_id", key_filter(table.entries, "campaign_id"))
+    known = {r.campaign_id for r in local.campaigns.collect()}
+    got = [r.campaign_id for r in passed.collect()]
+    assert known <= set(got) and len(got) < 20 and None not in got
+    assert key_filter(table.entries, "campaign_id", words=2).count() <= 2      # its size does not follow the keys
+    few = {r.campaign_id for r in may_match(ids, "campaign_id", key_filter(table.entries, "campaign_id", 1), 1).collect()}
+    assert known <= few and len(few) > 20                                      # more pass by chance, none is lost
+    assert may_match(ids, "campaign_id", key_filter(table.entries.limit(0), "campaign_id")).count() == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for op in (filter_known_campaigns, with_category):
+            a, b = op(ids, table), op(ids, local)
+            p, plain = plan(a).splitlines(), plan(b)
+            # the filter's join stands below the exchange of the large join
+            merge = min(i for i, x in enumerate(p) if "SortMergeJoin" in x)
+            shuffle = min(i for i, x in enumerate(p) if "Exchange hashpartitioning" in x)
+            assert merge < shuffle < min(i for i, x in enumerate(p) if "BroadcastHashJoin" in x)
+            assert "SortMergeJoin" in plain and "BroadcastHashJoin" not in plain
+            assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect())) and a.count() == len(known)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_agents_are_classified_above_the_first_aggregate(spark):
     df = collect_conversions(spark, fx.conversions(fx.read_events(spark, SF)), PIX)
     p = df._jdf.queryExecution().optimizedPlan().toString().splitlines()      # from the top down
