@@ -69,41 +69,35 @@ def training_texts(docs: DataFrame, cfg: PpmConfig) -> dict[str, list[str]]:
     return out
 
 
-class PpmModel:
-    """Cost tables of all languages over their joint contexts.
+class ContextTree:
+    """Cost table of one language over its own contexts and byte classes.
 
-    ``cls`` maps a byte to its class (bytes never trained on share the last
+    ``cls`` maps a byte to its class (bytes not trained on share the last
     one).  Contexts are numbered: 0 the empty one, then one byte, two and three
     bytes; ``two`` and ``three`` give the number of a context from its parts
     (or of its longest known end), ``cost[context * classes + class]`` the code
-    lengths in bits, one per language."""
+    length in bits."""
 
-    def __init__(self, texts: dict[str, list[str]], cfg: PpmConfig):
-        self.cfg = cfg
-        self.langs = sorted(texts)
-        data = {lang: [np.frombuffer(t.encode("utf-8"), np.uint8) for t in texts[lang]] for lang in self.langs}
-        used = np.unique(np.concatenate([x for xs in data.values() for x in xs])) if data else np.zeros(0, np.uint8)
+    def __init__(self, texts: list[str]):
+        data = [np.frombuffer(t.encode("utf-8"), np.uint8) for t in texts]
+        used = np.unique(np.concatenate(data))
         self.S = S = len(used) + 1
         self.cls = np.full(256, S - 1, np.int64)
         self.cls[used] = np.arange(S - 1)
-        # (context length, context code, next class) with counts, per language
-        grams: list[list[tuple[np.ndarray, np.ndarray]]] = []
-        for lang in self.langs:
-            per = []
-            for k in range(4):
-                codes = []
-                for x in data[lang]:
-                    c = self.cls[x]
-                    code = np.zeros(max(len(c) - k, 0), np.int64)
-                    for j in range(k + 1):
-                        code = code * S + c[j:len(c) - k + j]
-                    codes.append(code)
-                per.append(np.unique(np.concatenate(codes), return_counts=True))
-            grams.append(per)
-        known = [np.unique(np.concatenate([g[k][0] // S for g in grams])) if grams else np.zeros(0, np.int64) for k in range(4)]
-        known[0] = np.zeros(1, np.int64)
+        # (context, next class) codes with counts, by context length
+        grams: list[tuple[np.ndarray, np.ndarray]] = []
+        for k in range(4):
+            codes = []
+            for x in data:
+                c = self.cls[x]
+                code = np.zeros(max(len(c) - k, 0), np.int64)
+                for j in range(k + 1):
+                    code = code * S + c[j:len(c) - k + j]
+                codes.append(code)
+            grams.append(np.unique(np.concatenate(codes), return_counts=True))
+        known = [np.unique(g[0] // S) for g in grams]
         base = np.cumsum([0] + [len(x) for x in known])
-        L, n_ctx = max(len(self.langs), 1), int(base[-1])
+        n_ctx = int(base[-1])
 
         def number(k: int, code: np.ndarray, other: np.ndarray) -> np.ndarray:
             """The number of a length-k context, or ``other`` if not known."""
@@ -115,39 +109,36 @@ class PpmModel:
         self.one = one.astype(np.int32)
         # two[a, b]: the longest known end of "ab"
         self.two = number(2, np.arange(S * S), np.tile(one, S)).astype(np.int32)
-        # three[a context number of "ab" (or shorter), c]: only real two-byte contexts extend
-        self.three = np.full((n_ctx, S), -1, np.int32)
+        # three[context number of "ab", c], -1 where only a shorter end is known
+        self.first = int(base[2])
         ab = known[2][:, None] * S + np.arange(S)[None, :]
-        if len(known[2]):
-            flat = number(3, ab.ravel(), np.full(ab.size, -1, np.int64))
-            self.three[base[2]:base[3]] = flat.reshape(ab.shape)
+        self.three = number(3, ab.ravel(), np.full(ab.size, -1, np.int64)).reshape(ab.shape).astype(np.int32)
         # costs, shorter contexts first: a context starts from its end's costs plus the escape
-        cost = np.zeros((n_ctx, S, L), np.float32)
+        cost = np.zeros((n_ctx, S), np.float32)
         parent = [None, np.zeros(len(known[1]), np.int64), number(1, known[2] % S, np.zeros(len(known[2]), np.int64)),
                   self.two[known[3] % (S * S)].astype(np.int64)]
-        for li in range(len(self.langs)):
-            for k in range(4):
-                code, count = grams[li][k]
-                row = np.searchsorted(known[k], code // S)
-                n = np.bincount(row, count, len(known[k]))
-                d = np.bincount(row, minlength=len(known[k]))
-                seen = d > 0
-                esc = np.where(seen, -np.log2(np.maximum(d, 1) / np.maximum(n + d, 1)), 0.0)
-                below = 8.0 if k == 0 else cost[parent[k], :, li]
-                cost[base[k]:base[k + 1], :, li] = below + esc[:, None]
-                cost[base[k] + row, code % S, li] = -np.log2(count / (n + d)[row])
-        self.cost = cost.reshape(n_ctx * S, L)
+        for k, (code, count) in enumerate(grams):
+            row = np.searchsorted(known[k], code // S)
+            n = np.bincount(row, count, len(known[k]))
+            d = np.bincount(row, minlength=len(known[k]))
+            esc = -np.log2(d / (n + d))
+            below = 8.0 if k == 0 else cost[parent[k]]
+            cost[base[k]:base[k + 1]] = below + esc[:, None]
+            cost[base[k] + row, code % S] = -np.log2(count / (n + d)[row])
+        self.cost = cost.ravel()
 
     def code_lengths(self, blob: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Bits per (text, language) of texts concatenated in ``blob``; text i
-        begins at ``starts[i]`` (all non-empty)."""
+        """Bits of the texts concatenated in ``blob``; text i begins at
+        ``starts[i]`` (all non-empty)."""
         S, c = self.S, self.cls[blob]
         ctx = np.zeros(len(c), np.int32)
         ctx[1:] = self.one[c[:-1]]
         two = self.two[c[:-2] * S + c[1:-1]] if len(c) > 2 else np.zeros(0, np.int32)
         ctx[2:] = two
-        if len(c) > 3:
-            three = self.three[two[:-1], c[2:-1]]
+        if len(c) > 3 and len(self.three):
+            at = two[:-1] - self.first                 # only real two-byte contexts extend
+            real = (at >= 0) & (at < len(self.three))
+            three = np.where(real, self.three[np.where(real, at, 0), c[2:-1]], -1)
             ctx[3:] = np.where(three >= 0, three, two[1:])
         # contexts do not reach over the start of a text
         ends = np.append(starts[1:], len(c))
@@ -156,7 +147,21 @@ class PpmModel:
         ctx[s] = self.one[c[s - 1]]
         s = starts[starts + 2 < ends] + 2
         ctx[s] = self.two[c[s - 2] * S + c[s - 1]]
-        return np.add.reduceat(self.cost[ctx.astype(np.int64) * S + c], starts, axis=0, dtype=np.float64)
+        return np.add.reduceat(self.cost[ctx.astype(np.int64) * S + c], starts, dtype=np.float64)
+
+
+class PpmModel:
+    """The trees of all languages: their size is the sum of the languages'
+    own tables, each bounded by its training bytes."""
+
+    def __init__(self, texts: dict[str, list[str]], cfg: PpmConfig):
+        self.cfg = cfg
+        self.langs = sorted(texts)
+        self.trees = [ContextTree(texts[lang]) for lang in self.langs]
+
+    def code_lengths(self, blob: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Bits per (text, language), see :meth:`ContextTree.code_lengths`."""
+        return np.stack([t.code_lengths(blob, starts) for t in self.trees], axis=1)
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, float]]:
         """(language, score, bits per byte under it) of each whole text."""
