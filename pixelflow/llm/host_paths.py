@@ -30,7 +30,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pixelflow.llm.common import map_batches
+from pixelflow.llm.common import map_batches, stored
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)(?:>|(\Z))"""
@@ -376,5 +376,7 @@ def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url")) -> Dat
             out.append(page.text((path.as_py(), own) if path.as_py() is not None else (own,)))
         return pa.RecordBatch.from_arrays([*map(b.column, names), pa.array(out, pa.string())], [*names, "text"])
     cols = [F.col(c) for c in dict.fromkeys([*names, "html"])]
-    joined = pages.select(*cols, host(F.col("url")).alias("_host")).join(winners(votes(pages)), "_host", "left")
+    # a stored table has a size: while it is small the html is not moved, beyond that the join splits a hot host
+    best = stored(winners(votes(pages)), "host-winners")
+    joined = pages.select(*cols, host(F.col("url")).alias("_host")).join(best, "_host", "left")
     return map_batches(joined.select(*cols, "_path"), batch, ddl + "text string")
