@@ -113,11 +113,21 @@ def hot_winners(timeline: DataFrame, hot: DataFrame) -> DataFrame:
     return dedup_last_wins(timeline.join(hot, "cookie", "left_semi"))
 
 
-def sliced(winners: DataFrame, slices: int) -> DataFrame:
-    """``winners`` dealt into ranges of (cookie, date) of about the same size,
-    with the number of their range as ``_slice``; a second is never cut, a
-    cookie is wherever a range ends.  Store it before it is used twice."""
-    return winners.repartitionByRange(slices, "cookie", "event_date").withColumn("_slice", F.spark_partition_id())
+def sliced(winners: DataFrame, ranges: int, rows: int | None = None) -> DataFrame:
+    """``winners`` dealt into ``ranges`` ranges of (cookie, date) of about the
+    same size, one task each.  A range is one slice, or is cut in its order into
+    slices of at most ``rows`` winners, so that small slices need no task of
+    their own.  ``_slice`` numbers them in the order of (cookie, date); a second
+    is never cut, a cookie is wherever a slice ends.  Store it before it is used
+    twice."""
+    dealt = winners.repartitionByRange(ranges, "cookie", "event_date")
+    if rows is None:
+        return dealt.withColumn("_slice", F.spark_partition_id())
+    # range << 33 plus the row's place in its range, in the rows' order
+    at = F.monotonically_increasing_id()
+    dealt = dealt.sortWithinPartitions("cookie", "event_date").withColumn("_at", at)
+    first = F.shiftleft(F.shiftright("_at", 33), 33)
+    return dealt.withColumn("_slice", first + F.floor((F.col("_at") - first) / rows)).drop("_at")
 
 
 def carry_over(parts: DataFrame) -> DataFrame:

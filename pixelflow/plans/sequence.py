@@ -11,6 +11,8 @@ from pixelflow.sources.config import PixelLookups, pixel_lookups
 
 #: Timeline rows of one cookie beyond which they are combined by second and cut into slices of that size.
 HOT_ROWS = 1_000_000
+#: Combined rows a task deals into slices, however small these are.
+RANGE_ROWS = 100_000
 
 
 def sequence_labels(spark: SparkSession, imp: DataFrame, conv_all: DataFrame, pixels: str | PixelLookups,
@@ -44,8 +46,8 @@ def sequence_labels_split(spark: SparkSession, lines: DataFrame, pixels: str | P
     The narrow timeline is written once under ``folder`` (a fresh one in the
     shared folder if not given), so the input is parsed once; cookies of more
     than ``hot_rows`` rows are counted on it, kept as a table whose size lets
-    the planner choose the join, combined by second, and stored in ranges
-    of about ``slice_rows`` rows."""
+    the planner choose the join, combined by second, and stored in slices
+    of at most ``slice_rows`` rows, many of which share a task where they are small."""
     if pixels is None:
         raise ValueError("pixel map is required")
     if hot_rows < 1 or slice_rows < 1:
@@ -59,5 +61,5 @@ def sequence_labels_split(spark: SparkSession, lines: DataFrame, pixels: str | P
     events = kept(seq_events_mixed(lines, lk, tie_col), "events")
     hot = kept(hot_cookies(events, hot_rows), "hot")
     winners = kept(hot_winners(events, hot), "winners")
-    parts = kept(sliced(winners, -(-winners.count() // slice_rows) or 1), "slices")
+    parts = kept(sliced(winners, -(-winners.count() // max(slice_rows, RANGE_ROWS)) or 1, slice_rows), "slices")
     return label_slices(events, hot, parts, lk)

@@ -238,3 +238,22 @@ def test_one_cookie_with_half_of_a_day(spark):
     assert none.count() == 0
     assert sorted(tuple(r) for r in label_slices(tl, none, sliced(hot_winners(tl, none), 1), lk).collect()) == want
     tl.unpersist()
+
+
+def test_small_slices_share_a_task(spark, tmp_path):
+    """The tasks that store the slices follow from the winners, not from the number of slices."""
+    from pixelflow.operators.sequence import label_next, seq_events_mixed
+    from pixelflow.plans import sequence_labels_split
+    from pixelflow.sources import logs
+    from pixelflow.sources.config import pixel_lookups
+    imps = imp_frame(spark, [imp(i, ck("abcdefg"[i % 7]), "c1", ms(i % 20, i % 50)) for i in range(600)])
+    convs = [(1000 + i, ck("abcdefg"[i % 7]), [payload("p0", date=cdate(i % 20, i % 40))]) for i in range(300)]
+    lines = logs.to_lines(imps, logs.LOG_FIELDS, keep=("event_id",)).union(
+        conv_frame(spark, convs).selectExpr("event_id", "concat_ws('\\t', cookie, payloads) AS value"))
+    got = sequence_labels_split(spark, lines, PIX, tie_col="event_id", hot_rows=1, folder=str(tmp_path / "t"), slice_rows=4)
+    sizes = [r["count"] for r in spark.read.parquet(str(tmp_path / "t" / "slices")).groupBy("_slice").count().collect()]
+    assert max(sizes) == 4 and len(sizes) == -(-sum(sizes) // 4) > 100
+    assert len(list((tmp_path / "t" / "slices").glob("part-*"))) == 1
+    lk = pixel_lookups(spark, PIX)
+    want = label_next(seq_events_mixed(lines, lk, "event_id"), lk)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.where("label = 1").count() > 0
