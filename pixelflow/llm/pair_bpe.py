@@ -7,8 +7,8 @@ the pair is merged from left to right, and the lists of the pairs this makes
 are extended.  A pair made by a merge can rank below the pair in hand; the
 rest of the list then waits, so each word sees its merges in rank order.
 
-Words found before are reused from a memo that is emptied when full (it
-bounds memory only; results never depend on it).
+Chunks and words found before are reused from memos that are emptied when
+full (they bound memory only; results never depend on them).
 
 The vocabulary file is a parameter (a path every executor can read); its
 normaliser (NFC, white space, lower case), word pattern, byte alphabet and
@@ -69,13 +69,21 @@ class Vocabulary:
         for t, i in self.added.items():
             self.token[i] = t
         alphabet, end = byte_alphabet(), model["end_of_word_suffix"]
-        self.inner = [vocab[c] for c in alphabet]
-        self.last = [vocab[c + end] for c in alphabet]
-        self.merges = {}
-        for rank, (a, b) in enumerate(model["merges"]):
-            self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
-        self.by_rank = {r: (a, b, n) for (a, b), (r, n) in self.merges.items()}
+        self.by_rank = []                                   # rank -> left symbol, right symbol, new symbol
+        self.after: dict[int, dict[int, int]] = {}          # symbol -> symbol on its right -> rank of the pair
+        self.before: dict[int, dict[int, int]] = {}         # symbol -> symbol on its left -> rank of the pair
+        rank_of = {}
+        for rank, (x, y) in enumerate(model["merges"]):
+            self.by_rank.append((vocab[x], vocab[y], vocab[x + y]))
+            rank_of[vocab[x], vocab[y]] = rank              # of a pair listed twice the later rank counts
+        for (x, y), rank in rank_of.items():
+            self.after.setdefault(x, {})[y] = rank
+            self.before.setdefault(y, {})[x] = rank
+        # symbols of the bytes (inside a word, then at its end) and -1 between words; ranks of their pairs or -1
+        self.first = np.array([vocab[c] for c in alphabet] + [vocab[c + end] for c in alphabet] + [-1], np.int32)
+        self.first_rank = np.array([[self.after.get(x, {}).get(y, -1) for y in self.first.tolist()] for x in self.first.tolist()], np.int32)
         self.word = regex.compile(WORD_PATTERN)
+        self.added_ids = {t.upper(): i.to_bytes(4, "little") for t, i in self.added.items()}
         self.split_added = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")")
 
 
@@ -84,70 +92,75 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def merge_words(v: Vocabulary, words: list[bytes]) -> list[list[int]]:
-    """The symbol ids of each word (non-empty UTF-8) after all merges."""
-    sym: list[int] = []
-    starts = []
-    for w in words:
-        starts.append(len(sym))
-        sym.extend(map(v.inner.__getitem__, w[:-1]))
-        sym.append(v.last[w[-1]])
+def merge_words(v: Vocabulary, words: list[bytes]) -> list[bytes]:
+    """The symbol ids of each word (non-empty UTF-8) after all merges, as
+    little-endian 32-bit integers."""
+    if not words:
+        return []
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    code = np.frombuffer(b"\0".join(words) + b"\0", np.uint8).astype(np.int16)
+    code[ends - 1] += 256
+    code[ends] = 512
+    sym = v.first[code].tolist()              # -1: between words, or merged into the symbol before
     n = len(sym)
     nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-    for s in starts:
-        prv[s] = -1
-        if s:
-            nxt[s - 1] = -1
-    nxt[n - 1:] = [-1] * min(n, 1)
-    get = v.merges.get
-    index: dict[int, list[int]] = {}          # rank of the pair -> its positions
-    for i in range(n - 1):
-        if nxt[i] >= 0 and (m := get((sym[i], sym[i + 1]))):
-            index.setdefault(m[0], []).append(i)
-    active = list(index)
-    heapq.heapify(active)
+    ranks = v.first_rank[code[:-1], code[1:]]
+    at = np.flatnonzero(ranks >= 0)
+    at = at[np.argsort(ranks[at], kind="stable")]
+    active, cuts = np.unique(ranks[at], return_index=True)
+    active, cuts, at = active.tolist(), [*cuts.tolist(), len(at)], at.tolist()
+    index = {r: at[s:e] for r, s, e in zip(active, cuts, cuts[1:])}          # rank of the pair -> its positions
+    none: dict[int, int] = {}
     while active:
         rank = heapq.heappop(active)
         places = index.pop(rank, None)
         if places is None:
             continue
         a, b, new = v.by_rank[rank]
+        after, before = v.after.get(new, none).get, v.before.get(new, none).get
         places.sort()
         for k, i in enumerate(places):
-            j = nxt[i]
-            if sym[i] != a or j < 0 or sym[j] != b:      # gone meanwhile
+            if sym[i] != a or sym[j := nxt[i]] != b:      # gone meanwhile
                 continue
             sym[i], sym[j] = new, -1
-            r = nxt[j]
-            nxt[i] = r
-            made = []
-            if r >= 0:
-                prv[r] = i
-                if m := get((new, sym[r])):
-                    made.append((m[0], i))
-            if (p := prv[i]) >= 0 and (m := get((sym[p], new))):
-                made.append((m[0], p))
-            for q, at in made:
-                if q in index:
-                    index[q].append(at)
+            nxt[i] = r = nxt[j]
+            prv[r] = i
+            lower = False
+            if (q := after(sym[r])) is not None:
+                if (held := index.get(q)) is not None:
+                    held.append(i)
                 else:
-                    index[q] = [at]
+                    index[q] = [i]
                     heapq.heappush(active, q)
-            if made and min(made)[0] < rank:
+                lower = q < rank
+            if (q := before(sym[p := prv[i]])) is not None:
+                if (held := index.get(q)) is not None:
+                    held.append(p)
+                else:
+                    index[q] = [p]
+                    heapq.heappush(active, q)
+                lower = lower or q < rank
+            if lower:
                 index.setdefault(rank, []).extend(places[k + 1:])
                 heapq.heappush(active, rank)
                 break
-    return [[x for x in sym[s:e] if x >= 0] for s, e in zip(starts, starts[1:] + [n])]
+    ids = np.array(sym, "<i4")
+    live = ids >= 0
+    upto = (4 * np.cumsum(live)[ends]).tolist()
+    ids = ids[live].tobytes()
+    return [ids[s:e] for s, e in zip([0, *upto], upto)]
 
 
 class Encoder:
-    """Encodes batches of texts; holds the memo of words in two generations
-    (when the younger is full it replaces the older one)."""
+    """Encodes batches of texts; holds the memos of chunks and of their words in
+    two generations each (when the younger is full it replaces the older one)."""
 
     def __init__(self, path: str):
         self.v = vocabulary(path)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
 
     def pieces(self, text: str) -> list[str]:
         """The normalised white-space-separated chunks.  An added token stands
@@ -172,17 +185,32 @@ class Encoder:
         if len(self.young) + len(chunks) > MEMO_WORDS:
             self.young, self.old = {}, self.young
         new = []
-        for c in [c for c in chunks if c not in self.young]:
-            if (x := self.old.get(c)) is not None:
-                self.young[c] = x
-            else:
-                new.append(c)
-        added = {t.upper(): i for t, i in self.v.added.items()}
-        split = {c: [w.encode("utf-8", "surrogatepass") for w in self.v.word.findall(c)] for c in new if c not in added}
-        words = sorted({w for ws in split.values() for w in ws})
-        ids = {w: np.array(x, "<u4").tobytes() for w, x in zip(words, merge_words(self.v, words))}
+        for c in chunks:
+            if c not in self.young:
+                if (x := self.old.get(c)) is not None:
+                    self.young[c] = x
+                else:
+                    new.append(c)
+        # a chunk of ASCII letters is one word
+        split = {c: (c,) if c.isascii() and c.isalpha() else self.v.word.findall(c) for c in new if c not in self.v.added_ids}
+        ids = self.merged(set().union(*split.values()))
         for c in new:
-            self.young[c] = added[c].to_bytes(4, "little") if c in added else b"".join([ids[w] for w in split[c]])
+            ws = split.get(c)
+            self.young[c] = self.v.added_ids[c] if ws is None else ids[ws[0]] if len(ws) == 1 else b"".join([ids[w] for w in ws])
+
+    def merged(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of each word, known from other chunks or merged now."""
+        if len(self.words) + len(words) > MEMO_WORDS:
+            self.words, self.old_words = {}, self.words
+        new = []
+        for w in words:
+            if w not in self.words:
+                if (x := self.old_words.get(w)) is not None:
+                    self.words[w] = x
+                else:
+                    new.append(w)
+        self.words.update(zip(new, merge_words(self.v, [w.encode("utf-8", "surrogatepass") for w in new])))
+        return self.words
 
     def encode(self, texts: list[str | None], block: int = 128) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""

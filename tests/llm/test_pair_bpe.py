@@ -58,3 +58,11 @@ def test_odd_rows(odd, none, clashing, reference):
 def test_other_files_are_refused():
     with pytest.raises(ValueError):
         B.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_a_word_of_several_chunks_is_merged_once(reference, monkeypatch):
+    e, seen, merge = B.Encoder(PATH), [], B.merge_words
+    monkeypatch.setattr(B, "merge_words", lambda v, words: seen.extend(words) or merge(v, words))
+    texts = ["Anwhtion sttible", "anwhtion, (sttible)", "anwhtion. it's sttible", "anwhtion"]
+    assert e.encode(texts, block=1) == [reference(t)[0] for t in texts]
+    assert len(seen) == len(set(seen)) and {b"anwhtion", b"sttible", b"'s"} <= set(seen)
